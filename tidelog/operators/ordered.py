@@ -1,13 +1,11 @@
 """Row-order operators that stay parallel when one key holds a large part of the table.
 
-A plain window sends all rows of a key to one task. Here only keys above
-``rows_per_chunk`` are cut into consecutive chunks along their order; every chunk is its
-own window partition, and one *sentinel* row per chunk carries the value that the
-neighbouring chunk would have supplied. Results equal the plain window's for every key.
-
-Passes over the input: one hash aggregate on the key columns (finds the heavy keys), one
-reduction over heavy keys only (builds the sentinels; adaptive execution drops it when
-there are none) and the window itself. The input must be deterministic.
+A plain window sends all rows of a key to one task. So the keys above ``rows_per_chunk``
+rows are looked up first, by one hash aggregate over the key and position columns. If
+there are none, the plain window is used. Otherwise those keys are cut into consecutive
+chunks along their order: every chunk is its own window partition, and one *sentinel* row
+per chunk carries what the neighbouring chunk would have supplied. Results equal the plain
+window's for every key. The input must be deterministic.
 """
 
 from __future__ import annotations
@@ -18,26 +16,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 1_000_000
-# At most this many keys are cut, heaviest first, so the list can always be broadcast.
-# Lighter keys take the plain window, which is exact as well.
+# At most this many keys are cut, heaviest first, so their list is always small enough to
+# fetch and to broadcast. Lighter keys take the plain window, which is exact as well.
 MAX_HEAVY_KEYS = 10_000
 
 _CHUNK, _EDGE, _POS, _VAL, _NCHUNKS = "_chunk", "_edge", "_pos", "_val", "_n_chunks"
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], position: Column, rows_per_chunk: int
+    df: DataFrame, keys: Sequence[str], position: str, rows_per_chunk: int
 ) -> DataFrame:
     """``keys, _lo, _hi, _n_chunks`` of the heaviest keys (a bounded number of rows)."""
     counted = (
-        df.select(*keys, position.alias(_POS))
+        df.select(*keys, F.col(position).alias(_POS))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_n"),
@@ -59,20 +50,36 @@ def _chunk_of(position: Column) -> Column:
     return F.coalesce(F.floor(share * F.col(_NCHUNKS)).cast("int"), F.lit(-1))
 
 
-def _join_heavy(
-    df: DataFrame, heavy: DataFrame, keys: Sequence[str], position: Column, how: str
-) -> DataFrame:
-    renamed = heavy.select(
+def chunked(
+    df: DataFrame, keys: Sequence[str], position: str, rows_per_chunk: int
+) -> DataFrame | None:
+    """``df`` with ``_chunk`` set for rows of heavy keys; None if there is no heavy key."""
+    wanted = heavy_keys(df, keys, position, rows_per_chunk)
+    found = wanted.collect()  # at most MAX_HEAVY_KEYS rows
+    if not found:
+        return None
+    small = df.sparkSession.createDataFrame(found, wanted.schema).select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], "_lo", "_hi", _NCHUNKS
     )
-    cond = F.lit(True)
+    same = F.lit(True)
     for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = df.join(F.broadcast(renamed), cond, how)  # at most MAX_HEAVY_KEYS rows
-    chunk = F.when(F.col(_NCHUNKS).isNotNull(), _chunk_of(position))
-    return joined.withColumn(_CHUNK, chunk).drop(
-        "_lo", "_hi", *[f"_k_{k}" for k in keys]
-    )
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    joined = df.join(F.broadcast(small), same, "left")
+    chunk = F.when(F.col(_NCHUNKS).isNotNull(), _chunk_of(F.col(position)))
+    return joined.withColumn(_CHUNK, chunk).select(*df.columns, _CHUNK)
+
+
+def dense_chunks(df: DataFrame, position: str, rows_per_chunk: int) -> DataFrame:
+    """For positions that number the rows: cut every key at fixed positions."""
+    return df.withColumn(_CHUNK, F.floor(F.col(position) / rows_per_chunk).cast("int"))
+
+
+def _ascending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in columns]
+
+
+def _descending(columns: Sequence[str]) -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in columns]
 
 
 def neighbour(
@@ -90,36 +97,33 @@ def neighbour(
     Rows of a key are ordered by ``position`` (a whole number), then ``ties``, ascending
     with NULLs first.
     """
-    pos = F.col(position)
-    order = [F.col(c).asc_nulls_first() for c in (position, *ties)]
-    back = [F.col(c).desc_nulls_last() for c in (position, *ties)]
-    row = F.struct(*[F.col(src).alias(out) for out, src in values.items()])
-    heavy = heavy_keys(df, keys, pos, rows_per_chunk)
+    shift = F.lead if step == "next" else F.lag
+    order = (position, *ties)
+    cut = chunked(df, keys, position, rows_per_chunk)
+    if cut is None:
+        w = Window.partitionBy(*keys).orderBy(*_ascending(order))
+        return df.select("*", *[shift(src).over(w).alias(out) for out, src in values.items()])
 
-    # The row of each chunk that its neighbour must see: the first one for "next".
-    first = Window.partitionBy(*keys, _CHUNK).orderBy(*(order if step == "next" else back))
-    chunk_order = F.col(_CHUNK).asc() if step == "next" else F.col(_CHUNK).desc()
-    along = Window.partitionBy(*keys).orderBy(chunk_order)
+    row = F.struct(*[F.col(src).alias(out) for out, src in values.items()])
+    # The row of each chunk its neighbour must see: for "next" the first one.
+    seen = Window.partitionBy(*keys, _CHUNK).orderBy(
+        *(_ascending(order) if step == "next" else _descending(order))
+    )
+    along = Window.partitionBy(*keys).orderBy(_CHUNK)
     sentinels = (
-        _join_heavy(df, heavy, keys, pos, "inner")
-        .select(*keys, _CHUNK, position, *ties, row.alias(_VAL))
-        .withColumn("_rn", F.row_number().over(first))
+        cut.filter(F.col(_CHUNK).isNotNull())
+        .select(*keys, _CHUNK, *order, row.alias(_VAL))
+        .withColumn("_rn", F.row_number().over(seen))
         .filter("_rn = 1")
-        .select(*keys, _CHUNK, F.lead(_VAL).over(along).alias(_VAL))
+        .select(*keys, _CHUNK, shift(_VAL).over(along).alias(_VAL))
         .filter(F.col(_VAL).isNotNull())
         .withColumn(_EDGE, F.lit(1 if step == "next" else -1))
     )
-    rows = (
-        _join_heavy(df, heavy, keys, pos, "left")
-        .drop(_NCHUNKS)
-        .withColumn(_VAL, row)
-        .withColumn(_EDGE, F.lit(0))
-    )
-    w = Window.partitionBy(*keys, _CHUNK).orderBy(_EDGE, *order)
-    near = F.lead(_VAL).over(w) if step == "next" else F.lag(_VAL).over(w)
+    rows = cut.withColumn(_VAL, row).withColumn(_EDGE, F.lit(0))
+    w = Window.partitionBy(*keys, _CHUNK).orderBy(_EDGE, *_ascending(order))
     return (
         rows.unionByName(sentinels, allowMissingColumns=True)
-        .withColumn("_near", near)
+        .withColumn("_near", shift(_VAL).over(w))
         .filter(F.col(_EDGE) == 0)
         .select(*df.columns, *[F.col("_near")[out].alias(out) for out in values])
     )
@@ -133,56 +137,58 @@ def carry_forward(
     *,
     ties: Sequence[str] = (),
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    dense: bool = False,
 ) -> DataFrame:
-    """For every row, the last non-NULL source value at or before it (per output column)."""
-    pos = F.col(position)
-    order = [F.col(c).asc_nulls_first() for c in (position, *ties)]
-    back = [F.col(c).desc_nulls_last() for c in (position, *ties)]
-    heavy = heavy_keys(df, keys, pos, rows_per_chunk)
-    in_chunk = Window.partitionBy(*keys, _CHUNK)
-
-    cut = _join_heavy(df, heavy, keys, pos, "inner")
-    sentinels = None
-    for out, src in values.items():
-        # Last value of each chunk, handed to every later chunk up to the next value.
-        last = (
-            cut.filter(F.col(src).isNotNull())
-            .select(*keys, _CHUNK, _NCHUNKS, position, *ties, F.col(src).alias(out))
-            .withColumn("_rn", F.row_number().over(in_chunk.orderBy(*back)))
-            .filter("_rn = 1")
-        )
-        until = F.lead(_CHUNK).over(Window.partitionBy(*keys).orderBy(_CHUNK))
-        upto = F.coalesce(until, F.col(_NCHUNKS) - 1)
-        handed = (
-            last.withColumn("_upto", upto)
-            .filter(F.col("_upto") > F.col(_CHUNK))
-            .select(
-                *keys,
-                F.explode(F.sequence(F.col(_CHUNK) + 1, F.col("_upto"))).alias(_CHUNK),
-                F.col(out).alias(f"_src_{out}"),
-            )
-        )
-        sentinels = (
-            handed
-            if sentinels is None
-            else sentinels.unionByName(handed, allowMissingColumns=True)
+    """For every row, the last non-NULL source value at or before it (per output column).
+
+    ``dense`` says that positions number the rows, so no look at the data is needed."""
+    order = (position, *ties)
+    upto_here = (Window.unboundedPreceding, Window.currentRow)
+    kept = [c for c in df.columns if c not in values]
+    if dense:
+        cut = dense_chunks(df, position, rows_per_chunk)
+    else:
+        cut = chunked(df, keys, position, rows_per_chunk)
+    if cut is None:
+        w = Window.partitionBy(*keys).orderBy(*_ascending(order)).rowsBetween(*upto_here)
+        last = {out: F.last(src, ignorenulls=True).over(w) for out, src in values.items()}
+        return df.select(*kept, *[c.alias(out) for out, c in last.items()])
+
+    # The last value inside each chunk, then the last one of all chunks before.
+    at = F.col(position) if not ties else F.struct(*order)
+    last_in_chunk = [
+        F.max_by(src, F.when(F.col(src).isNotNull(), at)).alias(f"_src_{out}")
+        for out, src in values.items()
+    ]
+    earlier = (
+        Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    sentinels = (
+        cut.filter(F.col(_CHUNK).isNotNull())
+        .groupBy(*keys, _CHUNK)
+        .agg(*last_in_chunk)
+        .select(
+            *keys,
+            _CHUNK,
+            F.lit(-1).alias(_EDGE),
+            *[
+                F.last(f"_src_{out}", ignorenulls=True).over(earlier).alias(f"_src_{out}")
+                for out in values
+            ],
         )
-    rows = (
-        _join_heavy(df, heavy, keys, pos, "left")
-        .drop(_NCHUNKS)
-        .withColumns({f"_src_{out}": F.col(src) for out, src in values.items()})
-        .withColumn(_EDGE, F.lit(0))
     )
-    w = in_chunk.orderBy(_EDGE, *order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    rows = cut.withColumns(
+        {f"_src_{out}": F.col(src) for out, src in values.items()}
+    ).withColumn(_EDGE, F.lit(0))
+    w = (
+        Window.partitionBy(*keys, _CHUNK)
+        .orderBy(_EDGE, *_ascending(order))
+        .rowsBetween(*upto_here)
     )
-    filled = {out: F.last(f"_src_{out}", ignorenulls=True).over(w) for out in values}
-    kept = [c for c in df.columns if c not in values]
+    filled = {f"_out_{out}": F.last(f"_src_{out}", ignorenulls=True).over(w) for out in values}
     return (
-        rows.unionByName(
-            sentinels.withColumn(_EDGE, F.lit(-1)), allowMissingColumns=True
-        )
-        .withColumns({f"_out_{out}": c for out, c in filled.items()})
+        rows.unionByName(sentinels, allowMissingColumns=True)
+        .withColumns(filled)
         .filter(F.col(_EDGE) == 0)
         .select(*kept, *[F.col(f"_out_{out}").alias(out) for out in values])
     )
@@ -198,28 +204,26 @@ def running_total(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Sum of ``amount`` over all earlier rows of the key (the row itself not included)."""
-    pos = F.col(position)
-    heavy = heavy_keys(df, keys, pos, rows_per_chunk)
-    along = Window.partitionBy(*keys).orderBy(_CHUNK)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.unboundedPreceding, -1)
+    cut = chunked(df, keys, position, rows_per_chunk)
+    if cut is None:
+        w = Window.partitionBy(*keys).orderBy(*_ascending([position])).rowsBetween(*before)
+        return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
+
+    along = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(*before)
     sentinels = (
-        _join_heavy(df, heavy, keys, pos, "inner")
+        cut.filter(F.col(_CHUNK).isNotNull())
         .groupBy(*keys, _CHUNK)
         .agg(F.sum(amount).alias("_sum"))
-        .select(*keys, _CHUNK, F.sum("_sum").over(before).alias("_amt"))
+        .select(*keys, _CHUNK, F.sum("_sum").over(along).alias("_amt"))
         .filter(F.col("_amt").isNotNull())
         .withColumn(_EDGE, F.lit(-1))
     )
-    rows = (
-        _join_heavy(df, heavy, keys, pos, "left")
-        .drop(_NCHUNKS)
-        .withColumn("_amt", F.col(amount))
-        .withColumn(_EDGE, F.lit(0))
-    )
+    rows = cut.withColumn("_amt", F.col(amount)).withColumn(_EDGE, F.lit(0))
     w = (
         Window.partitionBy(*keys, _CHUNK)
-        .orderBy(_EDGE, F.col(position).asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .orderBy(_EDGE, *_ascending([position]))
+        .rowsBetween(*before)
     )
     return (
         rows.unionByName(sentinels, allowMissingColumns=True)

@@ -92,15 +92,15 @@ def consent_as_of(spark, d):
     """with facts as (
            select o_orderkey fact_id, concat('PT', cast(o_custkey as varchar)) patient_id,
                   o_custkey, timestamp '2024-01-01 00:00:00'
-                    + to_hours(cast(o_orderkey % 720 as integer)) at
+                    + to_hours(cast(o_orderkey % 720 as integer)) fact_at
            from orders),
        ev as (
            select user_id, event_id, ts, event_type = 'error' gone,
                   cast(json_extract(props, '$.k') as bigint) k
            from events)
-       select fact_id, patient_id, at,
+       select fact_id, patient_id, fact_at,
               case when not gone then k % 2 = 0 end consent_research
-       from facts asof left join ev on user_id = o_custkey and ts <= at""",
+       from facts asof left join ev on user_id = o_custkey and ts <= fact_at""",
 )
 def fact_consent_as_of(spark, d):
     """For every fact the consent in force at the fact's own time."""
@@ -109,10 +109,10 @@ def fact_consent_as_of(spark, d):
     facts = s.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("fact_id"),
         s.tag("PT", F.col("o_custkey")).alias("patient_id"),
-        (start + hours).alias("at"),
+        (start + hours).alias("fact_at"),
     )
     return history.value_as_of(
-        facts, s.consents(spark, d), "patient_id", "at", "commit_ts", ["consent_research"]
+        facts, s.consents(spark, d), "patient_id", "fact_at", "commit_ts", ["consent_research"]
     )
 
 

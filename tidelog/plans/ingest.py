@@ -198,6 +198,13 @@ def raw_roundtrip(spark, d):
     return store.read_log("patient_consents", schema)
 
 
+def landed_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The replication messages as they lie on the shared folder, in slot order."""
+    path = f"{run_dir(spark, 'messages')}/landed"
+    s.wal_messages(spark, d).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query(
     "decode_wal_messages",
     sql(
@@ -209,7 +216,7 @@ def raw_roundtrip(spark, d):
     ),
 )
 def decode_wal_messages(spark, d):
-    messages = s.wal_messages(spark, d)
+    messages = landed_messages(spark, d)
     rows = wal.named_cells(wal.decode(messages), wal.relations(messages))
     return wal.typed_rows(rows, CONSENTS).drop("slot", "seq")
 
@@ -225,7 +232,7 @@ def decode_wal_messages(spark, d):
     ),
 )
 def relation_versions(spark, d):
-    messages = s.wal_messages(spark, d)
+    messages = landed_messages(spark, d)
     versions = wal.relation_versions(wal.decode(messages), wal.relations(messages))
     known = F.array(*[F.lit(c) for c in CONSENTS.columns])
     return versions.select(

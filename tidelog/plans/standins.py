@@ -238,37 +238,50 @@ def wal_messages(spark: SparkSession, d: str) -> DataFrame:
         .when(with_old, F.concat(head, _b("K"), old, _b("N"), new))
         .otherwise(F.concat(head, _b("N"), new))
     )
-    changes = feed.select((event * 10).alias("seq"), "lsn", payload.alias("payload"))
-
-    txns = feed.groupBy("txn").agg(
-        F.min(event).alias("first"), F.max(event).alias("last"), F.max("commit_ts").alias("at")
+    changes = feed.select(
+        "txn", "commit_ts", "load_no", event.alias("event"), payload.alias("change")
+    )
+    # A transaction has at most seven changes.
+    txns = changes.groupBy("txn").agg(
+        F.collect_list(F.struct("event", "change")).alias("changes"),
+        F.min("event").alias("first"),
+        F.max("event").alias("last"),
+        F.max("commit_ts").alias("at"),
+        F.min(F.when(wide, F.col("event"))).alias("first_wide"),
     )
     micros = F.unix_micros(F.col("at").cast("timestamp")) - F.lit(946684800000000)
     end = F.col("last") + 1
+    total = table(spark, d, "events").agg(F.max("event_id") + 1).scalar()
     begin = F.concat(_b("B"), _i(end, 8), _i(micros, 8), _i(F.col("txn"), 4))
     commit = F.concat(_b("C"), _i(F.lit(0), 1), _i(end, 8), _i(end, 8), _i(micros, 8))
     truncate = F.concat(_b("T"), _i(F.lit(1), 4), _i(F.lit(0), 1), _i(F.lit(RELATION_ID), 4))
-    begins = txns.select((F.col("first") * 10 - 3).alias("seq"), end.alias("lsn"), begin.alias("payload"))
-    commits = txns.select((F.col("last") * 10 + 3).alias("seq"), end.alias("lsn"), commit.alias("payload"))
-    truncates = txns.filter(F.col("txn") % 50 == 0).select(
-        (F.col("last") * 10 + 2).alias("seq"), end.alias("lsn"), truncate.alias("payload")
-    )
-    layout = F.when(
-        F.col("wide"), _layout([*CONSENT_LAYOUT, ("channel", TEXT_OID, False)])
-    ).otherwise(_layout(CONSENT_LAYOUT))
-    layouts = (
-        feed.groupBy(wide.alias("wide"))
-        .agg(F.min(event).alias("first"))
-        .select(
-            (F.col("first") * 10 - 1).alias("seq"),
-            (F.col("first") + 1).alias("lsn"),
-            layout.alias("payload"),
+    wide_layout = _layout([*CONSENT_LAYOUT, ("channel", TEXT_OID, False)])
+    # Load 2 starts at the first event past half of all events.
+    turn = F.col("first_wide").isNotNull() & (F.col("first_wide") == F.ceil(total / 2))
+
+    def message(when: Column, seq: Column, lsn: Column, data: Column) -> Column:
+        made = F.struct(seq.alias("seq"), lsn.alias("lsn"), data.alias("payload"))
+        return F.when(when, made)
+
+    framing = F.array_compact(
+        F.array(
+            message(F.lit(True), F.col("first") * 10 - 3, end, begin),
+            message(F.col("first") == 0, F.lit(-1).cast("bigint"), end, _layout(CONSENT_LAYOUT)),
+            message(turn, F.col("first_wide") * 10 - 1, end, wide_layout),
+            message(F.col("txn") % 50 == 0, F.col("last") * 10 + 2, end, truncate),
+            message(F.lit(True), F.col("last") * 10 + 3, end, commit),
         )
     )
-    out = changes
-    for part in (begins, commits, truncates, layouts):
-        out = out.unionByName(part)
-    return out.select(F.lit(SLOT).alias("slot"), "seq", "lsn", "payload")
+    body = F.transform(
+        "changes",
+        lambda c: F.struct(
+            (c["event"] * 10).alias("seq"),
+            (c["event"] + 1).alias("lsn"),
+            c["change"].alias("payload"),
+        ),
+    )
+    messages = txns.select(F.explode(F.concat(framing, body)).alias("m"))
+    return messages.select(F.lit(SLOT).alias("slot"), "m.seq", "m.lsn", "m.payload")
 
 
 # ---- the same in SQL -----------------------------------------------------------------

@@ -146,7 +146,12 @@ def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> Data
     cells, old_cells``. ``relation_seq`` names the layout in force (see ``relations``)."""
     parsed = parse(messages)
     timed = carry_forward(
-        parsed, ["slot"], "seq", {"commit_ts": "_begin_ts"}, rows_per_chunk=rows_per_chunk
+        parsed,
+        ["slot"],
+        "seq",
+        {"commit_ts": "_begin_ts"},
+        rows_per_chunk=rows_per_chunk,
+        dense=True,
     ).drop("_begin_ts")
     announced = timed.withColumn(
         "_rel", F.when(F.col("kind") == RELATION, F.col("seq"))
@@ -157,6 +162,7 @@ def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> Data
         "seq",
         {"relation_seq": "_rel"},
         rows_per_chunk=rows_per_chunk,
+        dense=True,
     )
     deleted = F.when(F.col("kind") == DELETE, F.col("commit_ts"))
     return laid.filter(F.col("kind") != RELATION).select(
