@@ -30,12 +30,10 @@ def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def duplicates(df: DataFrame, key: str, business_id: str) -> DataFrame:
     """Rows, distinct keys, surplus rows and their rate, mean events per business id."""
     keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    ids = df.select(business_id).distinct()
-    a = keys.agg(
+    ids = df.select(business_id).distinct().agg(F.count(F.col(business_id)))
+    both = keys.agg(
         F.sum("n").alias("total_rows"), F.count(F.col(key)).alias("distinct_keys")
-    ).withColumn("_one", F.lit(1))
-    b = ids.agg(F.count(F.col(business_id)).alias("distinct_ids")).withColumn("_one", F.lit(1))
-    both = a.join(b, "_one")  # one row each
+    ).withColumn("distinct_ids", ids.scalar())
     surplus = F.col("total_rows") - F.col("distinct_keys")
     return both.select(
         "total_rows",

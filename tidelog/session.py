@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # A skewed outer / semi / anti join is split even when that adds an exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Time-of-day columns of the source.
+    "spark.sql.timeType.enabled": "true",
 }
 
 

@@ -41,14 +41,14 @@ def after_snapshot(feed: DataFrame, snapshot_lsn: int) -> DataFrame:
 
 
 def not_bootstrapped(snapshot_df: DataFrame, table: str, ledger: DataFrame) -> DataFrame:
-    """The snapshot, or nothing if the ledger shows that the table already has one."""
+    """The snapshot, or nothing if the ledger shows that the table already has one. Then
+    the plan is empty and the source is not read again."""
     done = ledger.filter(
         (F.col("table_name") == table)
         & (F.col("kind") == "snapshot")
         & (F.col("status") == 0)
-    ).select("table_name").distinct()
-    tagged = snapshot_df.withColumn("table_name", F.lit(table))
-    return tagged.join(done, "table_name", "left_anti").select(*snapshot_df.columns)
+    )
+    return snapshot_df if done.isEmpty() else snapshot_df.limit(0)
 
 
 def jdbc_reader(
