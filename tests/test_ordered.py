@@ -54,8 +54,8 @@ def test_carry_forward_over_empty_chunks(spark):
     """A value must cross chunks that hold none, and chunks without any row."""
     data = [("k", 0, "x")] + [("k", p, None) for p in (10, 11, 500, 990, 991, 992)]
     df = spark.createDataFrame(data, "k string, pos long, v string")
-    for args in ({"rows_per_chunk": 2}, {"rows_per_chunk": 10, "dense": True}):
-        out = ordered.carry_forward(df, ["k"], "pos", {"c": "v"}, **args)
+    for size in (1, 2, 6):
+        out = ordered.carry_forward(df, ["k"], "pos", {"c": "v"}, rows_per_chunk=size)
         assert {r["c"] for r in out.collect()} == {"x"}
 
 

@@ -24,6 +24,10 @@ TYPE_BY_OID = {
     3802: T.VariantType(),
 }
 
+# Words accepted for a boolean.
+TRUE_WORDS = ("1", "on", "t", "true", "y", "yes")
+FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
+
 
 def spark_type(oid: int, typmod: int = -1) -> T.DataType:
     """Spark type of a source column; unknown numbers are text."""
@@ -44,12 +48,9 @@ def try_typed(cell: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.VariantType):
         return F.try_parse_json(cell)
     if isinstance(dtype, T.BooleanType):
-        word = F.lower(F.trim(cell))
-        return (
-            F.when(word == "on", F.lit(True))
-            .when(word == "off", F.lit(False))
-            .otherwise(word.try_cast(dtype))
-        )
+        words = [F.lit(v) for w in TRUE_WORDS for v in (w, True)]
+        words += [F.lit(v) for w in FALSE_WORDS for v in (w, False)]
+        return F.try_element_at(F.create_map(*words), F.lower(F.trim(cell)))
     return cell.try_cast(dtype)
 
 

@@ -85,8 +85,16 @@ def new_events(
     batch: DataFrame,
     key: Sequence[str] = ("lsn",),
     ties: Sequence[str] = (),
+    *,
+    prune: bool = True,
 ) -> DataFrame:
-    """The part of ``batch`` that an event-log merge would append."""
+    """The part of ``batch`` that an event-log merge would append.
+
+    Only log rows inside the batch's range of positions can match. With ``prune`` that
+    range is found by the query itself and limits the scan of the log before its shuffle."""
+    if prune and "lsn" in key:
+        low, high = (batch.agg(f("lsn")).scalar() for f in (F.min, F.max))
+        log = log.filter(F.col("lsn").between(low, high))
     # Further copies of one event are alike; any total order picks the same content.
     rest = [c for c in batch.columns if c not in key and c not in ties]
     order = [F.col(c).desc_nulls_last() for c in ties] + [F.xxhash64(*rest).asc()]

@@ -20,7 +20,8 @@ ROWS_PER_CHUNK = 1_000_000
 # fetch and to broadcast. Lighter keys take the plain window, which is exact as well.
 MAX_HEAVY_KEYS = 10_000
 
-_CHUNK, _EDGE, _POS, _VAL, _NCHUNKS = "_chunk", "_edge", "_pos", "_val", "_n_chunks"
+CHUNK = "_chunk"
+_EDGE, _POS, _VAL, _NCHUNKS = "_edge", "_pos", "_val", "_n_chunks"
 
 
 def heavy_keys(
@@ -66,12 +67,12 @@ def chunked(
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     joined = df.join(F.broadcast(small), same, "left")
     chunk = F.when(F.col(_NCHUNKS).isNotNull(), _chunk_of(F.col(position)))
-    return joined.withColumn(_CHUNK, chunk).select(*df.columns, _CHUNK)
+    return joined.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
 
 
 def dense_chunks(df: DataFrame, position: str, rows_per_chunk: int) -> DataFrame:
     """For positions that number the rows: cut every key at fixed positions."""
-    return df.withColumn(_CHUNK, F.floor(F.col(position) / rows_per_chunk).cast("int"))
+    return df.withColumn(CHUNK, F.floor(F.col(position) / rows_per_chunk).cast("int"))
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -106,21 +107,21 @@ def neighbour(
 
     row = F.struct(*[F.col(src).alias(out) for out, src in values.items()])
     # The row of each chunk its neighbour must see: for "next" the first one.
-    seen = Window.partitionBy(*keys, _CHUNK).orderBy(
+    seen = Window.partitionBy(*keys, CHUNK).orderBy(
         *(_ascending(order) if step == "next" else _descending(order))
     )
-    along = Window.partitionBy(*keys).orderBy(_CHUNK)
+    along = Window.partitionBy(*keys).orderBy(CHUNK)
     sentinels = (
-        cut.filter(F.col(_CHUNK).isNotNull())
-        .select(*keys, _CHUNK, *order, row.alias(_VAL))
+        cut.filter(F.col(CHUNK).isNotNull())
+        .select(*keys, CHUNK, *order, row.alias(_VAL))
         .withColumn("_rn", F.row_number().over(seen))
         .filter("_rn = 1")
-        .select(*keys, _CHUNK, shift(_VAL).over(along).alias(_VAL))
+        .select(*keys, CHUNK, shift(_VAL).over(along).alias(_VAL))
         .filter(F.col(_VAL).isNotNull())
         .withColumn(_EDGE, F.lit(1 if step == "next" else -1))
     )
     rows = cut.withColumn(_VAL, row).withColumn(_EDGE, F.lit(0))
-    w = Window.partitionBy(*keys, _CHUNK).orderBy(_EDGE, *_ascending(order))
+    w = Window.partitionBy(*keys, CHUNK).orderBy(_EDGE, *_ascending(order))
     return (
         rows.unionByName(sentinels, allowMissingColumns=True)
         .withColumn("_near", shift(_VAL).over(w))
@@ -137,18 +138,12 @@ def carry_forward(
     *,
     ties: Sequence[str] = (),
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    dense: bool = False,
 ) -> DataFrame:
-    """For every row, the last non-NULL source value at or before it (per output column).
-
-    ``dense`` says that positions number the rows, so no look at the data is needed."""
+    """For every row, the last non-NULL source value at or before it (per output column)."""
     order = (position, *ties)
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     kept = [c for c in df.columns if c not in values]
-    if dense:
-        cut = dense_chunks(df, position, rows_per_chunk)
-    else:
-        cut = chunked(df, keys, position, rows_per_chunk)
+    cut = chunked(df, keys, position, rows_per_chunk)
     if cut is None:
         w = Window.partitionBy(*keys).orderBy(*_ascending(order)).rowsBetween(*upto_here)
         last = {out: F.last(src, ignorenulls=True).over(w) for out, src in values.items()}
@@ -161,15 +156,15 @@ def carry_forward(
         for out, src in values.items()
     ]
     earlier = (
-        Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
     sentinels = (
-        cut.filter(F.col(_CHUNK).isNotNull())
-        .groupBy(*keys, _CHUNK)
+        cut.filter(F.col(CHUNK).isNotNull())
+        .groupBy(*keys, CHUNK)
         .agg(*last_in_chunk)
         .select(
             *keys,
-            _CHUNK,
+            CHUNK,
             F.lit(-1).alias(_EDGE),
             *[
                 F.last(f"_src_{out}", ignorenulls=True).over(earlier).alias(f"_src_{out}")
@@ -181,7 +176,7 @@ def carry_forward(
         {f"_src_{out}": F.col(src) for out, src in values.items()}
     ).withColumn(_EDGE, F.lit(0))
     w = (
-        Window.partitionBy(*keys, _CHUNK)
+        Window.partitionBy(*keys, CHUNK)
         .orderBy(_EDGE, *_ascending(order))
         .rowsBetween(*upto_here)
     )
@@ -210,18 +205,18 @@ def running_total(
         w = Window.partitionBy(*keys).orderBy(*_ascending([position])).rowsBetween(*before)
         return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
 
-    along = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(*before)
+    along = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*before)
     sentinels = (
-        cut.filter(F.col(_CHUNK).isNotNull())
-        .groupBy(*keys, _CHUNK)
+        cut.filter(F.col(CHUNK).isNotNull())
+        .groupBy(*keys, CHUNK)
         .agg(F.sum(amount).alias("_sum"))
-        .select(*keys, _CHUNK, F.sum("_sum").over(along).alias("_amt"))
+        .select(*keys, CHUNK, F.sum("_sum").over(along).alias("_amt"))
         .filter(F.col("_amt").isNotNull())
         .withColumn(_EDGE, F.lit(-1))
     )
     rows = cut.withColumn("_amt", F.col(amount)).withColumn(_EDGE, F.lit(0))
     w = (
-        Window.partitionBy(*keys, _CHUNK)
+        Window.partitionBy(*keys, CHUNK)
         .orderBy(_EDGE, *_ascending([position]))
         .rowsBetween(*before)
     )

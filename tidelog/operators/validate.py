@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tidelog.functions.cells import failed_cast, try_typed
 from tidelog.operators.contract import check_frozen
 from tidelog.spec import TableSpec
 
-ERRORS = "_errors"
+BAD, ERRORS = "_bad", "_errors"
 
 
 def strip_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -19,9 +21,9 @@ def strip_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def with_errors(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Typed contract columns plus an array of ``column: reason`` strings.
+    """Typed contract columns, a verdict, and an array of ``column: reason`` strings.
 
-    All checks are column expressions over one pass. Text that is no value of the column's
+    All checks are column expressions over one pass; the array is built for bad rows only. Text that is no value of the column's
     type, or a missing required value, is a fault of the row; anything else fails the job.
     """
     check_frozen(df, spec)
@@ -29,11 +31,11 @@ def with_errors(df: DataFrame, spec: TableSpec) -> DataFrame:
     if spec.delete_image == "key" and "deleted_ts" in df.columns:
         tombstone = F.col("deleted_ts").isNotNull()
 
-    typed, faults = {}, []
+    typed, faults = {}, []  # faults: (condition, reason)
     for field in spec.raw_schema.fields:
         if field.name not in df.columns:
             if field.name in spec.columns:
-                faults.append(F.lit(f"{field.name}: missing"))
+                faults.append((F.lit(True), f"{field.name}: missing"))
             continue
         raw = F.col(field.name)
         if df.schema[field.name].dataType == field.dataType:
@@ -41,35 +43,36 @@ def with_errors(df: DataFrame, spec: TableSpec) -> DataFrame:
         else:
             text = raw.cast("string")
             value = try_typed(text, field.dataType)
-            faults.append(
-                F.when(failed_cast(text, value), F.lit(f"{field.name}: type"))
-            )
+            faults.append((failed_cast(text, value), f"{field.name}: type"))
         if field.name in spec.required:
             missing = raw.isNull()
             if field.name not in spec.key:
                 missing = missing & ~tombstone
-            faults.append(F.when(missing, F.lit(f"{field.name}: missing")))
+            faults.append((missing, f"{field.name}: missing"))
         typed[field.name] = value
     passed = [c for c in df.columns if c not in typed]
-    errors = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
+    bad = reduce(lambda a, b: a | b, [cond for cond, _ in faults], F.lit(False))
+    none = F.array().cast("array<string>")
+    reasons = [F.when(cond, F.array(F.lit(text))).otherwise(none) for cond, text in faults]
     return df.select(
         *passed,
         *[v.alias(n) for n, v in typed.items()],
         *[F.col(k).cast("string").alias(f"_key_{k}") for k in spec.key],
-        errors.alias(ERRORS),
+        bad.alias(BAD),
+        (F.concat(*reasons) if reasons else none).alias(ERRORS),
     )
 
 
 def accepted(checked: DataFrame) -> DataFrame:
     drop = [c for c in checked.columns if c.startswith("_key_")]
-    return checked.filter(F.size(ERRORS) == 0).drop(ERRORS, *drop)
+    return checked.filter(~F.col(BAD)).drop(BAD, ERRORS, *drop)
 
 
 def quarantined(checked: DataFrame, spec: TableSpec) -> DataFrame:
     """Table, pseudonymous key and reasons; never a value of another column."""
     key = F.concat_ws("|", *[F.col(f"_key_{k}") for k in spec.key])
     kept = [c for c in ("lsn", "load_no", "_load_id") if c in checked.columns]
-    return checked.filter(F.size(ERRORS) > 0).select(
+    return checked.filter(BAD).select(
         F.lit(spec.name).alias("table_name"),
         key.alias("entity_id"),
         F.col(ERRORS).alias("reasons"),

@@ -217,8 +217,7 @@ def landed_messages(spark: SparkSession, d: str) -> DataFrame:
 )
 def decode_wal_messages(spark, d):
     messages = landed_messages(spark, d)
-    rows = wal.named_cells(wal.decode(messages), wal.relations(messages))
-    return wal.typed_rows(rows, CONSENTS).drop("slot", "seq")
+    return wal.typed_rows(wal.named_cells(wal.decode(messages)), CONSENTS).drop("slot", "seq")
 
 
 @query(
@@ -453,7 +452,7 @@ def text_consents(spark: SparkSession, d: str) -> DataFrame:
     bad_lsn = F.concat(F.lit("0/"), F.hex("lsn"))
     return s.consents(spark, d).select(
         F.when(F.col("lsn") % 37 != 0, F.col("patient_id")).alias("patient_id"),
-        F.when((k < 12) & flag.isNotNull(), "maybe").otherwise(flag).alias("consent_research"),
+        F.when((k < 12) & (F.col("op") != "D"), "maybe").otherwise(flag).alias("consent_research"),
         F.col("consent_marketing").cast("string").alias("consent_marketing"),
         F.col("consent_partner_share").cast("string").alias("consent_partner_share"),
         F.when(k < 10, bad_lsn).otherwise(F.col("lsn").cast("string")).alias("lsn"),

@@ -78,8 +78,10 @@ APPOINTMENT_TIES = ("event_timestamp", "part", "provider_id")
 
 def consents(spark: SparkSession, d: str) -> DataFrame:
     """Consent change feed."""
-    e = table(spark, d, "events")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    # props is a flat object; the pattern is several times cheaper than a JSON parse.
+    number = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1)
+    e = table(spark, d, "events").withColumn("k", number.cast("bigint"))
+    k = F.col("k")
     gone = F.col("event_type") == "error"
     op = (
         F.when(F.col("event_type") == "signup", "I").when(gone, "D").otherwise("U")

@@ -8,12 +8,12 @@ commit time, is carried forward along ``seq`` in chunks; no task sees a whole sl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.cells import spark_type, try_typed
 from tidelog.functions.lsn import from_epoch_2000
-from tidelog.operators.ordered import ROWS_PER_CHUNK, carry_forward
+from tidelog.operators.ordered import CHUNK, ROWS_PER_CHUNK, dense_chunks
 from tidelog.spec import TableSpec
 
 # Message kinds of the protocol (first byte).
@@ -110,8 +110,8 @@ def relations(messages: DataFrame) -> DataFrame:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """One pass over the bytes: kind, table number, commit time, old and new cells."""
-    m = with_kind(messages).filter(~F.col("kind").isin(COMMIT, TRUNCATE))
+    """Changes and transaction starts: kind, table number, commit time, old and new cells."""
+    m = with_kind(messages).filter(F.col("kind").isin(BEGIN, *CHANGES))
     is_change = F.col("kind").isin(*CHANGES)
     tag = F.expr("cast(substring(payload, 6, 1) as string)")
     first = F.when(is_change, _cells("7"))
@@ -134,7 +134,7 @@ def parse(messages: DataFrame) -> DataFrame:
         "seq",
         "lsn",
         "kind",
-        F.when(is_change | (F.col("kind") == RELATION), _uint("2", 4)).alias("relation_id"),
+        F.when(is_change, _uint("2", 4)).alias("relation_id"),
         commit.alias("_begin_ts"),
         old_cells.alias("old_cells"),
         new_cells.alias("cells"),
@@ -142,56 +142,100 @@ def parse(messages: DataFrame) -> DataFrame:
 
 
 def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Change rows ``slot, seq, lsn, op, relation_id, commit_ts, deleted_ts, relation_seq,
-    cells, old_cells``. ``relation_seq`` names the layout in force (see ``relations``)."""
-    parsed = parse(messages)
-    timed = carry_forward(
-        parsed,
-        ["slot"],
+    """Change rows ``slot, seq, lsn, op, relation_id, relation, relation_seq, commit_ts,
+    deleted_ts, columns, cells, old_cells``.
+
+    The commit time comes from the last transaction start of the slot, names and table from
+    the last layout of the relation. Messages are cut by ``seq`` into chunks; each chunk
+    starts with rows that repeat what was in force before it. Both windows share one
+    shuffle."""
+    parsed = dense_chunks(parse(messages), "seq", rows_per_chunk)
+    layouts = dense_chunks(
+        relations(messages).select(
+            "slot",
+            "seq",
+            "relation_id",
+            F.struct(
+                F.col("seq").alias("relation_seq"),
+                "relation",
+                F.expr("transform(layout, c -> c.name)").alias("columns"),
+            ).alias("_layout"),
+        ),
         "seq",
-        {"commit_ts": "_begin_ts"},
-        rows_per_chunk=rows_per_chunk,
-        dense=True,
-    ).drop("_begin_ts")
-    announced = timed.withColumn(
-        "_rel", F.when(F.col("kind") == RELATION, F.col("seq"))
-    ).filter(F.col("kind") != BEGIN)
-    laid = carry_forward(
-        announced,
-        ["slot", "relation_id"],
-        "seq",
-        {"relation_seq": "_rel"},
-        rows_per_chunk=rows_per_chunk,
-        dense=True,
+        rows_per_chunk,
+    )
+    # Per chunk: the relations that occur and the last transaction start.
+    spine = parsed.groupBy("slot", "relation_id", CHUNK).agg(
+        F.max_by("_begin_ts", F.when(F.col("_begin_ts").isNotNull(), F.col("seq"))).alias(
+            "_begin_ts"
+        )
+    )
+    by_slot = Window.partitionBy("slot").orderBy(CHUNK)
+    starts = (
+        spine.groupBy("slot", CHUNK)
+        .agg(F.max("_begin_ts").alias("_begin_ts"))
+        .withColumn(
+            "_begin_ts",
+            F.last("_begin_ts", ignorenulls=True).over(
+                by_slot.rowsBetween(Window.unboundedPreceding, -1)
+            ),
+        )
+    )
+    last_layout = layouts.groupBy("slot", "relation_id", CHUNK).agg(
+        F.max_by("_layout", "seq").alias("_layout")
+    )
+    occurring = spine.filter(F.col("relation_id").isNotNull()).select(
+        "slot", "relation_id", CHUNK, F.lit(True).alias("_occurs")
+    )
+    by_relation = Window.partitionBy("slot", "relation_id").orderBy(CHUNK)
+    handed = (
+        occurring.unionByName(last_layout, allowMissingColumns=True)
+        .withColumn(
+            "_layout",
+            F.last("_layout", ignorenulls=True).over(
+                by_relation.rangeBetween(Window.unboundedPreceding, -1)
+            ),
+        )
+        .filter("_occurs")
+        .drop("_occurs")
+    )
+    edge = "_edge"
+    rows = (
+        parsed.withColumn(edge, F.lit(0))
+        .unionByName(layouts.withColumn(edge, F.lit(0)), allowMissingColumns=True)
+        .unionByName(starts.withColumn(edge, F.lit(-1)), allowMissingColumns=True)
+        .unionByName(handed.withColumn(edge, F.lit(-1)), allowMissingColumns=True)
     )
+    upto_here = (Window.unboundedPreceding, Window.currentRow)
+    in_slot = Window.partitionBy("slot", CHUNK).orderBy(edge, "seq").rowsBetween(*upto_here)
+    in_relation = (
+        Window.partitionBy("slot", CHUNK, "relation_id")
+        .orderBy(edge, "seq")
+        .rowsBetween(*upto_here)
+    )
+    known = rows.withColumn(
+        "commit_ts", F.last("_begin_ts", ignorenulls=True).over(in_slot)
+    ).withColumn("_layout", F.last("_layout", ignorenulls=True).over(in_relation))
     deleted = F.when(F.col("kind") == DELETE, F.col("commit_ts"))
-    return laid.filter(F.col("kind") != RELATION).select(
+    return known.filter(F.col("kind").isin(*CHANGES)).select(
         "slot",
         "seq",
         "lsn",
         F.col("kind").alias("op"),
         "relation_id",
+        "_layout.relation",
+        "_layout.relation_seq",
         "commit_ts",
         deleted.alias("deleted_ts"),
-        "relation_seq",
+        "_layout.columns",
         "cells",
         "old_cells",
     )
 
 
-def named_cells(changes: DataFrame, layouts: DataFrame) -> DataFrame:
-    """Pair each cell with its column name: adds ``relation`` and the map ``row``.
-
-    Layouts are one row per announced table version; the planner broadcasts them only if
-    they are below its threshold."""
-    names = layouts.select(
-        "slot",
-        F.col("seq").alias("relation_seq"),
-        "relation",
-        F.expr("transform(layout, c -> c.name)").alias("_names"),
-    )
-    joined = changes.join(names, ["slot", "relation_seq"])
-    return joined.withColumn("row", F.map_from_arrays("_names", "cells")).drop("_names")
+def named_cells(changes: DataFrame) -> DataFrame:
+    """Pair each cell with its column name: adds the map ``row``."""
+    return changes.withColumn("row", F.map_from_arrays("columns", "cells"))
 
 
 def typed_rows(named: DataFrame, spec: TableSpec) -> DataFrame:

@@ -57,17 +57,18 @@ class Store:
 
     # ---- ledger -------------------------------------------------------------------
 
-    def ledger(self, table: str) -> DataFrame:
-        """Ledger entries of a table: one row per load."""
+    def _read_entries(self, path: str) -> DataFrame:
         try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(
-                f"{self._entries(table)}/*"
-            )
+            return self.spark.read.schema(LEDGER_SCHEMA).parquet(path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
+    def ledger(self, table: str) -> DataFrame:
+        """Ledger entries of a table: one row per load."""
+        return self._read_entries(f"{self._entries(table)}/*")
+
     def committed(self, table: str) -> list[T.Row]:
         """Visible loads: committed and not replaced by a later one. This is bookkeeping
         (one entry per load, thinned by ``compact``), not data."""
@@ -76,8 +77,9 @@ class Store:
         return [e for e in entries if e[LOAD] not in replaced]
 
     def is_committed(self, table: str, load_id: str) -> bool:
-        mine = self.ledger(table).filter((F.col(LOAD) == load_id) & (F.col("status") == COMMITTED))
-        return mine.limit(1).count() > 0
+        """Looks at the load's own ledger entry only."""
+        path = f"{self._entries(table)}/load_id={load_id}"
+        return not self._read_entries(path).filter(F.col("status") == COMMITTED).isEmpty()
 
     def new_load(self, table: str, known: set[str]) -> str:
         """The load a run added: ``""`` for none, its id for one, an error for several."""
@@ -104,6 +106,29 @@ class Store:
         replay finds its work done and touches nothing."""
         if self.is_committed(table, load_id):
             return False
+        return self._commit(
+            df,
+            table,
+            load_id,
+            at,
+            kind=kind,
+            replaces=replaces,
+            rows_in=rows_in,
+            before_commit=before_commit,
+        )
+
+    def _commit(
+        self,
+        df: DataFrame,
+        table: str,
+        load_id: str,
+        at: datetime,
+        *,
+        kind: str = "changes",
+        replaces: tuple[str, ...] = (),
+        rows_in: int | None = None,
+        before_commit=None,
+    ) -> bool:
         seen = Observation()
         observed = df.observe(
             seen,
@@ -132,11 +157,13 @@ class Store:
             got["hi"],
             list(replaces),
         )
-        self.spark.createDataFrame([entry], LEDGER_SCHEMA).coalesce(1).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "static").parquet(
-            f"{self._entries(table)}/load_id={load_id}"
-        )
+        cells = [
+            F.lit(value).cast(f.dataType).alias(f.name)
+            for value, f in zip(entry, LEDGER_SCHEMA.fields)
+        ]
+        self.spark.range(0, 1, 1, 1).select(*cells).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).parquet(f"{self._entries(table)}/load_id={load_id}")
         return True
 
     def read_loads(self, table: str, schema: T.StructType, loads: list[str]) -> DataFrame:
@@ -178,6 +205,8 @@ class Store:
         - event log: only visible loads whose position range overlaps the batch's are read
           to find events that are there already.
         """
+        if self.is_committed(spec.name, load_id):
+            return False
         if spec.mode == LATEST:
             fresh = latest_per_key(batch, spec.key, ties)
         else:
@@ -185,16 +214,15 @@ class Store:
             overlap = [
                 e[LOAD]
                 for e in self.committed(spec.name)
-                if e[LOAD] != load_id
-                and None not in (span["lo"], e["min_lsn"])
+                if None not in (span["lo"], e["min_lsn"])
                 and e["min_lsn"] <= span["hi"]
                 and e["max_lsn"] >= span["lo"]
             ]
             log = self.read_loads(spec.name, batch.schema, overlap)
             if overlap:
                 log = log.filter(F.col("lsn").between(span["lo"], span["hi"]))
-            fresh = new_events(log, batch, spec.merge_key, ties)
-        return self.write(fresh, spec.name, load_id, at, before_commit=before_commit)
+            fresh = new_events(log, batch, spec.merge_key, ties, prune=False)
+        return self._commit(fresh, spec.name, load_id, at, before_commit=before_commit)
 
     def compact(
         self, spec: TableSpec, schema: T.StructType, load_id: str, at: datetime, ties=()
