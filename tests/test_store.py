@@ -104,20 +104,45 @@ def test_latest_load_and_noop(spark, store):
     assert new_load_or_noop(ledger.filter("_load_id = '1'"), "1").first()["run_id"] == "noop"
 
 
+def test_compaction_of_small_loads_only(spark, store):
+    a = prov(spark, *[(f"p{i}", "base", 1, None) for i in range(9)])
+    store.merge_batch(a, PROVIDERS, "0", T0)
+    store.merge_batch(prov(spark, ("p1", "x", 2, None)), PROVIDERS, "1", T0)
+    store.merge_batch(prov(spark, ("p1", "y", 3, None)), PROVIDERS, "2", T0)
+    store.compact(PROVIDERS, a.schema, "c", T0, max_rows=5)
+    assert sorted(e["_load_id"] for e in store.committed("providers")) == ["0", "c"]
+    state = store.read_state(PROVIDERS, a.schema)
+    assert state.count() == 9
+    assert rows(state.filter("provider_id = 'p1'"), "name", "lsn") == [("y", 3)]
+
+
 def test_erasure_reaches_every_version(spark, store, tmp_path):
     schema = cons(spark).schema
     store.merge_batch(cons(spark, ("P", True, 1, None), ("Q", True, 2, None)), CONSENTS, "0", T0)
     store.compact(CONSENTS, schema, "c0", T0)
     store.merge_batch(cons(spark, ("P", False, 3, None), (None, None, 4, None)), CONSENTS, "1", T0)
+    store.merge_batch(cons(spark, ("R", False, 5, None)), CONSENTS, "2", T0)
     asked = spark.createDataFrame([("P", None)], "patient_id string, erased_at timestamp_ntz")
-    assert store.erase(CONSENTS, schema, asked, "e0", T0)
-    assert rows(store.read_log("patient_consents", schema), "patient_id", "lsn") == sorted(
-        [("Q", 2), (None, 4)], key=repr
+    assert store.erase("patient_consents", schema, asked, "e0", T0)
+    assert rows(store.read_log("patient_consents", schema), "patient_id", "lsn", "_load_id") == sorted(
+        [("Q", 2, "e0"), (None, 4, "e0"), ("R", 5, "2")], key=repr
     )
     everything = spark.read.parquet(str(tmp_path / "raw" / "patient_consents"))
     assert everything.filter("patient_id = 'P'").count() == 0
-    assert not store.erase(CONSENTS, schema, asked, "e0", T0)
-    assert store.read_log("patient_consents", schema).count() == 2
+    assert not store.erase("patient_consents", schema, asked, "e1", T0)
+    assert store.read_log("patient_consents", schema).count() == 3
+
+
+def test_erasure_of_the_quarantine(spark, store):
+    bad = spark.createDataFrame(
+        [("patient_consents", "P", ["lsn: type"], 1), ("patient_consents", "Q", ["x"], 2)],
+        "table_name string, entity_id string, reasons array<string>, lsn long",
+    )
+    store.write(bad, "patient_consents_quarantine", "0", T0)
+    asked = spark.createDataFrame([("P",)], "patient_id string")
+    args = ("patient_consents_quarantine", bad.schema, asked, "e0", T0)
+    assert store.erase(*args, key="entity_id")
+    assert rows(store.read_log("patient_consents_quarantine", bad.schema), "entity_id") == [("Q",)]
 
 
 # ---- streams -------------------------------------------------------------------------

@@ -192,3 +192,49 @@ def test_erasure_round(spark, subject_tables):
     assert erasure.violations(back, done).count() == 3
     assert not quality.passes(erasure.violations(back, done))
     assert erasure.replayable(subject_tables["patients"], done).count() == 2
+
+
+def test_inserts_alone_are_appended():
+    from tidelog.sources import feed
+
+    assert feed.disposition(["I"]) == "append"
+    assert feed.disposition(["I", "U", "D"]) == "merge"
+
+
+def test_jdbc_options(spark, monkeypatch):
+    """Split bounds, contract columns and the pinned snapshot reach the reader."""
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def option(self, key, value):
+            seen[key] = value
+            return self
+
+        def options(self, **kw):
+            seen.update(kw)
+            return self
+
+        def load(self):
+            return spark.createDataFrame([], PATIENTS.schema)
+
+    class Session:
+        read = Reader()
+
+    read = snapshot.jdbc_reader(
+        Session(),
+        "jdbc:x",
+        PATIENTS,
+        split_column="row_no",
+        lower=0,
+        upper=100,
+        partitions=4,
+        properties={"user": "u"},
+        snapshot_id="0003-1",
+    )
+    assert read().columns == PATIENTS.columns
+    assert "name" not in seen["dbtable"].replace("s_name", "").split() and "postcode" in seen["dbtable"]
+    assert seen["numPartitions"] == 4 and "0003-1" in seen["sessionInitStatement"]

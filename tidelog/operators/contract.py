@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +60,3 @@ def check_versions(relations: DataFrame, spec: TableSpec) -> None:
     if extra:
         names = ", ".join(r["c"] for r in extra)
         raise SchemaFrozen(f"table {spec.name}: new column(s) {names}")
-
-
-def union_versions(parts: list[DataFrame]) -> DataFrame:
-    """Rows of several relation versions under one schema."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -8,19 +8,6 @@ from pyspark.sql import functions as F
 from tidelog.operators.quality import union_all
 
 
-def check(
-    table: DataFrame, name: str, mutation: str, expected: str, observed: Column, ok: Column
-) -> DataFrame:
-    """One row: an aggregate over the table compared with what was expected of it."""
-    return table.agg(observed.alias("n_observed"), ok.alias("_ok")).select(
-        F.lit(name).alias("table_name"),
-        F.lit(mutation).alias("mutation"),
-        F.lit(expected).alias("expected"),
-        F.col("n_observed").cast("bigint").alias("n_observed"),
-        F.coalesce("_ok", F.lit(False)).alias("ok"),
-    )
-
-
 def propagation(
     table: DataFrame, name: str, after_lsn: int | Column, expected: DataFrame
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions.cells import try_typed
+from tidelog.functions.cells import spark_type, try_typed
 from tidelog.operators import contract, merge, staging, validate
 from tidelog.plans import standins as s
 from tidelog.plans.registry import query
@@ -268,7 +268,7 @@ def typed_cells(spark, d):
     typmods = {1700: ((18 << 16) | 4) + 4}
     typed = cells.select(
         *[
-            try_typed(F.col(f"c{oid}"), wal.layout_type(oid, typmods.get(oid, -1))).alias(f"c{oid}")
+            try_typed(F.col(f"c{oid}"), spark_type(oid, typmods.get(oid, -1))).alias(f"c{oid}")
             for oid in (20, 23, 1114, 1082, 17, 16, 1700, 3802, 25)
         ]
     )

@@ -519,8 +519,15 @@ def stream_resume(spark, d):
                   count(*) n_observed, true ok
            from late where rn = 1 group by m
            union all
-           select 'patient_consents', m, count(*), count(*), true from logged group by m""",
+           select 'patient_consents', m, count(*), count(*), true from logged group by m
+           union all
+           select 'providers', m, count(*), count(*), true from (
+               select case op when 'I' then 'INSERT' when 'D' then 'DELETE' else 'UPDATE' end m,
+                      row_number() over (partition by provider_id order by lsn desc) rn
+               from provider_changes where load_no = 3)
+           where rn = 1 group by m""",
         "consents",
+        "provider_changes",
     ),
 )
 def propagation_report(spark, d):
@@ -539,8 +546,17 @@ def propagation_report(spark, d):
     state = merge.merge_latest(before, batch, ["patient_id"])
     log = merge.event_log_merge(before, batch)
     last = merge.latest_per_key(batch, ["patient_id"])
+    moves = s.with_loads(spark, d, s.provider_changes(spark, d)).select(
+        *PROVIDER_COLUMNS, "op", "load_no"
+    )
+    first = snapshot.snapshot(lambda: s.providers(spark, d), PROVIDERS)
+    earlier = merge.merge_latest(first, moves.filter("load_no < 3").drop("load_no"), PROVIDERS.key)
+    newest = moves.filter("load_no = 3").drop("load_no")
+    current = merge.merge_latest(earlier, newest, PROVIDERS.key)
+    last_moves = merge.latest_per_key(newest, PROVIDERS.key)
     return report.report(
         [
+            report.propagation(current, "providers", mark, expected(last_moves)),
             report.propagation(state, "patient_consents_latest", mark, expected(last)),
             report.propagation(log, "patient_consents", mark, expected(batch)),
         ]

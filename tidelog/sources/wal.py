@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.cells import spark_type, try_typed
+from tidelog.functions.cells import try_typed
 from tidelog.functions.lsn import from_epoch_2000
 from tidelog.operators.ordered import CHUNK, ROWS_PER_CHUNK, dense_chunks
 from tidelog.spec import TableSpec
@@ -252,11 +252,6 @@ def typed_rows(named: DataFrame, spec: TableSpec) -> DataFrame:
     return out.select(*keep, *[c.alias(n) for n, c in cells.items()])
 
 
-def layout_type(oid: int, typmod: int):
-    """Spark type of an announced column."""
-    return spark_type(oid, typmod)
-
-
 def ignored_truncates(messages: DataFrame) -> DataFrame:
     """Truncate messages change nothing; they are counted for the drop report."""
     return (
@@ -267,9 +262,7 @@ def ignored_truncates(messages: DataFrame) -> DataFrame:
     )
 
 
-def relation_versions(
-    changes: DataFrame, layouts: DataFrame
-) -> DataFrame:
+def relation_versions(changes: DataFrame, layouts: DataFrame) -> DataFrame:
     """Each announced table version with its columns and the changes written under it."""
     counted = changes.groupBy("slot", "relation_seq").agg(F.count(F.lit(1)).alias("n_changes"))
     named = layouts.select(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators.erasure import completed, pending, purge
+from tidelog.operators.erasure import SUBJECT, purge
 from tidelog.operators.merge import latest_per_key, new_events
 from tidelog.spec import LATEST, TableSpec
 
@@ -225,32 +225,53 @@ class Store:
         return self._commit(fresh, spec.name, load_id, at, before_commit=before_commit)
 
     def compact(
-        self, spec: TableSpec, schema: T.StructType, load_id: str, at: datetime, ties=()
+        self,
+        spec: TableSpec,
+        schema: T.StructType,
+        load_id: str,
+        at: datetime,
+        ties=(),
+        *,
+        max_rows: int | None = None,
     ) -> bool:
-        """Replace all visible loads by one. Tombstones stay, so late rows keep losing."""
-        old = tuple(sorted(e[LOAD] for e in self.committed(spec.name)))
-        rows = self.read_log(spec.name, schema)
+        """Replace visible loads by one. With ``max_rows`` only loads up to that size are
+        merged, so recent small loads fold together without rewriting the large ones.
+        Tombstones stay, so late rows keep losing."""
+        old = sorted(
+            e[LOAD]
+            for e in self.committed(spec.name)
+            if max_rows is None or e["rows_out"] <= max_rows
+        )
+        rows = self.read_loads(spec.name, schema, old).drop(LOAD)
         if spec.mode == LATEST:
             rows = latest_per_key(rows, spec.key, ties)
         return self.write(
-            rows.drop(LOAD), spec.name, load_id, at, kind="compaction", replaces=old
+            rows, spec.name, load_id, at, kind="compaction", replaces=tuple(old)
         )
 
     def erase(
         self,
-        spec: TableSpec,
+        table: str,
         schema: T.StructType,
         requests: DataFrame,
         load_id: str,
         at: datetime,
+        key: str = SUBJECT,
     ) -> bool:
-        """Rewrite the table without the requested subjects, then empty the folders of
-        every replaced load, older versions included."""
-        asked = pending(requests).unionByName(completed(requests))
-        old = tuple(sorted(e[LOAD] for e in self.committed(spec.name)))
-        rows = purge(self.read_log(spec.name, schema), asked).drop(LOAD)
-        done = self.write(rows, spec.name, load_id, at, kind="erasure", replaces=old)
-        self.clear_replaced(spec.name, schema)
+        """Remove the requested subjects. Only loads that hold rows of theirs are
+        rewritten; then the folders of all replaced loads, older versions included, are
+        emptied. A pass over the key column finds the loads."""
+        log = self.read_log(table, schema)
+        asked = requests.select(F.col(SUBJECT).alias(key)).distinct()
+        hit = log.select(key, LOAD).join(asked, key, "left_semi").select(LOAD).distinct()
+        old = sorted(r[LOAD] for r in hit.collect())  # at most one row per load
+        done = False
+        if old:
+            rows = purge(self.read_loads(table, schema, old), requests, key).drop(LOAD)
+            done = self.write(
+                rows, table, load_id, at, kind="erasure", replaces=tuple(old)
+            )
+        self.clear_replaced(table, schema)
         return done
 
     def clear_replaced(self, table: str, schema: T.StructType) -> None:
