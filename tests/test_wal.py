@@ -65,7 +65,7 @@ def test_all_kinds(spark, size):
         COMMIT,
     )
     changes = wal.decode(m, rows_per_chunk=size)
-    out = wal.typed_rows(wal.named_cells(changes), PROVIDERS)
+    out = wal.typed_rows(changes, PROVIDERS)
     assert rows(out, "seq", "op", "lsn", "provider_id", "name", "specialty") == [
         (2, "I", 102, "p1", "Zoë", None),
         (3, "U", 103, "p1", "Zoe", "GP"),
@@ -97,7 +97,7 @@ def test_layout_of_a_relation(spark):
 
 def test_key_only_delete_gives_null_not_dummies(spark):
     m = messages(spark, BEGIN, LAYOUT, change(b"D", b"K", cells("p1", None, None)))
-    out = wal.typed_rows(wal.named_cells(wal.decode(m)), PROVIDERS)
+    out = wal.typed_rows(wal.decode(m), PROVIDERS)
     assert rows(out, "provider_id", "name", "specialty") == [("p1", None, None)]
 
 
@@ -129,7 +129,7 @@ def test_new_layout_applies_from_its_position_on(spark):
 def test_bad_messages_fail(spark, payload, error):
     m = messages(spark, BEGIN, LAYOUT, payload)
     with pytest.raises(Exception, match=error):
-        wal.typed_rows(wal.named_cells(wal.decode(m)), PROVIDERS).collect()
+        wal.typed_rows(wal.decode(m), PROVIDERS).collect()
 
 
 def test_types_by_number():

@@ -217,7 +217,7 @@ def landed_messages(spark: SparkSession, d: str) -> DataFrame:
 )
 def decode_wal_messages(spark, d):
     messages = landed_messages(spark, d)
-    return wal.typed_rows(wal.named_cells(wal.decode(messages)), CONSENTS).drop("slot", "seq")
+    return wal.typed_rows(wal.decode(messages), CONSENTS).drop("slot", "seq")
 
 
 @query(

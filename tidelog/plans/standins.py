@@ -190,10 +190,6 @@ def _cell(value: Column) -> Column:
     return F.when(value.isNull(), _b("n")).otherwise(sent)
 
 
-def _tuple(values: list[Column]) -> Column:
-    return F.concat(_i(F.lit(len(values)), 2), *[_cell(v) for v in values])
-
-
 def _layout(columns: list[tuple[str, int, bool]]) -> Column:
     zero = F.unhex(F.lit("00"))
     parts = [
@@ -223,16 +219,24 @@ def wal_messages(spark: SparkSession, d: str) -> DataFrame:
     """The consent feed as replication messages of one slot: ``slot, seq, lsn, payload``.
 
     Transactions wrap seven events; the table gets one more column from load 2 on."""
-    feed = with_loads(spark, d, consents(spark, d))
-    event = F.col("lsn") - 1
     flags = ["consent_research", "consent_marketing", "consent_partner_share"]
-    words = [F.when(F.col(c), "t").when(~F.col(c), "f") for c in flags]
-    key_only = [F.col("patient_id"), *[null_of("string") for _ in flags]]
+    words = {c: F.when(F.col(c), "t").when(~F.col(c), "f") for c in flags}
     wide = F.col("load_no") >= 2
-    new = F.when(
-        wide, _tuple([F.col("patient_id"), *words, F.lit("web")])
-    ).otherwise(_tuple([F.col("patient_id"), *words]))
-    old = F.when(wide, _tuple([*key_only, null_of("string")])).otherwise(_tuple(key_only))
+    # Built in steps, so that each step's columns are computed once.
+    feed = (
+        with_loads(spark, d, consents(spark, d))
+        .withColumns(words)
+        .withColumns({f"_{c}": _cell(F.col(c)) for c in ["patient_id", *flags]})
+        .withColumn("_extra", F.when(wide, 1).otherwise(0))
+    )
+    event = F.col("lsn") - 1
+    count = _i(F.col("_extra") + 4, 2)
+    nulls = F.when(wide, _b("nnnn")).otherwise(_b("nnn"))
+    channel = F.when(wide, _cell(F.lit("web"))).otherwise(F.unhex(F.lit("")))
+    new = F.concat(count, *[F.col(f"_{c}") for c in ["patient_id", *flags]], channel)
+    old = F.concat(count, F.col("_patient_id"), nulls)
+    feed = feed.withColumns({"_new": new, "_old": old})
+    new, old = F.col("_new"), F.col("_old")
     head = F.concat(F.encode("op", "UTF-8"), _i(F.lit(RELATION_ID), 4))
     with_old = (F.col("op") == "U") & (event % 5 == 0)
     payload = (

@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+from tidelog.sources import wal
+
 # Settings the operators rely on; all can be changed on a running session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,6 +29,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; partition counts and memory stay the cluster's own."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # The batch function of the message decoder travels with the job, so the executors'
+    # Python needs numpy and pyarrow but not this package.
+    cloudpickle.register_pickle_by_value(wal)
     return spark
 
 
@@ -42,7 +48,7 @@ def local_session(cores: int | str = "*", app: str = "tidelog") -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return configure(spark)
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

@@ -1,13 +1,19 @@
 """Decoding of logical replication messages into a change feed.
 
 Input rows: ``slot, seq, lsn, payload`` with the message bytes; ``seq`` numbers the
-messages of a slot. Bytes are read by Spark expressions, so the work is spread over all
-rows. What depends on earlier messages, namely the table layout and the transaction's
-commit time, is carried forward along ``seq`` in chunks; no task sees a whole slot.
+messages of a slot. Heads and layouts are read by Spark expressions, tuples in Arrow
+batches, so the work is spread over all rows. What depends on earlier messages, namely the
+table layout and the transaction's commit time, is carried forward along ``seq`` in chunks;
+no task sees a whole slot.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,23 +29,8 @@ CHANGES = (INSERT, UPDATE, DELETE)
 KNOWN = (BEGIN, COMMIT, RELATION, *CHANGES, TRUNCATE)
 # Cell kinds of a tuple.
 NULL_CELL, UNSENT_CELL, TEXT_CELL = "n", "u", "t"
-
-# A tuple starts with a 16-bit cell count. Every cell is one kind byte and, for text, a
-# 32-bit length and the bytes. The fold keeps the next byte position and the cells so far.
-_TUPLE = """
-aggregate(
-  sequence(1, {n}),
-  named_struct('at', {start} + 2, 'cells', cast(array() as array<struct<kind:string,val:string>>)),
-  (acc, i) -> named_struct(
-    'at', acc.at + if(substring({p}, acc.at, 1) = X'74',
-        5 + cast(conv(hex(substring({p}, acc.at + 1, 4)), 16, 10) as int), 1),
-    'cells', array_append(acc.cells, named_struct(
-        'kind', cast(substring({p}, acc.at, 1) as string),
-        'val', if(substring({p}, acc.at, 1) = X'74',
-            cast(substring({p}, acc.at + 5,
-                cast(conv(hex(substring({p}, acc.at + 1, 4)), 16, 10) as int)) as string), null))))
-)
-"""
+# Tags of an old tuple (key only, or the whole old row).
+OLD_TAGS = ("K", "O")
 
 # A table layout lists, per column, a flag byte, a zero-terminated name, a 32-bit type
 # number and a 32-bit type modifier.
@@ -71,17 +62,20 @@ def _int64(start: str) -> Column:
     return F.expr(f"cast(conv(hex(substring(payload, {start}, 8)), 16, -10) as bigint)")
 
 
-def _cells(start: str) -> Column:
-    n = f"cast(conv(hex(substring(payload, {start}, 2)), 16, 10) as int)"
-    fold = F.expr(_TUPLE.format(p="payload", start=start, n=n))
-    return F.when(F.expr(f"{n} > 0"), fold)
-
-
 def with_kind(messages: DataFrame) -> DataFrame:
-    """Add ``kind``; a byte outside the protocol fails the job."""
+    """Add ``kind``; a byte outside the protocol, or a DELETE without an old tuple, fails
+    the job."""
     kind = F.expr("cast(substring(payload, 1, 1) as string)")
-    message = F.concat(F.lit("unknown replication message "), F.hex(F.expr("substring(payload, 1, 1)")))
-    checked = F.when(kind.isin(*KNOWN), kind).otherwise(F.raise_error(message).cast("string"))
+    tag = F.expr("cast(substring(payload, 6, 1) as string)")
+    unknown = F.concat(
+        F.lit("unknown replication message "), F.hex(F.expr("substring(payload, 1, 1)"))
+    )
+    no_old = F.lit("DELETE message without an old tuple")
+    checked = (
+        F.when(~kind.isin(*KNOWN), F.raise_error(unknown).cast("string"))
+        .when((kind == DELETE) & ~tag.isin(*OLD_TAGS), F.raise_error(no_old).cast("string"))
+        .otherwise(kind)
+    )
     return messages.withColumn("kind", checked)
 
 
@@ -109,38 +103,130 @@ def relations(messages: DataFrame) -> DataFrame:
     )
 
 
-def parse(messages: DataFrame) -> DataFrame:
-    """Changes and transaction starts: kind, table number, commit time, old and new cells."""
+def heads(messages: DataFrame) -> DataFrame:
+    """Changes and transaction starts without their cells: kind, table number, commit time."""
     m = with_kind(messages).filter(F.col("kind").isin(BEGIN, *CHANGES))
-    is_change = F.col("kind").isin(*CHANGES)
-    tag = F.expr("cast(substring(payload, 6, 1) as string)")
-    first = F.when(is_change, _cells("7"))
-    m = m.withColumn("_tag", F.when(is_change, tag)).withColumn("_first", first)
-    has_old = (F.col("kind") == UPDATE) & F.col("_tag").isin("K", "O")
-    second = F.when(has_old, _cells("(_first.at + 1)"))
-    bad_delete = (F.col("kind") == DELETE) & ~F.col("_tag").isin("K", "O")
-    failed = F.raise_error(F.lit("DELETE message without an old tuple"))
-    new_cells = (
-        F.when(bad_delete, failed.cast("array<struct<kind:string,val:string>>"))
-        .when(has_old, second["cells"])
-        .otherwise(F.col("_first.cells"))
-    )
-    old_cells = F.when(
-        has_old | (F.col("kind") == DELETE), F.col("_first.cells")
-    )
-    commit = F.when(F.col("kind") == BEGIN, from_epoch_2000(_int64("10")))
+    begin = F.col("kind") == BEGIN
     return m.select(
         "slot",
         "seq",
         "lsn",
         "kind",
-        F.when(is_change, _uint("2", 4)).alias("relation_id"),
-        commit.alias("_begin_ts"),
-        old_cells.alias("old_cells"),
-        new_cells.alias("cells"),
+        F.when(~begin, _uint("2", 4)).alias("relation_id"),
+        F.when(begin, from_epoch_2000(_int64("10"))).alias("_begin_ts"),
+        "payload",
     )
 
 
+HEAD = "slot string, seq long, lsn long, kind string, relation_id long, _begin_ts timestamp_ntz"
+CELLS = "array<struct<kind: string, val: string>>"
+
+
+def parse(messages: DataFrame) -> DataFrame:
+    """``heads`` with ``old_cells`` and ``cells``. Tuples are split a batch at a time, one
+    array operation per cell position, not row by row."""
+    schema = f"{HEAD}, old_cells {CELLS}, cells {CELLS}"
+    return heads(messages).mapInArrow(split_batches, schema)
+
+
+def split_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        old, new = split_payloads(batch.column("payload"))
+        kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "payload"]
+        names = [n for n in batch.schema.names if n != "payload"]
+        yield pa.RecordBatch.from_arrays([*kept, old, new], [*names, "old_cells", "cells"])
+
+
+def split_payloads(payloads: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Old and new cells of a column of messages (NULL where there are none)."""
+    wide = payloads.cast(pa.large_binary())
+    _, offsets, body = wide.buffers()
+    if len(wide) == 0 or body is None:
+        empty = pa.nulls(len(wide), CELL_LIST)
+        return empty, empty
+    data = np.frombuffer(body, np.uint8)
+    starts = np.frombuffer(offsets, np.int64)[wide.offset : wide.offset + len(wide)]
+    kind = data[starts]
+    changes = np.isin(kind, [ord(k) for k in CHANGES]).nonzero()[0]
+    tag = data[starts[changes] + 5]
+    old_first = np.isin(tag, [ord(t) for t in OLD_TAGS])
+    first = _Tuples(data, starts[changes] + 6)
+    # An UPDATE with an old tuple is followed by one more tag byte and the new tuple.
+    both = old_first & (kind[changes] == ord(UPDATE))
+    second = _Tuples(data, first.end[both] + 1)
+    old = first.lists(len(wide), changes, old_first)
+    plain = first.lists(len(wide), changes, ~both)
+    after = second.lists(len(wide), changes[both], np.ones(both.sum(), bool))
+    has_after = np.zeros(len(wide), bool)
+    has_after[changes[both]] = True
+    return old, pc.if_else(pa.array(has_after), after, plain)
+
+
+CELL = pa.struct([("kind", pa.string()), ("val", pa.string())])
+CELL_LIST = pa.list_(CELL)
+
+
+class _Tuples:
+    """Cells of the tuples that start at the given byte positions.
+
+    A tuple is a 16-bit cell count, then per cell a kind byte and, for text, a 32-bit length
+    and the bytes; numbers are big-endian."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        self.data = data
+        self.count = data[at].astype(np.int64) << 8 | data[at + 1]
+        shape = (len(at), int(self.count.max(initial=0)))
+        self.kind = np.zeros(shape, np.uint8)
+        self.start = np.zeros(shape, np.int64)
+        self.size = np.zeros(shape, np.int64)
+        pos = at + 2
+        for j in range(shape[1]):
+            live = (self.count > j).nonzero()[0]
+            kind = data[pos[live]]
+            text = live[kind == ord(TEXT_CELL)]
+            p = pos[text]
+            size = sum(data[p + 1 + b].astype(np.int64) << (24 - 8 * b) for b in range(4))
+            self.kind[live, j] = kind
+            self.start[text, j] = p + 5
+            self.size[text, j] = size
+            pos[live] += 1
+            pos[text] += 4 + size
+        self.end = pos
+
+    def lists(self, n: int, rows: np.ndarray, chosen: np.ndarray) -> pa.Array:
+        """A list column of length ``n``: the chosen tuples at their rows, NULL elsewhere."""
+        count = np.zeros(n, np.int64)
+        count[rows[chosen]] = self.count[chosen]
+        present = np.zeros(n, bool)
+        present[rows[chosen]] = True
+        used = np.arange(self.kind.shape[1]) < self.count[chosen, None]
+        kind = self.kind[chosen][used]
+        start, size = self.start[chosen][used], self.size[chosen][used]
+        cells = pa.StructArray.from_arrays(
+            [self._kinds(kind), self._texts(kind, start, size)], fields=list(CELL)
+        )
+        offsets = np.concatenate([[0], count.cumsum()]).astype(np.int32)
+        return pa.ListArray.from_arrays(
+            pa.array(offsets), cells, type=CELL_LIST, mask=pa.array(~present)
+        )
+
+    @staticmethod
+    def _kinds(kind: np.ndarray) -> pa.Array:
+        ends = np.arange(len(kind) + 1, dtype=np.int32)
+        return pa.StringArray.from_buffers(len(kind), pa.py_buffer(ends), pa.py_buffer(kind.tobytes()))
+
+    def _texts(self, kind: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+        ends = np.concatenate([[0], size.cumsum()])
+        source = np.repeat(start - ends[:-1], size) + np.arange(ends[-1])
+        valid = np.packbits(kind == ord(TEXT_CELL), bitorder="little")
+        return pa.StringArray.from_buffers(
+            len(kind),
+            pa.py_buffer(ends.astype(np.int32)),
+            pa.py_buffer(self.data[source].tobytes()),
+            pa.py_buffer(valid.tobytes()),
+        )
+
+
 def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Change rows ``slot, seq, lsn, op, relation_id, relation, relation_seq, commit_ts,
     deleted_ts, columns, cells, old_cells``.
@@ -164,8 +250,8 @@ def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> Data
         "seq",
         rows_per_chunk,
     )
-    # Per chunk: the relations that occur and the last transaction start.
-    spine = parsed.groupBy("slot", "relation_id", CHUNK).agg(
+    # Per chunk: the relations that occur and the last transaction start (no cells needed).
+    spine = dense_chunks(heads(messages), "seq", rows_per_chunk).groupBy("slot", "relation_id", CHUNK).agg(
         F.max_by("_begin_ts", F.when(F.col("_begin_ts").isNotNull(), F.col("seq"))).alias(
             "_begin_ts"
         )
@@ -238,13 +324,13 @@ def named_cells(changes: DataFrame) -> DataFrame:
     return changes.withColumn("row", F.map_from_arrays("columns", "cells"))
 
 
-def typed_rows(named: DataFrame, spec: TableSpec) -> DataFrame:
+def typed_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """Contract columns of one table. A value that was not sent fails the job; a NULL of a
     delete stays NULL."""
-    out = named.filter(F.col("relation") == spec.name)
+    out = changes.filter(F.col("relation") == spec.name)
     cells = {}
     for f in spec.schema.fields:
-        cell = F.col("row")[f.name]
+        cell = F.get("cells", F.array_position("columns", F.lit(f.name)).cast("int") - 1)
         unsent = F.raise_error(F.lit(f"unchanged value not sent for column {f.name}"))
         text = F.when(cell["kind"] == UNSENT_CELL, unsent.cast("string")).otherwise(cell["val"])
         cells[f.name] = try_typed(text, f.dataType)
