@@ -84,6 +84,18 @@ def test_uncommitted_load_is_invisible_and_overwritten(spark, store):
     assert store.ledger("patient_consents").first()["rows_out"] == 0
 
 
+def test_batch_without_rows_is_committed(spark, store, tmp_path):
+    """Rows vanish at run time only; the load still gets its entry, with zero rows."""
+    path = str(tmp_path / "landed")
+    cons(spark, *feed_rows(5)).write.parquet(path)
+    none = spark.read.parquet(path).filter("lsn < 0")
+    assert store.merge_batch(none, CONSENTS, "0", T0)
+    empty = spark.read.schema(SCHEMA).parquet(path).filter("lsn < 0")
+    assert store.merge_batch(empty, PROVIDERS, "0", T0)
+    entry = store.ledger("patient_consents").first()
+    assert (entry["rows_out"], entry["min_lsn"]) == (0, None)
+
+
 def test_new_load_guard(spark, store):
     batch = cons(spark, ("P", True, 1, None))
     assert store.new_load("patient_consents", set()) == ""
