@@ -90,7 +90,6 @@ added as (select *,
     len(regexp_extract_all(replace(replace(role, '\', '\\'), chr(10), '\n'), '<\\*\|'))
 '), '<\*\|'))
       + len(replace(replace(role, '\', '\\'), chr(10), '\n')) - len(role) as more_role
-')) - len(role) as more_role
   from turns)
 select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
