@@ -88,7 +88,6 @@ with turns as (
 added as (select *,
     len(regexp_extract_all(text, '<\\*\|')) as more,
     len(regexp_extract_all(replace(replace(role, '\', '\\'), chr(10), '\n'), '<\\*\|'))
-'), '<\*\|'))
       + len(replace(replace(role, '\', '\\'), chr(10), '\n')) - len(role) as more_role
   from turns)
 select conv_id, count(*) as n_turns,
