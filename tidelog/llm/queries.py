@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, mixing, secrets, urls
+from tidelog.llm import chat, extract, mixing, secrets, urls, warc
 from tidelog.llm.registry import query, table
 from tidelog.session import run_dir
 
@@ -76,6 +76,36 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(5, 2, 1), share=1.5, epochs=2)
 
 
+# ---- 5 WARC ----
+
+_OP5_SQL = """
+with own as (select page_id, coalesce(html, '') as html, min(page_id) over (partition by coalesce(html, '')) as first_id from pages)
+select page_id, octet_length(encode(html))::bigint as payload_bytes,
+  (with bits as (select lpad(bin(('0x' || substr(sha1(html), 1 + 10 * g, 10))::bigint), 40, '0') as b, g from range(4) t(g))
+   select string_agg((select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+     list_reduce([substr(b, 5 * i + j, 1)::int for j in range(1, 6)], lambda x, y: 2 * x + y), 1), '' order by i)
+     from range(8) r(i)), '' order by g) from bits) as payload_digest,
+  case when page_id is distinct from first_id then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from first_id then first_id end as refers_to
+from own"""
+
+
+@query("op5_warc_archive", _OP5_SQL)
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record per page written, and what the archives say when read back."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# ---- 6 HTML extraction ----
+
+
+@query("op6_html_extract")
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 # ---- 9 chat formatting ----
 
 #: A conversation of control strings, formatted with the others.
