@@ -2,7 +2,7 @@
 
 Markup is stripped into lines, one per block element. Lines inside menus, forms, adverts
 and the like are known by element, role or class and carry no text. Over what is left, a
-sliding window sums text lengths (link text counts nothing): where the sum surges, the main
+sliding window sums text lengths (link text outside an article counts nothing): where the sum surges, the main
 text begins, where it dives, it ends, and the lines between are kept.
 """
 
@@ -59,6 +59,7 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[a-z]+", re.I)
+_SOUND = re.compile(r"[^\W_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -82,29 +83,30 @@ def is_away(name: str, rest: str, in_article: bool) -> bool:
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
-    """(text, characters outside links) of each line of the page, boilerplate left out."""
+    """(text, letters and digits that count) of each line, boilerplate left out. Link text
+    counts only inside an article, where it is part of the text."""
     out: list[tuple[str, int]] = []
     text: list[str] = []
-    linked = 0
+    own: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # element, no main text, an article's
     away = article = False
     in_link = False
 
     def close():
-        nonlocal linked
         if text:
             line = " ".join(html.unescape("".join(text)).split())
             if line:
-                out.append((line, max(0, len(line) - linked)))
+                out.append((line, len("".join(_SOUND.findall(html.unescape(" ".join(own)))))))
             text.clear()
-        linked = 0
+            own.clear()
 
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at and not away:
             piece = page[at : m.start()]
             text.append(piece)
-            linked += len(piece) if in_link else 0
+            if not in_link or article:
+                own.append(piece)
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
@@ -128,10 +130,10 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                     stack.pop()
             if name == "li" and stack and stack[-1][0] == "li":
                 stack.pop()
-            article = bool(stack) and stack[-1][2]
+            inside = bool(stack) and stack[-1][2]
             above = bool(stack) and stack[-1][1]
-            mine = above or is_away(name, m["rest"], article)
-            stack.append((name, mine, article or name in ("article", "main")))
+            mine = above or is_away(name, m["rest"], inside)
+            stack.append((name, mine, inside or name in ("article", "main")))
         else:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
@@ -140,8 +142,10 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                 if name in ("p", "span", "button") and stack[depth][0] in CONTAINERS:
                     break
         away = bool(stack) and stack[-1][1]
+        article = bool(stack) and stack[-1][2]
     if at < len(page) and not away:
         text.append(page[at:])
+        own.append(page[at:])
     close()
     return out
 
