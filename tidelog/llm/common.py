@@ -53,24 +53,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
+def _powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, by doubling."""
-    out = np.ones(max(n, 1), np.uint64)
-    done = 1
-    step = base
+    out = np.ones(n, np.uint64)
+    done, step = 1, base
     while done < n:
         take = min(done, n - done)
         out[done : done + take] = out[:take] * step
         step = step * step
         done += take
-    return out[:n]
+    return out
+
+
+#: Bytes hashed at a time; a longer text is cut at white space, so memory stays bounded.
+PIECE = 1 << 20
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    size = max(1024, 1 << (n - 1).bit_length())
+    if size not in _POWERS:
+        with np.errstate(over="ignore"):
+            _POWERS[size] = _powers(_STEP, size), _powers(_STEP_INV, size)
+    return _POWERS[size]
+
+
+def is_space(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
 
 
 def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each run of bytes that are no ASCII white space."""
-    inside = np.ones(len(data) + 2, bool)
-    inside[1:-1] = (data == 32) | ((data >= 9) & (data <= 13))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    outside = np.ones(len(data) + 2, bool)
+    outside[1:-1] = is_space(data)
+    edges = np.flatnonzero(outside[1:] != outside[:-1])
     return edges[0::2], edges[1::2]
 
 
@@ -80,15 +96,21 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     The sum at byte i holds value(b_j) * STEP**j over j < i; a word's difference is shifted
     back to exponent 0, so a word has the same hash wherever it stands.
     """
-    n = len(data)
-    if n == 0 or len(starts) == 0:
-        return np.zeros(0, np.uint64)
+    out = np.empty(len(starts), np.uint64)
+    done = 0
     with np.errstate(over="ignore"):
-        run = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * powers(_STEP, n), out=run[1:])
-        back = powers(_STEP_INV, n)
-        own = (run[ends] - run[starts]) * back[starts]
-        return mix(own + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        while done < len(starts):
+            base = starts[done]
+            upto = max(done + 1, int(np.searchsorted(ends, base + PIECE, "right")))
+            a, b = starts[done:upto] - base, ends[done:upto] - base
+            n = int(b[-1])
+            up, back = _tables(n)
+            run = np.zeros(n + 1, np.uint64)
+            np.cumsum(_BYTE[data[base : base + n]] * up[:n], out=run[1:])
+            own = (run[b] - run[a]) * back[a]
+            out[done:upto] = mix(own + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            done = upto
+    return out
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -106,3 +128,31 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z to a-z on bytes; multi-byte characters have no such bytes."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+
+
+def slices(texts: list, limit: int = 2 << 20):
+    """(first, past last) of runs of texts with up to ``limit`` characters each, or one text."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > first and size + n > limit:
+            yield first, i
+            first, size = i, 0
+        size += n
+    if first < len(texts):
+        yield first, len(texts)
+
+
+class Words:
+    """Words of several texts, hashed together. Words of text i are at[i] .. at[i + 1]."""
+
+    def __init__(self, texts: list[str], change=None):
+        parts = [(t or "").encode() for t in texts]
+        joined = np.frombuffer(b"\n".join(parts), np.uint8)
+        sizes = np.array([len(p) + 1 for p in parts], np.int64)
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])  # of each text in the joined bytes
+        self.raw = joined
+        self.data = change(joined) if change else joined
+        self.starts, self.ends = word_bounds(self.data)
+        self.hashes = word_hashes(self.data, self.starts, self.ends)
+        self.at = np.searchsorted(self.starts, self.begin)

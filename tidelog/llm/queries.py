@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, extract, mixing, secrets, urls, warc
+from tidelog.llm import chat, extract, mixing, quality, secret_scan, urls, warc
 from tidelog.llm.registry import query, table
 from tidelog.session import run_dir
 
@@ -21,9 +21,9 @@ def _joined(spans: F.Column) -> F.Column:
 @query("op1_secret_scan")
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets per document, each blob scanned once."""
-    ledger = secrets.BlobLedger(spark, run_dir(spark, "blobs"))
-    found = secrets.scan_documents(table(spark, sf_dir, "documents"), ledger)
-    kinds = [r.kind for r in secrets.BASE_RULES]
+    ledger = secret_scan.BlobLedger(spark, run_dir(spark, "blobs"))
+    found = secret_scan.scan_documents(table(spark, sf_dir, "documents"), ledger)
+    kinds = [r.kind for r in secret_scan.BASE_RULES]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
     count = lambda k: F.coalesce(
         F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long"), F.lit(0).cast("long")
@@ -106,6 +106,15 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+# ---- 7 quality rules ----
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, rules and the outlier verdict per document."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 # ---- 9 chat formatting ----
 
 #: A conversation of control strings, formatted with the others.
