@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, extract, mixing, quality, secret_scan, urls, warc
+from tidelog.llm import chat, decontam, extract, mixing, quality, secret_scan, urls, warc
 from tidelog.llm.registry import query, table
 from tidelog.session import run_dir
 
@@ -115,6 +115,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+# ---- 8 benchmark decontamination ----
+
+
+@query("op8_benchmark_leaks")
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, item) of which the document holds the item's question and answer."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # ---- 9 chat formatting ----
 
 #: A conversation of control strings, formatted with the others.
