@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import Words, lower_ascii, slices, text_of, window_hashes
+from tidelog.llm.common import Words, slices, text_of, window_hashes
 
 #: Words of an index entry at most; a passage has twice as many and moves on by as many.
 ENTRY = 48
@@ -45,8 +45,8 @@ _PUNCT[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
 
 def normal(data: np.ndarray) -> np.ndarray:
-    """A-Z to a-z, ASCII punctuation to blanks."""
-    return np.where(_PUNCT[data], np.uint8(32), lower_ascii(data))
+    """ASCII punctuation to blanks; case is folded before, in all alphabets."""
+    return np.where(_PUNCT[data], np.uint8(32), data)
 
 
 def question_answer(text: str) -> tuple[str, str]:
@@ -75,7 +75,7 @@ def share(words: np.ndarray, wanted: np.ndarray, n: int) -> float:
 def items_of(item_id: int, text: str) -> tuple:
     """Entries, and the 5-grams of question, answer and whole item."""
     q, a = question_answer(text)
-    w = Words([text, q, a], normal)
+    w = Words([text.lower(), q.lower(), a.lower()], normal)
     whole, question, answer = (w.hashes[w.at[i] : w.at[i + 1]] for i in range(3))
     parts = max(1, math.ceil(len(whole) / ENTRY))
     entries = [e for e in np.array_split(whole, parts) if len(e)]
@@ -229,7 +229,7 @@ class Index:
 
     def matches(self, texts: list[str]) -> Iterator[tuple[int, int, float, float, float]]:
         """(text, item_id, score, question share, answer share) of each verified pair."""
-        w = Words(texts, normal)
+        w = Words([t.lower() for t in texts], normal)
         if not len(self.vocabulary):
             return
         sizes = np.diff(w.at)

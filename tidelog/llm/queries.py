@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, decontam, extract, mixing, quality, secret_scan, urls, warc
+from tidelog.llm import chat, decontam, extract, mixing, neardup, quality, secret_scan, urls, warc
 from tidelog.llm.registry import query, table
 from tidelog.session import run_dir
 
@@ -76,6 +76,33 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(5, 2, 1), share=1.5, epochs=2)
 
 
+# ---- 3 near duplicates ----
+
+_OP3_SQL = r"""
+with recursive own as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then []
+    when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) end as s from own),
+items as (select doc_id, len(s) as n, unnest(s) as x from sets),
+shared as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as common
+  from items a join items b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from shared where 100 * common >= 85 * (na + nb - common)),
+edges as (select a, b from links union all select b, a from links),
+reach(v, c) as (select doc_id, doc_id from sets union select e.b, r.c from reach r join edges e on e.a = r.v where r.c < e.b),
+low as (select v, min(c) as c from reach group by v)
+select s.doc_id, len(s.s)::bigint as n_shingles, low.c as component_id, s.doc_id = low.c as kept
+from sets s join low on low.v = s.doc_id"""
+
+
+@query("op3_near_duplicates", _OP3_SQL)
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates per document."""
+    return neardup.link(table(spark, sf_dir, "documents"))
+
+
 # ---- 5 WARC ----
 
 _OP5_SQL = """
