@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, decontam, extract, mixing, neardup, quality, secret_scan, urls, warc
+from tidelog.llm import chat, decontam, extract, mixing, neardup, quality, secret_scan, substring, urls, warc
 from tidelog.llm.registry import query, table
 from tidelog.session import run_dir
 
@@ -103,6 +103,29 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"))
 
 
+# ---- 4 substrings ----
+
+_OP4_SQL = r"""
+with own as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+wins as (select doc_id, i, array_to_string(w[i:i + 12], ' ') as x
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from own where len(w) >= 13)),
+least as (select x, min(doc_id) as owner from wins group by x),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as p
+  from wins join least using (x) where owner < doc_id),
+per as (select doc_id, list(p) as ps from gone group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(len(ps), 0)::bigint as n_removed,
+  sha256(array_to_string(case when ps is null then w
+    else list_filter(w, lambda x, i: not list_contains(ps, i)) end, ' ')) as kept_sha256
+from own left join per using (doc_id)"""
+
+
+@query("op4_substring_dedup", _OP4_SQL)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left per document after repeated windows are taken out."""
+    out = substring.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 # ---- 5 WARC ----
 
 _OP5_SQL = """
