@@ -176,11 +176,17 @@ def scan_documents(docs: DataFrame, ledger: BlobLedger, key: str = "doc_id") ->
     return ledger.by_path(docs, key)
 
 
-def redact(text: str, spans: list) -> str:
-    """The text with each span replaced by its kind; overlapping spans become one."""
-    out, at = [], 0
-    for s in spans:
-        if s["start"] >= at:
-            out += [text[at : s["start"]], f"[{s['kind']}]"]
-        at = max(at, s["stop"])
-    return "".join([*out, text[at:]])
+def redacted(text: str, spans: str) -> F.Column:
+    """The text with each span replaced by its kind in brackets; overlapping spans become
+    the first one's. Positions are code points, as in Spark's strings."""
+    body = F.col(text)
+    cut = lambda a, n: F.substr(body, a + 1, n)
+    step = lambda acc, s: F.when(
+        s["start"] >= acc["at"],
+        F.struct(
+            F.concat(acc["out"], cut(acc["at"], s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]")).alias("out"),
+            s["stop"].alias("at"),
+        ),
+    ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["stop"]).alias("at")))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    return F.aggregate(F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substr(body, acc["at"] + 1)))
