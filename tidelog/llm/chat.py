@@ -138,7 +138,7 @@ def _format_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         table = pa.Table.from_batches([batch])
         if held is not None:
             same = table.column("conv_id")[0] == held.column("conv_id")[-1]
-            part = part if same else 0
+            part = part if same or not flushed else 0
             table = pa.concat_tables([held.filter(pa.array([not flushed] * held.num_rows)), table])
         ids = table.column("conv_id").to_pylist()
         last = len(ids) - 1

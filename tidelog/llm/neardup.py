@@ -5,10 +5,13 @@ Of each class, SAMPLES MinHash values are taken: in bands they name buckets in w
 classes meet, and folded into a parity bitmap (an odd sketch) they tell, by the number of
 bits in which two sketches differ, how similar two classes are.
 
-Classes of a bucket aren't all paired. Each meets its bucket's leader; sketches drop the
-unlike, full sets confirm a link, and components follow. Only what is still apart in a
-bucket then meets the rest of it. A link inside a component changes no component, so
-nothing is lost.
+Classes of a bucket aren't all paired. Each meets its bucket's leader, the class that shares
+most buckets with most others; sketches drop the unlike, full sets confirm a link, and
+components follow. What then is still apart in a bucket is compared by differences from the
+leader's set: a class that isn't linked with the leader can only be linked with another of
+the bucket if a certain number of differences is the same in both, so it is enough to join
+prefixes of their sorted differences (see ``_differences``). A link inside a component
+changes no component, so nothing is lost, and no bucket is paired with itself.
 """
 
 from __future__ import annotations
@@ -131,12 +134,58 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).take(pa.array(keep))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (a, b) that are linked by their full sets. ``texts``: (doc_id, text)."""
+DIFFERENCE = "leader long, v long, c long, element long, unlinked boolean, short boolean"
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What of a class (a) differs from its bucket's leader (b), as far as it is needed.
+
+    Let a class x lack p of the leader's n shingles and have q others. Two classes x and y
+    of a leader share n - p_x - p_y + s shingles, s being the number of differences that are
+    the same in both. With r = LINK / (100 + LINK), they are linked if that reaches
+    r * (|x| + |y|), so if
+
+        s >= t(x) + u(y),  t(x) = p_x - n + r * (|x| + n),  u(y) = (1 - r) * p_y + r * q_y
+
+    and t(x) > 0 just if x isn't linked with the leader. So one of two classes that are
+    linked but not through the leader has s >= t(x) > 0 and the other s > u(y). If both
+    lists of differences are sorted alike, those prefixes that leave out less than that many
+    share an element. The added shingles come first: they are rare.
+    """
+    r = LINK / (100 + LINK)
+    for batch in batches:
+        left, right = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
+        for i, (x, lead) in enumerate(zip(left, right, strict=True)):
+            own, lead = shingle_sets([x, lead])
+            added, lacked = np.setdiff1d(own, lead, True), np.setdiff1d(lead, own, True)
+            p, q, n = len(lacked), len(added), len(lead)
+            # A small allowance for rounding only makes the prefixes longer.
+            t = p - n + r * (len(own) + n) - 1e-6
+            u = (1 - r) * p + r * q - 1e-6
+            unlinked = 100 * (n - p) < LINK * (n + q)
+            elements = np.concatenate([added, mix(lacked + np.uint64(1))]).view(np.int64)
+            x_length = p + q - max(1, int(np.ceil(t))) + 1 if unlinked else 0
+            y_length = max(0, p + q - (int(np.floor(u)) + 1) + 1)
+            size = max(x_length, y_length)
+            at = np.arange(size)
+            same = lambda name, k=i, m=size: pa.array([batch.column(name)[k].as_py()] * m, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [same("b"), same("a"), same("c"), pa.array(elements[:size]),
+                 pa.array(at < x_length), pa.array(at < y_length)],
+                ["leader", "v", "c", "element", "unlinked", "short"],
+            )
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    full = pairs.select("a", "b").join(first, "a").join(second, "b")
-    return landed(full.select("a", "b", "ta", "tb").mapInArrow(_linked, "a long, b long"), "links")
+    return pairs.join(first, "a").join(second, "b")
+
+
+def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those pairs (a, b) that are linked by their full sets. ``texts``: (doc_id, text)."""
+    full = _with_texts(pairs.select("a", "b"), texts).select("a", "b", "ta", "tb")
+    return landed(full.mapInArrow(_linked, "a long, b long"), "links")
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -163,60 +212,51 @@ def link(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     classes = landed(classes, "classes")
     rows = classes.select("v", "sketch", F.explode("bands").alias("bucket"))
 
-    # Every class with its bucket's leader; leaders differ from band to band.
-    order = F.struct(F.xxhash64("v", "bucket").alias("o"), "v", "sketch")
-    leaders = rows.groupBy("bucket").agg(F.min(order).alias("l"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    leaders = leaders.filter("lo <> hi").select("bucket", F.col("l.v").alias("lv"), F.col("l.sketch").alias("ls"))
-    star = rows.join(leaders, "bucket").filter("v <> lv").withColumn("apart", _apart("sketch", "ls"))
-    star = star.filter(F.col("apart") <= FAR)
-    pairs = star.groupBy(F.least("v", "lv").alias("a"), F.greatest("v", "lv").alias("b")).agg(
-        F.min("apart").alias("apart")
-    )
+    # Buckets of several classes, and each class with its bucket's leader.
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    rows = landed(rows.join(sizes, "bucket"), "rows")
+    central = rows.groupBy("v").agg(F.sum("n").alias("central"))
+    rows = rows.join(central, "v")
+    first = F.min(F.struct(-F.col("central"), "v", "sketch")).alias("l")
+    leaders = rows.groupBy("bucket").agg(first).select("bucket", F.col("l.v").alias("lv"), F.col("l.sketch").alias("ls"))
+    led = rows.select("bucket", "v", "sketch", "n").join(leaders, "bucket").filter("v <> lv")
+    led = led.withColumn("apart", _apart("sketch", "ls")).drop("sketch", "ls")
+    led = landed(led, "led")
+    near = led.filter(F.col("apart") <= FAR)
+    pairs = near.groupBy("v", F.col("lv").alias("w")).agg(F.min("apart").alias("apart"))
     pairs = landed(pairs, "pairs")
-    ends = pairs.select(F.col("a").alias("v"), F.col("b").alias("w"), "apart")
-    ends = ends.unionAll(ends.select("w", "v", "apart"))
 
-    # The texts of all classes that may be linked leave the table once.
-    ids = ends.select(F.col("v").alias("doc_id")).distinct()
+    # The texts of all classes that share a bucket leave the table once.
     own = docs.select(F.col(key).cast("long").alias("doc_id"), text_of("text").alias("text"))
-    texts = landed(own.join(ids, "doc_id", "left_semi"), "texts")
+    texts = landed(own.join(central.select(F.col("v").alias("doc_id")), "doc_id", "left_semi"), "texts")
 
-    # 1: each class with the nearest leader it has.
-    nearest = ends.groupBy("v").agg(F.min(F.struct("apart", "w")).alias("m"))
-    nearest = nearest.select(F.least("v", "m.w").alias("a"), F.greatest("v", "m.w").alias("b")).distinct()
-    links = confirm(landed(nearest, "nearest"), texts)
+    # 1: each class with the leader it is nearest to.
+    nearest = pairs.groupBy("v").agg(F.min(F.struct("apart", "w")).alias("m"))
+    nearest = landed(nearest.select(F.col("v").alias("a"), F.col("m.w").alias("b")), "nearest")
+    links = confirm(nearest, texts)
     labels = components(links)
 
     # 2: with its other leaders, where they are in other components.
-    others = _labelled(pairs, labels).filter("ca <> cb").select("a", "b")
-    others = landed(others.join(nearest, ["a", "b"], "left_anti"), "others")
+    others = pairs.select(F.col("v").alias("a"), F.col("w").alias("b")).join(nearest, ["a", "b"], "left_anti")
+    others = landed(_labelled(others, labels).filter("ca <> cb").select("a", "b"), "others")
     if not others.isEmpty():
         links = links.unionAll(confirm(others, texts))
         labels = components(links)
 
-    # 3: what is apart from the largest part of its bucket, with all others of the bucket.
-    placed = rows.join(labels.select("v", "c"), "v", "left").withColumn("c", F.coalesce("c", "v"))
-    parts = placed.groupBy("bucket", "c").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("bucket").agg(
-        F.max(F.struct("n", "c")).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")
-    )
-    mixed = mixed.filter("lo <> hi").select("bucket", F.col("m.c").alias("main"))
-    inside = landed(placed.join(mixed, "bucket"), "inside")
-    x, y = inside.filter("c <> main").alias("x"), inside.alias("y")
-    left = x.join(
-        y,
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.c") != F.col("y.c"))
-        & ((F.col("x.v") < F.col("y.v")) | (F.col("y.c") == F.col("y.main")))
-        & (_apart("x.sketch", "y.sketch") <= FAR),
-    )
-    left = left.select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct()
-    left = landed(left.join(pairs, ["a", "b"], "left_anti"), "left")
-    if not left.isEmpty():
-        # These may be classes that no leader was near to.
-        wanted = left.select(F.col("a").alias("doc_id")).unionAll(left.select("b")).distinct()
-        links = links.unionAll(confirm(left, own.join(wanted, "doc_id", "left_semi")))
-        labels = components(links)
+    # 3: buckets of three classes or more that still hold several components.
+    placed = _labelled(led.filter("n > 2").select(F.col("v").alias("a"), F.col("lv").alias("b"), "bucket"), labels)
+    mixed = placed.filter("ca <> cb").select("bucket").distinct()
+    again = placed.join(mixed, "bucket", "left_semi").select("a", "b", F.col("ca").alias("c")).distinct()
+    again = landed(again, "again")
+    if not again.isEmpty():
+        unlike = landed(_with_texts(again, texts).mapInArrow(_differences, DIFFERENCE), "differences")
+        x = unlike.filter("unlinked").select("leader", "element", F.col("v").alias("a"), F.col("c").alias("ca"))
+        y = unlike.filter("short").select("leader", "element", F.col("v").alias("b"), F.col("c").alias("cb"))
+        left = x.join(y, ["leader", "element"]).filter("ca <> cb")
+        left = landed(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "left")
+        if not left.isEmpty():
+            links = links.unionAll(confirm(left, texts))
+            labels = components(links)
 
     named = classes.join(labels.select("v", "c"), "v", "left").select("name", F.coalesce("c", "v").alias("component_id"))
     linked = real.join(named, "name").select("doc_id", "n_shingles", "component_id")
