@@ -96,7 +96,7 @@ def _write(folder: str, date: str):
             nonlocal out, coder
             path = f"{root}/{stem}-{len(listed):04d}.warc.zst"
             listed.append([path, 0, 0])
-            out = store.open_output_stream(path)
+            out = store.open_output_stream(path, compression=None)
             trained = train(held)
             coder = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_checksum=True)
             if trained:
@@ -232,7 +232,7 @@ def _read(folder: str):
         for batch in batches:
             for file, expected in zip(batch.column("file").to_pylist(), batch.column("n_records").to_pylist(), strict=True):
                 rows, n = [], 0
-                with store.open_input_stream(file) as stream:
+                with store.open_input_stream(file, compression=None) as stream:
                     for data in frames(stream):
                         r = parse(data)
                         url = r.get(b"warc-target-uri")
