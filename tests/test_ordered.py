@@ -83,10 +83,51 @@ def test_as_of_equals_brute_force(spark, size):
     assert rows(out) == sorted(want, key=repr)
 
 
-def test_only_heavy_keys_are_cut(events):
-    heavy = ordered.heavy_keys(events, ["k"], "pos", 100)
-    assert [r["k"] for r in heavy.collect()] == ["hot"]
-    assert ordered.chunked(events, ["k"], "pos", 1000) is None
-    cut = ordered.chunked(events, ["k"], "pos", 100)
-    assert rows(cut.filter("_chunk is not null").select("k").distinct()) == [("hot",)]
+def test_without_heavy_keys_nothing_is_cut(events):
+    assert ordered.chunked(events, ["k"], ("pos", "tie"), 1000) is None
+    cut = ordered.chunked(events, ["k"], ("pos", "tie"), 100)
     assert cut.count() == events.count()
+
+
+def largest_part(df, keys, order, size):
+    cut = ordered.chunked(df, keys, order, size)
+    return cut.groupBy(*keys, ordered.CHUNK).count().agg(F.max("count")).first()[0]
+
+
+def test_clustered_tied_and_missing_positions_are_split(spark):
+    """Rows are cut by their number, whatever their positions."""
+    burst = spark.range(1000).selectExpr("'k' k", "id pos").unionAll(
+        spark.sql("select 'k' k, 1000000000L pos")
+    )
+    assert largest_part(burst, ["k"], ("pos",), 100) <= 200
+    nulls = spark.range(1000).selectExpr("'k' k", "cast(null as long) pos", "id v")
+    assert largest_part(nulls, ["k"], ("pos",), 100) <= 200
+    ties = spark.range(1000).selectExpr("'k' k", "5L pos", "id v")
+    assert largest_part(ties, ["k"], ("pos",), 100) <= 200
+
+
+def test_many_heavy_keys(spark):
+    """Every heavy key is cut; there is no list of them that could be full."""
+    df = spark.range(1500).selectExpr("id % 150 k", "id div 150 pos", "id v")
+    assert largest_part(df, ["k"], ("pos",), 5) <= 20
+    out = ordered.neighbour(df, ["k"], "pos", {"n": "v"}, rows_per_chunk=5)
+    assert out.filter("n is null").count() == 150
+    assert out.filter("n <> v + 150").count() == 0
+
+
+@pytest.mark.parametrize("size", [3, 1_000_000])
+def test_rows_without_a_position_come_first(spark, size):
+    """A snapshot row's value is carried into every later row, without ties as well."""
+    data = [("k", None, True)] + [("k", i, None) for i in range(8)]
+    df = spark.createDataFrame(data, "k string, pos long, v boolean")
+    out = ordered.carry_forward(df, ["k"], "pos", {"c": "v"}, rows_per_chunk=size)
+    assert [r["c"] for r in out.collect()] == [True] * 9
+    after = ordered.neighbour(df, ["k"], "pos", {"n": "pos"}, rows_per_chunk=size)
+    assert rows(after, "pos", "n") == rows(spark.createDataFrame(
+        [(None, 0)] + [(i, i + 1 if i < 7 else None) for i in range(8)], "pos long, n long"))
+    total = ordered.running_total(df.withColumn("a", F.lit(1)), ["k"], "pos", "a", "t", rows_per_chunk=size)
+    assert rows(total, "pos", "t") == rows(spark.createDataFrame(
+        [(None, 0)] + [(i, i + 1) for i in range(8)], "pos long, t long"))
+    hist = spark.createDataFrame([("k", None, 1), ("k", 3, 2)], "k string, at long, n long")
+    found = ordered.as_of(df.select("k", "pos"), hist, ["k"], "pos", "at", ["n"], rows_per_chunk=size)
+    assert sorted(r["n"] for r in found.filter("pos is not null").collect()) == [1] * 3 + [2] * 5

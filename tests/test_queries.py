@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from tidelog.plans import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,14 +14,14 @@ def con():
     return check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_agrees_with_sql(spark, con, name):
     ok, note = check.compare(spark, con, SF, name)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry_runs(spark):

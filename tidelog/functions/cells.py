@@ -33,7 +33,9 @@ def spark_type(oid: int, typmod: int = -1) -> T.DataType:
     """Spark type of a source column; unknown numbers are text."""
     if typmod != -1 and oid == 1700:
         packed = typmod - 4
-        return T.DecimalType((packed >> 16) & 65535, packed & 65535)
+        precision, scale = (packed >> 16) & 65535, packed & 65535
+        # Wider numbers than Spark's keep their text.
+        return T.DecimalType(precision, scale) if precision <= 38 else T.StringType()
     if typmod != -1 and oid == 1083:
         return T.TimeType(min(typmod, 6))
     return TYPE_BY_OID.get(oid, T.StringType())
@@ -51,6 +53,10 @@ def try_typed(cell: Column, dtype: T.DataType) -> Column:
         words = [F.lit(v) for w in TRUE_WORDS for v in (w, True)]
         words += [F.lit(v) for w in FALSE_WORDS for v in (w, False)]
         return F.try_element_at(F.create_map(*words), F.lower(F.trim(cell)))
+    if isinstance(dtype, T.DecimalType):
+        # A number that would be rounded is no value of the type.
+        exact = ~cell.rlike(rf"\.\d{{{dtype.scale}}}\d*[1-9]") | cell.rlike("[eE]")
+        return F.when(exact, cell.try_cast(dtype))
     return cell.try_cast(dtype)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators.merge import first_per_key
+from tidelog.operators.merge import latest_per_key, newest_first
 from tidelog.operators.ordered import ROWS_PER_CHUNK, as_of, neighbour
 
 
@@ -39,11 +39,18 @@ def scd2_precise(
 
 
 def at_time(windows: DataFrame, t: Column) -> DataFrame:
-    """Rows valid at one instant, a filter that reaches the scan."""
+    """Rows of windows valid at one instant. For one instant alone, ``state_at`` reads less."""
     open_end = F.col("valid_to").isNull() | (F.col("valid_to") > t)
     return windows.filter((F.col("valid_from") <= t) & open_end)
 
 
+def state_at(log: DataFrame, key: str, t: Column, at: str = "commit_ts") -> DataFrame:
+    """The rows in force at one instant, tombstones left out: the time filter reaches the
+    scan and each map task keeps one row per key."""
+    known = log.filter(F.col(at) <= t)
+    return latest_per_key(known, [key], order=newest_first()).filter(F.col("deleted_ts").isNull())
+
+
 def value_as_of(
     facts: DataFrame,
     log: DataFrame,
@@ -68,13 +75,13 @@ def status_collapse(
 ) -> DataFrame:
     """Latest status event per business id."""
     order = [F.col(c).desc_nulls_last() for c in (time, *ties)]
-    return first_per_key(events, [key], order)
+    return latest_per_key(events, [key], order=order)
 
 
 def scd1_collapse(history: DataFrame, key: str, ties: Sequence[str] = ()) -> DataFrame:
     """Latest version per entity."""
     order = [F.col(c).desc_nulls_last() for c in ("updated_at", "lsn", *ties)]
-    return first_per_key(history, [key], order)
+    return latest_per_key(history, [key], order=order)
 
 
 def status_transitions(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.operators.ordered import carry_forward
+from tidelog.operators.ordered import carry_forward, row_hash
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -19,8 +19,10 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key. Each map task keeps at most one row per key before the shuffle
-    (window group limit), so a heavy key costs one row per task. NULL keys are dropped."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    (window group limit), so a heavy key costs one row per task. Rows equal in ``order`` are
+    ordered by a hash of the row, so a retried task picks the same one. Rows with a NULL key
+    have no key to be the first of: the callers add or refuse them."""
+    w = Window.partitionBy(*keys).orderBy(*order, row_hash(df))
     return (
         df.filter(~_any_null(keys))
         .withColumn("_rn", F.row_number().over(w))
@@ -40,10 +42,10 @@ def latest_per_key(
     ties: Sequence[str] = (),
     *,
     order: Sequence[Column] | None = None,
-    keep_null_keys: bool = False,
+    keep_null_keys: bool = True,
 ) -> DataFrame:
-    """Newest row per key. Rows without a key never match each other: they are kept as
-    they are or, when the contract forbids NULL keys, left out."""
+    """Newest row per key. Rows without a key never match each other: all are kept, unless
+    the caller asks to leave them out."""
     kept = first_per_key(df, keys, order or newest_first(ties))
     if keep_null_keys:
         kept = kept.unionByName(df.filter(_any_null(keys)))
@@ -56,7 +58,7 @@ def merge_latest(
     keys: Sequence[str],
     ties: Sequence[str] = (),
     *,
-    keep_null_keys: bool = False,
+    keep_null_keys: bool = True,
 ) -> DataFrame:
     """Upsert by key where the highest position wins, in whatever order batches arrive.
 
@@ -67,6 +69,12 @@ def merge_latest(
     return latest_per_key(both, keys, ties, keep_null_keys=keep_null_keys)
 
 
+def log_key(key: Sequence[str], columns: Sequence[str]) -> tuple[str, ...]:
+    """The key of an event: ``seq`` belongs to it where the feed numbers its events, as
+    several events may share a position."""
+    return (*key, "seq") if "seq" in columns and "seq" not in key else tuple(key)
+
+
 def event_log_merge(
     log: DataFrame,
     batch: DataFrame,
@@ -91,13 +99,16 @@ def new_events(
     """The part of ``batch`` that an event-log merge would append.
 
     Only log rows inside the batch's range of positions can match. With ``prune`` that
-    range is found by the query itself and limits the scan of the log before its shuffle."""
+    range is found by the query itself and limits the scan of the log before its shuffle.
+    Where both sides have ``seq``, it is part of the key."""
+    if "seq" in log.columns:
+        key = log_key(key, batch.columns)
     if prune and "lsn" in key:
         low, high = (batch.agg(f("lsn")).scalar() for f in (F.min, F.max))
         log = log.filter(F.col("lsn").between(low, high))
     # Further copies of one event are alike; any total order picks the same content.
     rest = [c for c in batch.columns if c not in key and c not in ties]
-    order = [F.col(c).desc_nulls_last() for c in ties] + [F.xxhash64(*rest).asc()]
+    order = [F.col(c).desc_nulls_last() for c in ties] + [F.xxhash64(*rest).asc()] if rest else [F.lit(0)]
     once = first_per_key(batch, key, order)
     fresh = once.join(log.select(*key), list(key), "left_anti").select(*batch.columns)
     return fresh.unionByName(batch.filter(_any_null(key)))

@@ -1,73 +1,63 @@
 """Row-order operators that stay parallel when one key holds a large part of the table.
 
-A plain window sends all rows of a key to one task. So the keys above ``rows_per_chunk``
-rows are looked up first, by one hash aggregate over the key and position columns. If
-there are none, the plain window is used. Otherwise those keys are cut into consecutive
-chunks along their order: every chunk is its own window partition, and one *sentinel* row
-per chunk carries what the neighbouring chunk would have supplied. Results equal the plain
-window's for every key. The input must be deterministic.
+A plain window sends all rows of a key to one task. So rows per key are counted first, over
+the key columns alone. If no key has more than ``rows_per_chunk`` rows, the plain window is
+used. Otherwise the rows are sorted out by key and full order into ranges of about
+``rows_per_chunk`` rows, whatever their positions: bursts, ties and rows without a position
+are cut like others. The ranges are landed, so that every later step sees the same cut.
+Each part of a key in a range is its own window partition, and one *sentinel* row per part
+carries what the neighbouring part would have supplied. Results equal the plain window's
+for every key. Rows equal in position and ties are ordered by a hash of the whole row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidelog.session import run_dir
 
 ROWS_PER_CHUNK = 1_000_000
-# At most this many keys are cut, heaviest first, so their list is always small enough to
-# fetch and to broadcast. Lighter keys take the plain window, which is exact as well.
-MAX_HEAVY_KEYS = 10_000
 
-CHUNK = "_chunk"
-_EDGE, _POS, _VAL, _NCHUNKS = "_edge", "_pos", "_val", "_n_chunks"
+CHUNK, HASH = "_chunk", "_hash"
+_EDGE, _POS, _VAL = "_edge", "_pos", "_val"
 
 
-def heavy_keys(
-    df: DataFrame, keys: Sequence[str], position: str, rows_per_chunk: int
-) -> DataFrame:
-    """``keys, _lo, _hi, _n_chunks`` of the heaviest keys (a bounded number of rows)."""
-    counted = (
-        df.select(*keys, F.col(position).alias(_POS))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(_POS).alias("_lo"),
-            F.max(_POS).alias("_hi"),
-        )
-        .filter((F.col("_n") > rows_per_chunk) & F.col("_hi").isNotNull())
-        .orderBy(F.col("_n").desc(), *[F.col(k).asc_nulls_first() for k in keys])
-        .limit(MAX_HEAVY_KEYS)
-    )
-    chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("int")
-    return counted.select(*keys, "_lo", "_hi", chunks.alias(_NCHUNKS))
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row, to order rows that are equal in all else. Columns of types
+    that can't be hashed (maps, variants) don't take part."""
+    plain = [f.name for f in df.schema.fields if not _unhashable(f.dataType)]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain]) if plain else F.lit(0).cast("long")
 
 
-def _chunk_of(position: Column) -> Column:
-    """Chunk number, never falling as the position grows; NULL positions come first."""
-    span = F.col("_hi").cast("double") - F.col("_lo").cast("double") + F.lit(1.0)
-    share = (position - F.col("_lo")).cast("double") / span
-    return F.coalesce(F.floor(share * F.col(_NCHUNKS)).cast("int"), F.lit(-1))
+def _unhashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _unhashable(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
 def chunked(
-    df: DataFrame, keys: Sequence[str], position: str, rows_per_chunk: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_chunk: int
 ) -> DataFrame | None:
-    """``df`` with ``_chunk`` set for rows of heavy keys; None if there is no heavy key."""
-    wanted = heavy_keys(df, keys, position, rows_per_chunk)
-    found = wanted.collect()  # at most MAX_HEAVY_KEYS rows
-    if not found:
+    """``df`` with ``_hash`` and the ``_chunk`` of each row, cut along keys and order; None
+    if no key has more than ``rows_per_chunk`` rows."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    if found["most"] is None or found["most"] <= rows_per_chunk:
         return None
-    small = df.sparkSession.createDataFrame(found, wanted.schema).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], "_lo", "_hi", _NCHUNKS
-    )
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = df.join(F.broadcast(small), same, "left")
-    chunk = F.when(F.col(_NCHUNKS).isNotNull(), _chunk_of(F.col(position)))
-    return joined.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
+    n = math.ceil(found["all"] / rows_per_chunk)
+    hashed = df.withColumn(HASH, row_hash(df))
+    cut = hashed.repartitionByRange(n, *_ascending([*keys, *order, HASH]))
+    path = run_dir(df.sparkSession, "chunks")
+    cut.withColumn(CHUNK, F.spark_partition_id()).write.parquet(path)
+    schema = T.StructType([*hashed.schema.fields, T.StructField(CHUNK, T.IntegerType())])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def dense_chunks(df: DataFrame, position: str, rows_per_chunk: int) -> DataFrame:
@@ -99,11 +89,11 @@ def neighbour(
     with NULLs first.
     """
     shift = F.lead if step == "next" else F.lag
-    order = (position, *ties)
-    cut = chunked(df, keys, position, rows_per_chunk)
+    cut = chunked(df, keys, (position, *ties), rows_per_chunk)
     if cut is None:
-        w = Window.partitionBy(*keys).orderBy(*_ascending(order))
+        w = Window.partitionBy(*keys).orderBy(*_ascending((position, *ties)), row_hash(df))
         return df.select("*", *[shift(src).over(w).alias(out) for out, src in values.items()])
+    order = (position, *ties, HASH)
 
     row = F.struct(*[F.col(src).alias(out) for out, src in values.items()])
     # The row of each chunk its neighbour must see: for "next" the first one.
@@ -140,17 +130,19 @@ def carry_forward(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """For every row, the last non-NULL source value at or before it (per output column)."""
-    order = (position, *ties)
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     kept = [c for c in df.columns if c not in values]
-    cut = chunked(df, keys, position, rows_per_chunk)
+    cut = chunked(df, keys, (position, *ties), rows_per_chunk)
     if cut is None:
-        w = Window.partitionBy(*keys).orderBy(*_ascending(order)).rowsBetween(*upto_here)
+        w = Window.partitionBy(*keys).orderBy(*_ascending((position, *ties)), row_hash(df))
+        w = w.rowsBetween(*upto_here)
         last = {out: F.last(src, ignorenulls=True).over(w) for out, src in values.items()}
         return df.select(*kept, *[c.alias(out) for out, c in last.items()])
 
-    # The last value inside each chunk, then the last one of all chunks before.
-    at = F.col(position) if not ties else F.struct(*order)
+    # The last value inside each chunk, then the last one of all chunks before. A struct is
+    # a position even where its first field is NULL.
+    order = (position, *ties, HASH)
+    at = F.struct(*order)
     last_in_chunk = [
         F.max_by(src, F.when(F.col(src).isNotNull(), at)).alias(f"_src_{out}")
         for out, src in values.items()
@@ -200,9 +192,10 @@ def running_total(
 ) -> DataFrame:
     """Sum of ``amount`` over all earlier rows of the key (the row itself not included)."""
     before = (Window.unboundedPreceding, -1)
-    cut = chunked(df, keys, position, rows_per_chunk)
+    cut = chunked(df, keys, (position,), rows_per_chunk)
     if cut is None:
-        w = Window.partitionBy(*keys).orderBy(*_ascending([position])).rowsBetween(*before)
+        w = Window.partitionBy(*keys).orderBy(*_ascending([position]), row_hash(df))
+        w = w.rowsBetween(*before)
         return df.withColumn(out, F.coalesce(F.sum(amount).over(w), F.lit(0)))
 
     along = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*before)
@@ -217,7 +210,7 @@ def running_total(
     rows = cut.withColumn("_amt", F.col(amount)).withColumn(_EDGE, F.lit(0))
     w = (
         Window.partitionBy(*keys, CHUNK)
-        .orderBy(_EDGE, *_ascending([position]))
+        .orderBy(_EDGE, *_ascending([position, HASH]))
         .rowsBetween(*before)
     )
     return (

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-from tidelog.sources import wal
-
 # Settings the operators rely on; all can be changed on a running session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,6 +30,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; partition counts and memory stay the cluster's own."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    from tidelog.sources import wal  # which itself needs run_dir
+
     # The batch function of the message decoder travels with the job, so the executors'
     # Python needs numpy and pyarrow but not this package.
     cloudpickle.register_pickle_by_value(wal)
@@ -51,15 +54,23 @@ def local_session(cores: int | str = "*", app: str = "tidelog") -> SparkSession:
     return configure(spark)
 
 
+@functools.cache
+def _own_folder() -> str:
+    """Where a local session works that names no folder; gone when the process ends."""
+    folder = tempfile.mkdtemp(prefix="tidelog-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder all executors can reach.
+    """A fresh folder all executors can reach, under ``spark.checkpoint.dir``.
 
-    It lies under ``spark.checkpoint.dir``. Only a local master, where driver and
-    executors are one process, may fall back to a temporary folder.
+    A cluster must name that folder. Only where it is unset and the master is local, driver
+    and executors being one process, the process has a folder of its own for its lifetime.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix=f"run-{label}-", dir="/tmp")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        shared = _own_folder()
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -7,12 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators.merge import first_per_key
+from tidelog.operators.merge import latest_per_key
 from tidelog.operators.ordered import ROWS_PER_CHUNK, running_total
 
 # Change kinds of the feed.
 INSERT, UPDATE, DELETE, TRUNCATE = "I", "U", "D", "T"
-INTERNAL_PREFIX = "_"
 CDC_COLUMNS = ("lsn", "deleted_ts")
 BATCH_TARGET = 1000
 
@@ -50,18 +49,16 @@ def disposition(ops: Sequence[str]) -> str:
     return "append" if set(ops) <= {INSERT} else "merge"
 
 
-def internal(table: str = "relation"):
-    return F.col(table).startswith(INTERNAL_PREFIX)
-
-
-def demux(feed: DataFrame, tables: Sequence[str]) -> dict[str, DataFrame]:
-    """One frame per table; bookkeeping tables are skipped. Each frame is a filter on the
-    feed, so with a feed partitioned by ``relation`` it reads its own folder only."""
-    return {
-        t: feed.filter(F.col("relation") == t)
-        for t in tables
-        if not t.startswith(INTERNAL_PREFIX)
-    }
+def demux(
+    feed: DataFrame, tables: Sequence[str], bookkeeping: Sequence[str] = ()
+) -> dict[str, DataFrame]:
+    """One frame per table. Asking for a table that is named as bookkeeping is an error.
+    Each frame is a filter on the feed, so with a feed partitioned by ``relation`` it reads
+    its own folder only."""
+    refused = sorted(set(tables) & set(bookkeeping))
+    if refused:
+        raise ValueError(f"bookkeeping tables can't be read as data: {', '.join(refused)}")
+    return {t: feed.filter(F.col("relation") == t) for t in tables}
 
 
 def txn_batches(
@@ -108,7 +105,7 @@ def lag_scan(
     """Rows newer than the cursor minus a lag window (re-read on purpose), once per key."""
     since = last_value - F.expr(f"interval {lag}")
     order = [F.col(c).desc_nulls_last() for c in (cursor, *ties)]
-    return first_per_key(table.filter(F.col(cursor) > since), key, order)
+    return latest_per_key(table.filter(F.col(cursor) > since), key, order=order)
 
 
 def nth_row(df: DataFrame, order: Sequence[str], n: int = 0) -> DataFrame:

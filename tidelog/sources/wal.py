@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.cells import try_typed
+from tidelog.functions.cells import failed_cast, try_typed
 from tidelog.functions.lsn import from_epoch_2000
 from tidelog.operators.ordered import CHUNK, ROWS_PER_CHUNK, dense_chunks
 from tidelog.spec import TableSpec
@@ -29,8 +29,10 @@ CHANGES = (INSERT, UPDATE, DELETE)
 KNOWN = (BEGIN, COMMIT, RELATION, *CHANGES, TRUNCATE)
 # Cell kinds of a tuple.
 NULL_CELL, UNSENT_CELL, TEXT_CELL = "n", "u", "t"
+CELL_KINDS = (NULL_CELL, UNSENT_CELL, TEXT_CELL)
 # Tags of an old tuple (key only, or the whole old row).
 OLD_TAGS = ("K", "O")
+NEW_TAG = "N"
 
 # A table layout lists, per column, a flag byte, a zero-terminated name, a 32-bit type
 # number and a 32-bit type modifier.
@@ -129,12 +131,21 @@ def parse(messages: DataFrame) -> DataFrame:
     return heads(messages).mapInArrow(split_batches, schema)
 
 
+#: Payload bytes split at a time: text offsets are 32-bit numbers.
+SPLIT_BYTES = 256 << 20
+
+
 def split_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        old, new = split_payloads(batch.column("payload"))
-        kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "payload"]
-        names = [n for n in batch.schema.names if n != "payload"]
-        yield pa.RecordBatch.from_arrays([*kept, old, new], [*names, "old_cells", "cells"])
+    for whole in batches:
+        sizes = pc.fill_null(pc.binary_length(whole.column("payload")), 0).to_numpy(zero_copy_only=False)
+        part = sizes.cumsum() // SPLIT_BYTES
+        cuts = [0, *((part[1:] != part[:-1]).nonzero()[0] + 1).tolist(), len(part)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            batch = whole.slice(a, b - a)
+            old, new = split_payloads(batch.column("payload"))
+            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "payload"]
+            names = [n for n in batch.schema.names if n != "payload"]
+            yield pa.RecordBatch.from_arrays([*kept, old, new], [*names, "old_cells", "cells"])
 
 
 def split_payloads(payloads: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -145,15 +156,33 @@ def split_payloads(payloads: pa.Array) -> tuple[pa.Array, pa.Array]:
         empty = pa.nulls(len(wide), CELL_LIST)
         return empty, empty
     data = np.frombuffer(body, np.uint8)
-    starts = np.frombuffer(offsets, np.int64)[wide.offset : wide.offset + len(wide)]
+    bounds = np.frombuffer(offsets, np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    starts, stops = bounds[:-1], bounds[1:]
+    if (stops == starts).any():
+        raise ValueError("empty replication message")
     kind = data[starts]
     changes = np.isin(kind, [ord(k) for k in CHANGES]).nonzero()[0]
+    stops = stops[changes]
+    if (starts[changes] + 6 > stops).any():
+        raise ValueError("replication message cut off before its tuple")
     tag = data[starts[changes] + 5]
     old_first = np.isin(tag, [ord(t) for t in OLD_TAGS])
-    first = _Tuples(data, starts[changes] + 6)
+    new_first = tag == ord(NEW_TAG)
+    # INSERT: a new tuple; DELETE: an old one; UPDATE: a new one, or an old and a new one.
+    fits = np.where(
+        kind[changes] == ord(INSERT), new_first,
+        np.where(kind[changes] == ord(DELETE), old_first, old_first | new_first),
+    )
+    if not fits.all():
+        raise ValueError(f"replication message with tuple tag {chr(tag[~fits][0])!r}")
+    first = _Tuples(data, starts[changes] + 6, stops)
     # An UPDATE with an old tuple is followed by one more tag byte and the new tuple.
     both = old_first & (kind[changes] == ord(UPDATE))
-    second = _Tuples(data, first.end[both] + 1)
+    if (first.end[both] >= stops[both]).any() or (data[first.end[both]] != ord(NEW_TAG)).any():
+        raise ValueError("UPDATE message without a new tuple after the old one")
+    second = _Tuples(data, first.end[both] + 1, stops[both])
+    if (first.end[~both] != stops[~both]).any() or (second.end != stops[both]).any():
+        raise ValueError("replication message longer than its tuples")
     old = first.lists(len(wide), changes, old_first)
     plain = first.lists(len(wide), changes, ~both)
     after = second.lists(len(wide), changes[both], np.ones(both.sum(), bool))
@@ -172,8 +201,11 @@ class _Tuples:
     A tuple is a 16-bit cell count, then per cell a kind byte and, for text, a 32-bit length
     and the bytes; numbers are big-endian."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray):
+    def __init__(self, data: np.ndarray, at: np.ndarray, stops: np.ndarray):
+        """``stops``: where each tuple's message ends; nothing is read beyond it."""
         self.data = data
+        if (at + 2 > stops).any():
+            raise ValueError("replication message cut off before its cell count")
         self.count = data[at].astype(np.int64) << 8 | data[at + 1]
         shape = (len(at), int(self.count.max(initial=0)))
         self.kind = np.zeros(shape, np.uint8)
@@ -182,15 +214,23 @@ class _Tuples:
         pos = at + 2
         for j in range(shape[1]):
             live = (self.count > j).nonzero()[0]
+            if (pos[live] >= stops[live]).any():
+                raise ValueError("replication message cut off before a cell")
             kind = data[pos[live]]
+            if not np.isin(kind, [ord(c) for c in CELL_KINDS]).all():
+                raise ValueError("replication message with an unknown kind of cell")
             text = live[kind == ord(TEXT_CELL)]
             p = pos[text]
+            if (p + 5 > stops[text]).any():
+                raise ValueError("replication message cut off in a cell's length")
             size = sum(data[p + 1 + b].astype(np.int64) << (24 - 8 * b) for b in range(4))
             self.kind[live, j] = kind
             self.start[text, j] = p + 5
             self.size[text, j] = size
             pos[live] += 1
             pos[text] += 4 + size
+            if (pos[text] > stops[text]).any():
+                raise ValueError("replication message cut off in a cell")
         self.end = pos
 
     def lists(self, n: int, rows: np.ndarray, chosen: np.ndarray) -> pa.Array:
@@ -325,19 +365,34 @@ def named_cells(changes: DataFrame) -> DataFrame:
 
 
 def typed_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """Contract columns of one table. A value that was not sent fails the job; a NULL of a
-    delete stays NULL."""
+    """Contract columns of one table. A value that was not sent, or text that is no value
+    of the column's type, fails the job; a NULL of a delete stays NULL. ``text_rows`` keeps
+    the text for ``validate``, which moves such rows to the quarantine instead."""
     out = changes.filter(F.col("relation") == spec.name)
     cells = {}
     for f in spec.schema.fields:
         cell = F.get("cells", F.array_position("columns", F.lit(f.name)).cast("int") - 1)
         unsent = F.raise_error(F.lit(f"unchanged value not sent for column {f.name}"))
         text = F.when(cell["kind"] == UNSENT_CELL, unsent.cast("string")).otherwise(cell["val"])
-        cells[f.name] = try_typed(text, f.dataType)
+        typed = try_typed(text, f.dataType)
+        wrong = F.raise_error(F.concat(F.lit(f"column {f.name}: no {f.dataType.simpleString()}: "), text))
+        cells[f.name] = F.when(failed_cast(text, typed), wrong.cast(f.dataType)).otherwise(typed)
     keep = ["slot", "seq", "op", "lsn", "commit_ts", "deleted_ts"]
     return out.select(*keep, *[c.alias(n) for n, c in cells.items()])
 
 
+def text_rows(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """Contract columns of one table as the text that was sent, for ``validate.prepare``."""
+    out = changes.filter(F.col("relation") == spec.name)
+    cells = {}
+    for f in spec.schema.fields:
+        cell = F.get("cells", F.array_position("columns", F.lit(f.name)).cast("int") - 1)
+        unsent = F.raise_error(F.lit(f"unchanged value not sent for column {f.name}"))
+        cells[f.name] = F.when(cell["kind"] == UNSENT_CELL, unsent.cast("string")).otherwise(cell["val"])
+    keep = ["seq", "op", "lsn", "commit_ts", "deleted_ts"]
+    return out.select(*keep, *[c.alias(n) for n, c in cells.items()])
+
+
 def ignored_truncates(messages: DataFrame) -> DataFrame:
     """Truncate messages change nothing; they are counted for the drop report."""
     return (
