@@ -222,7 +222,7 @@ def test_validated_stream_splits_rows(spark, store, tmp_path):
     path = str(tmp_path / "landed")
     df.write.parquet(path)
     feed = stream.feed_stream(spark, path, df.schema)
-    q = stream.validated_stream(feed, CONSENTS, store, f"{store.root}/cp", clock=lambda: T0)
+    q = stream.merge_stream(feed, CONSENTS, store, f"{store.root}/cp", clock=lambda: T0)
     stream.run_to_end(q)
     assert store.read_log("patient_consents", cons(spark).schema).count() == 16
     entry = store.ledger("patient_consents_quarantine").first()

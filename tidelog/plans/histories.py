@@ -81,10 +81,10 @@ def scd2_precise(spark, d):
     ),
 )
 def consent_as_of(spark, d):
-    """The windows that hold at one instant."""
+    """The rows in force at one instant."""
     t = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
-    windows = history.scd2_precise(s.consents(spark, d), "patient_id")
-    return history.at_time(windows, t).select("patient_id", "lsn", *FLAGS)
+    log = s.consents(spark, d)
+    return history.state_at(log, "patient_id", t).select("patient_id", "lsn", *FLAGS)
 
 
 @query(

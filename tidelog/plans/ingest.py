@@ -151,11 +151,13 @@ def mixed_feed(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "feed_demux",
     """select r.relation, count(*) n_rows, min(event_id) + 1 min_lsn, max(event_id) + 1 max_lsn
-       from events, (values ('providers'), ('patient_consents')) r(relation)
+       from events, (values ('providers', 3), ('patient_consents', 1)) r(relation, every)
+       where (event_id + 1) % every = 0
        group by r.relation""",
 )
 def feed_demux(spark, d):
-    streams = feed.demux(mixed_feed(spark, d), ["providers", "patient_consents", "_loads"])
+    rows = mixed_feed(spark, d).filter("relation <> 'providers' or lsn % 3 = 0")
+    streams = feed.demux(rows, ["providers", "patient_consents"], ["_loads"])
     return union(
         [
             df.groupBy("relation").agg(

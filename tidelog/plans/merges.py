@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.operators import merge, report
 from tidelog.plans import ingest
@@ -14,9 +15,8 @@ from tidelog.plans.ingest import CONSENT_COLUMNS, CONSENT_LIST
 from tidelog.plans.registry import query
 from tidelog.plans.standins import sql
 from tidelog.session import run_dir
-from tidelog.operators.validate import accepted, prepare
 from tidelog.sources import feed, snapshot
-from tidelog.spec import CONSENTS, PROVIDERS
+from tidelog.spec import CONSENTS, PATIENTS, PROVIDERS
 from tidelog.streaming import store as st
 from tidelog.streaming import stream
 from tidelog.streaming.store import Store
@@ -24,6 +24,7 @@ from tidelog.streaming.store import Store
 PROVIDER_COLUMNS = [*PROVIDERS.columns, "lsn", "deleted_ts"]
 PROVIDER_LIST = ", ".join(PROVIDER_COLUMNS)
 STATE = [*CONSENT_COLUMNS, "op"]
+FLAG_COLUMNS = "consent_research, consent_marketing, consent_partner_share"
 
 LATEST_PROVIDERS = f"""
     , providers_state as (
@@ -387,11 +388,9 @@ def new_load_or_noop(spark, d):
     ),
 )
 def run_metrics(spark, d):
-    """Rows in, out and dropped of a validated load, counted while it is written."""
+    """Rows in, out and dropped of an ingested batch, from its own ledger entry."""
     store = Store(spark, run_dir(spark, "metrics"))
-    source = ingest.text_consents(spark, d)
-    good = accepted(prepare(source, CONSENTS))
-    store.write(good, "patient_consents", "0", datetime(2024, 2, 1), rows_in=source.count())
+    stream.ingest_batch(ingest.text_consents(spark, d), CONSENTS, store, "0", clock())
     return store.ledger("patient_consents").select(
         "table_name", "rows_in", "rows_out", "rows_dropped"
     )
@@ -441,7 +440,8 @@ def stream_merge_latest(spark, d):
     store = Store(spark, root)
     spec = CONSENTS_LATEST
     changes = landed(spark, d, source, root)
-    stream.run_to_end(stream.merge_stream(changes, spec, store, f"{root}/cp", clock=clock))
+    args = (changes, spec, store, f"{root}/cp")
+    stream.run_to_end(stream.merge_stream(*args, keep=("op",), clock=clock))
     return store.read_state(spec, source.schema).select(*STATE)
 
 
@@ -561,3 +561,175 @@ def propagation_report(spark, d):
             report.propagation(log, "patient_consents", mark, expected(batch)),
         ]
     )
+
+
+# ---- whole runs ----------------------------------------------------------------------
+
+
+@query(
+    "ingest_run",
+    sql(
+        """, faulty as (select *, lsn % 41 = 0 bad from patients)
+           select 'raw' part, patient_id, primary_provider_id, postcode, updated_at, lsn,
+                  cast(null as bigint) n
+           from faulty where not bad
+           union all
+           select 'quarantine', '', null, null, null, lsn, null from faulty where bad
+           union all
+           select part, null, null, null, null, null, n from (
+               select 'rows_in' part, count(*) n from faulty
+               union all select 'rows_out', count(*) from faulty where not bad
+               union all select 'rows_dropped', count(*) from faulty where bad)""",
+        "patients",
+    ),
+)
+def ingest_run(spark, d):
+    """A feed with a column to strip and rows without a subject goes through the one ingest
+    path as a stream: raw rows, quarantine, and the ledger's sums."""
+    root = run_dir(spark, "ingest-run")
+    feed_rows = s.patients(spark, d)
+    key = F.when(F.col("lsn") % 41 != 0, F.col("patient_id"))
+    changes = landed(spark, d, feed_rows.withColumn("patient_id", key), root)
+    store = Store(spark, root)
+    stream.run_tables({"patients": changes}, {"patients": PATIENTS}, store, f"{root}/cp")
+    raw = store.read_log("patients", PATIENTS.raw_schema)
+    bad = store.read_log("patients_quarantine", QUARANTINE)
+    sums = store.ledger("patients").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    columns = ("patient_id", "primary_provider_id", "postcode", "updated_at", "lsn")
+    none = {c: F.lit(None).cast(raw.schema[c].dataType).alias(c) for c in columns}
+    no_n = F.lit(None).cast("long").alias("n")
+    return (
+        raw.select(F.lit("raw").alias("part"), *columns, no_n)
+        .unionAll(
+            bad.select(
+                F.lit("quarantine"), "entity_id", *[none[c] for c in columns[1:-1]], "lsn", no_n
+            )
+        )
+        .unionAll(
+            sums.select(
+                F.explode(F.create_map(*[x for c in COUNTS for x in (F.lit(c), F.col(c))])).alias("part", "n")
+            ).select("part", *none.values(), "n")
+        )
+    )
+
+
+COUNTS = ("rows_in", "rows_out", "rows_dropped")
+QUARANTINE = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("entity_id", T.StringType()),
+        T.StructField("reasons", T.ArrayType(T.StringType())),
+        T.StructField("lsn", T.LongType()),
+    ]
+)
+
+
+@query(
+    "log_shared_position",
+    sql(
+        """select patient_id, lsn // 3 lsn, lsn seq, consent_research from consents""",
+        "consents",
+    ),
+)
+def log_shared_position(spark, d):
+    """Three events share each position; ``seq`` tells them apart, in redeliveries too."""
+    events = s.consents(spark, d).selectExpr(
+        "patient_id", "lsn div 3 lsn", "lsn seq", "consent_research"
+    )
+    log = merge.event_log_merge(events.filter("seq % 2 = 0"), events)
+    return merge.event_log_merge(log, events.filter("seq % 5 = 0"))
+
+
+@query(
+    "merge_null_keys",
+    sql(
+        """, k as (select case when lsn % 37 <> 0 then patient_id end patient_id, lsn from consents)
+           select patient_id, lsn from (
+               select *, row_number() over (partition by patient_id order by lsn desc) rn from k)
+           where rn = 1 or patient_id is null""",
+        "consents",
+    ),
+)
+def merge_null_keys(spark, d):
+    """Rows without a key match nothing and all stay."""
+    rows = s.consents(spark, d).select(
+        F.when(F.col("lsn") % 37 != 0, F.col("patient_id")).alias("patient_id"), "lsn"
+    )
+    return merge.latest_per_key(rows, ["patient_id"])
+
+
+@query(
+    "snapshot_then_changes",
+    sql(
+        f""", mark as (select (max(event_id) + 1) // 2 m from events),
+             early as (select *, row_number() over (partition by patient_id order by lsn desc) rn
+                       from consents, mark where lsn <= m)
+           select patient_id, {FLAG_COLUMNS}, cast(null as bigint) lsn from early
+           where rn = 1 and deleted_ts is null
+           union all
+           select patient_id, {FLAG_COLUMNS}, lsn from consents, mark where lsn > m""",
+        "consents",
+    ),
+)
+def snapshot_then_changes(spark, d):
+    """A snapshot lands once, by the store's own ledger; changes follow from its position
+    on, although the feed delivers all of them: no gap, no overlap."""
+    root = run_dir(spark, "hand-over")
+    changes = s.consents(spark, d)
+    mark = s.table(spark, d, "events").agg(F.floor((F.max("event_id") + 1) / 2)).first()[0]
+    seen = merge.latest_per_key(changes.filter(F.col("lsn") <= mark), ["patient_id"])
+    copy = merge.live_rows(seen).select(*CONSENTS.columns)
+    store = Store(spark, root)
+    store.bootstrap(copy, CONSENTS, clock())
+    store.bootstrap(copy, CONSENTS, clock())
+    later = snapshot.after_snapshot(changes.select(*CONSENT_COLUMNS), mark)
+    stream.ingest_batch(later, CONSENTS, store, "0", clock())
+    log = store.read_log("patient_consents", CONSENTS.raw_schema)
+    return log.select(*CONSENTS.columns, "lsn")
+
+
+@query(
+    "erasure_run",
+    sql(
+        """, asked as (select concat('PT', cast(c_custkey as varchar)) patient_id,
+                              c_custkey % 50 = 1 done
+                       from customer where c_custkey % 50 in (0, 1))
+           select 'kept' part, patient_id, lsn, cast(null as bigint) n from consents
+           where patient_id not in (select patient_id from asked)
+           union all
+           select 'removed', null, null, count(*) from consents
+           where patient_id in (select patient_id from asked where not done)
+           union all
+           select 'open requests', null, null, 0""",
+        "consents",
+    ),
+)
+def erasure_run(spark, d):
+    """Pending requests are carried out over the store and stamped; events of erased
+    subjects that are delivered afterwards don't land, and a second run does nothing."""
+    store = Store(spark, run_dir(spark, "erasure-run"))
+    requests = s.erasure_requests(spark, d)
+    changes = s.consents(spark, d).select(*CONSENT_COLUMNS)
+    half = F.col("lsn") % 2 == 0
+    stream.ingest_batch(changes.filter(half), CONSENTS, store, "0", clock(), erased=requests)
+    stream.ingest_batch(changes.filter(~half), CONSENTS, store, "1", clock(), erased=requests)
+    tables = {
+        "patient_consents": (CONSENTS.raw_schema, "patient_id"),
+        "patient_consents_quarantine": (QUARANTINE, "entity_id"),
+    }
+    stamped, removed = store.erase_subjects(requests, tables, "e0", clock())
+    late = changes.withColumn("lsn", F.col("lsn") + 1_000_000_000)
+    late = late.join(requests.select("patient_id"), "patient_id", "left_semi").select(*changes.columns)
+    stream.ingest_batch(late, CONSENTS, store, "2", clock(), erased=stamped)
+    _, again = store.erase_subjects(stamped, tables, "e1", clock())
+    log = store.read_log("patient_consents", CONSENTS.raw_schema)
+    none = F.lit(None)
+    counts = stamped.filter("erased_at is null").agg(F.count(F.lit(1)).alias("n"))
+    total = sum(removed.values()) + sum(again.values())
+    return (
+        log.select(F.lit("kept").alias("part"), "patient_id", "lsn", none.cast("long").alias("n"))
+        .unionAll(
+            spark.range(1).select(F.lit("removed"), none.cast("string"), none.cast("long"), F.lit(total).cast("long"))
+        )
+        .unionAll(counts.select(F.lit("open requests"), none.cast("string"), none.cast("long"), "n"))
+    )

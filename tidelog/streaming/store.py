@@ -8,6 +8,7 @@ changed after its entry exists; compaction writes a new load that replaces older
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.operators.erasure import SUBJECT, purge
-from tidelog.operators.merge import latest_per_key, new_events
+from tidelog.operators.erasure import SUBJECT, pending, purge, stamp
+from tidelog.operators.merge import latest_per_key, log_key, new_events
+from tidelog.operators.validate import BAD, accepted, prepare, quarantined
+from tidelog.sources.snapshot import declare_cdc_columns, land_snapshot
 from tidelog.spec import LATEST, TableSpec
 
 COMMITTED = 0
@@ -71,11 +74,19 @@ class Store:
 
     def committed(self, table: str) -> list[T.Row]:
         """Visible loads: committed and not replaced by a later one. This is bookkeeping
-        (one entry per load, thinned by ``compact``), not data."""
+        (one small entry per load), not data; ``overlapping`` reads less."""
         entries = self.ledger(table).filter(F.col("status") == COMMITTED).collect()
         replaced = {r for e in entries for r in e["replaces"] or ()}
         return [e for e in entries if e[LOAD] not in replaced]
 
+    def overlapping(self, table: str, low: int, high: int) -> list[str]:
+        """Visible loads whose range of positions meets low .. high. The range and the
+        replaced loads are looked up on the executors; only the few that overlap come back."""
+        done = self.ledger(table).filter(F.col("status") == COMMITTED)
+        gone = done.select(F.explode("replaces").alias(LOAD)).distinct()
+        near = done.filter((F.col("min_lsn") <= high) & (F.col("max_lsn") >= low))
+        return [r[LOAD] for r in near.join(gone, LOAD, "left_anti").select(LOAD).collect()]
+
     def is_committed(self, table: str, load_id: str) -> bool:
         """Looks at the load's own ledger entry only."""
         path = f"{self._entries(table)}/load_id={load_id}"
@@ -136,8 +147,10 @@ class Store:
             F.min("lsn").alias("lo"),
             F.max("lsn").alias("hi"),
         )
-        # Overwriting the load's own folder also clears what a crashed attempt left.
-        observed.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+        # Sorted by position, so that row groups of a file have narrow ranges. Overwriting
+        # the load's own folder also clears what a crashed attempt left.
+        sorted_by = [c for c in ("lsn", "seq") if c in df.columns]
+        observed.sortWithinPartitions(*sorted_by).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             f"{self._data(table)}/load_id={load_id}"
         )
         got = seen.get
@@ -197,6 +210,7 @@ class Store:
         at: datetime,
         ties: tuple[str, ...] = (),
         before_commit=None,
+        rows_in: int | None = None,
     ) -> bool:
         """Merge one batch. Cost follows the batch, not the table:
 
@@ -210,19 +224,44 @@ class Store:
         if spec.mode == LATEST:
             fresh = latest_per_key(batch, spec.key, ties)
         else:
-            span = batch.agg(F.min("lsn").alias("lo"), F.max("lsn").alias("hi")).first()
-            overlap = [
-                e[LOAD]
-                for e in self.committed(spec.name)
-                if None not in (span["lo"], e["min_lsn"])
-                and e["min_lsn"] <= span["hi"]
-                and e["max_lsn"] >= span["lo"]
-            ]
-            log = self.read_loads(spec.name, batch.schema, overlap)
-            if overlap:
-                log = log.filter(F.col("lsn").between(span["lo"], span["hi"]))
-            fresh = new_events(log, batch, spec.merge_key, ties, prune=False)
-        return self._commit(fresh, spec.name, load_id, at, before_commit=before_commit)
+            key = log_key(spec.merge_key, batch.columns)
+            if "lsn" in key:
+                span = batch.agg(F.min("lsn").alias("lo"), F.max("lsn").alias("hi")).first()
+                near = [] if span["lo"] is None else self.overlapping(spec.name, span["lo"], span["hi"])
+                log = self.read_loads(spec.name, batch.schema, near)
+                if near:
+                    log = log.filter(F.col("lsn").between(span["lo"], span["hi"]))
+            else:  # events may match anywhere in the log
+                log = self.read_log(spec.name, batch.schema)
+            fresh = new_events(log, batch, key, ties, prune=False)
+        return self._commit(
+            fresh, spec.name, load_id, at, before_commit=before_commit, rows_in=rows_in
+        )
+
+    def bootstrap(
+        self, source: DataFrame, spec: TableSpec, at: datetime, ties: tuple[str, ...] = ()
+    ) -> bool:
+        """Land a validated snapshot once: if this store's own ledger has one of the table,
+        nothing is read. Faulty rows go to the quarantine."""
+        if self.has_snapshot(spec.name):
+            return False
+        checked = prepare(declare_cdc_columns(source), spec).persist()
+        try:
+            counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count_if(BAD).alias("bad")).first()
+            if counts["bad"]:
+                bad = quarantined(checked, spec)
+                self.write(bad, f"{spec.name}_quarantine", "snapshot", at, rows_in=counts["bad"])
+            good = land_snapshot(accepted(checked).select(*spec.raw_schema.names), spec, ties)
+            return self._commit(
+                good, spec.name, "snapshot", at, kind="snapshot", rows_in=counts["n"]
+            )
+        finally:
+            checked.unpersist()
+
+    def has_snapshot(self, table: str) -> bool:
+        """Whether the ledger has a committed snapshot of the table, replaced or not."""
+        done = (F.col("status") == COMMITTED) & (F.col("kind") == "snapshot")
+        return not self.ledger(table).filter(done).isEmpty()
 
     def compact(
         self,
@@ -275,15 +314,44 @@ class Store:
         return done
 
     def clear_replaced(self, table: str, schema: T.StructType) -> None:
-        """Overwrite every load that a committed one replaces by an empty one."""
-        entries = self.ledger(table).filter(F.col("status") == COMMITTED).collect()
-        gone = sorted({r for e in entries for r in e["replaces"] or ()})
+        """Overwrite the loads that committed ones replaced by empty ones. An erasure has
+        done so for all loads replaced before it, so only those replaced since the last
+        erasure (its own included, should it have been cut short) are left to do."""
+        done = self.ledger(table).filter(F.col("status") == COMMITTED)
+        last = done.filter("kind = 'erasure'").agg(F.max("inserted_at")).first()[0]
+        fresh = done if last is None else done.filter(F.col("inserted_at") >= F.lit(last))
+        gone = fresh.select(F.explode("replaces").alias(LOAD)).distinct().collect()
         nothing = self.spark.createDataFrame([], schema).coalesce(1)
-        for load_id in gone:
+        for load_id in sorted(r[LOAD] for r in gone):
             nothing.write.mode("overwrite").option(
                 "partitionOverwriteMode", "static"
             ).parquet(f"{self._data(table)}/load_id={load_id}")
 
+    def erase_subjects(
+        self,
+        requests: DataFrame,
+        tables: Mapping[str, tuple[T.StructType, str]],
+        load_id: str,
+        at: datetime,
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Carry out the pending requests over the whole store, in the order of ``tables``
+        (name -> schema and key column; quarantines have ``entity_id``).
+
+        Returns the requests, stamped with ``at`` only after every table is done, and the
+        rows removed per table. Without pending requests nothing is read or written.
+        """
+        waiting = pending(requests)
+        if waiting.isEmpty():
+            return requests, {}
+        removed = {}
+        for table, (schema, key) in tables.items():
+            asked = waiting.select(F.col(SUBJECT).alias(key)).distinct()
+            log = self.read_log(table, schema)
+            removed[table] = log.join(asked, key, "left_semi").count()
+            if removed[table]:
+                self.erase(table, schema, waiting, load_id, at, key)
+        return stamp(requests, F.lit(at).cast("timestamp_ntz")), removed
+
 
 def load_times(ledger: DataFrame) -> DataFrame:
     return ledger.select(LOAD, "inserted_at")

@@ -12,11 +12,13 @@ from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.contract import check_frozen
-from tidelog.operators.validate import accepted, prepare, quarantined
+from tidelog.operators.erasure import SUBJECT
+from tidelog.operators.validate import BAD, accepted, prepare, quarantined
 from tidelog.spec import TableSpec
 from tidelog.streaming.store import Store
 
@@ -43,47 +45,75 @@ def load_id(batch_id: int) -> str:
     return f"b{batch_id:012d}"
 
 
-def merge_stream(
-    feed: DataFrame,
+def ingest_batch(
+    batch: DataFrame,
     spec: TableSpec,
     store: Store,
-    checkpoint: str,
+    load: str,
+    at: datetime,
     *,
     ties: tuple[str, ...] = (),
-    clock: Callable[[], datetime] = now,
-    before_commit: Callable[[int], None] | None = None,
-) -> StreamingQuery:
-    """Merge the feed into the store until all landed files are consumed."""
-    check_frozen(feed, spec)
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        hook = None if before_commit is None else (lambda: before_commit(batch_id))
-        store.merge_batch(batch, spec, load_id(batch_id), clock(), ties, hook)
-
-    return _start(feed, step, checkpoint)
+    keep: tuple[str, ...] = (),
+    erased: DataFrame | None = None,
+    before_commit: Callable[[], None] | None = None,
+) -> bool:
+    """The one way a batch enters the store: strip, validate, quarantine, project to the
+    contract, hold back erased subjects, merge, and write the ledger entry.
+
+    ``keep`` names columns of the feed that land beside the contract's; ``seq`` always does,
+    being part of an event's key. ``erased``: completed requests; later deliveries of these
+    subjects don't land. The ledger counts the rows of the batch as they came in; what did
+    not land (faulty, repeated, erased) is dropped. The batch is read once and kept in
+    executor storage for its outputs.
+    """
+    if store.is_committed(spec.name, load):
+        return False
+    checked = prepare(batch, spec).persist()
+    try:
+        counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count_if(BAD).alias("bad")).first()
+        if counts["bad"]:
+            bad = quarantined(checked, spec)
+            if erased is not None:
+                bad = without_subjects(bad, erased, "entity_id")
+            store.write(bad, f"{spec.name}_quarantine", load, at, rows_in=counts["bad"])
+        good = accepted(checked)
+        extra = [c for c in dict.fromkeys(("seq", *keep)) if c in good.columns]
+        names = [c for c in spec.raw_schema.names if c in good.columns]
+        good = good.select(*names, *[c for c in extra if c not in names])
+        if erased is not None and SUBJECT in good.columns:
+            good = without_subjects(good, erased, SUBJECT)
+        return store.merge_batch(good, spec, load, at, ties, before_commit, rows_in=counts["n"])
+    finally:
+        checked.unpersist()
+
+
+def without_subjects(df: DataFrame, requests: DataFrame, key: str) -> DataFrame:
+    """Rows of subjects that have no completed request."""
+    done = requests.filter("erased_at is not null").select(F.col(SUBJECT).alias(key)).distinct()
+    return df.join(done, key, "left_anti").select(*df.columns)
 
 
-def validated_stream(
+def merge_stream(
     feed: DataFrame,
     spec: TableSpec,
     store: Store,
     checkpoint: str,
     *,
     ties: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (),
+    erased: DataFrame | None = None,
     clock: Callable[[], datetime] = now,
+    before_commit: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Like ``merge_stream``, with row validation: faulty rows go to
-    ``<table>_quarantine``. The batch is kept in executor storage for its two outputs."""
+    """Ingest the feed until all landed files are consumed; see ``ingest_batch``."""
     check_frozen(feed, spec)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        checked = prepare(batch, spec).persist()
-        try:
-            bad = quarantined(checked, spec)
-            store.write(bad, f"{spec.name}_quarantine", load_id(batch_id), clock())
-            store.merge_batch(accepted(checked), spec, load_id(batch_id), clock(), ties)
-        finally:
-            checked.unpersist()
+        hook = None if before_commit is None else (lambda: before_commit(batch_id))
+        ingest_batch(
+            batch, spec, store, load_id(batch_id), clock(),
+            ties=ties, keep=keep, erased=erased, before_commit=hook,
+        )
 
     return _start(feed, step, checkpoint)
 
@@ -109,16 +139,29 @@ def run_tables(
     checkpoint_root: str,
     *,
     tables: list[str] | None = None,
+    erased: DataFrame | None = None,
     dry_run: bool = False,
 ) -> list[str]:
-    """Run the chosen tables side by side, each with its own progress. A dry run returns
+    """Ingest the chosen tables side by side, each with its own progress. A failure stops
+    the other streams and is raised; a table without a feed is an error. A dry run returns
     the table names only."""
+    unknown = sorted(set(tables or ()) - set(feeds))
+    if unknown:
+        raise ValueError(f"no feed of table(s) {', '.join(unknown)}")
     chosen = [t for t in feeds if tables is None or t in tables]
     if dry_run:
         return chosen
-    running = [
-        merge_stream(feeds[t], specs[t], store, f"{checkpoint_root}/{t}") for t in chosen
-    ]
-    for q in running:
-        run_to_end(q)
+    running: list[StreamingQuery] = []
+    try:
+        for t in chosen:
+            running.append(
+                merge_stream(feeds[t], specs[t], store, f"{checkpoint_root}/{t}", erased=erased)
+            )
+        waiting = list(running)
+        while waiting:  # whichever fails first ends the run
+            waiting = [q for q in waiting if not q.awaitTermination(0.2)]
+    finally:
+        for q in running:
+            if q.isActive:
+                q.stop()
     return chosen
