@@ -134,7 +134,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).take(pa.array(keep))
 
 
-DIFFERENCE = "leader long, v long, c long, element long, unlinked boolean, short boolean"
+DIFFERENCE = "leader long, v long, c long, element long, rest long, t double, u double, short boolean"
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,9 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     and t(x) > 0 just if x isn't linked with the leader. So one of two classes that are
     linked but not through the leader has s >= t(x) > 0 and the other s > u(y). If both
     lists of differences are sorted alike, those prefixes that leave out less than that many
-    share an element. The added shingles come first: they are rare.
+    share an element. At the first one they share, ``rest`` of each list, this one counted,
+    can still be the same: it must reach t(x) + u(y). Added shingles come first: they are
+    rare.
     """
     r = LINK / (100 + LINK)
     for batch in batches:
@@ -159,7 +161,7 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, lead = shingle_sets([x, lead])
             added, lacked = np.setdiff1d(own, lead, True), np.setdiff1d(lead, own, True)
             p, q, n = len(lacked), len(added), len(lead)
-            # A small allowance for rounding only makes the prefixes longer.
+            # A small allowance for rounding only lets more pairs through.
             t = p - n + r * (len(own) + n) - 1e-6
             u = (1 - r) * p + r * q - 1e-6
             unlinked = 100 * (n - p) < LINK * (n + q)
@@ -170,9 +172,9 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.arange(size)
             same = lambda name, k=i, m=size: pa.array([batch.column(name)[k].as_py()] * m, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [same("b"), same("a"), same("c"), pa.array(elements[:size]),
-                 pa.array(at < x_length), pa.array(at < y_length)],
-                ["leader", "v", "c", "element", "unlinked", "short"],
+                [same("b"), same("a"), same("c"), pa.array(elements[:size]), pa.array(p + q - at),
+                 pa.array(np.full(size, t), mask=at >= x_length), pa.array(np.full(size, u)), pa.array(at < y_length)],
+                ["leader", "v", "c", "element", "rest", "t", "u", "short"],
             )
 
 
@@ -250,9 +252,9 @@ def link(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     again = landed(again, "again")
     if not again.isEmpty():
         unlike = landed(_with_texts(again, texts).mapInArrow(_differences, DIFFERENCE), "differences")
-        x = unlike.filter("unlinked").select("leader", "element", F.col("v").alias("a"), F.col("c").alias("ca"))
-        y = unlike.filter("short").select("leader", "element", F.col("v").alias("b"), F.col("c").alias("cb"))
-        left = x.join(y, ["leader", "element"]).filter("ca <> cb")
+        x = unlike.filter("t is not null").select("leader", "element", F.col("v").alias("a"), F.col("c").alias("ca"), F.col("rest").alias("ra"), "t")
+        y = unlike.filter("short").select("leader", "element", F.col("v").alias("b"), F.col("c").alias("cb"), F.col("rest").alias("rb"), "u")
+        left = x.join(y, ["leader", "element"]).filter("ca <> cb and least(ra, rb) >= t + u")
         left = landed(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "left")
         if not left.isEmpty():
             links = links.unionAll(confirm(left, texts))
