@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 
 from tidelog.operators.contract import SchemaFrozen
-from tidelog.spec import CONSENTS, PROVIDERS
+from tidelog.spec import CONSENTS, PATIENTS, PROVIDERS
 from tidelog.streaming import stream
 from tidelog.streaming.store import SeveralLoads, Store, latest_load, new_load_or_noop
 
@@ -215,7 +215,7 @@ def test_stream_refuses_a_new_column(spark, store, tmp_path):
     assert store.ledger("patient_consents").count() == 0
 
 
-def test_validated_stream_splits_rows(spark, store, tmp_path):
+def test_stream_splits_rows_and_counts_them(spark, store, tmp_path):
     df = cons(spark, *feed_rows(20)).withColumn(
         "lsn", F.when(F.col("lsn") % 5 == 0, "x").otherwise(F.col("lsn").cast("string"))
     )
@@ -225,8 +225,75 @@ def test_validated_stream_splits_rows(spark, store, tmp_path):
     q = stream.merge_stream(feed, CONSENTS, store, f"{store.root}/cp", clock=lambda: T0)
     stream.run_to_end(q)
     assert store.read_log("patient_consents", cons(spark).schema).count() == 16
-    entry = store.ledger("patient_consents_quarantine").first()
-    assert entry["rows_out"] == 4
+    assert store.ledger("patient_consents_quarantine").first()["rows_out"] == 4
+    entry = store.ledger("patient_consents").agg(F.sum("rows_in"), F.sum("rows_dropped")).first()
+    assert tuple(entry) == (20, 4)
+
+
+PATIENT_FEED = (
+    "patient_id string, name string, primary_provider_id string, postcode string, "
+    "updated_at timestamp_ntz, lsn long, op string, txn long"
+)
+
+
+def test_ingest_strips_validates_and_projects(spark, store, tmp_path):
+    rows_in = [("p1", "Jane Roe", "d", "1", T0, 1, "I", 7), (None, "No One", "d", "1", T0, 2, "I", 7)]
+    assert stream.ingest_batch(spark.createDataFrame(rows_in, PATIENT_FEED), PATIENTS, store, "0", T0)
+    landed = spark.read.parquet(str(tmp_path / "raw" / "patients"))
+    assert set(landed.columns) == {*PATIENTS.columns, "lsn", "load_id"}
+    assert landed.count() == 1
+    entry = store.ledger("patients").first()
+    assert (entry["rows_in"], entry["rows_out"], entry["rows_dropped"]) == (2, 1, 1)
+    assert store.ledger("patients_quarantine").first()["rows_out"] == 1
+
+
+def test_events_of_one_position_land_with_seq(spark, store):
+    df = cons(spark, ("P", True, 7, None), ("Q", False, 7, None)).withColumn(
+        "seq", F.when(F.col("patient_id") == "P", 1).otherwise(2)
+    )
+    stream.ingest_batch(df, CONSENTS, store, "0", T0)
+    stream.ingest_batch(df, CONSENTS, store, "1", T0)  # delivered again
+    assert store.read_log("patient_consents", df.schema).count() == 2
+
+
+def test_snapshot_lands_once_and_changes_follow(spark, store):
+    copy = spark.createDataFrame([("P", True, None, None), (None, True, None, None)],
+                                 ", ".join(LOG.split(", ")[:4]))
+    assert store.bootstrap(copy, CONSENTS, T0)
+    assert not store.bootstrap(copy.union(copy), CONSENTS, T0)
+    entry = store.ledger("patient_consents").first()
+    assert (entry["kind"], entry["rows_in"], entry["rows_out"]) == ("snapshot", 2, 1)
+    store.compact(CONSENTS, cons(spark).schema, "c", T0)
+    assert not store.bootstrap(copy, CONSENTS, T0)
+
+
+def test_erased_subjects_do_not_come_back(spark, store):
+    schema = cons(spark).schema
+    stream.ingest_batch(cons(spark, ("P", True, 1, None), ("Q", True, 2, None)), CONSENTS, store, "0", T0)
+    asked = spark.createDataFrame([("P", None)], "patient_id string, erased_at timestamp_ntz")
+    tables = {"patient_consents": (schema, "patient_id")}
+    stamped, removed = store.erase_subjects(asked, tables, "e0", T0)
+    assert removed == {"patient_consents": 1} and rows(stamped, "erased_at") == [(T0,)]
+    late = cons(spark, ("P", False, 3, None), ("Q", False, 4, None))
+    stream.ingest_batch(late, CONSENTS, store, "1", T0, erased=stamped)
+    assert rows(store.read_log("patient_consents", schema), "patient_id", "lsn") == [("Q", 2), ("Q", 4)]
+    assert store.erase_subjects(stamped, tables, "e1", T0)[1] == {}
+
+
+def test_a_failing_table_stops_the_others(spark, store, tmp_path):
+    land(cons(spark, *feed_rows(10)), tmp_path / "c", 1)
+    bad = cons(spark, *feed_rows(4)).withColumn("surprise", F.lit("x"))
+    land(bad, tmp_path / "p", 1)
+    feeds = {
+        "patient_consents": stream.feed_stream(spark, str(tmp_path / "c"), cons(spark).schema),
+        "providers": stream.feed_stream(spark, str(tmp_path / "p"), bad.schema),
+    }
+    specs = {"patient_consents": CONSENTS, "providers": PROVIDERS}
+    with pytest.raises(SchemaFrozen):
+        stream.run_tables(feeds, specs, store, f"{store.root}/cp")
+    assert not spark.streams.active
+    with pytest.raises(ValueError, match="unknown"):
+        stream.run_tables(feeds, specs, store, f"{store.root}/cp", tables=["unknown"])
 
 
 def test_tables_run_apart_and_dry_run_writes_nothing(spark, store, tmp_path):

@@ -162,3 +162,68 @@ def test_types_by_number():
 def test_cell_text_to_value(spark, text, oid, want):
     df = spark.createDataFrame([(text,)], "c string")
     assert df.select(try_typed(F.col("c"), spark_type(oid)).cast("string")).first()[0] == want
+
+
+def test_well_formed_tuples_are_split():
+    import pyarrow as pa
+
+    messages = [
+        change(b"I", b"N", cells("a", None)),
+        change(b"U", b"K", cells("old", None), b"N", cells("new", ...)),
+        change(b"D", b"O", cells("gone", "x")),
+        b"B" + b"\0" * 20,
+    ]
+    old, new = wal.split_payloads(pa.array(messages, pa.binary()))
+    assert [[c["val"] for c in x] if x else None for x in old.to_pylist()] == [None, ["old", None], ["gone", "x"], None]
+    # A delete's only tuple is its old one.
+    assert [c["val"] for c in new.to_pylist()[1]] == ["new", None]
+
+
+@pytest.mark.parametrize(
+    "message",
+    [
+        change(b"I", b"N", struct.pack(">h", 2), b"b", b"n"),  # unknown kind of cell
+        change(b"U", b"K", cells("a"), b"X", cells("b")),  # second tag
+        change(b"U", b"K", cells("a")),  # no second tuple
+        change(b"I", b"Q", cells("a")),  # first tag
+        change(b"D", b"N", cells("a")),
+        change(b"I", b"N", struct.pack(">h", 3), b"n"),  # fewer cells than counted
+        change(b"I", b"N", struct.pack(">h", 1), b"t", struct.pack(">i", 9), b"abc"),  # cut off text
+        change(b"I", b"N", struct.pack(">h", 1), b"t\0\0"),
+        change(b"I", b"N", b"\0"),
+        change(b"I", b"N", cells("a"), b"more"),
+        b"",
+    ],
+)
+def test_malformed_tuples_raise(message):
+    """Nothing is read from the bytes of the message that follows."""
+    import pyarrow as pa
+
+    good = change(b"I", b"N", cells("next", "message", "bytes"))
+    with pytest.raises(ValueError):
+        wal.split_payloads(pa.array([good, message, good], pa.binary()))
+
+
+def test_batches_are_cut_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(wal, "SPLIT_BYTES", 60)
+    payloads = [change(b"I", b"N", cells(f"value {i}")) for i in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(payloads, pa.binary())], ["seq", "payload"])
+    out = list(wal.split_batches(iter([batch])))
+    assert len(out) > 5
+    assert [c[0]["val"] for b in out for c in b.column("cells").to_pylist()] == [f"value {i}" for i in range(20)]
+
+
+@pytest.mark.parametrize("text", ["1234567890123456789012.5", "NaN", "0.1234567890123456789", "1e3x"])
+def test_numbers_that_do_not_fit_are_faults(spark, text):
+    """Neither rounded nor lost: the value is no value of the type, and a row fails for it."""
+    from tidelog.functions.cells import failed_cast
+
+    df = spark.createDataFrame([(text,)], "t string")
+    typed = try_typed(F.col("t"), spark_type(1700))
+    assert df.select(failed_cast(F.col("t"), typed).alias("f")).first()["f"]
+
+
+def test_wide_numbers_keep_their_text():
+    assert spark_type(1700, ((40 << 16) | 2) + 4) == T.StringType()

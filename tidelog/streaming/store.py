@@ -12,7 +12,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,17 +59,16 @@ class Store:
 
     # ---- ledger -------------------------------------------------------------------
 
-    def _read_entries(self, path: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+    def _read_entries(self, folder: str, path: str | None = None) -> DataFrame:
+        """Entries under a folder; none where it does not exist yet."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(path or folder)
 
     def ledger(self, table: str) -> DataFrame:
         """Ledger entries of a table: one row per load."""
-        return self._read_entries(f"{self._entries(table)}/*")
+        return self._read_entries(self._entries(table), f"{self._entries(table)}/*")
 
     def committed(self, table: str) -> list[T.Row]:
         """Visible loads: committed and not replaced by a later one. This is bookkeeping
