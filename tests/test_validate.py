@@ -149,6 +149,8 @@ def test_mask_and_row_identity(spark):
     assert rows(staging.mask(df, PATIENTS)) == [("P", "<redacted>", "<redacted>")]
     a = spark.createDataFrame([("x", None), (None, "x"), ("", "x")], "a string, b string")
     assert staging.row_identity(a, ["a", "b"]).select("_row_id").distinct().count() == 3
+    b = spark.createDataFrame([("x\u0001", "y"), ("x", "\u0001y"), ("N", None), (None, "N")], "a string, b string")
+    assert staging.row_identity(b, ["a", "b"]).select("_row_id").distinct().count() == 4
 
 
 def test_foreign_keys(spark):

@@ -79,6 +79,11 @@ def exclude_prefix(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 
 def row_identity(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Add ``_row_id``, a digest of the row's content. NULL differs from empty text."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    return df.withColumn("_row_id", F.sha2(F.concat_ws("\u0001", *cells), 256))
+    """Add ``_row_id``, a digest of the row's content. Each cell goes in with its length, so
+    no text can pass for two cells; NULL differs from any text."""
+    texts = [F.col(c).cast("string") for c in columns]
+    cells = [
+        F.when(t.isNull(), "N").otherwise(F.concat(F.lit("V"), F.length(t).cast("string"), F.lit(":"), t))
+        for t in texts
+    ]
+    return df.withColumn("_row_id", F.sha2(F.concat(*cells), 256))

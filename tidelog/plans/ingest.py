@@ -302,15 +302,19 @@ def strip_pii(spark, d):
 
 
 def _digest(columns: list[str]) -> str:
-    cells = ", ".join(f"coalesce(cast({c} as varchar), '\\N')" for c in columns)
-    return f"sha256(concat_ws(chr(1), {cells}))"
+    cells = " || ".join(
+        f"case when {c} is null then 'N' else 'V' || length(cast({c} as varchar)) || ':' || cast({c} as varchar) end"
+        for c in columns
+    )
+    return f"sha256({cells})"
 
 
+APPOINTMENT_ROW = [*SPECS["appointments"].columns, "part"]
 ROW_COLUMNS = {
-    "appointments": ["event_id", "part", "provider_id", "status"],
-    "patients": ["patient_id", "lsn", "postcode", "primary_provider_id"],
-    "providers": ["provider_id", "name", "specialty"],
-    "patient_consents": ["patient_id", "lsn"],
+    "appointments": APPOINTMENT_ROW,
+    "patients": [*PATIENTS.columns, "lsn"],
+    "providers": PROVIDERS.columns,
+    "patient_consents": [*SPECS["patient_consents"].columns, "lsn"],
 }
 
 
@@ -385,16 +389,13 @@ def stg_consents(spark, d):
     "row_identity",
     sql(
         f"""select event_id, part, provider_id, 'snapshot' _load_id,
-                   {_digest(['event_id', 'appointment_id', 'patient_id', 'provider_id', 'status', 'part'])} _row_id
+                   {_digest(APPOINTMENT_ROW)} _row_id
             from appointments""",
         "appointments",
     ),
 )
 def row_identity(spark, d):
-    cols = ["event_id", "appointment_id", "patient_id", "provider_id", "status", "part"]
-    df = staging.row_identity(
-        s.appointments(spark, d).withColumn("_load_id", F.lit("snapshot")), cols
-    )
+    df = raw(s.appointments(spark, d), "appointments", F.lit("snapshot"))
     return df.select("event_id", "part", "provider_id", "_load_id", "_row_id")
 
 
