@@ -33,9 +33,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _kept(docs, quality.judge(docs).filter("kept"))
 
 
+#: Near duplicates of the corpus share this percentage of their five-word shingles or more.
+#: The query op3 has its own, 85.
+NEAR = 80
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest id stays."""
-    return _kept(docs, neardup.link(docs).filter("kept"))
+    return _kept(docs, neardup.link(docs, threshold=NEAR).filter("kept"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,3 +51,28 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def test_near_copies_at_80_to_85_percent_go(spark):
+    rng = random.Random(9)
+    rows, gone, between = [], set(), 0
+    for k in range(60):
+        base = words(rng, 30 + k).split()
+        copy = list(base)
+        # A changed word inside a text changes five shingles of it.
+        copy[len(base) // 2] = f"edit{k}"
+        if len(base) > 70:
+            copy[len(base) // 4] = f"more{k}"
+        rows += [(2 * k, " ".join(base), "en", "s", 0), (2 * k + 1, " ".join(copy), "en", "s", 0)]
+        p, q = shingles(rows[-2][1]), shingles(rows[-1][1])
+        if 100 * len(p & q) >= 80 * len(p | q):
+            gone.add(2 * k + 1)
+            between += 100 * len(p & q) < 85 * len(p | q)
+    assert between >= 10 and len(gone) < 60
+    out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, DOCS), SF)
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} == {r[0] for r in rows} - gone

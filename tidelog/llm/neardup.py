@@ -1,7 +1,7 @@
 """Near duplicates by MinHash bands, verified first by odd sketches and then in full.
 
 A document is its set of distinct 5-word shingles. Documents with equal sets are one class.
-Of each class, SAMPLES MinHash values are taken: in bands they name buckets in which similar
+Of each class, MinHash values are taken: in bands they name buckets in which similar
 classes meet, and folded into a parity bitmap (an odd sketch) they tell, by the number of
 bits in which two sketches differ, how similar two classes are.
 
@@ -17,7 +17,9 @@ changes no component, so nothing is lost, and no bucket is paired with itself.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +30,48 @@ from tidelog.llm.common import Words, landed, lower_ascii, mix, slices, text_of,
 from tidelog.llm.components import components
 
 SHINGLE = 5
-#: Links: 100 * intersection >= LINK * union.
-LINK = 85
-#: 20 bands of 4: a pair at 0.85 shares no band with probability (1 - 0.85**4)**20 = 4e-7.
-BANDS, ROWS = 20, 4
-SAMPLES = BANDS * ROWS
-#: Bits of an odd sketch. A differing sample turns two bits at most, so a pair with up to 30
-#: differing samples of 80 differs in up to 60 bits; a pair at 0.85 has more than 30 with
-#: probability 2e-7.
-BITS, FAR = 256, 60
+#: Rows of a band. Bands and samples follow from the threshold, see ``Plan``.
+ROWS = 4
+#: Most a linked pair may be missed for want of a common band, and by its sketches.
+MISS, MISS_SKETCH = 4e-7, 2e-7
+
+
+class Plan:
+    """What follows from a threshold: 100 * intersection >= link * union links two sets.
+
+    ``bands`` is the least number of bands of ROWS with which a pair at the threshold shares
+    none with probability MISS at most: (1 - (link / 100)**ROWS)**bands. A differing sample
+    turns two bits of an odd sketch at most, so a pair with up to d differing samples differs
+    in up to 2 * d = ``far`` bits; a pair at the threshold has more than d with probability
+    MISS_SKETCH at most. The sketch is at least twice as long as there are samples, so that
+    unlike sets stay beyond ``far``. 85: 20 bands, 60 of 256 bits. 80: 28 bands, 92 of 512.
+    """
 
-_RNG = np.random.RandomState(31337)
-_FACTOR = _RNG.randint(0, 2**63, SAMPLES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.randint(0, 2**63, SAMPLES, dtype=np.int64).astype(np.uint64)
+    def __init__(self, link: int):
+        if not 50 <= link <= 100:
+            raise ValueError(f"threshold {link} is not in 50 .. 100 percent")
+        self.link, alike = link, link / 100
+        self.bands = 1
+        while (1 - alike**ROWS) ** self.bands > MISS:
+            self.bands += 1
+        n = self.samples = self.bands * ROWS
+        least, more = 0, 1 - alike**n
+        while more > MISS_SKETCH:
+            least += 1
+            more -= math.comb(n, least) * (1 - alike) ** least * alike ** (n - least)
+        self.far = 2 * least
+        self.bits = max(256, 1 << (2 * n - 1).bit_length())
+        rng = np.random.RandomState(31337)
+        draw = lambda: rng.randint(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+        self.factor = draw() * np.uint64(2) + np.uint64(1)
+        self.add = draw()
+        self.sketch = [f"s{i}" for i in range(self.bits // 64)]
+
+
+#: The threshold of ``link`` where none is given, and its far.
+LINK = 85
+OWN = Plan(LINK)
+FAR = OWN.far
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
@@ -53,82 +84,78 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return sets
 
 
-def min_hashes(values: np.ndarray) -> np.ndarray:
-    best = np.full(SAMPLES, 2**64 - 1, np.uint64)
+def min_hashes(values: np.ndarray, plan: Plan = OWN) -> np.ndarray:
+    best = np.full(plan.samples, 2**64 - 1, np.uint64)
     with np.errstate(over="ignore"):
         for a in range(0, len(values), 4096):
-            part = values[a : a + 4096, None] * _FACTOR + _ADD
+            part = values[a : a + 4096, None] * plan.factor + plan.add
             best = np.minimum(best, part.min(axis=0))
     return best
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
+def band_keys(samples: np.ndarray, plan: Plan = OWN) -> np.ndarray:
     with np.errstate(over="ignore"):
-        key = np.arange(1, BANDS + 1, dtype=np.uint64)
+        key = np.arange(1, plan.bands + 1, dtype=np.uint64)
         for r in range(ROWS):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + samples.reshape(BANDS, ROWS)[:, r])
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + samples.reshape(plan.bands, ROWS)[:, r])
     return key.view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity of the number of samples that hash to each of BITS bits, as 64-bit words."""
+def odd_sketch(samples: np.ndarray, plan: Plan = OWN) -> np.ndarray:
+    """Parity of the number of samples that hash to each bit, as 64-bit words."""
     with np.errstate(over="ignore"):
-        place = mix(samples + np.arange(SAMPLES, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) % np.uint64(BITS)
-    parity = np.bincount(place.astype(np.int64), minlength=BITS) & 1
+        place = mix(samples + np.arange(plan.samples, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) % np.uint64(plan.bits)
+    parity = np.bincount(place.astype(np.int64), minlength=plan.bits) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
-WORDS = BITS // 64
-SKETCH = [f"s{i}" for i in range(WORDS)]
-
-
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(plan: Plan, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").to_pylist()
         for a, b in slices(texts):
             sets = shingle_sets(texts[a:b])
             n = np.array([len(s) for s in sets], np.int64)
-            samples = [min_hashes(s) for s in sets]
-            bands = np.concatenate([band_keys(m) for m in samples])
-            words = np.array([odd_sketch(m) for m in samples]).reshape(-1, WORDS)
+            samples = [min_hashes(s, plan) for s in sets]
+            bands = np.concatenate([band_keys(m, plan) for m in samples])
+            words = np.array([odd_sketch(m, plan) for m in samples]).reshape(-1, len(plan.sketch))
             names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            at = np.arange(0, len(bands) + 1, BANDS, dtype=np.int32)
+            at = np.arange(0, len(bands) + 1, plan.bands, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(a, b - a), pa.array(n), pa.array(names, pa.binary()),
-                 *[pa.array(np.ascontiguousarray(words[:, i])) for i in range(WORDS)],
+                 *[pa.array(np.ascontiguousarray(words[:, i])) for i in range(len(plan.sketch))],
                  pa.ListArray.from_arrays(pa.array(at), pa.array(bands))],
-                ["doc_id", "n_shingles", "name", *SKETCH, "bands"],
+                ["doc_id", "n_shingles", "name", *plan.sketch, "bands"],
             )
 
 
-def sketches(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def sketches(docs: DataFrame, key: str = "doc_id", plan: Plan = OWN) -> DataFrame:
     """Per row: set size, name of the set, sketch and band keys."""
     own = docs.select(F.col(key).cast("long").alias("doc_id"), text_of("text").alias("text"))
-    schema = "doc_id long, n_shingles long, name binary, " + ", ".join(f"{s} long" for s in SKETCH)
-    return own.mapInArrow(_sketches, schema + ", bands array<long>")
+    schema = "doc_id long, n_shingles long, name binary, " + ", ".join(f"{s} long" for s in plan.sketch)
+    return own.mapInArrow(partial(_sketches, plan), schema + ", bands array<long>")
 
 
-def _apart(left: str, right: str):
+def _apart(left: str, right: str, plan: Plan):
     """Bits in which two sketches differ."""
     total = F.lit(0)
-    for s in SKETCH:
+    for s in plan.sketch:
         total = total + F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}")))
     return total
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(link: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
         keep = []
         for i, (x, y) in enumerate(zip(left, right, strict=True)):
             p, q = shingle_sets([x, y])
             # Sets of these sizes may be too different whatever they share.
-            if 100 * min(len(p), len(q)) < LINK * max(len(p), len(q)):
+            if 100 * min(len(p), len(q)) < link * max(len(p), len(q)):
                 continue
             both = np.concatenate([p, q])
             both.sort()
             common = int((both[1:] == both[:-1]).sum())
-            if 100 * common >= LINK * (len(both) - common):
+            if 100 * common >= link * (len(both) - common):
                 keep.append(i)
         if keep:
             yield batch.select(["a", "b"]).take(pa.array(keep))
@@ -137,12 +164,12 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 DIFFERENCE = "leader long, v long, c long, element long, rest long, t double, u double, short boolean"
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differences(link: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What of a class (a) differs from its bucket's leader (b), as far as it is needed.
 
     Let a class x lack p of the leader's n shingles and have q others. Two classes x and y
     of a leader share n - p_x - p_y + s shingles, s being the number of differences that are
-    the same in both. With r = LINK / (100 + LINK), they are linked if that reaches
+    the same in both. With r = link / (100 + link), they are linked if that reaches
     r * (|x| + |y|), so if
 
         s >= t(x) + u(y),  t(x) = p_x - n + r * (|x| + n),  u(y) = (1 - r) * p_y + r * q_y
@@ -154,7 +181,7 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     can still be the same: it must reach t(x) + u(y). Added shingles come first: they are
     rare.
     """
-    r = LINK / (100 + LINK)
+    r = link / (100 + link)
     for batch in batches:
         left, right = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
         for i, (x, lead) in enumerate(zip(left, right, strict=True)):
@@ -164,7 +191,7 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # A small allowance for rounding only lets more pairs through.
             t = p - n + r * (len(own) + n) - 1e-6
             u = (1 - r) * p + r * q - 1e-6
-            unlinked = 100 * (n - p) < LINK * (n + q)
+            unlinked = 100 * (n - p) < link * (n + q)
             elements = np.concatenate([added, mix(lacked + np.uint64(1))]).view(np.int64)
             x_length = p + q - max(1, int(np.ceil(t))) + 1 if unlinked else 0
             y_length = max(0, p + q - (int(np.floor(u)) + 1) + 1)
@@ -184,10 +211,10 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Those pairs (a, b) that are linked by their full sets. ``texts``: (doc_id, text)."""
     full = _with_texts(pairs.select("a", "b"), texts).select("a", "b", "ta", "tb")
-    return landed(full.mapInArrow(_linked, "a long, b long"), "links")
+    return landed(full.mapInArrow(partial(_linked, threshold), "a long, b long"), "links")
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -198,18 +225,20 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs
 
 
-def link(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of ``docs``.
+def link(docs: DataFrame, key: str = "doc_id", threshold: int = LINK) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per row of ``docs``; sets whose similarity is
+    ``threshold`` percent or more are linked.
 
     A text without words (or null) has an empty set and is linked with nothing. Rows with
     equal sets are linked; rows that repeat a doc_id count as one document, so what either
     is linked with, both are. Rows with null doc_id are linked with nothing, get a null
     component and stay. An empty table gives no row; other columns are not read.
     """
-    every = landed(sketches(docs, key), "sketches")
+    plan = Plan(threshold)
+    every = landed(sketches(docs, key, plan), "sketches")
     real = every.filter("name is not null and doc_id is not null")
     classes = real.groupBy("name").agg(
-        F.min("doc_id").alias("v"), F.first(F.struct(*SKETCH)).alias("sketch"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("v"), F.first(F.struct(*plan.sketch)).alias("sketch"), F.first("bands").alias("bands")
     )
     classes = landed(classes, "classes")
     rows = classes.select("v", "sketch", F.explode("bands").alias("bucket"))
@@ -222,9 +251,9 @@ def link(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     first = F.min(F.struct(-F.col("central"), "v", "sketch")).alias("l")
     leaders = rows.groupBy("bucket").agg(first).select("bucket", F.col("l.v").alias("lv"), F.col("l.sketch").alias("ls"))
     led = rows.select("bucket", "v", "sketch", "n").join(leaders, "bucket").filter("v <> lv")
-    led = led.withColumn("apart", _apart("sketch", "ls")).drop("sketch", "ls")
+    led = led.withColumn("apart", _apart("sketch", "ls", plan)).drop("sketch", "ls")
     led = landed(led, "led")
-    near = led.filter(F.col("apart") <= FAR)
+    near = led.filter(F.col("apart") <= plan.far)
     pairs = near.groupBy("v", F.col("lv").alias("w")).agg(F.min("apart").alias("apart"))
     pairs = landed(pairs, "pairs")
 
@@ -235,14 +264,14 @@ def link(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     # 1: each class with the leader it is nearest to.
     nearest = pairs.groupBy("v").agg(F.min(F.struct("apart", "w")).alias("m"))
     nearest = landed(nearest.select(F.col("v").alias("a"), F.col("m.w").alias("b")), "nearest")
-    links = confirm(nearest, texts)
+    links = confirm(nearest, texts, threshold)
     labels = components(links)
 
     # 2: with its other leaders, where they are in other components.
     others = pairs.select(F.col("v").alias("a"), F.col("w").alias("b")).join(nearest, ["a", "b"], "left_anti")
     others = landed(_labelled(others, labels).filter("ca <> cb").select("a", "b"), "others")
     if not others.isEmpty():
-        links = links.unionAll(confirm(others, texts))
+        links = links.unionAll(confirm(others, texts, threshold))
         labels = components(links)
 
     # 3: buckets of three classes or more that still hold several components.
@@ -251,13 +280,13 @@ def link(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     again = placed.join(mixed, "bucket", "left_semi").select("a", "b", F.col("ca").alias("c")).distinct()
     again = landed(again, "again")
     if not again.isEmpty():
-        unlike = landed(_with_texts(again, texts).mapInArrow(_differences, DIFFERENCE), "differences")
+        unlike = landed(_with_texts(again, texts).mapInArrow(partial(_differences, threshold), DIFFERENCE), "differences")
         x = unlike.filter("t is not null").select("leader", "element", F.col("v").alias("a"), F.col("c").alias("ca"), F.col("rest").alias("ra"), "t")
         y = unlike.filter("short").select("leader", "element", F.col("v").alias("b"), F.col("c").alias("cb"), F.col("rest").alias("rb"), "u")
         left = x.join(y, ["leader", "element"]).filter("ca <> cb and least(ra, rb) >= t + u")
         left = landed(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "left")
         if not left.isEmpty():
-            links = links.unionAll(confirm(left, texts))
+            links = links.unionAll(confirm(left, texts, threshold))
             labels = components(links)
 
     named = classes.join(labels.select("v", "c"), "v", "left").select("name", F.coalesce("c", "v").alias("component_id"))
