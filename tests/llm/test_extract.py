@@ -30,6 +30,34 @@ def test_cases(page):
     assert extract.main_text(page) == CASES[page]
 
 
+LINKS = "<ul><li><a href=1>a</a></li><li><a href=2>b</a></li><li><a href=3>c</a></li><li><a href=4>d</a></li></ul>"
+BODY = "<p>" + "Long text of the body. " * 20 + "</p>"
+LONG = BODY[3:-5]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # Short text apart from the body is text, however long the body is.
+        (f"<p>Opening.</p>{LINKS}{BODY * 9}{LINKS}<p>Closing.</p>", " ".join(["Opening.", *[LONG] * 9, "Closing."])),
+        # A class of the whole page, or a form around it, takes nothing away.
+        (f"<div class='has-sidebar'>{BODY}<div class=sidebar><p>Other</p></div></div>", LONG),
+        (f"<div class='row noSidebar'><p>Short.</p></div>{BODY}", f"Short. {LONG}"),
+        (f"<form id=aspnetForm><div class=menu><a href=x>m</a></div>{BODY}</form>", LONG),
+        (f"<form><main><p>Text.</p></main><p>{'Small print. ' * 9}</p></form>", f"Text. {('Small print. ' * 9).strip()}"),
+        ("<div class='page widget'><article><p>Text.</p></article></div><p>End.</p>", "Text. End."),
+        # A form, class or comment that doesn't hold the page's text still goes.
+        (f"{BODY}<form><p>Name</p></form><div class=comments><p>c</p></div>", LONG),
+        (f"<article><p>Text.</p></article><div class=comments>{BODY}</div>", "Text."),
+        (f"<article><p>Text.</p><div class=comments><article>{BODY}</article></div></article>", "Text."),
+        (f"<div class=sidebar><nav><article>{BODY}</article></nav><p>x</p></div><main><p>Text.</p></main>", "Text."),
+    ],
+    ids=range(10),
+)
+def test_nothing_but_boilerplate_goes(page, want):
+    assert extract.main_text(page) == want
+
+
 def test_rows(spark):
     rows = [(1, "u", "<p>a</p>"), (1, "u", "<p>a</p>"), (2, None, None), (None, "u", "<nav>x</nav>")]
     out = as_rows(extract.extract(clashing(spark.createDataFrame(rows, PAGES))), "page_id", "url", "text", "n_chars")

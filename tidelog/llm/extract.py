@@ -1,9 +1,10 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped into lines, one per block element. Lines inside menus, forms, adverts
-and the like are known by element, role or class and carry no text. Over what is left, a
-sliding window sums text lengths (link text outside an article counts nothing): where the sum surges, the main
-text begins, where it dives, it ends, and the lines between are kept.
+and the like are known by element, role or class and carry no text; a form or a class is no
+sign against an element that holds the page's text (see ``spared``). Over what is left, a
+sliding window sums text lengths (link text outside an article counts nothing): where the sum surges, a stretch
+of main text begins, where it dives, it ends, and the lines of all stretches are kept.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ from tidelog.llm.common import text_of
 WINDOW = 3
 #: A window with fewer characters of text (links aside) belongs to no main text.
 SURGE = 1
-#: A second stretch of text is kept if it has this share of the largest one's characters.
-SHARE = 0.2
 
 # Fixed by HTML: elements whose content is no text, elements that hold other blocks, and
 # elements that end a line.
@@ -33,7 +32,6 @@ CONTAINERS = frozenset(
     "hgroup html li main menu nav ol section table tbody td tfoot th thead tr ul".split()
 )
 BLOCKS = CONTAINERS | frozenset("br caption dt figcaption h1 h2 h3 h4 h5 h6 hr legend p pre summary".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 #: Elements, roles and words of class or id that mark what is no main text.
 AWAY = frozenset("nav aside footer form menu dialog button".split())
@@ -63,23 +61,109 @@ _SOUND = re.compile(r"[^\W_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def is_away(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element holds no main text. A header inside an article is its title."""
-    if name in AWAY or name == "header" and not in_article:
-        return True
+#: A class like has-sidebar or noSidebar tells the state of a page, not what an element is.
+_STATE = re.compile(r"\b(?:has|no|with|without)(?:[-_]+|(?=[A-Z]))[a-zA-Z]+")
+
+
+def sign(name: str, rest: str, in_article: bool) -> str:
+    """Whether an element holds no main text: "away", "maybe" where only a class, an id or a
+    form says so, or "". A header inside an article is its title."""
+    if name == "form":
+        found = "maybe"
+    elif name in AWAY or name == "header" and not in_article:
+        return "away"
+    else:
+        found = ""
     if name in NEVER or not rest.strip():
-        return name in NEVER and "comment" in rest.lower() and name == "article"
+        return "away" if name == "article" and "comment" in rest.lower() else found
     for m in _ATTR.finditer(rest):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
-            return True
+            return "away"
         if kind == "role" and value.strip().lower() in AWAY_ROLES:
-            return True
+            if value.strip().lower() != "form":
+                return "away"
+            found = "maybe"
         if kind in ("class", "id"):
-            words = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", value))}
+            words = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", _STATE.sub(" ", value)))}
             if words & AWAY_WORDS and not (name == "header" or in_article and words & {"header", "meta"} == words & AWAY_WORDS):
-                return True
-    return False
+                found = "maybe"
+    return found
+
+
+def _is_element(name: str) -> bool:
+    """Whether an element is kept on the stack while it is open."""
+    return name in CONTAINERS or name in ("p", "span", "button")
+
+
+def _closed(stack: list[tuple], name: str, end: bool) -> list[tuple]:
+    """Take off the stack what a tag closes; gives what was taken off, innermost first."""
+    at = len(stack)
+    if not end:
+        if name == "p" and stack and stack[-1][0] == "p":
+            at -= 1
+        elif name in CONTAINERS:
+            while at and stack[at - 1][0] in ("p", "span", "button"):
+                at -= 1
+        if name == "li" and at and stack[at - 1][0] == "li":
+            at -= 1
+    else:
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth][0] == name:
+                at = depth
+                break
+            if name in ("p", "span", "button") and stack[depth][0] in CONTAINERS:
+                break
+    gone = stack[at:][::-1]
+    del stack[at:]
+    return gone
+
+
+def spared(page: str) -> set[int]:
+    """Where those elements begin that may be away but hold the page's text: an article or
+    main with text, or, on a page without these, more than half of all text. An article
+    inside another is a comment on it and no sign; text of links doesn't count."""
+    # Element, away, in article or main, below an article, maybe, begin, letters and texts before.
+    stack: list[tuple] = []
+    letters = texts = 0
+    holds, sizes = set(), []
+    in_link = False
+
+    def leave(gone: list[tuple]):
+        nonlocal texts
+        for name, away, _, nested, maybe, begin, letters_before, texts_before in gone:
+            if name in ("article", "main") and not away and not nested and letters > letters_before:
+                texts += 1
+            if maybe:
+                if texts > texts_before:
+                    holds.add(begin)
+                sizes.append((begin, letters - letters_before))
+
+    at = 0
+    for m in _TOKEN.finditer(page):
+        if m.start() > at and not in_link and not (stack and stack[-1][1]):
+            letters += len("".join(_SOUND.findall(html.unescape(page[at : m.start()]))))
+        at = m.end()
+        name = (m["name"] or "").lower()
+        if name == "a":
+            in_link = not m["end"]
+        if name in CONTAINERS:
+            in_link = False
+        if not _is_element(name):
+            continue
+        leave(_closed(stack, name, bool(m["end"])))
+        if not m["end"]:
+            away, inside = stack[-1][1:3] if stack else (False, False)
+            nested = bool(stack) and (stack[-1][3] or stack[-1][0] == "article")
+            mine = sign(name, m["rest"], inside)
+            stack.append(
+                (name, away or mine == "away", inside or name in ("article", "main"), nested,
+                 mine == "maybe", m.start(), letters, texts)
+            )
+    if not in_link and not (stack and stack[-1][1]):
+        letters += len("".join(_SOUND.findall(html.unescape(page[at:]))))
+    leave(stack[::-1])
+    return holds if texts else {begin for begin, n in sizes if 2 * n > letters}
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
@@ -91,6 +175,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     stack: list[tuple[str, bool, bool]] = []  # element, no main text, an article's
     away = article = False
     in_link = False
+    spare = None  # where spared elements begin, once it is asked for
 
     def close():
         if text:
@@ -118,29 +203,20 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             continue
         if name in BLOCKS:
             close()
-        if name in VOID or name not in CONTAINERS and name not in ("p", "span", "button"):
+        if not _is_element(name):
             continue
         if name in CONTAINERS:
             in_link = False
+        _closed(stack, name, bool(m["end"]))
         if not m["end"]:
-            if name == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
-            elif name in CONTAINERS:
-                while stack and stack[-1][0] in ("p", "span", "button"):
-                    stack.pop()
-            if name == "li" and stack and stack[-1][0] == "li":
-                stack.pop()
             inside = bool(stack) and stack[-1][2]
-            above = bool(stack) and stack[-1][1]
-            mine = above or is_away(name, m["rest"], inside)
+            mine = bool(stack) and stack[-1][1]
+            if not mine:
+                found = sign(name, m["rest"], inside)
+                if found == "maybe" and spare is None:
+                    spare = spared(page)
+                mine = found == "away" or found == "maybe" and m.start() not in spare
             stack.append((name, mine, inside or name in ("article", "main")))
-        else:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    break
-                if name in ("p", "span", "button") and stack[depth][0] in CONTAINERS:
-                    break
         away = bool(stack) and stack[-1][1]
         article = bool(stack) and stack[-1][2]
     if at < len(page) and not away:
@@ -175,12 +251,9 @@ def stretches(lengths: list[int]) -> list[tuple[int, int]]:
 
 
 def main_text(page: str) -> str:
-    """The lines between surge and dive, joined by one space; empty if there is no text."""
+    """The lines of all stretches between surge and dive, joined by one space; empty if there is no text."""
     lines = lines_of(page)
-    lengths = [n for _, n in lines]
-    found = stretches(lengths)
-    most = max((sum(lengths[a:b]) for a, b in found), default=0)
-    kept = [x for a, b in found if sum(lengths[a:b]) >= SHARE * most for x, _ in lines[a:b]]
+    kept = [x for a, b in stretches([n for _, n in lines]) for x, _ in lines[a:b]]
     return " ".join(kept)
 
 
