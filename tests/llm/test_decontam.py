@@ -42,6 +42,18 @@ def test_question_alone_is_no_leak(spark):
     assert as_rows(out, "doc_id", "item_id") == [(2, 5)]
 
 
+def test_most_of_an_item_without_a_question_is_a_leak():
+    items, _, _ = corpus()
+    rng = random.Random(4)
+    index = decontam.Index(items)
+    for i, text in items[:20]:
+        own = text.split()
+        part = " ".join(own[: len(own) * 3 // 4])
+        found = list(index.matches([f"{words(rng, 30)} {part} {words(rng, 30)}", words(rng, 60)]))
+        # Three quarters hold the question of item 5, which has one, and not its answer.
+        assert [(m[0], m[1]) for m in found if m[1] != 5] == ([] if i == 5 else [(0, i)])
+
+
 def test_wand_equals_all_scores():
     items, docs, _ = corpus()
     index = decontam.Index(items)

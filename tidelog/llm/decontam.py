@@ -5,7 +5,7 @@ by their sum, so an entry scores 1 for a passage that holds all its words. Passa
 overlapping windows over every whole text, long enough to hold any entry entirely. Each
 passage queries the index; block-max WAND returns all entries at or above the threshold.
 A document is contaminated by an item if, beyond that score, its own word 5-grams cover the
-item's question and answer.
+item's question and answer or a part of the whole item.
 
 The index is built once per shard of at most SHARD entries and sent to the tasks; all
 passages go through every shard, so neither side is ever paired up in a shuffle.
@@ -35,8 +35,9 @@ THRESHOLD = 0.5
 COMMON = 0.05
 #: Least share of the question's and of the answer's 5-grams that a document must hold.
 QUESTION, ANSWER, GRAM = 0.5, 0.3, 5
-#: Or this share of the whole item's.
-WHOLE = 0.8
+#: Or this share of the whole item's; where no question and answer are told apart by a question
+#: mark, a smaller one.
+WHOLE, PART = 0.8, 0.5
 #: Entries of one shard: its index has a few dozen MB at most.
 SHARD = 20_000
 
@@ -61,6 +62,12 @@ def question_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:])
 
 
+def asks(text: str) -> bool:
+    """Whether a question mark tells a question and an answer apart."""
+    head, _, tail = text.strip().rpartition("?")
+    return bool(head.strip() and tail.strip())
+
+
 def grams(words: np.ndarray) -> tuple[np.ndarray, int]:
     """Distinct hashes of n-grams and n: 5, or the number of words where they are fewer."""
     n = min(GRAM, max(1, len(words)))
@@ -93,7 +100,7 @@ class Index:
             for e in parts:
                 terms.append(e)
                 self.entry_item.append(len(self.items))
-            self.items.append((item_id, q, a, whole))
+            self.items.append((item_id, q, a, whole, WHOLE if asks(text) else PART))
         # Entries that share their most frequent words (a language, a subject) become
         # neighbours, so that a block's bounds are close.
         every, times = np.unique(np.concatenate(terms), return_counts=True) if terms else (np.zeros(0, np.uint64), [])
@@ -267,9 +274,9 @@ class Index:
         for (owner, item), score in sorted(best.items()):
             if owner not in own:
                 own[owner] = w.hashes[w.at[owner] : w.at[owner + 1]]
-            item_id, q, a, whole = self.items[item]
+            item_id, q, a, whole, enough = self.items[item]
             q_share, a_share, all_share = (share(own[owner], *g) for g in (q, a, whole))
-            if (q_share >= QUESTION and a_share >= ANSWER) or all_share >= WHOLE:
+            if (q_share >= QUESTION and a_share >= ANSWER) or all_share >= enough:
                 yield owner, item_id, score, q_share, a_share
 
 
