@@ -86,6 +86,22 @@ def test_shards_give_the_same(spark, monkeypatch):
     assert set(as_rows(out, "doc_id", "item_id")) == want
 
 
+def test_scores_of_partial_leaks_do_not_depend_on_shards(spark, monkeypatch):
+    items, _, _ = corpus()
+    rng = random.Random(8)
+    docs = []
+    for i, text in items:
+        own = text.split()
+        docs.append((i, " ".join(own[: len(own) * (50 + i % 40) // 100]) + " " + words(rng, 50), "", "", 0))
+    out = {}
+    for size in (20_000, 40):
+        monkeypatch.setattr(decontam, "SHARD", size)
+        found = decontam.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+        out[size] = sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in found.collect())
+    assert out[20_000] == out[40] and len(out[40]) > 20
+    assert any(score < 0.95 for _, _, score in out[40])
+
+
 def test_empty_null_and_repeated(spark):
     items, _, _ = corpus()
     benchmark = spark.createDataFrame(items, ITEMS)

@@ -8,7 +8,8 @@ A document is contaminated by an item if, beyond that score, its own word 5-gram
 item's question and answer or a part of the whole item.
 
 The index is built once per shard of at most SHARD entries and sent to the tasks; all
-passages go through every shard, so neither side is ever paired up in a shuffle.
+passages go through every shard, so neither side is ever paired up in a shuffle. Number,
+mean size and document frequencies are those of all entries, so scores don't depend on shards.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import Words, slices, text_of, window_hashes
+from tidelog.llm.common import Words, landed, slices, text_of, window_hashes
 
 #: Words of an index entry at most; a passage has twice as many and moves on by as many.
 ENTRY = 48
@@ -91,16 +92,17 @@ def items_of(item_id: int, text: str) -> tuple:
 
 class Index:
     """Inverted index of a shard: per term, entries and impacts; per term and block, the
-    largest impact."""
+    largest impact. ``whole``: number and mean size of the entries of all shards, sorted terms
+    and their document frequencies there; None if this is the only shard."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], whole: tuple | None = None):
         self.items, self.entry_item, terms = [], [], []
         for item_id, text in items:
-            parts, q, a, whole = items_of(item_id, text)
+            parts, *wanted = items_of(item_id, text)
             for e in parts:
                 terms.append(e)
                 self.entry_item.append(len(self.items))
-            self.items.append((item_id, q, a, whole, WHOLE if asks(text) else PART))
+            self.items.append((item_id, *wanted, WHOLE if asks(text) else PART))
         # Entries that share their most frequent words (a language, a subject) become
         # neighbours, so that a block's bounds are close.
         every, times = np.unique(np.concatenate(terms), return_counts=True) if terms else (np.zeros(0, np.uint64), [])
@@ -119,8 +121,12 @@ class Index:
         code, entry = pair // max(n, 1), pair % max(n, 1)
         size = np.bincount(entry, tf, minlength=n)
         df = np.bincount(code, minlength=len(self.vocabulary))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * size / max(1e-9, size.mean() if n else 1))
+        n_all, mean, df_all = n, size.mean() if n else 1, df
+        if whole is not None:
+            n_all, mean, terms_all, df_all = whole
+            df_all = df_all[np.searchsorted(terms_all, self.vocabulary)]
+        idf = np.log(1 + (n_all - df_all + 0.5) / (df_all + 0.5))
+        norm = K1 * (1 - B + B * size / max(1e-9, mean))
         impact = idf[code] * tf * (K1 + 1) / (tf + norm[entry])
         impact = impact / np.bincount(entry, impact, minlength=n)[entry]
         self.n_entries, self.n_blocks = n, -(-n // BLOCK)
@@ -298,6 +304,42 @@ def _match(index):
     return run
 
 
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, term, number of entries with it, 0) of a batch; term null: (entries, words)."""
+    for batch in batches:
+        found: dict[int, list[np.ndarray]] = {}
+        for s, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            found.setdefault(s, []).extend(items_of(0, text)[0])
+        for s, entries in found.items():
+            if not entries:
+                continue
+            term, n = np.unique(np.concatenate([np.unique(e) for e in entries]), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s] * (len(term) + 1), pa.int64()), pa.array([None, *term.view(np.int64)], pa.int64()),
+                 pa.array([len(entries), *n], pa.int64()), pa.array([sum(map(len, entries))] + [0] * len(term), pa.int64())],
+                ["shard", "term", "n", "words"],
+            )
+
+
+def statistics(items: DataFrame):
+    """A function that gives a shard what its ``Index`` needs to know of all entries of
+    ``items`` (shard, text); only a shard's own terms come to the driver."""
+    counts = landed(items.mapInArrow(_terms, "shard long, term long, n long, words long"), "terms")
+    total = counts.filter("term is null").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    n, words = total["n"] or 0, total["words"] or 0
+    counts = counts.filter("term is not null")
+    df = counts.groupBy("term").agg(F.sum("n").alias("df"))
+    df = landed(counts.select("shard", "term").distinct().join(df, "term"), "frequencies")
+
+    def of(shard: int) -> tuple:
+        own = df.filter(F.col("shard") == shard).select("term", "df").toArrow()
+        term = own.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(term)
+        return n, words / max(1, n), term[order], own.column("df").to_numpy()[order]
+
+    return of
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, item_id, score, question_share, answer_share) of every leak.
 
@@ -314,9 +356,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") ->
     n_shards = max(1, -(-int(words.first()["n"] or 0) // SHARD))
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards))
     found = []
+    of = statistics(items.select(shard.alias("shard"), "text")) if n_shards > 1 else lambda s: None
     for s in range(n_shards):
         rows = items.filter(shard == s).orderBy("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows]))
+        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows], of(s)))
         found.append(
             own.mapInArrow(
                 _match(index),
