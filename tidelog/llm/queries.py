@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, decontam, extract, mixing, neardup, quality, secret_scan, substring, urls, warc
+from tidelog.llm import (
+    chat,
+    codes,
+    decontam,
+    discriminant,
+    extract,
+    mixing,
+    neardup,
+    phrases,
+    quality,
+    secret_scan,
+    substring,
+    urls,
+    warc,
+)
 from tidelog.llm.registry import query, table
 from tidelog.session import run_dir
 
@@ -253,3 +267,91 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     listing = pages.filter(urls.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
     return urls.judge(pages, listing, URL_RULES)
+
+
+# ---- 11 quality classifier ----
+
+
+@query("op11_quality_discriminant")
+def op11_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels that aren't held out."""
+    return discriminant.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# ---- 12 vector codes ----
+
+
+def _op12_round(k: int) -> str:
+    """Codes under the entries of round k, and the entries of round k + 1."""
+    return f"""
+a{k} as materialized (
+  select vec_id, p, any_value(y) as y, min(struct_pack(d := list_sum(list_transform(range(1, len(y) + 1),
+      lambda i: (y[i] - c[i]) * (y[i] - c[i])))::bigint, e := e)) as best
+  from parts join b{k} using (p) group by vec_id, p),
+m{k} as (
+  select p, e, list((s - ((s % n) + n) % n) // n order by i) as c from (
+    select p, best.e as e, i, sum(y[i])::bigint as s, count(*) as n
+    from (select p, best, y, unnest(range(1, len(y) + 1)) as i from a{k}) group by all) group by p, e),
+b{k + 1} as materialized (select p, e, coalesce(m.c, b.c) as c from b{k} b left join m{k} m using (p, e))"""
+
+
+_OP12_SQL = f"""
+with own as (
+  select vec_id, label, list_transform(embedding, lambda v: floor(256 * v::double)::bigint) as x from embeddings
+  where len(embedding) > 0
+    and len(list_filter(embedding, lambda v: v is null or isnan(v) or isinf(v))) = 0),
+parts as materialized (select vec_id, p, x[p * (len(x) // 16) + 1:(p + 1) * (len(x) // 16)] as y from own, range(16) r(p)),
+b0 as (select p, e, y as c from parts
+  join (select vec_id, row_number() over (order by vec_id) - 1 as e from own order by vec_id limit 64) using (vec_id)),
+{_op12_round(0)},{_op12_round(1)},
+last as (select vec_id, p, min(struct_pack(d := list_sum(list_transform(range(1, len(y) + 1),
+      lambda i: (y[i] - c[i]) * (y[i] - c[i])))::bigint, e := e)) as best
+  from parts join b2 using (p) group by vec_id, p),
+coded as (select vec_id, string_agg(lower(printf('%02x', best.e)), '' order by p) as code, sum(best.d)::bigint as error
+  from last group by vec_id),
+books as (select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) as codebooks_sha256 from b2)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded join own using (vec_id), books"""
+
+
+@query("op12_vector_codes", _OP12_SQL)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors after two rounds, with their errors."""
+    return codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+# ---- 13 phrases ----
+
+_OP13_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as w
+  from documents),
+sizes as (select lang, sum(len(w))::bigint as n from pieces group by lang),
+found as materialized (
+  select lang, words, count(*) as f from (
+    select lang, w[i:i + k - 1] as words from (
+      select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, range(1, 6) r(k) where len(w) >= k))
+  group by lang, words having count(*) >= 100),
+cuts as (select lang, words, f as a, unnest(range(1, len(words))) as k from found where len(words) > 1),
+scored as (select c.lang, c.words, c.a, c.k, l.f as l, r.f as r, n,
+    ((1000::hugeint * c.a * n) // (l.f::hugeint * r.f))::bigint as score
+  from cuts c join found l on l.lang = c.lang and l.words = c.words[1:c.k]
+    join found r on r.lang = c.lang and r.words = c.words[c.k + 1:] join sizes s on s.lang = c.lang),
+lowest as (select * from scored qualify row_number() over (partition by lang, words order by score, k) = 1),
+held as (select distinct lang, words[i:j] as words, f as longer from (
+    select lang, words, f, i, unnest(range(i + 1, len(words) + 1)) as j from (
+      select lang, words, f, unnest(range(1, len(words))) as i from found where len(words) > 2))
+  where j - i + 1 < len(words)),
+kept as (select * from lowest c where not exists (
+  select 1 from held h where h.lang = c.lang and h.words = c.words and 100 * h.longer >= 100 * c.a)),
+ranked as (select *, array_to_string(words, ' ') as phrase,
+    row_number() over (partition by lang order by score desc, a desc, array_to_string(words, ' ')) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000"""
+
+
+@query("op13_phrase_collocations", _OP13_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 collocations of each language, over all documents."""
+    return phrases.mine(table(spark, sf_dir, "documents"))
