@@ -6,14 +6,15 @@ words begins. ``at`` numbers words with a gap between pieces, so two places are
 in one piece exactly if they differ by one. Each level is landed sorted by place and extended
 by a merge join of the relation with itself at the adjacent place: a frequent phrase at p and
 one at p + 1 overlap in all but their ends and make the phrase of k + 1 words at p. Groups
-are numbered per chunk, counted by Spark over all chunks, and groups under the threshold are
-taken out by a semi-join before the next level is built. A phrase's parts occur at least as
-often as itself, so nothing is lost.
+are counted in each chunk, then over all chunks, and those under the threshold are taken out
+before the next level is built: one shuffle of a chunk's groups serves the count and the
+semi-join. A phrase's parts occur at least as often as itself, so nothing is lost.
 
 A chunk is up to CHUNK words of one language, and 4 words on where it ends inside a piece:
-phrases are counted where they begin. So a hot language is many chunks, and a list of a
-chunk's groups is bounded. Words are compared as text, phrases by the numbers of their
-frequent parts: nothing is hashed, and counts are exact.
+phrases are counted where they begin. So a hot language is many chunks, a hot phrase sends
+one row for each chunk, however often it occurs there, and a list of a chunk's groups is
+bounded. Words are compared as text, phrases by the numbers of their frequent parts: nothing
+is hashed, and counts are exact. A group's number is the first place among its chunks' lists.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ CHUNK, HELD, PIECE = 1 << 21, 1 << 22, 4 << 20
 LONGEST, LEAST, SHARE, TOP = 5, 100, 100, 2000
 #: Rows of groups in one Arrow batch.
 ROWS = 1 << 16
+#: Bits of a group's index in its chunk, and of a chunk's number in its task.
+INDEX, NUMBER = 22, 17
 
 #: 0 inside a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
@@ -116,28 +119,30 @@ def _number() -> int:
     """Upper bits of the chunk numbers of this task."""
     from pyspark import TaskContext
 
-    return TaskContext.get().partitionId() << 32
+    return TaskContext.get().partitionId() << NUMBER
 
 
-_CHUNK = "chunk long, lang string, counted long, at binary, groups binary, idx int, times long"
+_RELATION = "chunk long, lang string, counted long, at binary, groups binary, place long, times long"
 
 
 def _chunk_row(chunk: int, lang: str, counted: int, at: np.ndarray, group: np.ndarray, extra: dict) -> pa.RecordBatch:
     named = {
         "chunk": pa.array([chunk], pa.int64()), "lang": pa.array([lang], pa.string()),
         "counted": pa.array([counted], pa.int64()), "at": pa.array([_pack(at)], pa.binary()),
-        "groups": pa.array([_pack(group)], pa.binary()), "idx": pa.nulls(1, pa.int32()), "times": pa.nulls(1, pa.int64()),
+        "groups": pa.array([_pack(group)], pa.binary()), "place": pa.nulls(1, pa.int64()), "times": pa.nulls(1, pa.int64()),
     } | {c: pa.nulls(1, kind) for c, kind in extra.items()}
     return pa.RecordBatch.from_arrays(list(named.values()), list(named))
 
 
 def _group_rows(chunk: int, lang: str, times: np.ndarray, extra: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    if len(times) >> INDEX:
+        raise ValueError(f"more than {1 << INDEX} groups in a chunk")
     for a in range(0, len(times), ROWS):
         n = min(ROWS, len(times) - a)
         named = {
-            "chunk": pa.array(np.full(n, chunk)), "lang": pa.array([lang] * n, pa.string()),
+            "chunk": pa.nulls(n, pa.int64()), "lang": pa.array([lang] * n, pa.string()),
             "counted": pa.nulls(n, pa.int64()), "at": pa.nulls(n, pa.binary()), "groups": pa.nulls(n, pa.binary()),
-            "idx": pa.array(np.arange(a, a + n, dtype=np.int32)), "times": pa.array(times[a : a + n].astype(np.int64)),
+            "place": pa.array((chunk << INDEX) + np.arange(a, a + n)), "times": pa.array(times[a : a + n].astype(np.int64)),
         } | {c: v.slice(a, n) for c, v in extra.items()}
         yield pa.RecordBatch.from_arrays(list(named.values()), list(named))
 
@@ -171,7 +176,7 @@ def first_level(docs: DataFrame) -> DataFrame:
     """The relation of single words: a row per chunk, and one per distinct word of a chunk.
     Null text is empty, null language ``und``; a text begins a new piece."""
     own = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of("text").alias("text"))
-    return own.mapInArrow(_split, f"{_CHUNK}, word string")
+    return own.mapInArrow(_split, f"{_RELATION}, word string")
 
 
 def _extend(last: bool):
@@ -204,38 +209,45 @@ def _extend(last: bool):
     return run
 
 
-def next_level(relation: DataFrame, frequent: DataFrame, key: list[str], last: bool) -> DataFrame:
-    """Semi-join with the frequent groups, then the join with the adjacent place."""
-    groups = relation.filter("idx is not null").select("chunk", "idx", *key)
-    found = groups.join(frequent.select("gid", *key), key).groupBy("chunk")
-    found = found.agg(F.collect_list(F.struct("idx", "gid")).alias("found"))
-    chunks = relation.filter("at is not null").select("chunk", "lang", "counted", "at", "groups")
-    return chunks.join(found, "chunk").mapInArrow(_extend(last), f"{_CHUNK}, l long, r long")
+def frequent_groups(relation: DataFrame, key: list[str], least: int) -> DataFrame:
+    """(place, gid, f, key) of the groups of every chunk that occur ``least`` times over all
+    chunks. ``gid`` is the same in all chunks; ``f`` and key stand where place and gid agree."""
+    same = Window.partitionBy(*key)
+    counted = relation.filter("place is not null").select("place", "times", *key)
+    counted = counted.withColumns({"f": F.sum("times").over(same), "gid": F.min("place").over(same)})
+    first = F.col("place") == F.col("gid")
+    return landed(
+        counted.filter(F.col("f") >= least).select("place", "gid", *[F.when(first, F.col(c)).alias(c) for c in ("f", *key)]),
+        "frequent",
+    )
 
 
-def _numbered(groups: DataFrame) -> DataFrame:
-    """Frequent groups with a number each; landed, so that the number stays."""
-    return landed(groups.withColumn("gid", F.monotonically_increasing_id()), "frequent")
+def next_level(relation: DataFrame, groups: DataFrame, last: bool) -> DataFrame:
+    """The join with the adjacent place, of what the frequent groups leave of a relation."""
+    found = groups.groupBy(F.shiftright("place", INDEX).alias("chunk")).agg(
+        F.collect_list(F.struct((F.col("place") % (1 << INDEX)).cast("int").alias("idx"), "gid")).alias("found")
+    )
+    chunks = relation.filter("at is not null").select("chunk", "lang", "counted", "at", "groups")
+    return chunks.join(found, "chunk").mapInArrow(_extend(last), f"{_RELATION}, l long, r long")
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, words, f) of all phrases of up to ``longest`` words that occur ``least`` times,
     and (lang, n), the number of words per language."""
     relation = landed(first_level(docs), "occurrences")
-    groups = relation.filter("idx is not null")
-    sizes = landed(groups.groupBy("lang").agg(F.sum("times").alias("n")), "sizes")
-    counts = groups.groupBy("lang", "word").agg(F.sum("times").alias("f")).filter(F.col("f") >= least)
-    found = _numbered(counts.withColumn("words", F.array("word")))
-    every, key = found.select("lang", "words", "f"), ["lang", "word"]
+    sizes = relation.filter("place is not null").groupBy("lang").agg(F.sum("times").alias("n"))
+    sizes = landed(sizes, "sizes")
+    groups = frequent_groups(relation, ["lang", "word"], least)
+    found = groups.filter("place = gid").select("gid", "lang", F.array("word").alias("words"), "f")
+    every = found.drop("gid")
     for k in range(2, longest + 1):
-        last = k == longest
-        relation = landed(next_level(relation, found, key, last), "occurrences")
-        counts = relation.filter("idx is not null").groupBy("l", "r").agg(F.sum("times").alias("f"))
+        relation = landed(next_level(relation, groups, k == longest), "occurrences")
+        groups = frequent_groups(relation, ["l", "r"], least)
         left = found.select(F.col("gid").alias("l"), "lang", F.col("words").alias("head"))
         right = found.select(F.col("gid").alias("r"), F.slice("words", -1, 1).alias("tail"))
-        longer = counts.filter(F.col("f") >= least).join(left, "l").join(right, "r")
-        found, key = _numbered(longer.withColumn("words", F.concat("head", "tail")).drop("head", "tail")), ["l", "r"]
-        every = every.unionByName(found.select("lang", "words", "f"))
+        longer = groups.filter("place = gid").join(left, "l").join(right, "r")
+        found = landed(longer.select("gid", "lang", F.concat("head", "tail").alias("words"), "f"), "phrases")
+        every = every.unionByName(found.drop("gid"))
     return every, sizes
 
 
