@@ -45,11 +45,49 @@ def test_demux_reads_one_folder(spark, tmp_path):
 
     path = str(tmp_path / "feed")
     mixed_feed(spark, SF).write.partitionBy("relation").parquet(path)
-    streams = feed.demux(spark.read.parquet(path), ["providers", "_loads"])
+    streams = feed.demux(spark.read.parquet(path), ["providers"], ["_loads"])
     assert list(streams) == ["providers"]
     assert "PartitionFilters: [isnotnull(relation" in plan(streams["providers"])
 
 
+def test_demux_refuses_bookkeeping(spark):
+    with pytest.raises(ValueError, match="_loads"):
+        feed.demux(spark.range(1), ["providers", "_loads"], ["_loads"])
+
+
+def reads(df):
+    """Scans in the optimised plan."""
+    return len(re.findall(r"Relation \[", df._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def test_chained_merges_read_each_input_once(spark, tmp_path):
+    for i in range(4):
+        s.consents(spark, SF).write.parquet(str(tmp_path / f"b{i}"))
+    state = spark.read.parquet(str(tmp_path / "b0"))
+    for i in range(1, 4):
+        state = merge.merge_latest(state, spark.read.parquet(str(tmp_path / f"b{i}")), ["patient_id"])
+        assert reads(state) == i + 1
+
+
+def test_log_merge_reads_the_batch_once(spark, tmp_path):
+    log, batch = (str(tmp_path / n) for n in ("log", "batch"))
+    for path in (log, batch):
+        s.consents(spark, SF).write.parquet(path)
+    out = merge.new_events(spark.read.parquet(log), spark.read.parquet(batch), prune=False)
+    assert reads(out) == 2
+    pruned = plan(merge.new_events(spark.read.parquet(log), spark.read.parquet(batch)))
+    assert pruned.count("Subquery") - pruned.count("ReusedSubquery") >= 1
+
+
+def test_consent_gate_reads_its_columns_only(spark, tmp_path):
+    from tidelog.operators import consent
+
+    path = str(tmp_path / "log")
+    s.consents(spark, SF).write.parquet(path)
+    text = plan(consent.consented(spark.range(1).selectExpr("'a' patient_id"), spark.read.parquet(path), "consent_research"))
+    assert "consent_marketing" not in text and "commit_ts" not in text
+
+
 @pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not EAGER.search(n)))
 def test_no_cross_join_no_python(spark, name):
     text = plan(entry.queries()[name](spark, SF))

@@ -17,18 +17,41 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key. Each map task keeps at most one row per key before the shuffle
-    (window group limit), so a heavy key costs one row per task. Rows equal in ``order`` are
-    ordered by a hash of the row, so a retried task picks the same one. Rows with a NULL key
-    have no key to be the first of: the callers add or refuse them."""
-    w = Window.partitionBy(*keys).orderBy(*order, row_hash(df))
-    return (
-        df.filter(~_any_null(keys))
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") == 1)
-        .drop("_rn")
-    )
+_OWN = "_own"
+
+
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], *, keep_null_keys: bool = False
+) -> DataFrame:
+    """One row per key, in one pass. Each map task keeps at most one row per key before the
+    shuffle (window group limit), so a heavy key costs one row per task. Rows equal in
+    ``order`` are ordered by a hash of the row, so a retried task picks the same one; it
+    covers the columns of ``df``, so callers select what they need first.
+
+    A row with a NULL key matches no other: it goes, or with ``keep_null_keys`` stays as the
+    first of a partition of its own. Keys that the schema says are never NULL cost nothing.
+    """
+    first = F.row_number().over(Window.partitionBy(*_parts(df, keys, keep_null_keys)).orderBy(*order, row_hash(df)))
+    marked = _own_parts(df, keys, keep_null_keys)
+    return marked.withColumn("_rn", first).filter(F.col("_rn") == 1).drop("_rn", _OWN)
+
+
+def _nullable(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [k for k in keys if df.schema[k].nullable]
+
+
+def _parts(df: DataFrame, keys: Sequence[str], keep_null_keys: bool) -> list[str]:
+    return [*keys, _OWN] if keep_null_keys and _nullable(df, keys) else list(keys)
+
+
+def _own_parts(df: DataFrame, keys: Sequence[str], keep_null_keys: bool) -> DataFrame:
+    """Rows with a NULL key left out, or numbered: so they spread over the tasks, too."""
+    nullable = _nullable(df, keys)
+    if not nullable:
+        return df
+    if not keep_null_keys:
+        return df.filter(~_any_null(nullable))
+    return df.withColumn(_OWN, F.when(_any_null(nullable), F.monotonically_increasing_id()).otherwise(-1))
 
 
 def newest_first(ties: Sequence[str] = ()) -> list[Column]:
@@ -46,10 +69,7 @@ def latest_per_key(
 ) -> DataFrame:
     """Newest row per key. Rows without a key never match each other: all are kept, unless
     the caller asks to leave them out."""
-    kept = first_per_key(df, keys, order or newest_first(ties))
-    if keep_null_keys:
-        kept = kept.unionByName(df.filter(_any_null(keys)))
-    return kept
+    return first_per_key(df, keys, order or newest_first(ties), keep_null_keys=keep_null_keys)
 
 
 def merge_latest(
@@ -96,7 +116,8 @@ def new_events(
     *,
     prune: bool = True,
 ) -> DataFrame:
-    """The part of ``batch`` that an event-log merge would append.
+    """The part of ``batch`` that an event-log merge would append; the batch is read once,
+    and with ``prune`` once more for its range.
 
     Only log rows inside the batch's range of positions can match. With ``prune`` that
     range is found by the query itself and limits the scan of the log before its shuffle.
@@ -104,14 +125,18 @@ def new_events(
     if "seq" in log.columns:
         key = log_key(key, batch.columns)
     if prune and "lsn" in key:
-        low, high = (batch.agg(f("lsn")).scalar() for f in (F.min, F.max))
-        log = log.filter(F.col("lsn").between(low, high))
+        span = batch.agg(F.struct(F.min("lsn").alias("lo"), F.max("lsn").alias("hi")).alias("span")).scalar()
+        log = log.filter(F.col("lsn").between(span["lo"], span["hi"]))
     # Further copies of one event are alike; any total order picks the same content.
     rest = [c for c in batch.columns if c not in key and c not in ties]
     order = [F.col(c).desc_nulls_last() for c in ties] + [F.xxhash64(*rest).asc()] if rest else [F.lit(0)]
-    once = first_per_key(batch, key, order)
-    fresh = once.join(log.select(*key), list(key), "left_anti").select(*batch.columns)
-    return fresh.unionByName(batch.filter(_any_null(key)))
+    # Events without a key are numbered, so they meet nothing and don't gather in one task.
+    parts = _parts(batch, key, True)
+    numbered = _own_parts(batch, key, True)
+    first = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
+    once = numbered.withColumn("_rn", first).filter(F.col("_rn") == 1)
+    held = log.select(*key, *[F.lit(-1).cast("long").alias(c) for c in parts if c == _OWN])
+    return once.join(held, parts, "left_anti").select(*batch.columns)
 
 
 def live_rows(df: DataFrame) -> DataFrame:
