@@ -23,8 +23,9 @@ def strip_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
 def with_errors(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed contract columns, a verdict, and an array of ``column: reason`` strings.
 
-    All checks are column expressions over one pass; the array is built for bad rows only. Text that is no value of the column's
-    type, or a missing required value, is a fault of the row; anything else fails the job.
+    All checks are column expressions over one pass. Text that is no value of the column's
+    type, a missing required value or a broken rule of the contract is a fault of the row;
+    anything else fails the job.
     """
     check_frozen(df, spec)
     tombstone = F.lit(False)
@@ -54,13 +55,20 @@ def with_errors(df: DataFrame, spec: TableSpec) -> DataFrame:
     bad = reduce(lambda a, b: a | b, [cond for cond, _ in faults], F.lit(False))
     none = F.array().cast("array<string>")
     reasons = [F.when(cond, F.array(F.lit(text))).otherwise(none) for cond, text in faults]
-    return df.select(
+    checked = df.select(
         *passed,
         *[v.alias(n) for n, v in typed.items()],
         *[F.col(k).cast("string").alias(f"_key_{k}") for k in spec.key],
         bad.alias(BAD),
         (F.concat(*reasons) if reasons else none).alias(ERRORS),
     )
+    if not spec.rules:
+        return checked
+    broken = {r.name: F.coalesce(~F.expr(r.predicate), F.lit(False)) for r in spec.rules}
+    named = [F.when(b, F.array(F.lit(f"rule {n}"))).otherwise(none) for n, b in broken.items()]
+    return checked.withColumns(
+        {BAD: reduce(lambda a, b: a | b, broken.values(), F.col(BAD)), ERRORS: F.concat(ERRORS, *named)}
+    )
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -24,6 +24,15 @@ class ForeignKey:
     where: str | None = None
 
 
+@dataclass(frozen=True)
+class Rule:
+    """What every row must satisfy: a predicate over typed columns, as Spark SQL. A row for
+    which it is NULL satisfies it, so a tombstone without values does."""
+
+    name: str
+    predicate: str
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Contract of one table.
@@ -42,6 +51,7 @@ class TableSpec:
     strip: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = ()
     preprocess: tuple = field(default=())
+    rules: tuple[Rule, ...] = ()
 
     @property
     def columns(self) -> list[str]:

@@ -8,10 +8,11 @@ ledger entry and does nothing.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelog.operators.contract import check_frozen
 from tidelog.operators.erasure import SUBJECT
 from tidelog.operators.validate import BAD, accepted, prepare, quarantined
-from tidelog.spec import TableSpec
+from tidelog.spec import LATEST, TableSpec
+from tidelog.streaming.landing import BATCH_COLUMN
 from tidelog.streaming.store import Store
 
 
@@ -34,11 +36,12 @@ def feed_stream(
     limits: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Landed feed files as a stream. ``limits`` bounds a micro-batch, for example
-    ``maxBytesPerTrigger`` or ``maxFilesPerTrigger``; files hold whole transactions."""
+    ``maxBytesPerTrigger`` or ``maxFilesPerTrigger``. A batch takes whole files: where they
+    were landed by ``landing.land_transactions``, it takes whole transactions."""
     reader = spark.readStream.schema(schema)
     for key, value in (limits or {}).items():
         reader = reader.option(key, value)
-    return reader.parquet(path)
+    return reader.parquet(path).drop(BATCH_COLUMN)
 
 
 def load_id(batch_id: int) -> str:
@@ -63,26 +66,52 @@ def ingest_batch(
     ``keep`` names columns of the feed that land beside the contract's; ``seq`` always does,
     being part of an event's key. ``erased``: completed requests; later deliveries of these
     subjects don't land. The ledger counts the rows of the batch as they came in; what did
-    not land (faulty, repeated, erased) is dropped. The batch is read once and kept in
-    executor storage for its outputs.
+    not land (faulty, repeated, erased) is dropped. Rows are counted in the pass that writes
+    a latest-state batch; a log's batch, of which the range of positions must be known first,
+    is counted with it and kept in executor storage.
     """
+    began = time.monotonic()
     if store.is_committed(spec.name, load):
         return False
-    checked = prepare(batch, spec).persist()
-    try:
-        counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count_if(BAD).alias("bad")).first()
-        if counts["bad"]:
-            bad = quarantined(checked, spec)
+    checked = prepare(batch, spec)
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(BAD).alias("bad")]
+
+    def set_aside(bad: int) -> None:
+        if bad:
+            rows = quarantined(checked, spec)
             if erased is not None:
-                bad = without_subjects(bad, erased, "entity_id")
-            store.write(bad, f"{spec.name}_quarantine", load, at, rows_in=counts["bad"])
-        good = accepted(checked)
-        extra = [c for c in dict.fromkeys(("seq", *keep)) if c in good.columns]
-        names = [c for c in spec.raw_schema.names if c in good.columns]
-        good = good.select(*names, *[c for c in extra if c not in names])
-        if erased is not None and SUBJECT in good.columns:
-            good = without_subjects(good, erased, SUBJECT)
-        return store.merge_batch(good, spec, load, at, ties, before_commit, rows_in=counts["n"])
+                rows = without_subjects(rows, erased, "entity_id")
+            store.write(rows, f"{spec.name}_quarantine", load, at, rows_in=bad, key=("entity_id",))
+
+    def good(rows: DataFrame) -> DataFrame:
+        rows = accepted(rows)
+        extra = [c for c in dict.fromkeys(("seq", *keep)) if c in rows.columns]
+        names = [c for c in spec.raw_schema.names if c in rows.columns]
+        rows = rows.select(*names, *[c for c in extra if c not in names])
+        held_back = erased is not None and SUBJECT in rows.columns
+        return without_subjects(rows, erased, SUBJECT) if held_back else rows
+
+    if spec.mode == LATEST:
+        seen = Observation()
+
+        def rows_in() -> int:
+            got = seen.get
+            set_aside(got["bad"])
+            return got["n"]
+
+        rows = good(checked.observe(seen, *counts))
+        return store.merge_batch(
+            rows, spec, load, at, ties, rows_in=rows_in, before_commit=before_commit, began=began
+        )
+    checked = checked.persist()
+    try:
+        lsn = F.when(~F.col(BAD), F.col("lsn"))
+        got = checked.agg(*counts, F.min(lsn).alias("lo"), F.max(lsn).alias("hi")).first()
+        set_aside(got["bad"])
+        return store.merge_batch(
+            good(checked), spec, load, at, ties, span=(got["lo"], got["hi"]), rows_in=got["n"],
+            before_commit=before_commit, began=began,
+        )
     finally:
         checked.unpersist()
 
