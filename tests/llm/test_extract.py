@@ -1,3 +1,5 @@
+import random
+
 import pandas as pd
 import pytest
 
@@ -32,14 +34,16 @@ def test_cases(page):
 
 LINKS = "<ul><li><a href=1>a</a></li><li><a href=2>b</a></li><li><a href=3>c</a></li><li><a href=4>d</a></li></ul>"
 BODY = "<p>" + "Long text of the body. " * 20 + "</p>"
-LONG = BODY[3:-5]
+LONG = BODY[3:-5].strip()
+OPENING = "An opening paragraph that stands by itself, before the list."
+CLOSING = "A closing paragraph that stands by itself, after the other list."
 
 
 @pytest.mark.parametrize(
     "page, want",
     [
-        # Short text apart from the body is text, however long the body is.
-        (f"<p>Opening.</p>{LINKS}{BODY * 9}{LINKS}<p>Closing.</p>", " ".join(["Opening.", *[LONG] * 9, "Closing."])),
+        # A sentence apart from the body is text, however long the body is; a word is not.
+        (f"<p>{OPENING}</p>{LINKS}{BODY * 9}{LINKS}<p>{CLOSING}</p>", " ".join([OPENING, *[LONG] * 9, CLOSING])),
         # A class of the whole page, or a form around it, takes nothing away.
         (f"<div class='has-sidebar'>{BODY}<div class=sidebar><p>Other</p></div></div>", LONG),
         (f"<div class='row noSidebar'><p>Short.</p></div>{BODY}", f"Short. {LONG}"),
@@ -65,9 +69,64 @@ def test_rows(spark):
     assert extract.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
-def test_surge_and_dive():
-    assert extract.stretches([0, 0, 5, 0, 7, 0, 0, 0, 0, 3, 0]) == [(2, 5), (9, 10)]
-    assert extract.stretches([]) == [] and extract.stretches([0, 0]) == []
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<article class='post comments-open'>{BODY}</article>", LONG),
+        (f"<article class='post has-comments' data-comments='12'>{BODY}</article>", LONG),
+        (f"<article id=comments>{BODY}</article>", LONG),
+        (f"<article>{BODY}<article class=comment><p>Nice</p></article></article>", LONG),
+        (f"<article>{BODY}<article itemtype='http://schema.org/Comment'><p>Nice</p></article></article>", LONG),
+        (f"<article>{BODY}<article class=post><p>Nice</p></article></article>", f"{LONG} Nice"),
+        *[
+            (f"<article>{BODY}{inner}<p>End</p></article>", f"{LONG} Kept End")
+            for inner in (
+                "<section id=related-work><p>Kept</p></section>", "<div id=search-algorithms>Kept</div>",
+                "<div id=privacy>Kept</div>", "<p class=share>Kept</p>", "<p><span class=social>Kept</span></p>",
+                "<div class=sidebar-note>Kept</div>", "<p class=notice>Kept</p>",
+            )
+        ],
+        # Lines without letters are text inside an article, wherever they stand.
+        (f"<article>{BODY}<p>***</p><table><tr><td>-</td><td>-</td><td>-</td></tr></table></article>", f"{LONG} *** - - -"),
+        (f"{BODY}<p>***</p><p>* * *</p><p>--</p>{BODY}", f"{LONG} *** * * * -- {LONG}"),
+        # Unmarked or merely hinted side text goes, unmarked menus too.
+        (f"<div class=left><p>Weather today…</p><p>Sign up now for deals!</p></div><div>{BODY}</div>", LONG),
+        (f"<p>Buy</p><p>Cheap</p><p><a href=1>More</a></p><p><a href=1>Here</a></p>{BODY * 2}", f"{LONG} {LONG}"),
+        (f"<div id=x><p><a href=1>Home</a> <a href=2>News</a></p><p><a href=3>Sport</a></p></div>{BODY}", LONG),
+        (f"{BODY}{LINKS}{BODY}", f"{LONG} {LONG}"),
+        (f"{BODY}<p><a href=1>One link in the text</a></p>{BODY}", f"{LONG} One link in the text {LONG}"),
+        # Hints don't take away text that surges by itself.
+        (f"{BODY}<div id=search-algorithms>{BODY}</div>{BODY}", f"{LONG} {LONG} {LONG}"),
+        (f"{BODY}<div class=left-column>{BODY}</div>", f"{LONG} {LONG}"),
+        # A title in a container of its own belongs to the text.
+        (f"<div class=top><h1>Title</h1></div><div class=body>{BODY}</div>", f"Title {LONG}"),
+    ],
+)
+def test_line_blocks_decide_and_classes_hint(page, want):
+    assert extract.main_text(page) == want
+
+
+def brute(weights, apart, sure):
+    """Windows, threshold, surge and dive by their definition."""
+    sums = [
+        sum(w for j, w in enumerate(weights) if abs(i - j) <= 1 and apart[j] == apart[i]) for i in range(len(weights))
+    ]
+    letters = [(w, s) for w, s in zip(weights, sums)]
+    typical = sum(w * s for w, s in letters) / sum(weights) if sum(weights) else 0
+    high = [c or s > 0 and s >= min(0.1 * typical, 40) for c, s in zip(sure, sums)]
+    text = [i for i in range(len(weights)) if high[i] and (sure[i] or weights[i])]
+    return [i for i in range(min(text), max(text) + 1) if not apart[i] or high[i] or sure[i]] if text else []
+
+
+def test_windows_equal_brute_force():
+    rng = random.Random(3)
+    for _ in range(400):
+        n = rng.randint(0, 14)
+        weights = [rng.choice([0, 0, 1, 3, 12, 60, 400]) for _ in range(n)]
+        apart = [rng.choice([0, 0, 0, 1, 2]) for _ in range(n)]
+        sure = [rng.random() < 0.1 for _ in range(n)]
+        lines = [extract.Line(str(i), float(weights[i]), sure[i], apart[i], False, False) for i in range(n)]
+        assert [int(x.text) for x in extract.selected(lines)] == brute(weights, apart, sure)
 
 
 def test_articles_of_the_table_come_whole():

@@ -1,10 +1,15 @@
 """Main text of web pages by the distribution of text over line blocks.
 
-Markup is stripped into lines, one per block element. Lines inside menus, forms, adverts
-and the like are known by element, role or class and carry no text; a form or a class is no
-sign against an element that holds the page's text (see ``spared``). Over what is left, a
-sliding window sums text lengths (link text outside an article counts nothing): where the sum surges, a stretch
-of main text begins, where it dives, it ends, and the lines of all stretches are kept.
+Markup is stripped into lines, one per block element; what HTML itself says is no main text
+(menus, forms, footers, hidden elements) gives none. Each line has a weight: its text outside
+links, scaled by the share it has in the line beside link text and inline markup. A sliding
+window sums weights. Where the sum surges over a threshold taken from the page's own
+distribution, main text begins, after its last dive it ends, and the lines between are kept.
+
+An article or main element is text for certain, all of it. Elsewhere a class or id that is
+made of telling words takes an element away, unless it holds the page's text (``spared``); one that
+only contains such a word sets the element's lines apart: windows don't reach across its edge,
+so it must surge by itself. Two or more lines in a row that are links alone are a menu.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,8 +27,11 @@ from tidelog.llm.common import text_of
 
 #: Lines of a window.
 WINDOW = 3
-#: A window with fewer characters of text (links aside) belongs to no main text.
-SURGE = 1
+#: A window surges with this share of the window that a letter of the page's text typically
+#: lies in; with so many letters it does on any page, so a sentence is not lost beside a long text.
+SURGE, ENOUGH = 0.1, 40
+#: Letters that an inline tag counts for in a line's share of text.
+TAG = 4
 
 # Fixed by HTML: elements whose content is no text, elements that hold other blocks, and
 # elements that end a line.
@@ -46,8 +55,22 @@ AWAY_WORDS = frozenset(
     search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription tags
     teaser toolbar topbar widget widgets""".split()
 )
+#: Words that say nothing beside those above: left-sidebar, comments-area.
+PLAIN_WORDS = frozenset(
+    """area bar block bottom box buttons col column container content footer form global group holder inner item items
+    layer left line links list main message middle module outer page panel post primary right row secondary section
+    side site text title top wrap wrapper""".split()
+)
+#: Words of a class or id that set an element apart, without taking it away.
+APART_WORDS = frozenset("left right side rail column aside extra misc weather stock ticker".split())
+#: Whole classes or ids of adverts and comments that count inside an article, too.
+IN_ARTICLE = frozenset(
+    """ad ads adv advert adverts advertisement advertising adsense ad-box adbox comments comment-list commentlist
+    comments-area comments-section comment-section disqus_thread""".split()
+)
 #: Classes of whole pages are no sign against their content.
 NEVER = frozenset("html body main article".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
@@ -55,7 +78,7 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role|itemtype|hidden|aria-hidden)\b(?!-)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[a-z]+", re.I)
 _SOUND = re.compile(r"[^\W_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -65,29 +88,49 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _STATE = re.compile(r"\b(?:has|no|with|without)(?:[-_]+|(?=[A-Z]))[a-zA-Z]+")
 
 
-def sign(name: str, rest: str, in_article: bool) -> str:
-    """Whether an element holds no main text: "away", "maybe" where only a class, an id or a
-    form says so, or "". A header inside an article is its title."""
+def _words(value: str) -> set[str]:
+    return {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", _STATE.sub(" ", value)))}
+
+
+def sign(name: str, rest: str, in_article: bool, nested: bool = False) -> str:
+    """What an element's name and attributes say: "away" for no main text, "maybe" where only
+    a class, an id or a form says so, "apart" where a class or id merely hints, or "".
+
+    A header inside an article is its title. An article is a comment if another one holds it
+    and its class, id or itemtype has the word. Inside an article or main, only whole classes
+    of adverts and comments count."""
     if name == "form":
         found = "maybe"
     elif name in AWAY or name == "header" and not in_article:
         return "away"
     else:
         found = ""
-    if name in NEVER or not rest.strip():
-        return "away" if name == "article" and "comment" in rest.lower() else found
+    if not rest.strip():
+        return found
     for m in _ATTR.finditer(rest):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in NEVER:
+            if name == "article" and nested and kind in ("class", "id", "itemtype") and _words(value) & {"comment", "comments"}:
+                return "away"
+            continue
         if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
             return "away"
         if kind == "role" and value.strip().lower() in AWAY_ROLES:
             if value.strip().lower() != "form":
                 return "away"
             found = "maybe"
-        if kind in ("class", "id"):
-            words = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", _STATE.sub(" ", value)))}
-            if words & AWAY_WORDS and not (name == "header" or in_article and words & {"header", "meta"} == words & AWAY_WORDS):
+        if kind not in ("class", "id") or name == "header":
+            continue
+        for token in _STATE.sub(" ", value).split():
+            if in_article:
+                if token.lower() in IN_ARTICLE:
+                    found = "maybe"
+                continue
+            words = _words(token)
+            if words & AWAY_WORDS and words <= AWAY_WORDS | PLAIN_WORDS:
                 found = "maybe"
+            elif words & (AWAY_WORDS | APART_WORDS) and not found:
+                found = "apart"
     return found
 
 
@@ -155,7 +198,7 @@ def spared(page: str) -> set[int]:
         if not m["end"]:
             away, inside = stack[-1][1:3] if stack else (False, False)
             nested = bool(stack) and (stack[-1][3] or stack[-1][0] == "article")
-            mine = sign(name, m["rest"], inside)
+            mine = sign(name, m["rest"], inside, nested)
             stack.append(
                 (name, away or mine == "away", inside or name in ("article", "main"), nested,
                  mine == "maybe", m.start(), letters, texts)
@@ -166,36 +209,57 @@ def spared(page: str) -> set[int]:
     return holds if texts else {begin for begin, n in sizes if 2 * n > letters}
 
 
-def lines_of(page: str) -> list[tuple[str, int]]:
-    """(text, letters and digits that count) of each line, boilerplate left out. Link text
-    counts only inside an article, where it is part of the text."""
-    out: list[tuple[str, int]] = []
+class Line(NamedTuple):
+    text: str
+    weight: float
+    #: In an article or main; the element that sets it apart (0: none); a heading; links alone.
+    sure: bool
+    apart: int
+    heading: bool
+    linked: bool
+
+
+def _letters(pieces: list[str]) -> int:
+    return len("".join(_SOUND.findall(html.unescape(" ".join(pieces)))))
+
+
+def lines_of(page: str) -> list[Line]:
+    """The lines of a page, what is no main text for certain left out."""
+    out: list[Line] = []
     text: list[str] = []
     own: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, no main text, an article's
-    away = article = False
-    in_link = False
+    link: list[str] = []
+    # Element, no main text, in an article or main, below an article, set apart by.
+    stack: list[tuple[str, bool, bool, bool, int]] = []
+    away = sure = heading = in_link = False
+    apart = n_apart = tags = 0
     spare = None  # where spared elements begin, once it is asked for
 
     def close():
+        nonlocal tags, heading
         if text:
             line = " ".join(html.unescape("".join(text)).split())
             if line:
-                out.append((line, len("".join(_SOUND.findall(html.unescape(" ".join(own)))))))
-            text.clear()
-            own.clear()
+                mine, other = _letters(own), _letters(link)
+                weight = mine * mine / (mine + other + TAG * tags) if mine else 0.0
+                out.append(Line(line, weight, sure, apart, heading, other > 0 and mine == 0))
+            for part in (text, own, link):
+                part.clear()
+        tags, heading = 0, False
+
+    def take(piece: str):
+        text.append(piece)
+        (link if in_link else own).append(piece)
 
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at and not away:
-            piece = page[at : m.start()]
-            text.append(piece)
-            if not in_link or article:
-                own.append(piece)
+            take(page[at : m.start()])
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
             continue
+        tags += not m["end"]
         if name == "a":
             in_link = not m["end"]
             continue
@@ -203,58 +267,76 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             continue
         if name in BLOCKS:
             close()
+            heading = name in HEADINGS and not m["end"]
         if not _is_element(name):
             continue
         if name in CONTAINERS:
             in_link = False
         _closed(stack, name, bool(m["end"]))
         if not m["end"]:
-            inside = bool(stack) and stack[-1][2]
-            mine = bool(stack) and stack[-1][1]
+            _, mine, inside, nested, by = stack[-1] if stack else ("", False, False, False, 0)
             if not mine:
-                found = sign(name, m["rest"], inside)
+                found = sign(name, m["rest"], inside, nested)
                 if found == "maybe" and spare is None:
                     spare = spared(page)
                 mine = found == "away" or found == "maybe" and m.start() not in spare
-            stack.append((name, mine, inside or name in ("article", "main")))
-        away = bool(stack) and stack[-1][1]
-        article = bool(stack) and stack[-1][2]
+                if found == "apart":
+                    by = n_apart = n_apart + 1
+            stack.append((name, mine, inside or name in ("article", "main"), nested or name == "article", by))
+        _, away, sure, _, apart = stack[-1] if stack else ("", False, False, False, 0)
     if at < len(page) and not away:
-        text.append(page[at:])
-        own.append(page[at:])
+        take(page[at:])
     close()
     return out
 
 
-def stretches(lengths: list[int]) -> list[tuple[int, int]]:
-    """(first, past last) of each stretch between a surge and the dive after it.
+def window_sums(weights: list[float], apart: list[int]) -> list[float]:
+    """Sum of the weights around each line, of lines set apart by the same element only."""
+    half = WINDOW // 2
+    out = []
+    for i in range(len(weights)):
+        near = range(max(0, i - half), min(len(weights), i + half + 1))
+        out.append(sum(weights[j] for j in near if apart[j] == apart[i]))
+    return out
 
-    A line belongs to a stretch if a window around it has enough text; the stretch begins
-    at its first line with text of its own and ends after the last one.
-    """
-    n, half = len(lengths), WINDOW // 2
-    sums = [sum(lengths[max(0, i - half) : i + half + 1]) for i in range(n)]
-    found, first = [], None
-    for i in range(n + 1):
-        high = i < n and sums[i] >= SURGE
-        if high and first is None:
-            first = i
-        elif not high and first is not None:
-            a, b = first, i
-            while not lengths[a]:
-                a += 1
-            while not lengths[b - 1]:
-                b -= 1
-            found.append((a, b))
-            first = None
-    return found
+
+def threshold(weights: list[float], sums: list[float]) -> float:
+    """From the page's distribution: a share of the window in which a letter of its text
+    lies on average."""
+    total = sum(weights)
+    typical = sum(w * s for w, s in zip(weights, sums)) / total if total else 0.0
+    return min(SURGE * typical, ENOUGH)
+
+
+def selected(lines: list[Line]) -> list[Line]:
+    """The lines from the first surge to the last dive.
+
+    A line is high if it is sure or its window reaches the threshold. The text begins with
+    the first high line that has text of its own (headings right before it included) and ends
+    with the last. In between go menus, and lines set apart that aren't high."""
+    weights, apart = [x.weight for x in lines], [x.apart for x in lines]
+    sums = window_sums(weights, apart)
+    least = threshold(weights, sums)
+    high = [x.sure or s > 0 and s >= least for x, s in zip(lines, sums)]
+    text = [i for i, x in enumerate(lines) if high[i] and (x.sure or x.weight > 0)]
+    if not text:
+        return []
+    first, last = text[0], text[-1]
+    while first and lines[first - 1].heading and not lines[first - 1].linked and not lines[first - 1].apart:
+        first -= 1
+    out = []
+    for i in range(first, last + 1):
+        x = lines[i]
+        beside = [lines[j] for j in (i - 1, i + 1) if 0 <= j < len(lines)]
+        menu = x.linked and any(y.linked and not y.sure for y in beside)
+        if x.sure or not menu and (not x.apart or high[i]):
+            out.append(x)
+    return out
 
 
 def main_text(page: str) -> str:
-    """The lines of all stretches between surge and dive, joined by one space; empty if there is no text."""
-    lines = lines_of(page)
-    kept = [x for a, b in stretches([n for _, n in lines]) for x, _ in lines[a:b]]
-    return " ".join(kept)
+    """The selected lines joined by one space; empty if there is no text."""
+    return " ".join(x.text for x in selected(lines_of(page)))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
