@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tests.llm.conftest import DOCS, as_rows, clashing, words
 from tidelog.llm import neardup
 from tidelog.llm.components import components
@@ -79,7 +81,66 @@ def test_sketches_tell_high_similarity():
     assert apart(a, b) < 20 and apart(a, c) > neardup.FAR
 
 
-def test_components_of_a_path(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
+def turns(monkeypatch):
+    """How often edges are landed, two per turn and once before."""
+    from tidelog.llm import components as module
+
+    seen = []
+    plain = module.landed
+    monkeypatch.setattr(module, "landed", lambda df, label: seen.append(label) or plain(df, label))
+    return lambda: (seen.count("edges") - 1) // 2
+
+
+def unlucky(n):
+    """A path whose least ids lie in turn at either end, so labels travel its whole length."""
+    left, right = list(range(0, n, 2)), list(range(1, n, 2))
+    return left + right[::-1]
+
+
+@pytest.mark.parametrize("order", ["sorted", "unlucky", "random"])
+def test_components_of_a_path_in_few_turns(spark, monkeypatch, order):
+    n = 2000
+    path = {"sorted": list(range(n)), "unlucky": unlucky(n), "random": random.Random(1).sample(range(n), n)}[order]
+    edges = spark.createDataFrame([*zip(path, path[1:]), (n + 5, n + 9), (n + 9, n + 9)], "a long, b long")
+    count = turns(monkeypatch)
     got = dict(as_rows(components(edges), "v", "c"))
-    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+    assert got == {**{i: 0 for i in range(n)}, n + 5: n + 5, n + 9: n + 5}
+    assert count() <= 20
+
+
+def test_components_of_stars_cliques_and_nothing(spark):
+    rng = random.Random(2)
+    edges = [(500, i) for i in range(100, 180)] + [(i, j) for i in range(20) for j in range(i)]
+    edges += [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(120)]
+    root = {v: v for e in edges for v in e}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for x, y in edges:
+        a, b = find(x), find(y)
+        root[max(a, b)] = min(a, b)
+    got = dict(as_rows(components(spark.createDataFrame(edges, "a long, b long")), "v", "c"))
+    assert got == {v: find(v) for e in edges for v in e if e[0] != e[1]}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_families_that_share_differences(spark, monkeypatch):
+    """Two large families with a common passage in the same buckets: rows are linear."""
+    rng = random.Random(9)
+    common, one, two = words(rng, 260), words(rng, 60), words(rng, 60)
+    texts = []
+    for k in range(300):
+        own = (one if k % 2 else two).split()
+        own[rng.randrange(60)] = f"x{k}"
+        texts.append(f"{common} {' '.join(own)}")
+    rng.shuffle(texts)
+    docs = [(i, t, "", "", 0) for i, t in enumerate(texts)]
+    sizes = []
+    plain = neardup.confirm
+    monkeypatch.setattr(neardup, "confirm", lambda pairs, *a: sizes.append(pairs.count()) or plain(pairs, *a))
+    got = as_rows(neardup.link(spark.createDataFrame(docs, DOCS)), *COLUMNS)
+    assert got == sorted(brute(docs), key=repr)
+    assert sum(sizes) < 20 * len(docs)

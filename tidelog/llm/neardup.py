@@ -10,8 +10,10 @@ most buckets with most others; sketches drop the unlike, full sets confirm a lin
 components follow. What then is still apart in a bucket is compared by differences from the
 leader's set: a class that isn't linked with the leader can only be linked with another of
 the bucket if a certain number of differences is the same in both, so it is enough to join
-prefixes of their sorted differences (see ``_differences``). A link inside a component
-changes no component, so nothing is lost, and no bucket is paired with itself.
+prefixes of their sorted differences (see ``_differences``). Where many classes share a
+difference, each meets one of them first; what then is still apart is joined by components,
+so a large family that is one component already counts as one row per shared difference. A
+link inside a component changes no component, so nothing is lost.
 """
 
 from __future__ import annotations
@@ -143,12 +145,21 @@ def _apart(left: str, right: str, plan: Plan):
     return total
 
 
+def _sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sets of each row's two texts. Rows of one leader follow each other, so its set is
+    computed once; no more than three sets are held at a time."""
+    left, right, ids = (batch.column(c).to_pylist() for c in ("ta", "tb", "b"))
+    last, lead = None, None
+    for x, y, b in zip(left, right, ids, strict=True):
+        if lead is None or b != last:
+            last, lead = b, shingle_sets([y])[0]
+        yield shingle_sets([x])[0], lead
+
+
 def _linked(link: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        left, right = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
         keep = []
-        for i, (x, y) in enumerate(zip(left, right, strict=True)):
-            p, q = shingle_sets([x, y])
+        for i, (p, q) in enumerate(_sets(batch)):
             # Sets of these sizes may be too different whatever they share.
             if 100 * min(len(p), len(q)) < link * max(len(p), len(q)):
                 continue
@@ -183,9 +194,7 @@ def _differences(link: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     """
     r = link / (100 + link)
     for batch in batches:
-        left, right = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
-        for i, (x, lead) in enumerate(zip(left, right, strict=True)):
-            own, lead = shingle_sets([x, lead])
+        for i, (own, lead) in enumerate(_sets(batch)):
             added, lacked = np.setdiff1d(own, lead, True), np.setdiff1d(lead, own, True)
             p, q, n = len(lacked), len(added), len(lead)
             # A small allowance for rounding only lets more pairs through.
@@ -225,6 +234,47 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs
 
 
+_PLACE = ["leader", "element"]
+
+
+def _with_component(unlike: DataFrame, labels: DataFrame) -> DataFrame:
+    """Differences with their class's component ``c``."""
+    found = labels.select("v", F.col("c").alias("_c"))
+    return unlike.join(found, "v", "left").withColumn("c", F.coalesce("_c", "v")).drop("_c")
+
+
+def _sides(unlike: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes that may be the one a link is found from (x), and the other one (y)."""
+    x = unlike.filter("t is not null").select(*_PLACE, F.col("v").alias("a"), F.col("c").alias("ca"), F.col("rest").alias("ra"), "t")
+    y = unlike.filter("short").select(*_PLACE, F.col("v").alias("b"), F.col("c").alias("cb"), F.col("rest").alias("rb"), "u")
+    return x, y
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _with_one(unlike: DataFrame) -> DataFrame:
+    """Where classes share a difference, each with the one that differs least: a row per class
+    and difference."""
+    x, y = _sides(unlike)
+    one = y.groupBy(*_PLACE).agg(F.min(F.struct("u", "b", "cb", "rb")).alias("y")).select(*_PLACE, "y.*")
+    return _pairs(x.join(one, _PLACE).filter("ca <> cb and least(ra, rb) >= t + u"))
+
+
+def _between_components(unlike: DataFrame) -> DataFrame:
+    """Classes of different components that share a difference and may be linked. Components
+    are joined first, each with the best of its classes, so those that can't be linked, or
+    have no other component beside them, are not spread out into their classes."""
+    x, y = _sides(unlike)
+    xs = x.groupBy(*_PLACE, "ca").agg(F.min("t").alias("t"), F.max("ra").alias("ra"))
+    ys = y.groupBy(*_PLACE, "cb").agg(F.min("u").alias("u"), F.max("rb").alias("rb"))
+    near = xs.join(ys, _PLACE).filter("ca <> cb and least(ra, rb) >= t + u").select(*_PLACE, "ca", "cb")
+    near = landed(near, "near")
+    found = near.join(x, [*_PLACE, "ca"]).join(y, [*_PLACE, "cb"]).filter("least(ra, rb) >= t + u")
+    return _pairs(found)
+
+
 def link(docs: DataFrame, key: str = "doc_id", threshold: int = LINK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``; sets whose similarity is
     ``threshold`` percent or more are linked.
@@ -281,13 +331,12 @@ def link(docs: DataFrame, key: str = "doc_id", threshold: int = LINK) -> DataFra
     again = landed(again, "again")
     if not again.isEmpty():
         unlike = landed(_with_texts(again, texts).mapInArrow(partial(_differences, threshold), DIFFERENCE), "differences")
-        x = unlike.filter("t is not null").select("leader", "element", F.col("v").alias("a"), F.col("c").alias("ca"), F.col("rest").alias("ra"), "t")
-        y = unlike.filter("short").select("leader", "element", F.col("v").alias("b"), F.col("c").alias("cb"), F.col("rest").alias("rb"), "u")
-        left = x.join(y, ["leader", "element"]).filter("ca <> cb and least(ra, rb) >= t + u")
-        left = landed(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "left")
-        if not left.isEmpty():
-            links = links.unionAll(confirm(left, texts, threshold))
-            labels = components(links)
+        unlike = unlike.drop("c")
+        for candidates in (_with_one, _between_components):
+            left = landed(candidates(_with_component(unlike, labels)), "left")
+            if not left.isEmpty():
+                links = links.unionAll(confirm(left, texts, threshold))
+                labels = components(links)
 
     named = classes.join(labels.select("v", "c"), "v", "left").select("name", F.coalesce("c", "v").alias("component_id"))
     linked = real.join(named, "name").select("doc_id", "n_shingles", "component_id")
