@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 from collections import Counter
 
@@ -52,26 +54,73 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert as_rows(out, "doc_id", "distance", "kept") == as_rows(again, "doc_id", "distance", "kept")
 
 
-def test_estimate_equals_concentration_in_numpy(spark):
-    """With 20 % outliers, the estimate is that of the nearest 75 %, step by step."""
-    rng = np.random.RandomState(0)
-    x = np.round(rng.multivariate_normal(np.zeros(6), np.diag([9, 4, 1, 1, 2, 3.0]) * 900, 500)).astype(int)
-    x[:100] += 5000
-    frame = spark.createDataFrame(
-        [("2{}", "1{}", "0", *map(int, r)) for r in x], "k2 string, k1 string, k0 string, " + ", ".join(f"q{i} long" for i in range(6))
+def vectors_of(spark, groups):
+    """Rows of whole numbers per group, each a source of one language."""
+    rows = [(f"2{g}", "1x", "0", *map(int, r)) for g, x in groups.items() for r in x]
+    return spark.createDataFrame(rows, "k2 string, k1 string, k0 string, " + ", ".join(f"q{i} long" for i in range(6)))
+
+
+def least_determinant(x, share=quality.KEPT_SHARE):
+    """Over all subsets of that share: the least log determinant, the floor added, and its mean."""
+    h = math.ceil(len(x) * share)
+    best = min(
+        (np.linalg.slogdet(np.cov(x[list(c)].T, bias=True) + np.eye(6) * quality.UNIT**2)[1], c)
+        for c in itertools.combinations(range(len(x)), h)
     )
-    got = quality.estimates(frame).filter("key = '0'").first()
-    assert np.abs(np.array(got["centre"])).max() < 30
-    centre = np.floor(np.median(x, axis=0) / 8) * 8 + 3.5
-    inverse = np.eye(6) / quality.UNIT**2
-    for _ in range(quality.STEPS):
-        d = x - centre
-        bins = np.floor(np.log2(np.maximum(0, np.einsum("ij,jk,ik->i", d, inverse, d)) + 1) * quality.BINS)
-        order = np.sort(bins)
-        near = x[bins <= order[int(np.ceil(len(x) * quality.KEPT_SHARE)) - 1]]
-        centre = near.mean(axis=0)
-        inverse = np.linalg.inv(np.cov(near.T, bias=True) + np.eye(6) * quality.UNIT**2)
-    assert np.allclose(got["centre"], centre, atol=2) and np.allclose(got["inverse"], inverse.ravel(), rtol=0.05, atol=1e-7)
+    return best[0], x[list(best[1])].mean(axis=0)
+
+
+def test_estimates_have_the_least_determinant(spark):
+    """Small groups with outliers, against all subsets; outliers on one side mislead means,
+    a wide dimension misleads unit variances."""
+    rng = np.random.RandomState(0)
+    groups = {}
+    for g in range(6):
+        x = rng.multivariate_normal(rng.randint(-900, 900, 6), np.diag([9, 4, 1, 1, 2, 30.0 + 400 * (g == 5)]) * 900, 12)
+        far = x[: 1 + g % 3]
+        far += rng.choice([-1, 1], 6) * rng.randint(2500, 6000, (len(far), 6))
+        groups[g] = np.round(x).astype(int)
+    got = {r["key"]: r for r in quality.estimates(vectors_of(spark, groups)).collect()}
+    for g, x in groups.items():
+        logdet, centre = least_determinant(x)
+        assert abs(got[f"2{g}"]["logdet"] - logdet) < 1e-6
+        assert np.allclose(got[f"2{g}"]["centre"], centre) and got[f"2{g}"]["n_docs"] == 12
+
+
+def test_steps_end_at_a_fixed_point(spark):
+    """The subset nearest to the estimate gives the estimate again, or no lower determinant."""
+    rng = np.random.RandomState(1)
+    x = np.round(rng.standard_t(2, (400, 6)) * 300).astype(int)
+    got = next(r for r in quality.estimates(vectors_of(spark, {0: x})).collect() if r["key"] == "20")
+    d = x - np.array(got["centre"])
+    d2 = np.einsum("ij,jk,ik->i", d, np.array(got["inverse"]).reshape(6, 6), d)
+    bins = np.floor(np.log2(np.maximum(0, d2) + 1) * quality.BINS)
+    near = x[bins <= np.sort(bins)[math.ceil(400 * quality.KEPT_SHARE) - 1]]
+    again = np.linalg.slogdet(np.cov(near.T, bias=True) + np.eye(6) * quality.UNIT**2)[1]
+    assert again >= got["logdet"] - 1e-6
+    assert abs(len(near) - 300) < 20
+
+
+def test_verdicts_are_continuous_in_group_size(spark):
+    """A group of one has nearly its parent's estimate; one more document moves it a little."""
+    rng = np.random.RandomState(2)
+    many = np.round(rng.normal(0, 200, (400, 6))).astype(int)
+    centres = []
+    for n in (1, 40, 41, 399, 400):
+        few = np.round(np.full((n, 6), 1000) + rng.normal(0, 1, (n, 6))).astype(int)
+        out = {r["k2"]: r for r in quality.group_estimates(vectors_of(spark, {"big": many, "few": few})).collect()}
+        centres.append(np.array(out["2few"]["centre"]).mean())
+    assert centres[0] < 60 and abs(centres[2] - centres[1]) < 40 and abs(centres[4] - centres[3]) < 40
+    assert centres[0] < centres[1] < centres[3]
+
+
+def test_huge_components(spark):
+    """A ratio of millions is summed exactly and judged like any other outlier."""
+    rng = random.Random(1)
+    rows = [(i, words(rng, 60), "en", "a", 0) for i in range(60)]
+    rows += [(100 + i, "#" * 4_000_000 + " " + words(rng, 12), "en", "a", 0) for i in range(3)]
+    out = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    assert all(out[i]["kept"] for i in range(60)) and not any(out[100 + i]["kept"] for i in range(3))
 
 
 def test_salted_join_gives_the_same(spark, frame, monkeypatch):

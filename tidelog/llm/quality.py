@@ -2,14 +2,19 @@
 
 Each document is a vector of smoothed ratios, in units of the least standard deviation that
 counts (``FLOOR``). For every (language, source), every language and the whole table the
-minimum-covariance-determinant estimate is found by concentration: start from the medians,
-keep the 75 % of documents nearest to the centre, take their mean and covariance, repeat. A
-document is rejected if its Mahalanobis distance under its finest group of at least
-``LEAST_GROUP`` documents is too large.
-
-All documents take part. A step is one aggregate over (group, binned distance): integer
+minimum-covariance-determinant estimate is sought: the mean and covariance of those 75 % of
+documents whose covariance (the floor's variance added) has the least determinant. From each
+of three starts (medians with unit variances, medians with robust spreads, mean and
+covariance of all) concentration steps keep the documents nearest to the centre and estimate
+anew, until the determinant falls no further; of the three results the one of the least
+determinant stands. An estimate then moves towards that of its parent (language, whole table)
+as if ``SHARED`` documents more had the parent's, so verdicts pass smoothly from a group of
+one document to a large one. A document is rejected if its Mahalanobis distance, scaled so
+that the group's median is that of chi-squared, is too large.
+
+All documents take part. A step is one aggregate over (group, start, binned distance): integer
 sums, so results don't depend on the order in which tasks end. Vectors are whole numbers,
-1/64 of a unit each.
+1/64 of a unit each, without a bound: products of large ones are summed as decimals.
 """
 
 from __future__ import annotations
@@ -38,10 +43,13 @@ FLOOR = {
     "punctuation per word": 0.12,
 }
 P = len(FLOOR)
-UNIT, CLIP = 64, 1 << 14
-#: Share of documents the estimate rests on, steps, and bins per doubling of distance.
-KEPT_SHARE, STEPS, BINS = 0.75, 4, 32
-LEAST_GROUP = 100
+UNIT = 64
+#: Components up to this size are multiplied and summed as 64-bit numbers, others as decimals.
+SMALL = 1 << 14
+#: Share of documents the estimate rests on, bins per doubling of distance, starts.
+KEPT_SHARE, BINS, STARTS = 0.75, 32, 3
+#: Documents' worth of its parent in a group's estimate.
+SHARED = 50
 #: Median of chi-squared with P = 6 degrees of freedom, and the cut for its distances.
 MEDIAN, CUT = 5.348, 20.0
 #: Groups whose estimates (under 1 kB each) may be broadcast; more meet by a salted join.
@@ -113,7 +121,7 @@ def _vector() -> list[Column]:
         F.col("n_other") / n,
     ]
     whole = [F.round(r / f * UNIT).cast("long") for r, f in zip(ratios, FLOOR.values(), strict=True)]
-    return [F.least(F.lit(CLIP), q).cast("long").alias(f"q{i}") for i, q in enumerate(whole)]
+    return [q.alias(f"q{i}") for i, q in enumerate(whole)]
 
 
 def _keys() -> list[Column]:
@@ -126,10 +134,9 @@ def _keys() -> list[Column]:
     ]
 
 
-def _meet(rows: DataFrame, groups: DataFrame, n_groups: int, key: str, how: str = "inner") -> DataFrame:
-    """Rows with their group's estimate. Few groups are broadcast; many meet the rows by
-    (group, salt), so that a hot group is dealt out."""
-    named = groups.withColumnRenamed("key", key)
+def _meet(rows: DataFrame, named: DataFrame, n_groups: int, key: str, how: str = "inner") -> DataFrame:
+    """Rows with their group's estimates. Few are broadcast; many meet the rows by (group,
+    salt), so that a hot group is dealt out."""
     if n_groups <= BROADCAST_GROUPS:
         return rows.join(F.broadcast(named), key, how)
     salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -138,7 +145,7 @@ def _meet(rows: DataFrame, groups: DataFrame, n_groups: int, key: str, how: str
 
 def _distance(centre: Column, inverse: Column) -> Column:
     """Squared Mahalanobis distance; ``inverse`` is the P x P matrix row by row."""
-    d = [F.col(f"q{i}") - centre[i] for i in range(P)]
+    d = [F.col(f"q{i}").cast("double") - centre[i] for i in range(P)]
     total = F.lit(0.0)
     for i in range(P):
         for j in range(i, P):
@@ -150,74 +157,175 @@ def _bin(d2: Column) -> Column:
     return F.floor(F.log2(d2 + 1.0) * BINS).cast("int")
 
 
-def _medians(rows: DataFrame) -> DataFrame:
-    """The first estimate: medians (to 1/8 unit) with unit variances."""
-    long = rows.select(
-        "key", F.posexplode(F.array(*[F.floor(F.col(f"q{i}") / 8).cast("long") for i in range(P)])).alias("i", "b")
-    )
-    bins = long.groupBy("key", "i", "b").agg(F.count("*").alias("n"))
-    own = Window.partitionBy("key", "i")
-    upto = own.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    half = bins.withColumn("ok", F.sum("n").over(upto) * 2 >= F.sum("n").over(own))
-    one = half.filter("ok").groupBy("key", "i").agg((F.min("b") * 8.0 + 3.5).alias("m"))
-    unit = [1.0 / UNIT**2 if i == j else 0.0 for i in range(P) for j in range(P)]
-    centre = F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda x: x["m"])
-    return one.groupBy("key").agg(
-        centre.alias("centre"), F.lit(1.0).alias("scale"),
-    ).select("key", "centre", F.array(*map(F.lit, unit)).alias("inverse"), "scale")
+_PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
+_ESTIMATE = "centre array<double>, cov array<double>, inverse array<double>, logdet double"
+_GROUP = f"key string, start int, {_ESTIMATE}"
 
 
-_PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
-_GROUP = "key string, centre array<double>, inverse array<double>, scale double"
+def _solved(key, start, mean: np.ndarray, cov: np.ndarray) -> tuple:
+    """An estimate; ``cov`` has the floor's variance added."""
+    return (key, start, mean.tolist(), cov.ravel().tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1]))
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["key", "start", "centre", "cov", "inverse", "logdet"])
 
 
 def _solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Mean and inverse covariance per group, with the floor's variance added."""
+    """Mean and covariance per group and start. Sums are whole numbers of any size, so
+    nothing cancels."""
     for f in frames:
         out = []
         for r in f.itertuples(index=False):
-            mean = np.array([getattr(r, f"s{i}") for i in range(P)]) / r.n
-            cov = np.zeros((P, P))
+            n, s = int(r.n), [int(getattr(r, f"s{i}")) for i in range(P)]
+            cov = np.eye(P) * UNIT**2
             for i, j in _PAIRS:
-                cov[i, j] = cov[j, i] = getattr(r, f"s{i}_{j}") / r.n - mean[i] * mean[j]
-            inverse = np.linalg.inv(cov + np.eye(P) * UNIT**2)
-            out.append((r.key, mean.tolist(), inverse.ravel().tolist(), float(r.scale)))
-        yield pd.DataFrame(out, columns=["key", "centre", "inverse", "scale"])
+                cov[i, j] += (int(getattr(r, f"s{i}_{j}")) * n - s[i] * s[j]) / n**2
+                cov[j, i] = cov[i, j]
+            out.append(_solved(r.key, r.start, np.array([x / n for x in s]), cov))
+        yield _frame(out)
 
 
-def _concentrate(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
-    """One step: the moments of each group's nearest documents, and the estimate from them.
-
-    The scale makes the median distance under the *previous* estimate that of chi-squared;
-    it never shrinks distances' unit below the floor.
-    """
+def _medians(rows: DataFrame) -> DataFrame:
+    """Starts 0 and 1: medians (to 1/8 unit), with unit variances and with those that the
+    middle half of the documents has."""
+    long = rows.select(
+        "key", F.posexplode(F.array(*[F.floor(F.col(f"q{i}") / 8).cast("long") for i in range(P)])).alias("i", "b")
+    )
+    bins = long.groupBy("key", "i", "b").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("key", "i")
+    upto = own.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    seen, every = F.sum("n").over(upto), F.sum("n").over(own)
+    bins = bins.withColumn("seen", seen / every)
+    at = lambda share: F.min(F.when(F.col("seen") >= share, F.col("b"))) * 8.0 + 3.5
+    one = bins.groupBy("key", "i").agg(at(0.5).alias("m"), (at(0.75) - at(0.25)).alias("spread"))
+    in_order = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("i", c))), lambda x: x[c])
+    both = one.groupBy("key").agg(in_order("m").alias("m"), in_order("spread").alias("spread"))
+
+    def starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for r in f.itertuples(index=False):
+                # The middle half of a normal distribution is 1.349 standard deviations wide.
+                wide = np.diag((np.array(r.spread) / 1.349) ** 2 + UNIT**2)
+                for start, cov in enumerate((np.eye(P) * float(UNIT**2), wide)):
+                    out.append(_solved(r.key, start, np.array(r.m), cov))
+            yield _frame(out)
+
+    return both.mapInPandas(starts, _GROUP)
+
+
+def _sums(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Count, sums and sums of products by group, as decimals. Rows with a large component
+    are rare and summed as decimals from the start."""
+    q = [F.col(f"q{i}") for i in range(P)]
+    small = F.lit(True)
+    for c in q:
+        small = small & (F.abs(c) <= SMALL)
+
+    def added(part: DataFrame, kind: str) -> DataFrame:
+        x = [c.cast(kind) for c in q]
+        sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(x)]
+        sums += [F.sum((x[i] * x[j]).cast(kind)).alias(f"s{i}_{j}") for i, j in _PAIRS]
+        sums = part.groupBy(*by).agg(F.count("*").alias("n"), *sums)
+        return sums.select(*by, *[F.col(c).cast("decimal(38,0)").alias(c) for c in sums.columns if c not in by])
+
+    parts = added(rows.filter(small), "long").unionAll(added(rows.filter(~small), "decimal(38,0)"))
+    return parts.groupBy(*by).agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in parts.columns if c not in by])
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Start 2: mean and covariance of all documents."""
+    return _sums(rows, ["key"]).withColumn("start", F.lit(2)).mapInPandas(_solve, _GROUP)
+
+
+def _binned(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
+    """Rows with the bin of their distance under each start of their group."""
+    near = _meet(rows, groups.select("key", "start", "centre", "inverse"), n_groups, "key")
     d2 = _distance(F.col("centre"), F.col("inverse"))
-    near = _meet(rows, groups, n_groups, "key").select("key", *[f"q{i}" for i in range(P)], d2.alias("d2"))
-    near = near.withColumn("bin", _bin(F.col("d2")))
-    sums = [F.sum(f"q{i}").alias(f"s{i}") for i in range(P)]
-    sums += [F.sum(F.col(f"q{i}") * F.col(f"q{j}")).alias(f"s{i}_{j}") for i, j in _PAIRS]
-    bins = near.groupBy("key", "bin").agg(F.count("*").alias("n"), *sums)
-    own = Window.partitionBy("key")
+    return near.select("key", "start", *[f"q{i}" for i in range(P)], _bin(d2).alias("bin"))
+
+
+def _concentrate(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
+    """One step: estimates from each group's nearest documents, per start."""
+    bins = _sums(_binned(rows, groups, n_groups), ["key", "start", "bin"])
+    own = Window.partitionBy("key", "start")
     before = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     seen, every = F.coalesce(F.sum("n").over(before), F.lit(0)), F.sum("n").over(own)
-    bins = bins.withColumn("in", seen < every * KEPT_SHARE).withColumn("low", seen * 2 < every)
-    median = F.pow(F.lit(2.0), F.max(F.when(F.col("low"), F.col("bin"))) / BINS) - 1.0
-    moments = bins.groupBy("key").agg(
-        F.greatest(F.lit(1.0), median / MEDIAN).alias("scale"),
-        *[F.sum(F.when(F.col("in"), F.col(c))).alias(c) for c in bins.columns if c == "n" or c[0] == "s"],
+    near = bins.withColumn("in", seen < every * F.lit(KEPT_SHARE).cast("decimal(3,2)")).filter("in")
+    moments = near.groupBy("key", "start").agg(
+        *[F.sum(c).cast("decimal(38,0)").alias(c) for c in bins.columns if c == "n" or c[0] == "s" and c != "start"]
     )
     return moments.mapInPandas(_solve, _GROUP)
 
 
+def _scales(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
+    """(key, scale, n_docs): what makes a group's median distance that of chi-squared, never
+    under 1, so a unit never shrinks below the floor."""
+    bins = _binned(rows, groups, n_groups).groupBy("key", "bin").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("key")
+    before = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("low", F.coalesce(F.sum("n").over(before), F.lit(0)) * 2 < F.sum("n").over(own))
+    median = F.pow(F.lit(2.0), F.max(F.when(F.col("low"), F.col("bin"))) / BINS) - 1.0
+    return bins.groupBy("key").agg(F.greatest(F.lit(1.0), median / MEDIAN).alias("scale"), F.sum("n").alias("n_docs"))
+
+
 def estimates(vectors: DataFrame) -> DataFrame:
-    """(key, centre, inverse, scale, n_docs) of every group of all three levels."""
+    """(key, centre, cov, inverse, logdet, scale, n_docs) of every group of all three levels."""
     rows = vectors.select(F.explode(F.array("k2", "k1", "k0")).alias("key"), *[f"q{i}" for i in range(P)])
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n_docs"))
-    groups = landed(_medians(rows), "mcd")
-    n_groups = groups.count()
-    for _ in range(STEPS):
-        groups = landed(_concentrate(rows, groups, n_groups), "mcd")
-    return groups.join(sizes, "key")
+    found = landed(_medians(rows).unionAll(_whole(rows)), "mcd")
+    n_groups = found.count()
+    # The starts rest on no subset, so their determinants don't count.
+    found = landed(_concentrate(rows, found, n_groups).withColumn("moving", F.lit(True)), "mcd")
+    moving = n_groups
+    while moving:
+        step = _concentrate(rows, found.filter("moving"), moving).select("key", "start", F.struct(*_ESTIMATES).alias("new"))
+        both = found.join(step, ["key", "start"], "left")
+        better = F.coalesce(F.col("new.logdet") < F.col("logdet") - 1e-9, F.lit(False))
+        found = landed(
+            both.select(
+                "key", "start", *[F.when(better, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in _ESTIMATES],
+                better.alias("moving"),
+            ),
+            "mcd",
+        )
+        moving = found.filter("moving").count()
+    least = found.groupBy("key").agg(F.min(F.struct("logdet", "start", "centre", "cov", "inverse")).alias("e"))
+    best = landed(least.select("key", *[F.col(f"e.{c}").alias(c) for c in ("start", *_ESTIMATES)]), "mcd")
+    return best.join(_scales(rows, best, n_groups), "key")
+
+
+_ESTIMATES = ("centre", "cov", "inverse", "logdet")
+
+
+def _towards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Estimates of the finest groups, each level moved towards the one above."""
+    for f in frames:
+        out = []
+        for r in f.itertuples(index=False):
+            centre, cov, scale = np.array(r.c0), np.array(r.v0).reshape(P, P), r.s0
+            for c, v, s, n in ((r.c1, r.v1, r.s1, r.n1), (r.c2, r.v2, r.s2, r.n2)):
+                w = n / (n + SHARED)
+                apart = np.array(c) - centre
+                # Two groups' mixture: their covariances, and what lies between their centres.
+                cov = w * np.array(v).reshape(P, P) + (1 - w) * cov + w * (1 - w) * np.outer(apart, apart)
+                centre, scale = centre + w * apart, w * s + (1 - w) * scale
+            out.append((r.k2, centre.tolist(), np.linalg.inv(cov).ravel().tolist(), float(scale)))
+        yield pd.DataFrame(out, columns=["k2", "centre", "inverse", "scale"])
+
+
+def group_estimates(vectors: DataFrame) -> DataFrame:
+    """(k2, centre, inverse, scale) of every language and source."""
+    every = landed(estimates(vectors), "mcd")
+    groups = vectors.select("k2", "k1", "k0").distinct()
+    for level in (0, 1, 2):
+        one = every.select(
+            F.col("key").alias(f"k{level}"), F.col("centre").alias(f"c{level}"), F.col("cov").alias(f"v{level}"),
+            F.col("scale").alias(f"s{level}"), F.col("n_docs").cast("double").alias(f"n{level}"),
+        )
+        groups = groups.join(one, f"k{level}")
+    wanted = ["k2"] + [f"{c}{level}" for level in (0, 1, 2) for c in "cvsn"]
+    return groups.select(*wanted).mapInPandas(_towards, "k2 string, centre array<double>, inverse array<double>, scale double")
 
 
 def judge(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -230,17 +338,9 @@ def judge(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """
     counted = statistics(docs, key)
     vectors = landed(counted.select("doc_id", *COUNTS[:5], *_keys(), *_vector()), "vectors")
-    every = landed(estimates(vectors), "mcd")
-    # The whole table's group serves where nothing finer is large enough, whatever its size.
-    every = every.filter((F.col("n_docs") >= LEAST_GROUP) | (F.col("key") == "0"))
-    n_groups = every.count()
-    out = vectors
-    for level in ("k2", "k1", "k0"):
-        one = every.select(F.col("key"), F.struct("centre", "inverse", "scale").alias(f"e{level}"))
-        out = _meet(out, one, n_groups, level, "left")
-    best = F.coalesce("ek2", "ek1", "ek0")
-    out = out.withColumn("e", best)
-    distance = _distance(F.col("e.centre"), F.col("e.inverse")) / F.col("e.scale")
+    groups = landed(group_estimates(vectors), "mcd")
+    out = _meet(vectors, groups, groups.count(), "k2", "left")
+    distance = _distance(F.col("centre"), F.col("inverse")) / F.col("scale")
     n, repeated = F.col("n_words"), F.col("n_repeat_words")
     failed = (n < 10) | (repeated * 100 > n * 20)
     out = out.withColumn("distance", distance).withColumn("base_failed", failed)
