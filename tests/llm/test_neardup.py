@@ -82,13 +82,13 @@ def test_sketches_tell_high_similarity():
 
 
 def turns(monkeypatch):
-    """How often edges are landed, two per turn and once before."""
+    """How often edges are landed, once per turn and once before."""
     from tidelog.llm import components as module
 
     seen = []
     plain = module.landed
     monkeypatch.setattr(module, "landed", lambda df, label: seen.append(label) or plain(df, label))
-    return lambda: (seen.count("edges") - 1) // 2
+    return lambda: seen.count("edges") - 1
 
 
 def unlucky(n):

@@ -31,22 +31,24 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     components as they are, and the number of edges doesn't grow beyond the vertices and
     edges there are. Trees halve in depth with each turn, whatever the order of the ids: the
     bound is a power of the logarithm of the vertices, against one round per vertex of a path
-    for plain label propagation. Edges are landed after every turn and never leave the
-    executors; only their number and a checksum do, which say when nothing changes.
+    for plain label propagation. It ends when every edge leads to a vertex that is smaller
+    than all it is connected to. Edges are landed after every turn and never leave the
+    executors.
     """
     now = landed(_pointed(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))), "edges")
-    before = None
-    while True:
+    while not _are_stars(now):
         both = now.select(F.col("a").alias("x"), F.col("b").alias("y")).unionAll(now.select("b", "a"))
-        large = _star(both, both).filter("y > x").select(F.col("y").alias("a"), F.col("m").alias("b")).distinct()
-        large = landed(large, "edges")
-        down = large.select(F.col("a").alias("x"), F.col("b").alias("y"))
-        small = _star(down, down)
+        large = landed(_star(both, both).filter("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")), "large")
+        small = _star(large, large)
         pairs = small.select(F.col("y").alias("a"), F.col("m").alias("b")).unionAll(small.select("x", "m"))
         now = landed(_pointed(pairs), "edges")
-        found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if found == before:
-            break
-        before = found
     roots = now.select(F.col("b").alias("v")).distinct()
     return now.select(F.col("a").alias("v"), F.col("b").alias("c")).unionAll(roots.select("v", F.col("v").alias("c")))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each vertex either has one edge to a smaller one, or none: components are then
+    what their least vertex has around it."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("up")).unionAll(edges.select("b", F.lit(0)))
+    each = ends.groupBy("v").agg(F.sum("up").alias("ups"), F.count_if(F.col("up") == 0).alias("downs"))
+    return each.filter("ups > 1 or (ups > 0 and downs > 0)").isEmpty()
