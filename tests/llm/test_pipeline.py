@@ -30,7 +30,8 @@ def test_stages_take_effect_and_keep_clean_documents(spark):
         ids -= gone
         docs = corpus_pipeline.landed(out, "t")
         assert {r["doc_id"] for r in docs.select("doc_id").collect()} == ids, name
-        assert docs.filter("doc_id is null").count() == 2
+        # Rows without an id are judged by their own text: the one without text goes.
+        assert docs.filter("doc_id is null").count() == 1
     clean = docs.filter("doc_id = 70").first()
     assert clean["text"].endswith('[assign]" end') and clean["n_chars"] == len(clean["text"])
     kept = {r[0]: r[1] for r in rows}
@@ -53,6 +54,36 @@ def test_empty_table(spark):
         assert docs.count() == 0
 
 
+def test_rows_without_an_id_and_with_the_same_id_are_each_judged(spark):
+    """A mix of rows that all lack an id comes near its target; one good row saves no other."""
+    rng = random.Random(3)
+    texts = [words(rng, rng.randint(20, 60)) for _ in range(3000)]
+    rows = [(None, t, "en", f"s{i % 2}", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, DOCS)
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF)
+    n = mixed.select(F.sum(F.size(F.split("text", " "))).alias("n")).first()["n"]
+    total = sum(len(t.split()) for t in texts)
+    assert abs(n - 1.5 * total) < 0.01 * total
+    again = corpus_pipeline.mix_sources(spark, docs.repartition(7), SF)
+    assert as_rows(mixed, "text", "copy") == as_rows(again, "text", "copy")
+    same = [(7, texts[0], "en", "s0", 0), (7, "short", "en", "s0", 0), (7, " ".join(f"{w}###" for w in texts[1].split()), "en", "s0", 0)]
+    judged = corpus_pipeline.quality_rules(spark, spark.createDataFrame(rows[:200] + same, DOCS), SF)
+    assert [r["text"] for r in judged.filter("doc_id = 7").collect()] == [texts[0]]
+    copies = [(None, texts[5], None, None, 0)] * 3 + [(9, texts[6], None, None, 0), (8, texts[6], "x", None, 0), (9, texts[7], None, None, 0)]
+    left = corpus_pipeline.near_dedup(spark, spark.createDataFrame(copies, DOCS), SF)
+    assert as_rows(left, "doc_id", "text") == sorted([(None, texts[5]), (8, texts[6]), (9, texts[7])], key=repr)
+
+
+def test_a_very_long_text_passes_all_stages(spark):
+    rng = random.Random(4)
+    long = words(rng, 60_000)
+    rows = [(i, words(rng, 50), "en", "s", 0) for i in range(60)] + [(99, long + " token=abcdefgh1234 end", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.landed(stage(spark, docs, SF), "t")
+    assert docs.count() == 61 and docs.filter("doc_id = 99").first()["text"] == long + " [assign] end"
+
+
 def shingles(text):
     w = text.split()
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}

@@ -1,11 +1,14 @@
 import hashlib
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import DOCS, as_rows, clashing
+from tidelog.llm import queries as _queries  # noqa: F401  registers
 from tidelog.llm import secret_scan
+from tidelog.llm.registry import QUERIES
 from tidelog.llm.secret_scan import BASE_RULES, BlobLedger, Rule
 
 ASSIGN = re.compile(
@@ -76,6 +79,63 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert "hex" not in found(newer.by_path(second, "doc_id"))[3]
 
 
+def test_a_run_with_nothing_new_moves_no_text(spark, ledger):
+    docs = spark.createDataFrame([(i, f"text {i} token=abcdefgh{i}") for i in range(200)], "doc_id long, text string")
+    ledger.scan(docs)
+    before = ledger.rows().count()
+    unseen = ledger.unseen(docs)
+    assert unseen.isEmpty()
+    passed = unseen._jdf.queryExecution().optimizedPlan().toString()
+    assert passed.index("first(text") < passed.index("w0")  # the filter stands below the grouping
+    ledger.scan(docs)
+    assert ledger.rows().count() == before == 200
+
+
+def test_reading_writes_nothing_and_compaction_keeps_findings(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    ledger = BlobLedger(spark, path, BASE_RULES)
+    assert ledger.rows().isEmpty() and not os.path.exists(path)
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    for n in (2, 4, len(TEXTS)):
+        ledger.scan(docs.filter(f"doc_id < {n}"))
+    changed = (*BASE_RULES[:2], Rule("hex", r"[0-9a-f]{40,}", least=40, version=2))
+    newer = BlobLedger(spark, path, changed)
+    newer.scan(docs)
+    before, n = found(newer.by_path(docs, "doc_id")), newer.rows().count()
+    newer.compact()
+    assert found(newer.by_path(docs, "doc_id")) == before and newer.rows().count() == len({t or "" for t in TEXTS}) < n
+    assert newer.unseen(docs).isEmpty() and BlobLedger(spark, path, changed).unseen(docs).isEmpty()
+
+
+def test_query_equals_brute_force_and_shares_a_ledger(spark, tmp_path):
+    """Every column of the registered query, against Python over the whole table."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    spark.conf.set("spark.tidelog.blobLedger", str(tmp_path / "shared"))
+    try:
+        got = {r["doc_id"]: r for r in QUERIES["op1_secret_scan"](spark, sf).collect()}
+        again = {r["doc_id"]: r for r in QUERIES["op1_secret_scan"](spark, sf).collect()}
+    finally:
+        spark.conf.unset("spark.tidelog.blobLedger")
+    assert got == again and set(got) == set(docs)
+    kinds = [r.kind for r in BASE_RULES]
+    for i, text in docs.items():
+        base = [s for s in brute(text).split(",") if s]
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [got[i][f"n_{k}"] for k in kinds] == [sum(s.startswith(f"{k}:") for s in base) for k in kinds]
+        every = [(a, s) for s in got[i]["spans"].split(",") if s for a in [int(s.split(":")[1])]]
+        assert [a for a, _ in every] == sorted(a for a, _ in every)
+        assert [s for _, s in every if s.split(":")[0] in kinds] == base
+
+
+def test_many_spans_in_a_long_text(spark):
+    text = " ".join(f"é token=abcdefgh{i:04d}" for i in range(2000))
+    spans = [("assign", m.start(1), m.end(1)) for m in re.finditer(r"token=(\S+)", text)]
+    df = spark.createDataFrame([(text, spans)], "text string, spans array<struct<kind:string,start:int,stop:int>>")
+    got = df.select(secret_scan.redacted("text", "spans").alias("t")).first()["t"]
+    assert got == " ".join(["é token=[assign]"] * 2000)
+
+
 def test_empty_table(spark, ledger):
     assert secret_scan.scan_documents(spark.createDataFrame([], DOCS), ledger).count() == 0
 

@@ -60,6 +60,7 @@ def mix(
     epochs: int = 2,
     seed: str = "mix-1",
     key: str = "doc_id",
+    order: Column | None = None,
 ) -> DataFrame:
     """(key, size, source_size, target, copies, taken) per row of ``docs``.
 
@@ -72,7 +73,9 @@ def mix(
     told apart by size. An empty table gives no row; other columns are not read.
     """
     size = F.coalesce(F.regexp_count(text_of("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    h = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    if order is None:
+        order = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null:"), F.md5(text_of("text"))))
+    h = F.md5(F.concat_ws(":", F.lit(seed), order))
     sized = docs.select(
         F.col(key), source_key(F.col("source")).alias("key"), size.alias("size"), h.alias("h")
     )

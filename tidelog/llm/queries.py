@@ -21,7 +21,6 @@ from tidelog.llm import (
     warc,
 )
 from tidelog.llm.registry import query, table
-from tidelog.session import run_dir
 
 # ---- 1 secrets ----
 
@@ -34,8 +33,9 @@ def _joined(spans: F.Column) -> F.Column:
 
 @query("op1_secret_scan")
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans of secrets per document, each blob scanned once."""
-    ledger = secret_scan.BlobLedger(spark, run_dir(spark, "blobs"))
+    """Spans of secrets per document, each blob scanned once. The setting
+    spark.tidelog.blobLedger names a ledger that runs share; without it each has its own."""
+    ledger = secret_scan.BlobLedger(spark, secret_scan.ledger_folder(spark))
     found = secret_scan.scan_documents(table(spark, sf_dir, "documents"), ledger)
     kinds = [r.kind for r in secret_scan.BASE_RULES]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
@@ -57,7 +57,7 @@ _OP2_SQL = r"""
 with sized as (
   select doc_id, case when source is null then '2' else '1' || source end as k,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-    md5('mix-1:' || coalesce(doc_id::varchar, 'null')) as h
+    md5('mix-1:' || coalesce(doc_id::varchar, 'null:' || md5(coalesce(text, '')))) as h
   from documents),
 src as (select k, sum(size)::bigint as source_size, count(*) as n_docs from sized group by k),
 ranked as (select *, [5, 2, 1][1 + (row_number() over (order by k) - 1) % 3] as w, 2 * source_size as cap from src),

@@ -19,7 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import text_of
+from tidelog.llm.common import landed, text_of
+from tidelog.llm.urls import bloom, passing
+from tidelog.session import run_dir
+from tidelog.streaming.files import Files
 
 
 @dataclass(frozen=True)
@@ -107,42 +110,74 @@ def _scan(rules: tuple[Rule, ...]):
     return run
 
 
+def ledger_folder(spark: SparkSession) -> str:
+    """The folder of the ledger that runs share, or a fresh one."""
+    return spark.conf.get("spark.tidelog.blobLedger", None) or run_dir(spark, "blobs")
+
+
 class BlobLedger:
-    """The ledger in one folder of parquet files, appended to by each run."""
+    """The ledger in one folder of parquet files, appended to by each run.
+
+    ``<path>/gen=<n>`` holds one generation; the newest complete one counts. ``compact``
+    writes the next, one row per blob.
+    """
 
     def __init__(self, spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES):
         self.spark, self.path, self.rules = spark, path, tuple(rules)
         if len({r.kind for r in self.rules}) < len(self.rules):
             raise ValueError("a kind may have one rule at a time")
 
+    def _generation(self) -> int:
+        files = Files(self.spark)
+        names = [n for n in files.children(self.path) if files.exists(f"{self.path}/{n}/_SUCCESS")]
+        return max([int(n.split("=")[1]) for n in names], default=0)
+
     def rows(self) -> DataFrame:
-        """All ledger rows; none before the first run."""
-        empty = self.spark.createDataFrame([], LEDGER)
-        empty.write.mode("append").parquet(self.path)
-        return self.spark.read.schema(LEDGER).parquet(self.path)
+        """All ledger rows; none before the first run. Reading writes nothing."""
+        folder = f"{self.path}/gen={self._generation()}"
+        if not Files(self.spark).is_written(folder):
+            return self.spark.createDataFrame([], LEDGER)
+        return self.spark.read.schema(LEDGER).parquet(folder)
+
+    def compact(self) -> None:
+        """One row per blob, with the findings of all its rules. Of a rule that a newer
+        version has replaced nothing is kept, if this ledger has the newer one."""
+        rule = F.explode(F.when(F.size("rules") > 0, F.col("rules"))).alias("rule")
+        rules = self.rows().select("blob", rule).groupBy("blob").agg(F.array_sort(F.collect_set("rule")).alias("rules"))
+        found = self.findings().groupBy("blob").agg(
+            F.array_sort(F.collect_list(F.struct("kind", "start", "stop"))).alias("found")
+        )
+        known = F.array(*[F.lit(r.key) for r in self.rules])
+        names = F.array(*[F.lit(r.kind) for r in self.rules])
+        current = F.filter("rules", lambda r: F.array_contains(known, r) | ~F.array_contains(names, F.split(r, "@")[0]))
+        none = F.array().cast("array<struct<kind:string,start:int,stop:int>>")
+        out = rules.join(found, "blob", "left").select("blob", current.alias("rules"), F.coalesce("found", none).alias("found"))
+        out.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/gen={self._generation() + 1}")
 
     def unseen(self, versions: DataFrame, text: str = "text") -> DataFrame:
         """One row (blob, text, todo) per blob that some rule version hasn't scanned.
 
-        Copies meet in the map tasks first, so a blob with a third of all rows costs one
-        row per task; a text crosses the shuffle at most once per map task.
+        Hashes are looked up in the ledger first. Texts move only afterwards, and only those
+        that a Bloom filter of the unseen blobs (of bounded size) lets pass: with nothing
+        new, none does. Copies meet in the map tasks, so a blob with a third of all rows
+        costs one row per task; a text crosses the shuffle at most once per map task.
         """
         keys = F.array(*[F.lit(r.key) for r in self.rules])
         seen = self.rows().select("blob", F.explode("rules").alias("rule"))
         seen = seen.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-        blobs = versions.select(blob_of(text).alias("blob"), text_of(text).alias("text"))
-        blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
         todo = F.array_except(keys, F.coalesce("seen", F.array().cast("array<string>")))
-        return (
-            blobs.join(seen, "blob", "left")
-            .select("blob", "text", todo.alias("todo"))
-            .filter(F.size("todo") > 0)
-        )
+        blobs = versions.select(blob_of(text).alias("blob")).distinct().join(seen, "blob", "left")
+        open_ = landed(blobs.select("blob", todo.alias("todo")).filter(F.size("todo") > 0), "unseen")
+        words, blocks = bloom(open_.select(F.hex("blob").alias("_name")), "_name")
+        own = versions.select(blob_of(text).alias("blob"), text_of(text).alias("text"))
+        own = passing(own.withColumn("_name", F.hex("blob")), "_name", words, blocks).filter("_maybe")
+        own = own.groupBy("blob").agg(F.first("text").alias("text"))
+        return own.join(open_, "blob").select("blob", "text", "todo")
 
     def scan(self, versions: DataFrame, text: str = "text") -> None:
         """Scan what is unseen and append it."""
         fresh = self.unseen(versions, text).mapInArrow(_scan(self.rules), LEDGER)
-        fresh.write.mode("append").option("compression", "zstd").parquet(self.path)
+        fresh.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/gen={self._generation()}")
 
     def findings(self) -> DataFrame:
         """(blob, kind, start, stop) of the current rule versions, each once."""
@@ -178,15 +213,18 @@ def scan_documents(docs: DataFrame, ledger: BlobLedger, key: str = "doc_id") ->
 
 def redacted(text: str, spans: str) -> F.Column:
     """The text with each span replaced by its kind in brackets; overlapping spans become
-    the first one's. Positions are code points, as in Spark's strings."""
+    the first one's. Positions are code points, as in Spark's strings. The pieces between
+    spans are listed first and joined once."""
     body = F.col(text)
-    cut = lambda a, n: F.substr(body, a + 1, n)
+    piece = "array<struct<begin:int,stop:int,kind:string>>"
     step = lambda acc, s: F.when(
         s["start"] >= acc["at"],
         F.struct(
-            F.concat(acc["out"], cut(acc["at"], s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]")).alias("out"),
+            F.concat(acc["out"], F.array(F.struct(acc["at"].alias("begin"), s["start"].alias("stop"), s["kind"].alias("kind")))).alias("out"),
             s["stop"].alias("at"),
         ),
     ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["stop"]).alias("at")))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    return F.aggregate(F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substr(body, acc["at"] + 1)))
+    start = F.struct(F.array().cast(piece).alias("out"), F.lit(0).alias("at"))
+    cut = lambda x: F.concat(F.substr(body, x["begin"] + 1, x["stop"] - x["begin"]), F.lit("["), x["kind"], F.lit("]"))
+    whole = lambda acc: F.concat(F.array_join(F.transform(acc["out"], cut), ""), F.substr(body, acc["at"] + 1))
+    return F.aggregate(F.col(spans), start, step, whole)

@@ -81,6 +81,18 @@ def bloom(keys: DataFrame, column: str) -> tuple[DataFrame, int]:
     return merged, blocks
 
 
+def passing(rows: DataFrame, key: str, words: DataFrame, blocks: int) -> DataFrame:
+    """Rows with ``_maybe``: whether the filter (see ``bloom``) lets their key pass. It has at
+    most MAX_BLOCKS rows of 72 bytes, whatever the list's length, so it may be broadcast."""
+    masks = _masks(F.col(key))
+    hit = F.lit(True)
+    for i in range(WORDS):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(masks[i]) == masks[i])
+    joined = rows.withColumn("block", _block(F.coalesce(F.col(key), F.lit("")), blocks))
+    joined = joined.join(F.broadcast(words), "block", "left")
+    return joined.withColumn("_maybe", F.coalesce(hit, F.lit(False))).select(*rows.columns, "_maybe")
+
+
 def listed(urls: DataFrame, key: str, listing: DataFrame, column: str) -> DataFrame:
     """The rows of ``urls`` and a boolean ``is_listed``: whether ``key`` is in the listing.
 
@@ -89,15 +101,7 @@ def listed(urls: DataFrame, key: str, listing: DataFrame, column: str) -> DataFr
     """
     names = listing.filter(F.col(column).isNotNull()).select(F.col(column).alias("_name")).distinct()
     rows, blocks = bloom(names, "_name")
-    masks = _masks(F.col(key))
-    hit = F.lit(True)
-    for i in range(WORDS):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(masks[i]) == masks[i])
-    # At most MAX_BLOCKS rows of 72 bytes, whatever the list's length.
-    joined = urls.withColumn("block", _block(F.coalesce(F.col(key), F.lit("")), blocks))
-    joined = joined.join(F.broadcast(rows), "block", "left")
-    joined = joined.withColumn("_maybe", F.coalesce(hit, F.lit(False)))
-    joined = joined.select(*urls.columns, "_maybe")
+    joined = passing(urls, key, rows, blocks)
     maybe = joined.filter("_maybe").join(
         names.withColumn("is_listed", F.lit(True)), F.col(key) == F.col("_name"), "left"
     )
