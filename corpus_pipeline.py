@@ -5,32 +5,44 @@ what it returns as Parquet in the shared folder and gives the next stage the rer
 All stages but the last return the columns of ``docs``, other columns of any name included;
 the last adds one.
 
-Stages decide by doc_id. Rows that repeat a doc_id are one document: they stay or go
-together. Rows with null doc_id: quality rules keep them if any such row is good, near-dedup
-and decontamination keep them, mixing repeats them as one document. Null texts are empty
-(and fail the quality rules). An empty table passes through all stages.
+Stages decide row by row: a row is a document, whatever its doc_id, and rows that repeat a
+doc_id or have none are each judged by their own text. A row is named by its place in the
+files of ``docs`` (a frame that isn't a table of files is written first). Null texts are
+empty (and fail the quality rules). An empty table passes through all stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tidelog.llm import decontam, mixing, neardup, quality, secret_scan
-from tidelog.llm.common import free_name, landed
+from tidelog.llm.common import free_name, landed, text_of
 from tidelog.llm.registry import query, table
-from tidelog.session import run_dir
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id, null included, is among ``ids``."""
-    ids = ids.select(F.col("doc_id").alias("_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number per row, the same in every scan of its files: the scan's tasks
+    take the same rows of the same files in the same order."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = landed(docs, "docs")
+    name = free_name(docs, "row_number")
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
+def _kept(numbered: DataFrame, row: str, ids: DataFrame) -> DataFrame:
+    """The rows whose number is among ``ids`` (one column)."""
+    ids = ids.toDF("_id")
+    return numbered.join(ids, numbered[row] == ids["_id"], "left_semi").drop(row)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the outlier test reject go."""
-    return _kept(docs, quality.judge(docs).filter("kept"))
+    numbered, row = _numbered(docs)
+    return _kept(numbered, row, quality.judge(numbered, row).filter("kept").select("doc_id"))
 
 
 #: Near duplicates of the corpus share this percentage of their five-word shingles or more.
@@ -39,20 +51,27 @@ NEAR = 80
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id stays."""
-    return _kept(docs, neardup.link(docs, threshold=NEAR).filter("kept"))
+    """Of each group of near duplicates, the row with the smallest doc_id stays (without one,
+    last; of rows with the same, the first). Rows without words are in no group and stay."""
+    numbered, row = _numbered(docs)
+    linked = neardup.link(numbered, row, threshold=NEAR).select(F.col("doc_id").alias("_row"), "component_id")
+    ids = numbered.select(F.col(row).alias("_row"), F.col("doc_id").alias("_doc"))
+    order = F.struct(F.col("_doc").isNull(), "_doc", "_row")
+    first = linked.join(ids, "_row").groupBy("component_id").agg(F.min(order).alias("m"))
+    return _kept(numbered, row, first.select("m._row"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
-    leaks = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    numbered, row = _numbered(docs)
+    leaks = decontam.contaminated(numbered, table(spark, sf_dir, "benchmark"), row)
     leaks = leaks.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["_id"], "left_anti")
+    return numbered.join(leaks, numbered[row] == leaks["_id"], "left_anti").drop(row)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each secret is replaced by its kind in brackets; n_chars follows the text."""
-    ledger = secret_scan.BlobLedger(spark, run_dir(spark, "blobs"))
+    ledger = secret_scan.BlobLedger(spark, secret_scan.ledger_folder(spark))
     ledger.scan(docs)
     blob, spans = free_name(docs, "blob"), free_name(docs, "spans")
     found = landed(ledger.spans(), "spans").select(F.col("blob").alias(blob), F.col("spans").alias(spans))
@@ -67,13 +86,16 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix itself: a row per repetition of a document, numbered by ``copy`` from 1."""
-    mixed = mixing.mix(docs, weights=(5, 2, 1), share=1.5, epochs=2)
-    times = mixed.filter("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_n"))
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["_id"]))
+    """The mix itself: a row per repetition of a document, numbered by ``copy`` from 1. The
+    seeded order is one of doc_id and text, so it doesn't depend on files."""
+    numbered, row = _numbered(docs)
+    order = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(text_of("text")))
+    mixed = mixing.mix(numbered, weights=(5, 2, 1), share=1.5, epochs=2, key=row, order=order)
+    times = mixed.filter("copies > 0").select(F.col(row).alias("_id"), F.col("copies").alias("_n"))
+    joined = numbered.join(times, numbered[row] == times["_id"])
     copy = free_name(docs, "copy")
     repeats = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias(copy)
-    return joined.select(*[docs[c] for c in docs.columns], repeats)
+    return joined.select(*[numbered[c] for c in docs.columns], repeats)
 
 
 STAGES = [
