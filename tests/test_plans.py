@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidelog.operators import merge
@@ -11,7 +12,9 @@ from tidelog.sources import feed
 
 SF = "/root/testdata/sf0.001"
 # Queries that run jobs (streams, stores) before they return a frame.
-EAGER = re.compile(r"stream_|raw_|load_ledger|run_metrics|wal|relation_versions|commit_time|drop_report")
+EAGER = re.compile(
+    r"stream_|raw_|load_ledger|run_metrics|wal|relation_versions|commit_time|drop_report|demux|versions_landed|_run|dq_summary|snapshot_then"
+)
 
 
 def plan(df):
@@ -95,6 +98,36 @@ def test_no_cross_join_no_python(spark, name):
         assert bad not in text
 
 
+def test_contract_tests_read_a_table_twice(spark, tmp_path):
+    """Whatever the number of tests: not NULL in one pass, keys and foreign keys in another."""
+    from tidelog.operators import quality
+    from tidelog.plans.governance import tables
+    from tidelog.spec import SPECS
+
+    own = {}
+    for name, df in tables(spark, SF).items():
+        df.write.parquet(str(tmp_path / name))
+        own[name] = spark.read.parquet(str(tmp_path / name))
+    specs = list(SPECS.values())
+    assert reads(quality._values(own, specs)) == len(specs)
+    # What is left: a pass per table for NULLs, and the landed counts, three times.
+    assert reads(quality.spec_tests(own, specs)) == len(specs) + 3
+
+
+def test_feed_is_split_in_one_scan(spark, tmp_path):
+    from tidelog.plans.ingest import mixed_feed
+    from tidelog.streaming import landing
+
+    mixed_feed(spark, SF).write.parquet(str(tmp_path / "in"))
+    source = spark.read.parquet(str(tmp_path / "in"))
+    landing.land_by_table(source, str(tmp_path / "out"), ["_loads"])
+    parts = feed.demux(spark.read.parquet(str(tmp_path / "out")), ["providers", "patient_consents"], ["_loads"])
+    for table, df in parts.items():
+        assert df.count() == source.filter(F.col("relation") == table).count() > 0
+        assert "PartitionFilters: [isnotnull(relation" in plan(df)
+    assert not (tmp_path / "out" / "relation=_loads").exists()
+
+
 def test_merge_plan_has_one_shuffle(spark):
     df = merge.latest_per_key(s.consents(spark, SF), ["patient_id"])
     assert plan(df).count("Exchange hashpartitioning") == 1

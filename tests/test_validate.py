@@ -240,3 +240,31 @@ def test_jdbc_options(spark, monkeypatch):
     assert read().columns == PATIENTS.columns
     assert " name" not in seen["dbtable"] and "postcode" in seen["dbtable"]
     assert seen["numPartitions"] == 4 and "0003-1" in seen["sessionInitStatement"]
+
+
+def test_rules_set_rows_aside_by_name(spark):
+    from dataclasses import replace
+
+    from tidelog.spec import Rule
+
+    spec = replace(CONSENTS, rules=(Rule("early", "lsn < 10"), Rule("granted", "consent_research")))
+    rows_in = [("a", True, None, None, 5, None), ("b", False, None, None, 50, None), ("c", None, None, None, 7, None)]
+    df = spark.createDataFrame(rows_in, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CONSENTS.raw_schema.fields))
+    checked = validate.prepare(df, spec)
+    assert sorted(r["patient_id"] for r in validate.accepted(checked).collect()) == ["a", "c"]
+    bad = validate.quarantined(checked, spec).first()
+    assert bad["entity_id"] == "b" and bad["reasons"] == ["rule early", "rule granted"]
+
+
+def test_propagation_tells_wrong_values_from_missing_rows(spark):
+    from tidelog.operators import report
+
+    schema = "k string, v string, deleted_ts timestamp_ntz"
+    t = datetime(2024, 1, 1)
+    table = spark.createDataFrame([("a", "1", None), ("b", "old", None), ("c", "x", t), ("d", None, None), (None, "n", None)], schema)
+    wanted = spark.createDataFrame(
+        [("INSERT", "a", "1", None), ("UPDATE", "b", "new", None), ("DELETE", "c", None, t), ("UPDATE", "e", "1", None),
+         ("INSERT", "d", None, None), ("INSERT", None, "n", None), ("DELETE", "a", None, t)], "mutation string, " + schema,
+    )
+    got = {r["mutation"]: tuple(r)[2:] for r in report.propagation(table, "t", wanted, ["k"], ["v"]).collect()}
+    assert got == {"INSERT": (3, 3, 3, True), "UPDATE": (2, 1, 0, False), "DELETE": (2, 2, 1, False)}

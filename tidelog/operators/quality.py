@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import run_dir
 from tidelog.spec import TableSpec
 
 ERROR, WARN = "error", "warn"
@@ -17,9 +18,9 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _result(table: str, test: str, column, severity: Column, failures) -> list[Column]:
+def _result(table, test: str, column, severity: Column, failures) -> list[Column]:
     return [
-        F.lit(table).alias("table_name"),
+        (table if isinstance(table, Column) else F.lit(table)).alias("table_name"),
         F.lit(test).alias("test"),
         column.alias("column_name"),
         severity.alias("severity"),
@@ -32,10 +33,11 @@ def _result(table: str, test: str, column, severity: Column, failures) -> list[C
 
 
 def not_null(
-    df: DataFrame, table: str, columns: Sequence[str], severity: str = ERROR
+    df: DataFrame, table: str, columns: Sequence[str], severity: str = ERROR, where: str | None = None
 ) -> DataFrame:
-    """All columns of the table in one pass without a shuffle of rows."""
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    """All columns of the table in one pass without a shuffle of rows. ``where`` names the
+    rows that are tested."""
+    nulls = _filtered(df, where).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
     long = nulls.selectExpr(f"stack({len(columns)}, {pairs}) as (c, n)")
     return long.select(
@@ -43,9 +45,12 @@ def not_null(
     )
 
 
-def unique(df: DataFrame, table: str, key: Sequence[str], severity: str = ERROR) -> DataFrame:
-    """Number of key values that occur more than once; NULL keys are not compared."""
-    present = df
+def unique(
+    df: DataFrame, table: str, key: Sequence[str], severity: str = ERROR, where: str | None = None
+) -> DataFrame:
+    """Number of key values that occur more than once among the rows that ``where`` names;
+    NULL keys are not compared."""
+    present = _filtered(df, where)
     for k in key:
         present = present.filter(F.col(k).isNotNull())
     repeated = duplicate_keys(present, key).agg(F.count(F.lit(1)).alias("n"))
@@ -93,30 +98,83 @@ def relationships(
     )
 
 
-def spec_tests(tables: dict[str, DataFrame], spec: TableSpec) -> DataFrame:
-    """The tests a contract implies: required columns, merge key, foreign keys.
+def _filtered(df: DataFrame, where: str | None) -> DataFrame:
+    return df.filter(where) if where else df
+
 
-    The key of a latest-state table must be unique; in an event log repeats are expected
+def _level(spec: TableSpec) -> str:
+    """The key of a latest-state table must be unique; in an event log repeats are expected
     and only warned about."""
-    df = tables[spec.name]
-    parts = [not_null(df, spec.name, spec.required)]
-    level = ERROR if spec.mode == "latest" else WARN
-    parts.append(unique(df, spec.name, spec.key, level))
-    for fk in spec.foreign_keys:
-        parts.append(
-            relationships(
-                df,
-                spec.name,
-                fk.column,
-                tables[fk.parent],
-                fk.parent_column,
-                fk.severity,
-                fk.where,
-            )
+    return ERROR if spec.mode == "latest" else WARN
+
+
+def _values(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> DataFrame:
+    """(table, kind, value, n): how often each value of each column that a test needs occurs,
+    from one pass per table. A column that several foreign keys point to is counted once."""
+    parents = {(fk.parent, fk.parent_column) for s in specs for fk in s.foreign_keys}
+    parts = []
+    for spec in specs:
+        df = tables[spec.name]
+        wanted = {",".join(spec.key): F.when(_present(spec.key), key_text(spec.key))}
+        wanted |= {c: F.col(c).cast("string") for t, c in sorted(parents) if t == spec.name}
+        for fk in spec.foreign_keys:
+            value = F.col(fk.column).cast("string")
+            wanted[f"-> {fk.column}"] = F.when(F.expr(fk.where), value) if fk.where else value
+        kinds = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in wanted.items()])
+        each = df.select(F.explode(kinds).alias("x")).select(F.lit(spec.name).alias("table"), "x.kind", "x.value")
+        parts.append(each.filter("value is not null"))
+    return union_all(parts).groupBy("table", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _present(key: Sequence[str]) -> Column:
+    there = F.lit(True)
+    for k in key:
+        there = there & F.col(k).isNotNull()
+    return there
+
+
+def key_text(key: Sequence[str]) -> Column:
+    return F.concat_ws("\x1f", *key) if len(key) > 1 else F.col(key[0]).cast("string")
+
+
+def spec_tests(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]) -> DataFrame:
+    """The tests the contracts imply: required columns, keys, foreign keys.
+
+    Every table is read twice, whatever its number of tests: once for its NULLs, once for
+    how often the values of its keys occur. These counts are landed, one row per value; keys
+    and all foreign keys are then judged from them, parents shared by their children.
+    """
+    parts = [not_null(tables[s.name], s.name, s.required) for s in specs]
+    spark = tables[specs[0].name].sparkSession
+    path, counts = run_dir(spark, "values"), _values(tables, specs)
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    keys = spark.createDataFrame(
+        [(s.name, ",".join(s.key), _level(s)) for s in specs], "table string, kind string, severity string"
+    )
+    repeated = counts.filter("n > 1").groupBy("table", "kind").agg(F.count(F.lit(1)).alias("n"))
+    parts.append(_rolled(keys.join(repeated, ["table", "kind"], "left"), "unique", F.col("kind")))
+    links = [
+        (s.name, f"-> {fk.column}", fk.column, fk.severity, fk.parent, fk.parent_column)
+        for s in specs for fk in s.foreign_keys
+    ]
+    if links:
+        edges = spark.createDataFrame(
+            links, "table string, kind string, column string, severity string, parent string, parent_kind string"
         )
+        children = counts.join(edges, ["table", "kind"])
+        known = counts.select(F.col("table").alias("parent"), F.col("kind").alias("parent_kind"), "value")
+        orphans = children.join(known, ["parent", "parent_kind", "value"], "left_anti")
+        orphans = orphans.groupBy("table", "kind").agg(F.sum("n").alias("n"))
+        parts.append(_rolled(edges.join(orphans, ["table", "kind"], "left"), "relationships", F.col("column")))
     return union_all(parts)
 
 
+def _rolled(found: DataFrame, test: str, column: Column) -> DataFrame:
+    n = F.coalesce("n", F.lit(0).cast("long"))
+    return found.select(*_result(F.col("table"), test, column, F.col("severity"), n))
+
+
 def passes(violations: DataFrame) -> bool:
     """A singular test: any row is a failure."""
     return violations.limit(1).count() == 0

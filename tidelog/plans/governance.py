@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidelog.operators import erasure, quality
+from tidelog.operators import erasure, quality, validate
 from tidelog.operators.merge import latest_per_key
 from tidelog.operators.validate import strip_columns
 from tidelog.plans import standins as s
 from tidelog.plans.ingest import CONSENT_COLUMNS, CONSENT_LIST, union
 from tidelog.plans.registry import query
 from tidelog.plans.standins import sql
-from tidelog.spec import APPOINTMENTS, CONSENTS, PATIENTS, SPECS
+from tidelog.spec import APPOINTMENTS, CONSENTS, PATIENTS, SPECS, Rule
 
 
 def tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -161,12 +164,64 @@ SUMMARY_SQL = " union all ".join(
 def dq_summary(spark, d):
     """All tests the contracts imply, rolled up by severity and outcome."""
     t = tables(spark, d)
-    results = union([quality.spec_tests(t, spec) for spec in SPECS.values()])
+    results = quality.spec_tests(t, list(SPECS.values()))
     return results.groupBy("severity", "status").agg(
         F.count(F.lit(1)).alias("n_tests"), F.sum("failures").alias("n_failures")
     )
 
 
+@query(
+    "dq_where",
+    sql(
+        _with_status(
+            """select 'patients' table_name, 'not_null' test, 'primary_provider_id' column_name,
+                      'error' severity, count(*) failures
+               from patients where lsn % 10 = 3 and primary_provider_id is null
+               union all
+               select 'patient_consents', 'unique', 'patient_id', 'warn', count(*) from (
+                   select patient_id from consents where op = 'I' and patient_id is not null
+                   group by patient_id having count(*) > 1)"""
+        ),
+        "patients",
+        "consents",
+    ),
+)
+def dq_where(spark, d):
+    """Tests of some of the rows."""
+    t = tables(spark, d)
+    return quality.not_null(
+        s.patients(spark, d), "patients", ["primary_provider_id"], where="lsn % 10 = 3"
+    ).unionByName(
+        quality.unique(t["patient_consents"], "patient_consents", ["patient_id"], "warn", where="op = 'I'")
+    )
+
+
+@query(
+    "row_rules",
+    sql(
+        """, judged as (select *, part % 13 = 0 odd, scheduled_at > event_timestamp late from appointments)
+           select reason, count(*) n_rows from (
+               select 'rule known part' reason from judged where odd
+               union all select 'rule seen after it was scheduled' from judged where late)
+           group by reason
+           union all select 'accepted', count(*) from judged where not odd and not late""",
+        "appointments",
+    ),
+)
+def row_rules(spark, d):
+    """Two rules of a contract; faulty rows are set aside under the rules' names."""
+    rules = (
+        Rule("known part", "part % 13 <> 0"),
+        Rule("seen after it was scheduled", "scheduled_at <= event_timestamp"),
+    )
+    schema = T.StructType([*APPOINTMENTS.schema.fields, T.StructField("part", T.LongType())])
+    spec = replace(APPOINTMENTS, schema=schema, rules=rules)
+    checked = validate.prepare(s.appointments(spark, d), spec)
+    reasons = validate.drop_report(validate.quarantined(checked, spec)).select("reason", "n_rows")
+    good = validate.accepted(checked).agg(F.count(F.lit(1)).alias("n_rows"))
+    return reasons.unionAll(good.select(F.lit("accepted"), "n_rows"))
+
+
 @query(
     "pii_catalog",
     sql(

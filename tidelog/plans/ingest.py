@@ -17,6 +17,7 @@ from tidelog.plans.standins import sql
 from tidelog.session import run_dir
 from tidelog.sources import feed, snapshot, wal
 from tidelog.spec import APPOINTMENTS, CONSENTS, PATIENTS, PROVIDERS, SPECS
+from tidelog.streaming import landing, stream
 from tidelog.streaming.store import Store
 
 NTZ = "timestamp_ntz"
@@ -141,27 +142,35 @@ def publish_ops_filter(spark, d):
 
 def mixed_feed(spark: SparkSession, d: str) -> DataFrame:
     """One feed of two tables and of bookkeeping rows."""
-    head = ["relation", "lsn", "op"]
-    cons = s.consents(spark, d).withColumn("relation", F.lit("patient_consents"))
-    prov = s.provider_changes(spark, d).withColumn("relation", F.lit("providers"))
+    head = ["relation", "key", "lsn", "op"]
+    cons = s.consents(spark, d).withColumns({"relation": F.lit("patient_consents"), "key": F.col("patient_id")})
+    prov = s.provider_changes(spark, d).withColumns({"relation": F.lit("providers"), "key": F.col("provider_id")})
     own = prov.filter("lsn % 100 = 0").withColumn("relation", F.lit("_loads"))
     return union([x.select(*head) for x in (cons, prov, own)])
 
 
 @query(
     "feed_demux",
-    """select r.relation, count(*) n_rows, min(event_id) + 1 min_lsn, max(event_id) + 1 max_lsn
-       from events, (values ('providers', 3), ('patient_consents', 1)) r(relation, every)
-       where (event_id + 1) % every = 0
-       group by r.relation""",
+    sql(
+        """select 'patient_consents' relation, op, count(*) n_rows, count(distinct patient_id) n_keys,
+                  min(lsn) min_lsn, max(lsn) max_lsn from consents group by op
+           union all
+           select 'providers', op, count(*), count(distinct provider_id), min(lsn), max(lsn)
+           from provider_changes group by op""",
+        "consents",
+        "provider_changes",
+    ),
 )
 def feed_demux(spark, d):
-    rows = mixed_feed(spark, d).filter("relation <> 'providers' or lsn % 3 = 0")
-    streams = feed.demux(rows, ["providers", "patient_consents"], ["_loads"])
+    """One pass over the feed lands every table in a folder of its own; each is read there."""
+    path = run_dir(spark, "demux")
+    landing.land_by_table(mixed_feed(spark, d), path, ["_loads"])
+    streams = feed.demux(spark.read.parquet(path), ["providers", "patient_consents"], ["_loads"])
     return union(
         [
-            df.groupBy("relation").agg(
+            df.groupBy("relation", "op").agg(
                 F.count(F.lit(1)).alias("n_rows"),
+                F.count_distinct("key").alias("n_keys"),
                 F.min("lsn").alias("min_lsn"),
                 F.max("lsn").alias("max_lsn"),
             )
@@ -244,6 +253,34 @@ def relation_versions(spark, d):
     )
 
 
+@query(
+    "versions_landed",
+    sql(
+        """select 'b000000000000-0' _load_id, count(*) n_rows, min(lsn) min_lsn, max(lsn) max_lsn,
+                  '' refused
+           from consents where load_no < 2
+           union all
+           select 'b000000000000-1', 0, null, null, 'table patient_consents: new column(s) channel'""",
+        "consents",
+    ),
+)
+def versions_landed(spark, d):
+    """A batch in which the table gets a column: the rows before land as a load of their own,
+    the rest stops with the column's name."""
+    messages = landed_messages(spark, d)
+    store = Store(spark, run_dir(spark, "versions"))
+    refused = ""
+    try:
+        stream.ingest_messages(messages, CONSENTS, store, stream.load_id(0), datetime(2024, 2, 1))
+    except contract.SchemaFrozen as e:
+        refused = str(e)
+    rows = store.ledger("patient_consents").select("_load_id", F.col("rows_out").alias("n_rows"), "min_lsn", "max_lsn")
+    rest = spark.range(1 if refused else 0).select(
+        F.lit("b000000000000-1"), F.lit(0).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(refused)
+    )
+    return rows.withColumn("refused", F.lit("")).unionAll(rest)
+
+
 @query(
     "typed_cells",
     """select event_id, cast(user_id as integer) user_id, ts, cast(ts as date) as day,
@@ -301,12 +338,17 @@ def strip_pii(spark, d):
     return validate.strip_columns(s.patients(spark, d), PATIENTS)
 
 
+TIMES = {"scheduled_at", "event_timestamp", "ingested_at", "updated_at", "deleted_ts"}
+FIGURES = {"lsn", "part", "consent_research", "consent_marketing", "consent_partner_share"}
+
+
 def _digest(columns: list[str]) -> str:
-    cells = " || ".join(
-        f"case when {c} is null then 'N' else 'V' || length(cast({c} as varchar)) || ':' || cast({c} as varchar) end"
-        for c in columns
-    )
-    return f"sha256({cells})"
+    def cell(c: str) -> str:
+        if c in TIMES:
+            return f"cast(epoch_us({c}) as varchar)"
+        return f"cast({c} as varchar)" if c in FIGURES else f"length({c}) || ':' || {c}"
+
+    return f"sha256({' || '.join(f'coalesce({cell(c)}, {chr(39)}N{chr(39)}) || {chr(39)}|{chr(39)}' for c in columns)})"
 
 
 APPOINTMENT_ROW = [*SPECS["appointments"].columns, "part"]

@@ -17,8 +17,8 @@ from tidelog.plans.standins import sql
 from tidelog.session import run_dir
 from tidelog.sources import feed, snapshot
 from tidelog.spec import CONSENTS, PATIENTS, PROVIDERS
+from tidelog.streaming import landing, stream
 from tidelog.streaming import store as st
-from tidelog.streaming import stream
 from tidelog.streaming.store import Store
 
 PROVIDER_COLUMNS = [*PROVIDERS.columns, "lsn", "deleted_ts"]
@@ -504,65 +504,121 @@ def stream_resume(spark, d):
     return store.read_log("patient_consents", source.schema).select(*source.columns)
 
 
+KIND = "case op when 'I' then 'INSERT' when 'D' then 'DELETE' else 'UPDATE' end"
+_SAME = " and ".join(
+    ["(w.deleted_ts is null) = (t.deleted_ts is null)"]
+    + [f"(w.deleted_ts is not null or w.{c} is not distinct from t.{c})" for c in FLAG_COLUMNS.split(", ")]
+)
+_SAME_PROVIDER = " and ".join(
+    ["(w.deleted_ts is null) = (t.deleted_ts is null)"]
+    + [f"(w.deleted_ts is not null or w.{c} is not distinct from t.{c})" for c in ("name", "specialty")]
+)
+
+
+def _compared(name: str, wanted: str, table: str, key: str, same: str) -> str:
+    return f"""select '{name}' table_name, mutation, count(*) n_expected, count(t.{key}) n_observed,
+                      count(*) filter (where t.{key} is not null and {same}) n_equal,
+                      count(*) = count(*) filter (where t.{key} is not null and {same}) ok
+               from {wanted} w left join {table} t using ({key}) group by mutation"""
+
+
 @query(
     "propagation_report",
     sql(
-        """, late as (
-               select case op when 'I' then 'INSERT' when 'D' then 'DELETE' else 'UPDATE' end m,
-                      patient_id,
-                      row_number() over (partition by patient_id order by lsn desc) rn
-               from consents where load_no = 3),
-             logged as (
-               select case op when 'I' then 'INSERT' when 'D' then 'DELETE' else 'UPDATE' end m
-               from consents where load_no = 3)
-           select 'patient_consents_latest' table_name, m mutation, count(*) n_expected,
-                  count(*) n_observed, true ok
-           from late where rn = 1 group by m
-           union all
-           select 'patient_consents', m, count(*), count(*), true from logged group by m
-           union all
-           select 'providers', m, count(*), count(*), true from (
-               select case op when 'I' then 'INSERT' when 'D' then 'DELETE' else 'UPDATE' end m,
-                      row_number() over (partition by provider_id order by lsn desc) rn
-               from provider_changes where load_no = 3)
-           where rn = 1 group by m""",
+        f"""{LATEST_CONSENTS}, wanted as (
+             select *, {KIND} mutation from (
+               select *, row_number() over (partition by patient_id order by lsn desc) rn
+               from consents where load_no = 3) where rn = 1),
+           logged as (select *, {KIND} mutation from consents where load_no = 3),
+           lossy as (select * from consents where load_no < 3 or lsn % 7 <> 0),
+           stale as (select * from (
+               select *, row_number() over (partition by patient_id order by lsn desc) rn from lossy) where rn = 1),
+           moves as (select *, {KIND} mutation from (
+               select *, row_number() over (partition by provider_id order by lsn desc) rn
+               from provider_changes where load_no = 3) where rn = 1)
+           {LATEST_PROVIDERS}
+           {_compared('patient_consents_latest', 'wanted', 'state', 'patient_id', _SAME)}
+           union all {_compared('patient_consents_stale', 'wanted', 'stale', 'patient_id', _SAME)}
+           union all {_compared('patient_consents', 'logged', 'consents', 'lsn', _SAME)}
+           union all {_compared('providers', 'moves', 'providers_state', 'provider_id', _SAME_PROVIDER)}""",
         "consents",
+        "providers",
         "provider_changes",
     ),
 )
 def propagation_report(spark, d):
-    """After load 3: every kind of change shows in the state and in the log."""
+    """After load 3, every change of it shows with its values in state and log; a state that
+    lost every seventh change of the load doesn't pass."""
     changes = s.with_loads(spark, d, s.consents(spark, d)).select(*STATE, "load_no")
     before = changes.filter("load_no < 3").drop("load_no")
     batch = changes.filter("load_no = 3").drop("load_no")
-    mark = F.ceil(s.table(spark, d, "events").agg(F.max("event_id") + 1).scalar() * 3 / 4)
     named = (
         F.when(F.col("op") == "D", "DELETE").when(F.col("op") == "I", "INSERT").otherwise("UPDATE")
-    )
-
-    def expected(df: DataFrame) -> DataFrame:
-        return df.groupBy(named.alias("mutation")).agg(F.count(F.lit(1)).alias("n_expected"))
-
-    state = merge.merge_latest(before, batch, ["patient_id"])
-    log = merge.event_log_merge(before, batch)
-    last = merge.latest_per_key(batch, ["patient_id"])
+    ).alias("mutation")
     moves = s.with_loads(spark, d, s.provider_changes(spark, d)).select(
         *PROVIDER_COLUMNS, "op", "load_no"
     )
     first = snapshot.snapshot(lambda: s.providers(spark, d), PROVIDERS)
-    earlier = merge.merge_latest(first, moves.filter("load_no < 3").drop("load_no"), PROVIDERS.key)
+    earlier = merge.merge_latest(first, moves.filter("load_no < 3").drop("load_no", "op"), PROVIDERS.key)
     newest = moves.filter("load_no = 3").drop("load_no")
-    current = merge.merge_latest(earlier, newest, PROVIDERS.key)
-    last_moves = merge.latest_per_key(newest, PROVIDERS.key)
+    flags, who = FLAG_COLUMNS.split(", "), ["patient_id"]
+    wanted = merge.latest_per_key(batch, who).select(named, "*")
+    last_moves = merge.latest_per_key(newest, PROVIDERS.key).select(named, "*")
+    state = merge.merge_latest(before, batch, who)
+    stale = merge.merge_latest(before, batch.filter("lsn % 7 <> 0"), who)
+    log = merge.event_log_merge(before, batch)
+    current = merge.merge_latest(earlier, newest.drop("op"), PROVIDERS.key)
     return report.report(
         [
-            report.propagation(current, "providers", mark, expected(last_moves)),
-            report.propagation(state, "patient_consents_latest", mark, expected(last)),
-            report.propagation(log, "patient_consents", mark, expected(batch)),
+            report.propagation(state, "patient_consents_latest", wanted, who, flags),
+            report.propagation(stale, "patient_consents_stale", wanted, who, flags),
+            report.propagation(log, "patient_consents", batch.select(named, "*"), ["lsn"], flags),
+            report.propagation(current, "providers", last_moves, PROVIDERS.key, ["name", "specialty"]),
         ]
     )
 
 
+@query(
+    "stream_whole_transactions",
+    sql(
+        """, per_txn as (
+               select txn, count(*) n_rows, min(lsn) min_lsn, max(lsn) commit_lsn from consents group by txn),
+             placed as (
+               select *, cast(coalesce(sum(n_rows) over (order by commit_lsn
+                   rows between unbounded preceding and 1 preceding), 0) as bigint) n_before
+               from per_txn)
+           select min(min_lsn) min_lsn, max(commit_lsn) max_lsn, cast(sum(n_rows) as bigint) n_rows,
+                  count(*) n_txns, count(*) n_whole
+           from placed, (select (max(event_id) + 1) // 4 + 1 target from events)
+           group by n_before // target""",
+        "consents",
+    ),
+)
+def stream_whole_transactions(spark, d):
+    """Files are cut at commits, so no load of a stream holds a part of a transaction."""
+    root = run_dir(spark, "stream-txn")
+    source = s.consents(spark, d).select(*CONSENT_COLUMNS, "txn")
+    target = s.table(spark, d, "events").agg(F.floor((F.max("event_id") + 1) / 4) + 1).first()[0]
+    landing.land_transactions(source, f"{root}/landed", target)
+    changes = stream.feed_stream(spark, f"{root}/landed", source.schema, {"maxFilesPerTrigger": "1"})
+    store = Store(spark, root)
+    stream.run_to_end(stream.merge_stream(changes, CONSENTS, store, f"{root}/cp", keep=("txn",), clock=clock))
+    log = store.read_log("patient_consents", source.schema)
+    parts = log.groupBy("_load_id", "txn").agg(
+        F.min("lsn").alias("lo"), F.max("lsn").alias("hi"), F.count(F.lit(1)).alias("n")
+    )
+    sizes = source.groupBy("txn").agg(F.count(F.lit(1)).alias("all"))
+    return (
+        parts.join(sizes, "txn")
+        .groupBy("_load_id")
+        .agg(
+            F.min("lo").alias("min_lsn"), F.max("hi").alias("max_lsn"), F.sum("n").alias("n_rows"),
+            F.count(F.lit(1)).alias("n_txns"), F.count_if(F.col("n") == F.col("all")).alias("n_whole"),
+        )
+        .drop("_load_id")
+    )
+
+
 # ---- whole runs ----------------------------------------------------------------------
 
 
@@ -697,27 +753,45 @@ def snapshot_then_changes(spark, d):
            select 'kept' part, patient_id, lsn, cast(null as bigint) n from consents
            where patient_id not in (select patient_id from asked)
            union all
-           select 'removed', null, null, count(*) from consents
+           select 'removed', null, null, 2 * count(*) from consents
            where patient_id in (select patient_id from asked where not done)
            union all
+           select 'left in landed files', null, null, count(*) from consents
+           where patient_id not in (select patient_id from asked where not done)
+           union all
            select 'open requests', null, null, 0""",
         "consents",
     ),
 )
 def erasure_run(spark, d):
-    """Pending requests are carried out over the store and stamped; events of erased
-    subjects that are delivered afterwards don't land, and a second run does nothing."""
+    """Pending requests are carried out over loads, quarantine and landed feed files and
+    stamped, in two lists under one id; events of erased subjects that are delivered
+    afterwards don't land, the stream goes on, and a further run does nothing."""
     store = Store(spark, run_dir(spark, "erasure-run"))
     requests = s.erasure_requests(spark, d)
     changes = s.consents(spark, d).select(*CONSENT_COLUMNS)
     half = F.col("lsn") % 2 == 0
-    stream.ingest_batch(changes.filter(half), CONSENTS, store, "0", clock(), erased=requests)
-    stream.ingest_batch(changes.filter(~half), CONSENTS, store, "1", clock(), erased=requests)
+    feed_files = f"{store.root}/landed"
+    changes.filter(half).repartitionByRange(4, "lsn").write.parquet(feed_files)
+
+    def consume(erased: DataFrame) -> None:
+        arrived = stream.feed_stream(spark, feed_files, changes.schema)
+        args = (arrived, CONSENTS, store, f"{store.root}/cp")
+        stream.run_to_end(stream.merge_stream(*args, clock=clock, erased=erased))
+
+    consume(requests)
     tables = {
         "patient_consents": (CONSENTS.raw_schema, "patient_id"),
         "patient_consents_quarantine": (QUARANTINE, "entity_id"),
     }
-    stamped, removed = store.erase_subjects(requests, tables, "e0", clock())
+    files = {feed_files: "patient_id"}
+    odd = F.col("erased_at").isNotNull() | (F.pmod(F.xxhash64("patient_id"), F.lit(2)) == 1)
+    stamped, removed = store.erase_subjects(requests.filter(odd), tables, "e0", clock(), landed=files)
+    others, more = store.erase_subjects(requests.filter(~odd), tables, "e0", clock(), landed=files)
+    stamped = stamped.unionAll(others)
+    changes.filter(~half).repartitionByRange(4, "lsn").write.mode("append").parquet(feed_files)
+    consume(stamped)
+    _, rest = store.erase_subjects(requests, tables, "e0", clock(), landed=files)
     late = changes.withColumn("lsn", F.col("lsn") + 1_000_000_000)
     late = late.join(requests.select("patient_id"), "patient_id", "left_semi").select(*changes.columns)
     stream.ingest_batch(late, CONSENTS, store, "2", clock(), erased=stamped)
@@ -725,11 +799,16 @@ def erasure_run(spark, d):
     log = store.read_log("patient_consents", CONSENTS.raw_schema)
     none = F.lit(None)
     counts = stamped.filter("erased_at is null").agg(F.count(F.lit(1)).alias("n"))
-    total = sum(removed.values()) + sum(again.values())
+    # Of events that came before the requests loads and files lose a row each; the others
+    # never land, so only their files do: counted once more for the loads.
+    held_back = changes.filter(~half).join(requests.filter("erased_at is null"), "patient_id", "left_semi").count()
+    total = sum(sum(x.values()) for x in (removed, more, rest, again)) + held_back
+    left = spark.read.parquet(feed_files).agg(F.count(F.lit(1)).alias("n"))
     return (
         log.select(F.lit("kept").alias("part"), "patient_id", "lsn", none.cast("long").alias("n"))
         .unionAll(
             spark.range(1).select(F.lit("removed"), none.cast("string"), none.cast("long"), F.lit(total).cast("long"))
         )
+        .unionAll(left.select(F.lit("left in landed files"), none.cast("string"), none.cast("long"), "n"))
         .unionAll(counts.select(F.lit("open requests"), none.cast("string"), none.cast("long"), "n"))
     )

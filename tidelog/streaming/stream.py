@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.contract import check_frozen
+from tidelog.operators.contract import SchemaFrozen, check_frozen, unknown_columns
 from tidelog.operators.erasure import SUBJECT
 from tidelog.operators.validate import BAD, accepted, prepare, quarantined
+from tidelog.sources import wal
 from tidelog.spec import LATEST, TableSpec
 from tidelog.streaming.landing import BATCH_COLUMN
 from tidelog.streaming.store import Store
@@ -116,6 +117,32 @@ def ingest_batch(
         checked.unpersist()
 
 
+def ingest_messages(
+    messages: DataFrame, spec: TableSpec, store: Store, load: str, at: datetime, **options
+) -> list[str]:
+    """Decode a batch of replication messages and ingest it one table layout at a time.
+
+    Every layout that the batch announces is checked before any row of it lands. Rows of the
+    layouts before the first that breaks the contract land as loads ``<load>-0``,
+    ``<load>-1`` ..., in order; then ``SchemaFrozen`` names the new columns. After the
+    contract was widened the same batch is taken up where it stopped: finished loads are
+    skipped. Layouts of other tables are left out.
+    """
+    changes = wal.decode(messages)
+    announced = wal.relation_versions(changes, wal.relations(messages)).filter(F.col("relation") == spec.name)
+    # One row per layout, a handful.
+    layouts = announced.filter("n_changes > 0").orderBy("relation_seq", "slot").collect()
+    done = []
+    for n, layout in enumerate(layouts):
+        extra = unknown_columns(layout["columns"], spec)
+        if extra:
+            raise SchemaFrozen(f"table {spec.name}: new column(s) {', '.join(extra)}")
+        own = changes.filter((F.col("slot") == layout["slot"]) & (F.col("relation_seq") == layout["relation_seq"]))
+        ingest_batch(wal.typed_rows(own, spec).drop("slot"), spec, store, f"{load}-{n}", at, **options)
+        done.append(f"{load}-{n}")
+    return done
+
+
 def without_subjects(df: DataFrame, requests: DataFrame, key: str) -> DataFrame:
     """Rows of subjects that have no completed request."""
     done = requests.filter("erased_at is not null").select(F.col(SUBJECT).alias(key)).distinct()
