@@ -49,7 +49,7 @@ def test_most_of_an_item_without_a_question_is_a_leak():
     for i, text in items[:20]:
         own = text.split()
         part = " ".join(own[: len(own) * 3 // 4])
-        found = list(index.matches([f"{words(rng, 30)} {part} {words(rng, 30)}", words(rng, 60)]))
+        found = list(index.matches(decontam.words_of([f"{words(rng, 30)} {part} {words(rng, 30)}", words(rng, 60)])))
         # Three quarters hold the question of item 5, which has one, and not its answer.
         assert [(m[0], m[1]) for m in found if m[1] != 5] == ([] if i == 5 else [(0, i)])
 
@@ -109,3 +109,18 @@ def test_empty_null_and_repeated(spark):
     docs = spark.createDataFrame([(None, None, "", "", 0), (1, "", "", "", 0), (2, items[0][1], "", "", 0), (2, items[0][1], "", "", 0)], DOCS)
     assert decontam.contaminated(docs, spark.createDataFrame([], ITEMS)).count() == 0
     assert as_rows(decontam.contaminated(docs, benchmark), "doc_id", "item_id") == [(2, 0), (2, 0)]
+
+
+def test_short_items_must_stand_word_for_word(spark):
+    texts = ["the man who saw me yesterday at the market in town", "He asked: who, ME? And left.", "who me", "me who"]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    items = spark.createDataFrame([(1, "Who? Me"), (2, "one two three four five six seven")], "item_id long, text string")
+    out = decontam.contaminated(docs, items)
+    assert as_rows(out, "doc_id", "item_id") == [(1, 1), (2, 1)]
+
+
+def test_nothing_of_the_benchmark_comes_to_the_driver():
+    import inspect
+
+    code = inspect.getsource(decontam)
+    assert ".collect(" not in code and ".toArrow(" not in code and "broadcast(" not in code

@@ -5,25 +5,33 @@ by their sum, so an entry scores 1 for a passage that holds all its words. Passa
 overlapping windows over every whole text, long enough to hold any entry entirely. Each
 passage queries the index; block-max WAND returns all entries at or above the threshold.
 A document is contaminated by an item if, beyond that score, its own word 5-grams cover the
-item's question and answer or a part of the whole item.
-
-The index is built once per shard of at most SHARD entries and sent to the tasks; all
-passages go through every shard, so neither side is ever paired up in a shuffle. Number,
-mean size and document frequencies are those of all entries, so scores don't depend on shards.
+item's question and answer or a part of the whole item; an item of fewer than SHORT words
+must stand in it word for word.
+
+Entries are dealt to shards of about SHARD. Executors build an index per shard and write it
+to the shared folder; nothing of the benchmark passes through the driver. A task hashes its
+texts once, HELD characters at a time, and takes them through the shards' files one after
+another. So neither side is ever paired up in a shuffle, and memory holds one shard and one
+portion of texts. Number, mean size and document frequencies are those of all entries, so
+scores don't depend on shards.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
+import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import Words, landed, slices, text_of, window_hashes
+from tidelog.session import run_dir
 
 #: Words of an index entry at most; a passage has twice as many and moves on by as many.
 ENTRY = 48
@@ -39,8 +47,11 @@ QUESTION, ANSWER, GRAM = 0.5, 0.3, 5
 #: Or this share of the whole item's; where no question and answer are told apart by a question
 #: mark, a smaller one.
 WHOLE, PART = 0.8, 0.5
-#: Entries of one shard: its index has a few dozen MB at most.
-SHARD = 20_000
+#: An item of fewer words must occur whole, in order.
+SHORT = 2 * GRAM
+#: Entries of one shard: its index has a few dozen MB at most. Characters of the texts that a
+#: task takes through all shards at a time.
+SHARD, HELD = 20_000, 16 << 20
 
 _PUNCT = np.zeros(256, bool)
 _PUNCT[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
@@ -87,6 +98,9 @@ def items_of(item_id: int, text: str) -> tuple:
     whole, question, answer = (w.hashes[w.at[i] : w.at[i + 1]] for i in range(3))
     parts = max(1, math.ceil(len(whole) / ENTRY))
     entries = [e for e in np.array_split(whole, parts) if len(e)]
+    if len(whole) < SHORT:  # the run of all its words is what a document must hold
+        run = window_hashes(whole, max(1, len(whole))), max(1, len(whole))
+        return entries, run, run, run
     return entries, grams(question), grams(answer), grams(whole)
 
 
@@ -240,9 +254,8 @@ class Index:
             lists = moved
         return found
 
-    def matches(self, texts: list[str]) -> Iterator[tuple[int, int, float, float, float]]:
+    def matches(self, w: Words) -> Iterator[tuple[int, int, float, float, float]]:
         """(text, item_id, score, question share, answer share) of each verified pair."""
-        w = Words([t.lower() for t in texts], normal)
         if not len(self.vocabulary):
             return
         sizes = np.diff(w.at)
@@ -286,20 +299,51 @@ class Index:
                 yield owner, item_id, score, q_share, a_share
 
 
-def _match(index):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
-                        ("question_share", pa.float64()), ("answer_share", pa.float64())])
+def words_of(texts: list[str]) -> Words:
+    return Words([t.lower() for t in texts], normal)
+
+
+_LEAK = "doc_id long, item_id long, score double, question_share double, answer_share double"
+
+
+def _match(folder: str, n_shards: int):
+    names = [c.split()[0] for c in _LEAK.split(", ")]
+
+    def read(shard: int) -> Index | None:
+        store, root = fs.FileSystem.from_uri(folder)
+        path = f"{root}/{shard}.index"
+        if store.get_file_info(path).type == fs.FileType.NotFound:
+            return None  # no entry fell into this shard
+        with store.open_input_stream(path) as file:
+            index = Index.__new__(Index)
+            index.__dict__.update(pickle.loads(file.read()))
+            return index
+
+    def through(held: list[tuple[list, Words]], only: list) -> Iterator[pa.RecordBatch]:
+        for shard in range(n_shards):
+            index = only[0] if only else read(shard)
+            if n_shards == 1:
+                only[:] = [index]  # a single shard is read once per task
+            if index is None:
+                continue
+            for ids, w in held:
+                rows = [(ids[i], *rest) for i, *rest in index.matches(w)]
+                if rows:
+                    columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), [pa.int64()] * 2 + [pa.float64()] * 3)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, only = [], 0, []
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for a, b in slices(texts):
-                rows = [
-                    dict(zip(schema.names, (ids[a + i], *rest), strict=True))
-                    for i, *rest in index.value.matches(texts[a:b])
-                ]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
+                held.append((ids[a:b], words_of(texts[a:b])))
+                size += sum(map(len, texts[a:b]))
+                if size >= HELD or n_shards == 1:
+                    yield from through(held, only)
+                    held, size = [], 0
+        if held:
+            yield from through(held, only)
 
     return run
 
@@ -321,23 +365,38 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def statistics(items: DataFrame):
-    """A function that gives a shard what its ``Index`` needs to know of all entries of
-    ``items`` (shard, text); only a shard's own terms come to the driver."""
-    counts = landed(items.mapInArrow(_terms, "shard long, term long, n long, words long"), "terms")
+def _build(folder: str, n: int, mean: float):
+    """Index of a shard's items, written under a name that only its shard decides: an attempt
+    of the task that is run again puts the same file there."""
+
+    def run(key: tuple, items: pd.DataFrame, frequencies: pd.DataFrame) -> pd.DataFrame:
+        own = sorted(zip(items["item_id"].astype(object), items["text"]), key=lambda x: (pd.isna(x[0]), x))
+        term = frequencies["term"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(term)
+        rows = [(None if pd.isna(i) else int(i), t) for i, t in own]
+        index = Index(rows, (n, mean, term[order], frequencies["df"].to_numpy()[order]))
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        attempt = f"{root}/_{key[0]}-{uuid.uuid4().hex}"
+        with store.open_output_stream(attempt) as file:
+            file.write(pickle.dumps(index.__dict__))
+        store.move(attempt, f"{root}/{key[0]}.index")
+        return pd.DataFrame({"shard": [key[0]]})
+
+    return run
+
+
+def build(items: DataFrame, folder: str) -> None:
+    """An index per shard of ``items`` (shard, item_id, text) in the folder. Entries, words
+    and document frequencies are counted over all shards first."""
+    counts = landed(items.select("shard", "text").mapInArrow(_terms, "shard long, term long, n long, words long"), "terms")
     total = counts.filter("term is null").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
     n, words = total["n"] or 0, total["words"] or 0
     counts = counts.filter("term is not null")
     df = counts.groupBy("term").agg(F.sum("n").alias("df"))
-    df = landed(counts.select("shard", "term").distinct().join(df, "term"), "frequencies")
-
-    def of(shard: int) -> tuple:
-        own = df.filter(F.col("shard") == shard).select("term", "df").toArrow()
-        term = own.column("term").to_numpy().view(np.uint64)
-        order = np.argsort(term)
-        return n, words / max(1, n), term[order], own.column("df").to_numpy()[order]
-
-    return of
+    df = counts.select("shard", "term").distinct().join(df, "term").select("shard", "term", "df")
+    built = items.groupBy("shard").cogroup(df.groupBy("shard")).applyInPandas(_build(folder, n, words / max(1, n)), "shard long")
+    landed(built, "shards")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -354,16 +413,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") ->
     # A shard's entries are bounded by its words, whatever the number of items.
     words = items.select(F.sum(F.greatest(F.lit(1), F.ceil(F.octet_length("text") / (2 * ENTRY)))).alias("n"))
     n_shards = max(1, -(-int(words.first()["n"] or 0) // SHARD))
-    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards))
-    found = []
-    of = statistics(items.select(shard.alias("shard"), "text")) if n_shards > 1 else lambda s: None
-    for s in range(n_shards):
-        rows = items.filter(shard == s).orderBy("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows], of(s)))
-        found.append(
-            own.mapInArrow(
-                _match(index),
-                "doc_id long, item_id long, score double, question_share double, answer_share double",
-            )
-        )
-    return reduce(DataFrame.unionAll, found)
+    folder = run_dir(spark, "index")
+    build(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_shards))), folder)
+    return own.mapInArrow(_match(folder, n_shards), _LEAK)
