@@ -14,7 +14,8 @@ that the group's median is that of chi-squared, is too large.
 
 All documents take part. A step is one aggregate over (group, start, binned distance): integer
 sums, so results don't depend on the order in which tasks end. Vectors are whole numbers,
-1/64 of a unit each, without a bound: products of large ones are summed as decimals.
+1/64 of a unit each. Beyond 256 units a component grows with the logarithm of the ratio, so
+it has no bound, larger ratios stay larger, and its square still fits.
 """
 
 from __future__ import annotations
@@ -44,8 +45,8 @@ FLOOR = {
 }
 P = len(FLOOR)
 UNIT = 64
-#: Components up to this size are multiplied and summed as 64-bit numbers, others as decimals.
-SMALL = 1 << 14
+#: Where components begin to grow logarithmically: at 256 units.
+LINEAR = 1 << 14
 #: Share of documents the estimate rests on, bins per doubling of distance, starts.
 KEPT_SHARE, BINS, STARTS = 0.75, 32, 3
 #: Documents' worth of its parent in a group's estimate.
@@ -120,8 +121,9 @@ def _vector() -> list[Column]:
         F.col("n_upper") / (F.col("n_letters") + 100),
         F.col("n_other") / n,
     ]
-    whole = [F.round(r / f * UNIT).cast("long") for r, f in zip(ratios, FLOOR.values(), strict=True)]
-    return [q.alias(f"q{i}") for i, q in enumerate(whole)]
+    scaled = [r / f * UNIT for r, f in zip(ratios, FLOOR.values(), strict=True)]
+    grown = [F.when(x <= LINEAR, x).otherwise(LINEAR * (1 + F.log(x / LINEAR))) for x in scaled]
+    return [F.round(x).cast("long").alias(f"q{i}") for i, x in enumerate(grown)]
 
 
 def _keys() -> list[Column]:
@@ -172,8 +174,7 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 def _solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Mean and covariance per group and start. Sums are whole numbers of any size, so
-    nothing cancels."""
+    """Mean and covariance per group and start. Sums are whole numbers, so nothing cancels."""
     for f in frames:
         out = []
         for r in f.itertuples(index=False):
@@ -216,22 +217,12 @@ def _medians(rows: DataFrame) -> DataFrame:
 
 
 def _sums(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Count, sums and sums of products by group, as decimals. Rows with a large component
-    are rare and summed as decimals from the start."""
+    """Count, sums and sums of products by group. A component is under 2**18 for any text, so
+    a sum of products would pass 64 bits (and raise an error) with 2**27 such documents."""
     q = [F.col(f"q{i}") for i in range(P)]
-    small = F.lit(True)
-    for c in q:
-        small = small & (F.abs(c) <= SMALL)
-
-    def added(part: DataFrame, kind: str) -> DataFrame:
-        x = [c.cast(kind) for c in q]
-        sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(x)]
-        sums += [F.sum((x[i] * x[j]).cast(kind)).alias(f"s{i}_{j}") for i, j in _PAIRS]
-        sums = part.groupBy(*by).agg(F.count("*").alias("n"), *sums)
-        return sums.select(*by, *[F.col(c).cast("decimal(38,0)").alias(c) for c in sums.columns if c not in by])
-
-    parts = added(rows.filter(small), "long").unionAll(added(rows.filter(~small), "decimal(38,0)"))
-    return parts.groupBy(*by).agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in parts.columns if c not in by])
+    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(q)]
+    sums += [F.sum(q[i] * q[j]).alias(f"s{i}_{j}") for i, j in _PAIRS]
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), *sums)
 
 
 def _whole(rows: DataFrame) -> DataFrame:
@@ -252,9 +243,9 @@ def _concentrate(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame
     own = Window.partitionBy("key", "start")
     before = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     seen, every = F.coalesce(F.sum("n").over(before), F.lit(0)), F.sum("n").over(own)
-    near = bins.withColumn("in", seen < every * F.lit(KEPT_SHARE).cast("decimal(3,2)")).filter("in")
+    near = bins.withColumn("in", seen < every * KEPT_SHARE).filter("in")
     moments = near.groupBy("key", "start").agg(
-        *[F.sum(c).cast("decimal(38,0)").alias(c) for c in bins.columns if c == "n" or c[0] == "s" and c != "start"]
+        *[F.sum(c).alias(c) for c in bins.columns if c == "n" or c[0] == "s" and c != "start"]
     )
     return moments.mapInPandas(_solve, _GROUP)
 
