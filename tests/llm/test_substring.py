@@ -33,6 +33,38 @@ def test_equals_brute_force(frame, docs, monkeypatch, chunk):
     assert as_rows(substring.dedup(clashing(frame)), *COLUMNS) == brute(docs)
 
 
+@pytest.mark.parametrize("fan, levels", [(2, 5), (3, 3), (30, 1)])
+def test_equals_brute_force_over_several_levels(frame, docs, monkeypatch, fan, levels):
+    size = sum(len((d[1] or "").encode()) for d in docs)
+    monkeypatch.setattr(substring, "FAN", fan)
+    monkeypatch.setattr(substring, "CHUNK", size // 50)
+    monkeypatch.setattr(substring, "RANGE", size // 20)
+    assert substring.Route.over(21).levels == levels
+    assert as_rows(substring.dedup(clashing(frame)), *COLUMNS) == brute(docs)
+
+
+@pytest.mark.parametrize("n_ranges", [1, 10, 100, 1_000, 65_536, 6_000_000])
+def test_pieces_do_not_grow_with_the_ranges(n_ranges):
+    """A sender has at most FAN pieces at each level, and the blocks of a level are as many as
+    the ranges asked for, or a little more."""
+    import numpy as np
+
+    route = substring.Route.over(n_ranges)
+    assert n_ranges <= route.fan**route.levels <= max(1, 1.3 * n_ranges) or route.levels > 1
+    assert route.fan <= substring.FAN
+    hashes = np.unique(np.random.default_rng(3).integers(0, 1 << 48, 100_000).astype(np.uint64))
+    block, held = None, hashes
+    for level in range(1, route.levels + 1):
+        group = route.group_of(77) if level == 1 else route.parent(block, level - 1)
+        sent = substring.pieces(route, level, 0, group, held, np.zeros(len(held), np.int64), substring.ANCHOR_BITS)
+        assert len(sent) <= substring.FAN
+        got = [substring._unpacked(r["hashes"], r["base"], r["extra"])[0] for r in sent]
+        assert (np.concatenate(got) == held).all()
+        block, held = sent[0]["block"], got[0]
+    # At the last level there is one group: the block's number is its range.
+    assert block == route.ranges_of(held[:1], substring.ANCHOR_BITS, route.levels)[0]
+
+
 def test_shared_passages_at_any_offset(spark, monkeypatch):
     monkeypatch.setattr(substring, "CHUNK", 500)
     rng = random.Random(8)

@@ -10,11 +10,18 @@ one document has are whole windows formed; a second pass finds the smallest docu
 Texts are packed into chunks of a few MB once. A chunk sends its sorted distinct hashes by
 hash range, and gets one bit back for each. A passage that a third of all documents share
 costs one hash per chunk.
+
+A chunk sends at most FAN pieces. If the table needs more ranges, hashes travel in levels: a
+block of the first level takes a wide range from a group of chunks and keeps each hash once;
+it sends its hashes on by narrower ranges to a block that stands for more chunks, until a
+block holds its range of all chunks. Every level has as many blocks, so the pieces sent grow
+with the table, not with its chunks times its ranges. Answers go back by the same blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -24,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import Words, landed, text_of, window_hashes
+from tidelog.llm.common import Words, landed, mix, text_of, window_hashes
 
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
@@ -34,6 +41,8 @@ ANCHOR = WINDOW - PERIOD + 1
 #: Characters of a chunk (a longer text is a chunk of its own), and text bytes per range of
 #: hashes: a range has about a million.
 CHUNK, RANGE = 4 << 20, 16 << 20
+#: Pieces that a chunk or block sends at most.
+FAN = 256
 #: Anchors are compared by 48 bits: one that is taken for another only forms windows that
 #: the second pass finds to be unique.
 ANCHOR_BITS = 48
@@ -139,97 +148,213 @@ def spread(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _by_range(chunk: int, distinct: np.ndarray, bits: int, extra: np.ndarray, n_ranges: int) -> list[dict]:
-    """A row per range: differences of the sorted hashes, and a number that goes with each."""
-    part = ((distinct >> np.uint64(bits - 24)) * np.uint64(n_ranges)) >> np.uint64(24)
-    cuts = np.searchsorted(part, np.arange(n_ranges + 1, dtype=np.uint64))
+@dataclass(frozen=True)
+class Route:
+    """How hashes travel: ``fan`` pieces per sender, ``levels`` of blocks.
+
+    A block of level k stands for one of ``fan ** (levels - k)`` groups of chunks and one of
+    ``fan ** k`` ranges. Groups and ranges are nested from level to level.
+    """
+
+    fan: int
+    levels: int
+
+    @classmethod
+    def over(cls, n_ranges: int) -> Route:
+        levels = 1
+        while FAN**levels < n_ranges:
+            levels += 1
+        fan = 1
+        while fan**levels < n_ranges:
+            fan += 1
+        return cls(fan, levels)
+
+    def group_of(self, chunk: int) -> int:
+        """A chunk's group at the first level; at the last, all chunks are one group."""
+        drawn = int(mix(np.array([chunk], np.uint64))[0] >> np.uint64(32))
+        return (drawn * self.fan ** (self.levels - 1)) >> 32
+
+    def ranges_of(self, hashes: np.ndarray, bits: int, level: int) -> np.ndarray:
+        return ((hashes >> np.uint64(bits - 32)) * np.uint64(self.fan**level)) >> np.uint64(32)
+
+    def parent(self, block: int, level: int) -> int:
+        """The group that takes a block's hashes at the next level."""
+        return block // self.fan**level // self.fan
+
+
+def pieces(route: Route, level: int, sender: int, group: int, distinct: np.ndarray, extra: np.ndarray, bits: int) -> list[dict]:
+    """A row per block of ``level`` that gets any of the sorted hashes: their differences,
+    and a number that goes with each."""
+    part = route.ranges_of(distinct, bits, level)
+    present, cuts = np.unique(part, return_index=True)
     rows = []
-    for r in range(n_ranges):
-        a, b = cuts[r], cuts[r + 1]
-        if a < b:
-            steps = np.diff(distinct[a:b], prepend=np.uint64(0))
-            base = int(extra[a:b].min())
-            rows.append({"range": r, "chunk": chunk, "hashes": squeeze(steps), "base": base,
-                         "extra": squeeze((extra[a:b] - base).astype(np.uint64))})
+    for r, a, b in zip(present.tolist(), cuts, np.append(cuts, len(part))[1:], strict=True):
+        steps = np.diff(distinct[a:b], prepend=np.uint64(0))
+        base = int(extra[a:b].min())
+        rows.append({"block": group * route.fan**level + r, "sender": sender, "hashes": squeeze(steps),
+                     "base": base, "extra": squeeze((extra[a:b] - base).astype(np.uint64))})
     return rows
 
 
-_SENT = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()),
+_SENT = pa.schema([("block", pa.int64()), ("sender", pa.int64()), ("hashes", pa.binary()),
                    ("base", pa.int64()), ("extra", pa.binary())])
-SENT = "range int, chunk long, hashes binary, base long, extra binary"
-BITS = "chunk long, range int, bits binary"
+SENT = "block long, sender long, hashes binary, base long, extra binary"
+BITS = "sender long, block long, bits binary"
+#: A block on the way: its own hashes, and for each sender the places of its hashes among
+#: them and the bits that are known already.
+MERGED = "block long, hashes binary, base long, extra binary, senders array<long>, places array<binary>, known array<binary>"
 
 
-def _send_anchors(n_ranges: int):
+def _send_anchors(route: Route):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 _, _, distinct, several = Chunk(row["ids"], row["sizes"], row["blob"]).anchor_set()
-                sent = _by_range(row["chunk"], distinct, ANCHOR_BITS, several.astype(np.int64), n_ranges)
+                group = route.group_of(row["chunk"])
+                sent = pieces(route, 1, row["chunk"], group, distinct, several.astype(np.int64), ANCHOR_BITS)
                 yield pa.RecordBatch.from_pylist(sent, _SENT)
 
     return run
 
 
+def _unpacked(hashes: bytes, base: int, extra: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(spread(hashes), dtype=np.uint64), spread(extra).astype(np.int64) + base
+
+
 def _gather(f: pd.DataFrame):
-    """All hashes of a range, the chunk each comes from, its number, and the chunks' cuts."""
-    hashes = [np.cumsum(spread(h), dtype=np.uint64) for h in f["hashes"]]
-    extra = [spread(e).astype(np.int64) + b for e, b in zip(f["extra"], f["base"], strict=True)]
-    cuts = np.cumsum([0, *map(len, hashes)])
-    h, x = np.concatenate(hashes), np.concatenate(extra)
-    order = np.argsort(h, kind="stable")
-    new = np.ones(len(h), bool)
-    new[1:] = h[order][1:] != h[order][:-1]
-    group = np.empty(len(h), np.int64)
-    group[order] = np.cumsum(new) - 1
-    return group, x, cuts
-
-
-def _answer(f: pd.DataFrame, yes: np.ndarray, cuts: np.ndarray) -> pd.DataFrame:
-    bits = [np.packbits(yes[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pd.DataFrame({"chunk": f["chunk"], "range": f["range"].astype(np.int32), "bits": bits})
-
-
-def _shared(f: pd.DataFrame) -> pd.DataFrame:
-    """Whether an anchor is in more than one document."""
-    group, several, cuts = _gather(f)
-    yes = (np.bincount(group) > 1) | (np.bincount(group, several) > 0)
-    return _answer(f, yes[group], cuts)
-
-
-def _owned(f: pd.DataFrame) -> pd.DataFrame:
-    """Whether a document of another chunk with a smaller id than any here has the window."""
-    group, least, cuts = _gather(f)
-    owner = np.full(group.max() + 1, NONE)
-    np.minimum.at(owner, group, least)
-    return _answer(f, owner[group] < least, cuts)
-
-
-def _bits(answers: list, distinct: np.ndarray, bits: int, n_ranges: int) -> np.ndarray:
-    """The answers of all ranges, in the order of the distinct hashes."""
-    part = ((distinct >> np.uint64(bits - 24)) * np.uint64(n_ranges)) >> np.uint64(24)
-    cuts = np.searchsorted(part, np.arange(n_ranges + 1, dtype=np.uint64))
+    """All hashes that a block gets: the distinct ones, the place of each among them, the
+    number that came with each, and the senders' cuts."""
+    got = [_unpacked(*x) for x in zip(f["hashes"], f["base"], f["extra"], strict=True)]
+    cuts = np.cumsum([0, *(len(h) for h, _ in got)])
+    distinct, place = np.unique(np.concatenate([h for h, _ in got]), return_inverse=True)
+    return distinct, place, np.concatenate([x for _, x in got]), cuts
+
+
+def shared(place: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether an anchor is in more than one document, per distinct anchor and per place."""
+    yes = (np.bincount(place) > 1) | (np.bincount(place, several) > 0)
+    return yes.astype(np.int64), yes[place]
+
+
+def owned(place: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id of each distinct window, and per place whether it is smaller than the
+    sender's own."""
+    owner = np.full(place.max() + 1, NONE)
+    np.minimum.at(owner, place, least)
+    return owner, owner[place] < least
+
+
+def _cut_bits(yes: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    return [np.packbits(yes[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _answer(judge):
+    """The last level: a block has its range of all chunks."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        _, place, extra, cuts = _gather(f)
+        return pd.DataFrame({"sender": f["sender"], "block": f["block"], "bits": _cut_bits(judge(place, extra)[1], cuts)})
+
+    return run
+
+
+def _merge(judge):
+    """A level on the way: what is known among a group of chunks, each hash once."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        distinct, place, extra, cuts = _gather(f)
+        whole, known = judge(place, extra)
+        base = int(whole.min())
+        # A sender's hashes are sorted, so their places rise.
+        places = [squeeze(np.diff(place[a:b], prepend=0).astype(np.uint64)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        row = {"block": f["block"].iloc[0], "hashes": squeeze(np.diff(distinct, prepend=np.uint64(0))), "base": base,
+               "extra": squeeze((whole - base).astype(np.uint64)), "senders": f["sender"].tolist(),
+               "places": places, "known": _cut_bits(known, cuts)}
+        return pd.DataFrame([row])
+
+    return run
+
+
+def _pass_on(route: Route, level: int, bits: int):
+    """A block of ``level`` sends its hashes to the next one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                distinct, extra = _unpacked(row["hashes"], row["base"], row["extra"])
+                group = route.parent(row["block"], level)
+                yield pa.RecordBatch.from_pylist(
+                    pieces(route, level + 1, row["block"], group, distinct, extra, bits), _SENT
+                )
+
+    return run
+
+
+_BITS = pa.schema([("sender", pa.int64()), ("block", pa.int64()), ("bits", pa.binary())])
+
+
+def _hand_down(route: Route, level: int, bits: int):
+    """A block of ``level`` has the next one's answers: its senders get theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                distinct, _ = _unpacked(row["hashes"], row["base"], row["extra"])
+                yes = _bits(route, level + 1, row["answers"], distinct, bits)
+                out = []
+                for sender, places, known in zip(row["senders"], row["places"], row["known"], strict=True):
+                    own = yes[np.cumsum(spread(places)).astype(np.int64)]
+                    own |= np.unpackbits(np.frombuffer(known, np.uint8), count=len(own)).astype(bool)
+                    out.append({"sender": sender, "block": row["block"], "bits": np.packbits(own).tobytes()})
+                yield pa.RecordBatch.from_pylist(out, _BITS)
+
+    return run
+
+
+def _bits(route: Route, level: int, answers: list | None, distinct: np.ndarray, bits: int) -> np.ndarray:
+    """The answers of all blocks of ``level``, in the order of the distinct hashes."""
+    part = route.ranges_of(distinct, bits, level)
     yes = np.zeros(len(distinct), bool)
     for r in answers or []:
-        a, b = cuts[r["range"]], cuts[r["range"] + 1]
+        own = np.uint64(r["block"] % route.fan**level)
+        a, b = np.searchsorted(part, own, "left"), np.searchsorted(part, own, "right")
         yes[a:b] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=b - a).astype(bool)
     return yes
 
 
-def _send_windows(n_ranges: int):
+def _by_sender(answers: DataFrame, sender: str, name: str) -> DataFrame:
+    return answers.groupBy(F.col("sender").alias(sender)).agg(F.collect_list(F.struct("block", "bits")).alias(name))
+
+
+def judged(sent: DataFrame, judge, bits: int, route: Route, label: str) -> DataFrame:
+    """(sender, block, bits) for the pieces that chunks sent to the first level's blocks."""
+    blocks = []
+    for level in range(1, route.levels):
+        merged = landed(sent.groupBy("block").applyInPandas(_merge(judge), MERGED), f"{label}_blocks")
+        blocks.append((level, merged))
+        sent = merged.select("block", "hashes", "base", "extra").mapInArrow(_pass_on(route, level, bits), SENT)
+    answers = landed(sent.groupBy("block").applyInPandas(_answer(judge), BITS), label)
+    for level, merged in reversed(blocks):
+        told = merged.join(_by_sender(answers, "block", "answers"), "block")
+        answers = landed(told.mapInArrow(_hand_down(route, level, bits), BITS), label)
+    return answers
+
+
+def _send_windows(route: Route):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 c = Chunk(row["ids"], row["sizes"], row["blob"])
                 place, number, distinct, _ = c.anchor_set()
-                shared = _bits(row["anchors"], distinct, ANCHOR_BITS, n_ranges)
-                _, _, distinct, least = c.window_set(place[shared[number]])
-                yield pa.RecordBatch.from_pylist(_by_range(row["chunk"], distinct, 64, least, n_ranges), _SENT)
+                several = _bits(route, 1, row["anchors"], distinct, ANCHOR_BITS)
+                _, _, distinct, least = c.window_set(place[several[number]])
+                group = route.group_of(row["chunk"])
+                yield pa.RecordBatch.from_pylist(pieces(route, 1, row["chunk"], group, distinct, least, 64), _SENT)
 
     return run
 
 
-def _remove(n_ranges: int):
+def _remove(route: Route):
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,9 +362,9 @@ def _remove(n_ranges: int):
             for row in batch.to_pylist():
                 c = Chunk(row["ids"], row["sizes"], row["blob"])
                 place, number, distinct, _ = c.anchor_set()
-                shared = _bits(row["anchors"], distinct, ANCHOR_BITS, n_ranges)
-                starts, number, distinct, least = c.window_set(place[shared[number]])
-                elsewhere = _bits(row["windows"], distinct, 64, n_ranges)
+                several = _bits(route, 1, row["anchors"], distinct, ANCHOR_BITS)
+                starts, number, distinct, least = c.window_set(place[several[number]])
+                elsewhere = _bits(route, 1, row["windows"], distinct, 64)
                 own = c.ids[c.doc[starts]]
                 # NONE is after every id and before none.
                 gone = starts[elsewhere[number] | (least[number] < own)]
@@ -262,10 +387,6 @@ def _remove(n_ranges: int):
     return run
 
 
-def _answers(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits")).alias(name))
-
-
 def dedup(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """(doc_id, n_words, n_removed, text) per row of ``docs``; text: the words that are left,
     joined by one space.
@@ -279,12 +400,10 @@ def dedup(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     chunks = own.mapInArrow(_pack, "chunk long, ids array<long>, sizes array<long>, n_bytes long, blob binary")
     chunks = landed(chunks, "chunks")
     size = chunks.agg(F.sum("n_bytes")).first()[0] or 0
-    n_ranges = int(max(1, spark.sparkContext.defaultParallelism, -(-size // RANGE)))
-
-    anchors = chunks.mapInArrow(_send_anchors(n_ranges), SENT)
-    anchors = landed(anchors.groupBy("range").applyInPandas(_shared, BITS), "anchors")
-    marked = chunks.join(_answers(anchors, "anchors"), "chunk", "left")
-    windows = marked.mapInArrow(_send_windows(n_ranges), SENT)
-    windows = landed(windows.groupBy("range").applyInPandas(_owned, BITS), "windows")
-    marked = marked.join(_answers(windows, "windows"), "chunk", "left")
-    return marked.mapInArrow(_remove(n_ranges), "doc_id long, n_words long, n_removed long, text string")
+    route = Route.over(int(max(1, spark.sparkContext.defaultParallelism, -(-size // RANGE))))
+
+    anchors = judged(chunks.mapInArrow(_send_anchors(route), SENT), shared, ANCHOR_BITS, route, "anchors")
+    marked = chunks.join(_by_sender(anchors, "chunk", "anchors"), "chunk", "left")
+    windows = judged(marked.mapInArrow(_send_windows(route), SENT), owned, 64, route, "windows")
+    marked = marked.join(_by_sender(windows, "chunk", "windows"), "chunk", "left")
+    return marked.mapInArrow(_remove(route), "doc_id long, n_words long, n_removed long, text string")
