@@ -1,5 +1,6 @@
 """Replication messages built by hand."""
 
+import re
 import struct
 
 import pytest
@@ -95,6 +96,23 @@ def test_layout_of_a_relation(spark):
     ]
 
 
+def test_payloads_are_read_once(spark, tmp_path, monkeypatch):
+    """The scan reads the messages; changes and layouts come from what it landed, the
+    summaries of chunks from the heads alone."""
+    path = str(tmp_path / "landed")
+    messages(spark, BEGIN, LAYOUT, change(b"I", b"N", cells("p1", "a", "b"))).write.parquet(path)
+    reads = []
+    heads = wal.heads
+    monkeypatch.setattr(wal, "heads", lambda m: reads.append(1) or heads(m))
+    scanned = wal.scan(spark.read.parquet(path))
+    versions = wal.relation_versions(wal.decode(scanned), wal.relations(scanned))
+    assert rows(versions, "relation_seq", "n_changes") == [(1, 1)] and len(reads) == 1
+    text = wal.decode(scanned)._jdf.queryExecution().executedPlan().toString()
+    read = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    assert len(read) > 1 and "payload#" not in text
+    assert sum("cells#" in columns for columns in read) == 1
+
+
 def test_key_only_delete_gives_null_not_dummies(spark):
     m = messages(spark, BEGIN, LAYOUT, change(b"D", b"K", cells("p1", None, None)))
     out = wal.typed_rows(wal.decode(m), PROVIDERS)

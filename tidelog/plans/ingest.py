@@ -242,8 +242,8 @@ def decode_wal_messages(spark, d):
     ),
 )
 def relation_versions(spark, d):
-    messages = landed_messages(spark, d)
-    versions = wal.relation_versions(wal.decode(messages), wal.relations(messages))
+    scanned = wal.scan(landed_messages(spark, d))
+    versions = wal.relation_versions(wal.decode(scanned), wal.relations(scanned))
     known = F.array(*[F.lit(c) for c in CONSENTS.columns])
     return versions.select(
         "relation",

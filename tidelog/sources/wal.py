@@ -1,10 +1,11 @@
 """Decoding of logical replication messages into a change feed.
 
 Input rows: ``slot, seq, lsn, payload`` with the message bytes; ``seq`` numbers the
-messages of a slot. Heads and layouts are read by Spark expressions, tuples in Arrow
-batches, so the work is spread over all rows. What depends on earlier messages, namely the
-table layout and the transaction's commit time, is carried forward along ``seq`` in chunks;
-no task sees a whole slot.
+messages of a slot. Payloads are read once (``scan``): heads and layouts by Spark
+expressions, tuples in Arrow batches of the same stage, the result landed. What depends on
+earlier messages, namely the table layout and the transaction's commit time, is carried
+forward along ``seq`` in chunks, from small summaries of the landed heads; no task sees a
+whole slot.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.cells import failed_cast, try_typed
 from tidelog.functions.lsn import from_epoch_2000
 from tidelog.operators.ordered import CHUNK, ROWS_PER_CHUNK, dense_chunks
+from tidelog.session import run_dir
 from tidelog.spec import TableSpec
 
 # Message kinds of the protocol (first byte).
@@ -81,33 +83,19 @@ def with_kind(messages: DataFrame) -> DataFrame:
     return messages.withColumn("kind", checked)
 
 
-def relations(messages: DataFrame) -> DataFrame:
-    """Table layouts as announced: ``slot, seq, relation_id, namespace, relation, identity,
-    layout`` with one array entry per column."""
-    r = with_kind(messages).filter(F.col("kind") == RELATION)
+def heads(messages: DataFrame) -> DataFrame:
+    """Changes, transaction starts and layouts without their cells: kind, table number,
+    commit time, and what a layout message announces."""
+    m = with_kind(messages).filter(F.col("kind").isin(BEGIN, RELATION, *CHANGES))
+    announced = F.col("kind") == RELATION
     text = "cast(substring(payload, 6) as string)"
-    r = r.withColumn("namespace", F.expr(f"substring_index({text}, '\\0', 1)"))
-    r = r.withColumn("_at", F.expr("7 + octet_length(namespace)"))
-    r = r.withColumn(
-        "relation", F.expr("substring_index(cast(substring(payload, _at) as string), '\\0', 1)")
-    )
-    r = r.withColumn("_at", F.expr("_at + 1 + octet_length(relation)"))
+    m = m.withColumn("namespace", F.when(announced, F.expr(f"substring_index({text}, '\\0', 1)")))
+    m = m.withColumn("_at", F.expr("7 + octet_length(namespace)"))
+    named = F.expr("substring_index(cast(substring(payload, _at) as string), '\\0', 1)")
+    m = m.withColumn("relation", F.when(announced, named))
+    m = m.withColumn("_at", F.expr("_at + 1 + octet_length(relation)"))
     n = "cast(conv(hex(substring(payload, _at + 1, 2)), 16, 10) as int)"
     fold = F.expr(_LAYOUT.format(p="payload", start="(_at + 1)", n=n))
-    return r.select(
-        "slot",
-        "seq",
-        _uint("2", 4).alias("relation_id"),
-        "namespace",
-        "relation",
-        F.expr("cast(substring(payload, _at, 1) as string)").alias("identity"),
-        F.when(F.expr(f"{n} > 0"), fold["cols"]).alias("layout"),
-    )
-
-
-def heads(messages: DataFrame) -> DataFrame:
-    """Changes and transaction starts without their cells: kind, table number, commit time."""
-    m = with_kind(messages).filter(F.col("kind").isin(BEGIN, *CHANGES))
     begin = F.col("kind") == BEGIN
     return m.select(
         "slot",
@@ -116,19 +104,40 @@ def heads(messages: DataFrame) -> DataFrame:
         "kind",
         F.when(~begin, _uint("2", 4)).alias("relation_id"),
         F.when(begin, from_epoch_2000(_int64("10"))).alias("_begin_ts"),
+        "namespace",
+        "relation",
+        F.when(announced, F.expr("cast(substring(payload, _at, 1) as string)")).alias("identity"),
+        F.when(announced & F.expr(f"{n} > 0"), fold["cols"]).alias("layout"),
         "payload",
     )
 
 
-HEAD = "slot string, seq long, lsn long, kind string, relation_id long, _begin_ts timestamp_ntz"
+def relations(found: DataFrame) -> DataFrame:
+    """Table layouts as announced, from messages or a ``scan`` of them: ``slot, seq,
+    relation_id, namespace, relation, identity, layout`` with one array entry per column."""
+    read = heads(found) if "payload" in found.columns else found
+    return read.filter(F.col("kind") == RELATION).select(
+        "slot", "seq", "relation_id", "namespace", "relation", "identity", "layout"
+    )
+
+
+HEAD = (
+    "slot string, seq long, lsn long, kind string, relation_id long, _begin_ts timestamp_ntz, "
+    "namespace string, relation string, identity string, "
+    "layout array<struct<name: string, oid: bigint, typmod: bigint, is_key: boolean>>"
+)
 CELLS = "array<struct<kind: string, val: string>>"
+SCANNED = f"{HEAD}, old_cells {CELLS}, cells {CELLS}"
 
 
-def parse(messages: DataFrame) -> DataFrame:
-    """``heads`` with ``old_cells`` and ``cells``. Tuples are split a batch at a time, one
-    array operation per cell position, not row by row."""
-    schema = f"{HEAD}, old_cells {CELLS}, cells {CELLS}"
-    return heads(messages).mapInArrow(split_batches, schema)
+def scan(messages: DataFrame) -> DataFrame:
+    """``heads`` with ``old_cells`` and ``cells``, landed on the shared folder. Tuples are
+    split a batch at a time, one array operation per cell position, not row by row. This is
+    the only pass over the payloads; a faulty message fails it."""
+    path = run_dir(messages.sparkSession, "scanned")
+    parsed = heads(messages).mapInArrow(split_batches, SCANNED)
+    parsed.write.parquet(path)
+    return messages.sparkSession.read.schema(SCANNED).parquet(path)
 
 
 #: Payload bytes split at a time: text offsets are 32-bit numbers.
@@ -267,31 +276,26 @@ class _Tuples:
         )
 
 
-def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def decode(found: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Change rows ``slot, seq, lsn, op, relation_id, relation, relation_seq, commit_ts,
-    deleted_ts, columns, cells, old_cells``.
+    deleted_ts, columns, cells, old_cells`` of messages, or of a ``scan`` of them.
 
     The commit time comes from the last transaction start of the slot, names and table from
     the last layout of the relation. Messages are cut by ``seq`` into chunks; each chunk
     starts with rows that repeat what was in force before it. Both windows share one
-    shuffle."""
-    parsed = dense_chunks(parse(messages), "seq", rows_per_chunk)
-    layouts = dense_chunks(
-        relations(messages).select(
-            "slot",
-            "seq",
-            "relation_id",
-            F.struct(
-                F.col("seq").alias("relation_seq"),
-                "relation",
-                F.expr("transform(layout, c -> c.name)").alias("columns"),
-            ).alias("_layout"),
-        ),
-        "seq",
-        rows_per_chunk,
+    shuffle. Given messages, their scan runs at once."""
+    scanned = scan(found) if "payload" in found.columns else found
+    layout = F.struct(
+        F.col("seq").alias("relation_seq"),
+        "relation",
+        F.expr("transform(layout, c -> c.name)").alias("columns"),
     )
-    # Per chunk: the relations that occur and the last transaction start (no cells needed).
-    spine = dense_chunks(heads(messages), "seq", rows_per_chunk).groupBy("slot", "relation_id", CHUNK).agg(
+    parsed = dense_chunks(scanned, "seq", rows_per_chunk).select(
+        "slot", "seq", "lsn", "kind", "relation_id", "_begin_ts", CHUNK, "old_cells", "cells",
+        F.when(F.col("kind") == RELATION, layout).alias("_layout"),
+    )
+    # Per chunk: the relations that occur and the last transaction start (heads only).
+    spine = parsed.groupBy("slot", "relation_id", CHUNK).agg(
         F.max_by("_begin_ts", F.when(F.col("_begin_ts").isNotNull(), F.col("seq"))).alias(
             "_begin_ts"
         )
@@ -307,8 +311,10 @@ def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> Data
             ),
         )
     )
-    last_layout = layouts.groupBy("slot", "relation_id", CHUNK).agg(
-        F.max_by("_layout", "seq").alias("_layout")
+    last_layout = (
+        parsed.filter(F.col("kind") == RELATION)
+        .groupBy("slot", "relation_id", CHUNK)
+        .agg(F.max_by("_layout", "seq").alias("_layout"))
     )
     occurring = spine.filter(F.col("relation_id").isNotNull()).select(
         "slot", "relation_id", CHUNK, F.lit(True).alias("_occurs")
@@ -328,7 +334,6 @@ def decode(messages: DataFrame, *, rows_per_chunk: int = ROWS_PER_CHUNK) -> Data
     edge = "_edge"
     rows = (
         parsed.withColumn(edge, F.lit(0))
-        .unionByName(layouts.withColumn(edge, F.lit(0)), allowMissingColumns=True)
         .unionByName(starts.withColumn(edge, F.lit(-1)), allowMissingColumns=True)
         .unionByName(handed.withColumn(edge, F.lit(-1)), allowMissingColumns=True)
     )

@@ -126,10 +126,12 @@ def ingest_messages(
     layouts before the first that breaks the contract land as loads ``<load>-0``,
     ``<load>-1`` ..., in order; then ``SchemaFrozen`` names the new columns. After the
     contract was widened the same batch is taken up where it stopped: finished loads are
-    skipped. Layouts of other tables are left out.
+    skipped. Layouts of other tables are left out. However many layouts there are, the
+    payloads are read once.
     """
-    changes = wal.decode(messages)
-    announced = wal.relation_versions(changes, wal.relations(messages)).filter(F.col("relation") == spec.name)
+    scanned = wal.scan(messages)
+    changes = wal.decode(scanned)
+    announced = wal.relation_versions(changes, wal.relations(scanned)).filter(F.col("relation") == spec.name)
     # One row per layout, a handful.
     layouts = announced.filter("n_changes > 0").orderBy("relation_seq", "slot").collect()
     done = []
