@@ -41,8 +41,10 @@ ANCHOR = WINDOW - PERIOD + 1
 #: Characters of a chunk (a longer text is a chunk of its own), and text bytes per range of
 #: hashes: a range has about a million.
 CHUNK, RANGE = 4 << 20, 16 << 20
-#: Pieces that a chunk or block sends at most.
-FAN = 256
+#: Pieces that a chunk or block sends at most, each with 70 hashes or more of a full chunk:
+#: one level does for 64 GB of texts, two for 256 TB. A level costs one more shuffle of the
+#: hashes and lands them once.
+FAN = 4096
 #: Anchors are compared by 48 bits: one that is taken for another only forms windows that
 #: the second pass finds to be unique.
 ANCHOR_BITS = 48
