@@ -144,3 +144,38 @@ def test_families_that_share_differences(spark, monkeypatch):
     got = as_rows(neardup.link(spark.createDataFrame(docs, DOCS)), *COLUMNS)
     assert got == sorted(brute(docs), key=repr)
     assert sum(sizes) < 20 * len(docs)
+
+
+def test_small_tables_of_edges_take_few_tasks(spark, monkeypatch):
+    """Turns don't take as many tasks as a shuffle of documents does."""
+    from tidelog.llm import components as module
+
+    parts = []
+    plain = module.landed
+    monkeypatch.setattr(module, "landed", lambda df, label: parts.append(df.rdd.getNumPartitions()) or plain(df, label))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+        assert {c for _, c in as_rows(components(edges), "v", "c")} == {0}
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert len(parts) > 4 and max(parts[1:]) <= max(spark.sparkContext.defaultParallelism, 1)
+
+
+def test_labels_take_further_edges_between_components(spark, monkeypatch):
+    """Links found later are worked on by themselves, not together with all earlier ones."""
+    from tidelog.llm import components as module
+
+    edges = [(i, i + 1) for i in range(10, 90) if i % 10 < 9]
+    labels = module.landed(components(spark.createDataFrame(edges, "a long, b long")), "labels")
+    rows = []
+    plain = module.landed
+    monkeypatch.setattr(module, "landed", lambda df, label: rows.append((label, df.count())) or plain(df, label))
+    more = [(20, 10), (30, 20), (70, 5), (200, 300), (60, 300)]
+    got = dict(as_rows(module.merged(labels, spark.createDataFrame(more, "ca long, cb long")), "v", "c"))
+    want = {v: {1: 10, 2: 10, 3: 10, 7: 5, 6: 60}.get(v // 10, v // 10 * 10) for v in range(10, 90)}
+    assert got == want | {5: 5, 200: 60, 300: 60}
+    assert max(n for label, n in rows if label == "edges") <= len(more)

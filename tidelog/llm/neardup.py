@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import Words, landed, lower_ascii, mix, slices, text_of, window_hashes
-from tidelog.llm.components import components
+from tidelog.llm.components import components, merged
 
 SHINGLE = 5
 #: Rows of a band. Bands and samples follow from the threshold, see ``Plan``.
@@ -169,7 +169,7 @@ def _linked(link: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             if 100 * common >= link * (len(both) - common):
                 keep.append(i)
         if keep:
-            yield batch.select(["a", "b"]).take(pa.array(keep))
+            yield batch.drop_columns(["ta", "tb"]).take(pa.array(keep))
 
 
 DIFFERENCE = "leader long, v long, c long, element long, rest long, t double, u double, short boolean"
@@ -221,9 +221,11 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
-    """Those pairs (a, b) that are linked by their full sets. ``texts``: (doc_id, text)."""
-    full = _with_texts(pairs.select("a", "b"), texts).select("a", "b", "ta", "tb")
-    return landed(full.mapInArrow(partial(_linked, threshold), "a long, b long"), "links")
+    """Those pairs (a, b) that are linked by their full sets; their other columns are numbers
+    and stay. ``texts``: (doc_id, text)."""
+    full = _with_texts(pairs, texts).select(*pairs.columns, "ta", "tb")
+    schema = ", ".join(f"{c} long" for c in pairs.columns)
+    return landed(full.mapInArrow(partial(_linked, threshold), schema), "links")
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -251,7 +253,10 @@ def _sides(unlike: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _pairs(found: DataFrame) -> DataFrame:
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    """Distinct (a, b) with a < b, and the components of either."""
+    one, other = F.struct("a", F.col("ca").alias("c")), F.struct(F.col("b").alias("a"), F.col("cb").alias("c"))
+    both = found.select(F.least(one, other).alias("p"), F.greatest(one, other).alias("q"))
+    return both.select(F.col("p.a").alias("a"), F.col("q.a").alias("b"), F.col("p.c").alias("ca"), F.col("q.c").alias("cb")).distinct()
 
 
 def _with_one(unlike: DataFrame) -> DataFrame:
@@ -314,15 +319,13 @@ def link(docs: DataFrame, key: str = "doc_id", threshold: int = LINK) -> DataFra
     # 1: each class with the leader it is nearest to.
     nearest = pairs.groupBy("v").agg(F.min(F.struct("apart", "w")).alias("m"))
     nearest = landed(nearest.select(F.col("v").alias("a"), F.col("m.w").alias("b")), "nearest")
-    links = confirm(nearest, texts, threshold)
-    labels = components(links)
+    labels = components(confirm(nearest, texts, threshold))
 
     # 2: with its other leaders, where they are in other components.
     others = pairs.select(F.col("v").alias("a"), F.col("w").alias("b")).join(nearest, ["a", "b"], "left_anti")
-    others = landed(_labelled(others, labels).filter("ca <> cb").select("a", "b"), "others")
+    others = landed(_labelled(others, labels).filter("ca <> cb").select("a", "b", "ca", "cb"), "others")
     if not others.isEmpty():
-        links = links.unionAll(confirm(others, texts, threshold))
-        labels = components(links)
+        labels = merged(labels, confirm(others, texts, threshold))
 
     # 3: buckets of three classes or more that still hold several components.
     placed = _labelled(led.filter("n > 2").select(F.col("v").alias("a"), F.col("lv").alias("b"), "bucket"), labels)
@@ -335,8 +338,7 @@ def link(docs: DataFrame, key: str = "doc_id", threshold: int = LINK) -> DataFra
         for candidates in (_with_one, _between_components):
             left = landed(candidates(_with_component(unlike, labels)), "left")
             if not left.isEmpty():
-                links = links.unionAll(confirm(left, texts, threshold))
-                labels = components(links)
+                labels = merged(labels, confirm(left, texts, threshold))
 
     named = classes.join(labels.select("v", "c"), "v", "left").select("name", F.coalesce("c", "v").alias("component_id"))
     linked = real.join(named, "name").select("doc_id", "n_shingles", "component_id")

@@ -55,6 +55,9 @@ SHARED = 50
 MEDIAN, CUT = 5.348, 20.0
 #: Groups whose estimates (under 1 kB each) may be broadcast; more meet by a salted join.
 BROADCAST_GROUPS, SALTS = 5_000, 64
+#: Groups (and starts) that a task estimates. Each has a row per bin of its distances, some
+#: hundreds, whatever the number of documents.
+SOLVED = 32
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -173,6 +176,11 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["key", "start", "centre", "cov", "inverse", "logdet"])
 
 
+def _few(groups: DataFrame, n_groups: int) -> DataFrame:
+    """A table of groups in as many tasks as their number asks for, not that of documents."""
+    return groups.coalesce(max(groups.sparkSession.sparkContext.defaultParallelism, n_groups // SOLVED + 1))
+
+
 def _solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Mean and covariance per group and start. Sums are whole numbers, so nothing cancels."""
     for f in frames:
@@ -247,7 +255,7 @@ def _concentrate(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame
     moments = near.groupBy("key", "start").agg(
         *[F.sum(c).alias(c) for c in bins.columns if c == "n" or c[0] == "s" and c != "start"]
     )
-    return moments.mapInPandas(_solve, _GROUP)
+    return _few(moments, n_groups).mapInPandas(_solve, _GROUP)
 
 
 def _scales(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
@@ -273,17 +281,16 @@ def estimates(vectors: DataFrame) -> DataFrame:
         step = _concentrate(rows, found.filter("moving"), moving).select("key", "start", F.struct(*_ESTIMATES).alias("new"))
         both = found.join(step, ["key", "start"], "left")
         better = F.coalesce(F.col("new.logdet") < F.col("logdet") - 1e-9, F.lit(False))
-        found = landed(
-            both.select(
-                "key", "start", *[F.when(better, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in _ESTIMATES],
-                better.alias("moving"),
-            ),
-            "mcd",
+        found = both.select(
+            "key", "start", *[F.when(better, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in _ESTIMATES],
+            better.alias("moving"),
         )
+        found = landed(_few(found, n_groups), "mcd")
         moving = found.filter("moving").count()
     least = found.groupBy("key").agg(F.min(F.struct("logdet", "start", "centre", "cov", "inverse")).alias("e"))
-    best = landed(least.select("key", *[F.col(f"e.{c}").alias(c) for c in ("start", *_ESTIMATES)]), "mcd")
-    return best.join(_scales(rows, best, n_groups), "key")
+    best = least.select("key", *[F.col(f"e.{c}").alias(c) for c in ("start", *_ESTIMATES)])
+    best = landed(_few(best, n_groups), "mcd")
+    return _few(best.join(_scales(rows, best, n_groups), "key"), n_groups)
 
 
 _ESTIMATES = ("centre", "cov", "inverse", "logdet")
