@@ -108,3 +108,26 @@ def test_products_past_64_bits(spark):
     sizes = spark.createDataFrame([("en", (1 << 45) - 1)], "lang string, n long")
     got = phrases.scores(found, sizes).first()
     assert got["score"] == 1000 * (big - 11) * ((1 << 45) - 1) // (big * (big - 5))
+
+
+def test_rare_pairs_travel_packed(spark, monkeypatch):
+    """Pairs that occur once or twice don't cost a row each, and many ranges change nothing."""
+    monkeypatch.setattr(phrases, "RANGE", 1 << 10)
+    rng = random.Random(4)
+    some = [f"w{i}" for i in range(150)]
+    rows = [(" ".join(rng.choice(some) for _ in range(50)), "en") for _ in range(400)]
+    rows += [("w1 w2 w3 w4", "en")] * 40
+    n, labels = [], []
+    plain = phrases.landed
+    monkeypatch.setattr(phrases, "landed", lambda df, label: (n.append(df.count()), labels.append(label)) and plain(df, label))
+    got = phrases.mine(frame(spark, rows).repartition(3), least=30)
+    assert as_rows(got, *OUT) == brute(rows, least=30)
+    pairs = [x for x, label in zip(n, labels, strict=True) if label == "occurrences"][1]
+    assert 3 < pairs < 100
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [255, 256, 0], [1 << 40, 3, (1 << 62) + 7], list(range(1000))])
+def test_packed_numbers_come_back(numbers):
+    numbers = phrases.np.array(numbers, "int64")
+    assert phrases._unpack(phrases._pack(numbers)).tolist() == numbers.tolist()
+    assert phrases._unpack_sorted(phrases._pack_sorted(phrases.np.sort(numbers))).tolist() == sorted(numbers.tolist())

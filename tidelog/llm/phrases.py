@@ -10,9 +10,13 @@ are counted in each chunk, then over all chunks, and those under the threshold a
 before the next level is built: one shuffle of a chunk's groups serves the count and the
 semi-join. A phrase's parts occur at least as often as itself, so nothing is lost.
 
+Nearly all neighbours are rare pairs, one or two to a chunk, so pairs don't travel as rows: a
+chunk sends one packed block for each range of pairs (by a hash that only deals them out), its
+ends sorted, as differences. A range holds the pairs of about RANGE words of the table.
+
 A chunk is up to CHUNK words of one language, and 4 words on where it ends inside a piece:
 phrases are counted where they begin. So a hot language is many chunks, a hot phrase sends
-one row for each chunk, however often it occurs there, and a list of a chunk's groups is
+one entry for each chunk, however often it occurs there, and a list of a chunk's groups is
 bounded. Words are compared as text, phrases by the numbers of their frequent parts: nothing
 is hashed, and counts are exact. A group's number is the first place among its chunks' lists.
 """
@@ -20,19 +24,22 @@ is hashed, and counts are exact. A group's number is the first place among its c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import landed, lower_ascii, slices, text_of
+from tidelog.llm.common import landed, lower_ascii, mix, slices, text_of
 
 #: Words of a chunk, of all chunks a task holds at a time, and bytes split at a time.
 CHUNK, HELD, PIECE = 1 << 21, 1 << 22, 4 << 20
 LONGEST, LEAST, SHARE, TOP = 5, 100, 100, 2000
 #: Rows of groups in one Arrow batch.
 ROWS = 1 << 16
+#: Words of the table for each range of pairs.
+RANGE = 1 << 20
 #: Bits of a group's index in its chunk, and of a chunk's number in its task.
 INDEX, NUMBER = 22, 17
 
@@ -43,15 +50,27 @@ _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    """Whole numbers from 0 to 2**32 - 1, byte by byte of equal weight, compressed."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return len(numbers).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+    """Whole numbers from 0 to 2**63 - 1, byte by byte of equal weight, compressed; as many
+    bytes a number as the largest needs."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + len(numbers).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
 
 
 def _unpack(blob: bytes) -> np.ndarray:
-    n = int.from_bytes(blob[:4], "little")
-    planes = np.frombuffer(pa.decompress(blob[4:], 4 * n, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    width, n = blob[0], int.from_bytes(blob[1:5], "little")
+    planes = np.frombuffer(pa.decompress(blob[5:], width * n, "zstd", asbytes=True), np.uint8)
+    numbers = np.zeros((n, 8), np.uint8)
+    numbers[:, :width] = planes.reshape(width, n).T
+    return numbers.view("<i8").ravel()
+
+
+def _pack_sorted(numbers: np.ndarray) -> bytes:
+    return _pack(np.diff(numbers, prepend=0))
+
+
+def _unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(blob))
 
 
 class _Words:
@@ -122,31 +141,55 @@ def _number() -> int:
     return TaskContext.get().partitionId() << NUMBER
 
 
-_RELATION = "chunk long, lang string, counted long, at binary, groups binary, place long, times long"
+_RELATION = "chunk long, lang string, counted long, at binary, groups binary"
+#: What rows of words and of blocks of pairs have besides.
+_WORD = {"place": pa.int64(), "times": pa.int64(), "word": pa.string()}
+_BLOCK = {"range": pa.int64(), "first": pa.int64(), "l": pa.binary(), "r": pa.binary(), "times": pa.binary()}
 
 
 def _chunk_row(chunk: int, lang: str, counted: int, at: np.ndarray, group: np.ndarray, extra: dict) -> pa.RecordBatch:
     named = {
         "chunk": pa.array([chunk], pa.int64()), "lang": pa.array([lang], pa.string()),
-        "counted": pa.array([counted], pa.int64()), "at": pa.array([_pack(at)], pa.binary()),
-        "groups": pa.array([_pack(group)], pa.binary()), "place": pa.nulls(1, pa.int64()), "times": pa.nulls(1, pa.int64()),
+        "counted": pa.array([counted], pa.int64()), "at": pa.array([_pack_sorted(at)], pa.binary()),
+        "groups": pa.array([_pack(group)], pa.binary()),
     } | {c: pa.nulls(1, kind) for c, kind in extra.items()}
     return pa.RecordBatch.from_arrays(list(named.values()), list(named))
 
 
-def _group_rows(chunk: int, lang: str, times: np.ndarray, extra: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
-    if len(times) >> INDEX:
+def _limited(n: int) -> None:
+    if n >> INDEX:
         raise ValueError(f"more than {1 << INDEX} groups in a chunk")
+
+
+def _word_rows(chunk: int, lang: str, times: np.ndarray, words: pa.Array) -> Iterator[pa.RecordBatch]:
+    _limited(len(times))
     for a in range(0, len(times), ROWS):
         n = min(ROWS, len(times) - a)
         named = {
             "chunk": pa.nulls(n, pa.int64()), "lang": pa.array([lang] * n, pa.string()),
             "counted": pa.nulls(n, pa.int64()), "at": pa.nulls(n, pa.binary()), "groups": pa.nulls(n, pa.binary()),
             "place": pa.array((chunk << INDEX) + np.arange(a, a + n)), "times": pa.array(times[a : a + n].astype(np.int64)),
-        } | {c: v.slice(a, n) for c, v in extra.items()}
+            "word": words.slice(a, n),
+        }
         yield pa.RecordBatch.from_arrays(list(named.values()), list(named))
 
 
+def _blocks(chunk: int, lang: str, ranges: np.ndarray, left: np.ndarray, right: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """A row per range: the pairs of a chunk, which are sorted by range, left and right end.
+    ``first`` is the index of a block's first pair."""
+    cut = np.flatnonzero(np.diff(ranges, prepend=-1))
+    ends = [*cut[1:], len(ranges)]
+    packed = lambda f, x: pa.array([f(x[a:b]) for a, b in zip(cut, ends, strict=True)], pa.binary())
+    n = len(cut)
+    named = {
+        "chunk": pa.array([chunk] * n, pa.int64()), "lang": pa.array([lang] * n, pa.string()),
+        "counted": pa.nulls(n, pa.int64()), "at": pa.nulls(n, pa.binary()), "groups": pa.nulls(n, pa.binary()),
+        "range": pa.array(ranges[cut]), "first": pa.array(cut.astype(np.int64)),
+        "l": packed(_pack_sorted, left), "r": packed(_pack, right), "times": packed(_pack, times),
+    }
+    return pa.RecordBatch.from_arrays(list(named.values()), list(named))
+
+
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, _Words] = {}
     number = _number()
@@ -154,8 +197,8 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush(lang: str) -> Iterator[pa.RecordBatch]:
         nonlocal number
         for at, counted, group, words, times in held.pop(lang).chunks():
-            yield _chunk_row(number, lang, counted, at, group, {"word": pa.string()})
-            yield from _group_rows(number, lang, times, {"word": words.cast(pa.string())})
+            yield _chunk_row(number, lang, counted, at, group, _WORD)
+            yield from _word_rows(number, lang, times, words.cast(pa.string()))
             number += 1
 
     for batch in batches:
@@ -176,11 +219,18 @@ def first_level(docs: DataFrame) -> DataFrame:
     """The relation of single words: a row per chunk, and one per distinct word of a chunk.
     Null text is empty, null language ``und``; a text begins a new piece."""
     own = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of("text").alias("text"))
-    return own.mapInArrow(_split, f"{_RELATION}, word string")
+    return own.mapInArrow(_split, f"{_RELATION}, place long, times long, word string")
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """Numbers that stand in rows, or packed in several."""
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        return np.concatenate([_unpack(x) for x in column.to_pylist()])
+    return column.to_numpy(zero_copy_only=False)
 
 
-def _extend(last: bool):
-    """The next level's relation and groups of chunks whose frequent groups are given."""
+def _extend(last: bool, n_ranges: int):
+    """The next level's relation and pairs of chunks whose frequent groups are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,8 +238,10 @@ def _extend(last: bool):
                 cell = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
                 chunk, lang, counted = cell("chunk"), cell("lang"), cell("counted")
                 found = batch.column("found")[i].values
-                idx, gid = (found.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-                at, group = _unpack(cell("at")), _unpack(cell("groups"))
+                idx, gid = (_numbers(found.field(k)) for k in (0, 1))
+                order = np.argsort(gid)
+                idx, gid = idx[order], gid[order]
+                at, group = _unpack_sorted(cell("at")), _unpack(cell("groups"))
                 known = np.full(int(max(group.max(initial=0), idx.max(initial=0))) + 1, -1)
                 known[idx] = np.arange(len(idx))
                 group = known[group]
@@ -200,35 +252,94 @@ def _extend(last: bool):
                 pairs, own = np.unique(pair, return_inverse=True)
                 if not len(pairs):
                     continue
+                _limited(len(pairs))
+                left, right = gid[pairs // len(idx)], gid[pairs % len(idx)]
+                with np.errstate(over="ignore"):
+                    h = mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64))
+                ranges = (h % np.uint64(n_ranges)).astype(np.int64)
+                order = np.argsort(ranges, kind="stable")
+                index = np.empty(len(order), np.int64)
+                index[order] = np.arange(len(order))
+                own = index[own]
                 times = np.bincount(own[at < counted], minlength=len(pairs))
                 if not last:
-                    yield _chunk_row(chunk, lang, counted, at, own, {"l": pa.int64(), "r": pa.int64()})
-                ends = {"l": pa.array(gid[pairs // len(idx)]), "r": pa.array(gid[pairs % len(idx)])}
-                yield from _group_rows(chunk, lang, times, ends)
+                    yield _chunk_row(chunk, lang, counted, at, own, _BLOCK)
+                yield _blocks(chunk, lang, ranges[order], left[order], right[order], times)
 
     return run
 
 
-def frequent_groups(relation: DataFrame, key: list[str], least: int) -> DataFrame:
-    """(place, gid, f, key) of the groups of every chunk that occur ``least`` times over all
-    chunks. ``gid`` is the same in all chunks; ``f`` and key stand where place and gid agree."""
-    same = Window.partitionBy(*key)
-    counted = relation.filter("place is not null").select("place", "times", *key)
+def frequent_words(relation: DataFrame, least: int) -> DataFrame:
+    """(place, gid, f, lang, word) of the words of every chunk that occur ``least`` times over
+    all chunks. ``gid`` is the same in all chunks; ``f``, lang and word stand where place and
+    gid agree."""
+    same = Window.partitionBy("lang", "word")
+    counted = relation.filter("place is not null").select("place", "times", "lang", "word")
     counted = counted.withColumns({"f": F.sum("times").over(same), "gid": F.min("place").over(same)})
     first = F.col("place") == F.col("gid")
-    return landed(
-        counted.filter(F.col("f") >= least).select("place", "gid", *[F.when(first, F.col(c)).alias(c) for c in ("f", *key)]),
-        "frequent",
-    )
+    kept = counted.filter(F.col("f") >= least)
+    return landed(kept.select("place", "gid", *[F.when(first, F.col(c)).alias(c) for c in ("f", "lang", "word")]), "frequent")
+
+
+def frequent_pairs(relation: DataFrame, least: int) -> DataFrame:
+    """The pairs that occur ``least`` times over all chunks: (chunk, idx, gid) with packed
+    indexes in a chunk and numbers, a row per block that has any, and (first, f, l, r) once
+    for each pair, ``first`` being its number. A range's blocks hold all there is of its pairs."""
+
+    def count(blocks: pa.Table) -> pa.Table:
+        part = lambda c, f: np.concatenate([f(x) for x in blocks.column(c).to_pylist()])
+        left, right, times = part("l", _unpack_sorted), part("r", _unpack), part("times", _unpack)
+        first, chunk = (blocks.column(c).to_numpy() for c in ("first", "chunk"))
+        sizes = np.array([int.from_bytes(x[1:5], "little") for x in blocks.column("l").to_pylist()])
+        begin = np.cumsum(sizes) - sizes
+        place = np.repeat((chunk << INDEX) + first - begin, sizes) + np.arange(len(left))
+        order = np.lexsort((place, right, left))
+        left, right, place, times = left[order], right[order], place[order], times[order]
+        new = np.flatnonzero((np.diff(left, prepend=-1) != 0) | (np.diff(right, prepend=-1) != 0))
+        f = np.add.reduceat(times, new)
+        kept = np.repeat(f, np.diff([*new, len(left)])) >= least
+        gid = np.repeat(place[new], np.diff([*new, len(left)]))[kept]
+        one, f = new[f >= least], f[f >= least]
+        firsts, place = place[one], place[kept]
+        order = np.argsort(place)
+        gid, place = gid[order], place[order]
+        cut = np.flatnonzero(np.diff(place >> INDEX, prepend=-1))
+        ends = [*cut[1:], len(place)] if len(cut) else []
+        packed = lambda x: [_pack(x[a:b]) for a, b in zip(cut, ends, strict=True)]
+        more, rest = len(one), len(cut)
+        column = lambda x, y, kind: pa.concat_arrays([pa.array(x, kind), pa.array(y, kind)])
+        none, nothing, number = [None] * rest, [None] * more, pa.int64()
+        return pa.table(
+            {"chunk": column(place[cut] >> INDEX, nothing, number),
+             "idx": column(packed(place % (1 << INDEX)), nothing, pa.binary()), "gid": column(packed(gid), nothing, pa.binary()),
+             "first": column(none, firsts, number),
+             "f": column(none, f, number), "l": column(none, left[one], number), "r": column(none, right[one], number)}
+        )
+
+    blocks = relation.filter("range is not null").select("range", "chunk", "first", "l", "r", "times")
+    found = blocks.groupBy("range").applyInArrow(count, "chunk long, idx binary, gid binary, first long, f long, l long, r long")
+    return landed(found, "frequent")
+
+
+def next_level(relation: DataFrame, groups: DataFrame, last: bool, n_ranges: int) -> DataFrame:
+    """The join with the adjacent place, of what the frequent groups leave of a relation.
+    ``groups``: (chunk, idx, gid), numbers or packed ones."""
+    found = groups.groupBy("chunk").agg(F.collect_list(F.struct("idx", "gid")).alias("found"))
+    chunks = relation.filter("at is not null").select("chunk", "lang", "counted", "at", "groups")
+    schema = f"{_RELATION}, range long, first long, l binary, r binary, times binary"
+    return chunks.join(found, "chunk").mapInArrow(_extend(last, n_ranges), schema)
 
 
-def next_level(relation: DataFrame, groups: DataFrame, last: bool) -> DataFrame:
-    """The join with the adjacent place, of what the frequent groups leave of a relation."""
-    found = groups.groupBy(F.shiftright("place", INDEX).alias("chunk")).agg(
-        F.collect_list(F.struct((F.col("place") % (1 << INDEX)).cast("int").alias("idx"), "gid")).alias("found")
-    )
-    chunks = relation.filter("at is not null").select("chunk", "lang", "counted", "at", "groups")
-    return chunks.join(found, "chunk").mapInArrow(_extend(last), f"{_RELATION}, l long, r long")
+@contextmanager
+def _without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when their query has ended: what follows reads landed tables."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -237,15 +348,20 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     relation = landed(first_level(docs), "occurrences")
     sizes = relation.filter("place is not null").groupBy("lang").agg(F.sum("times").alias("n"))
     sizes = landed(sizes, "sizes")
-    groups = frequent_groups(relation, ["lang", "word"], least)
-    found = groups.filter("place = gid").select("gid", "lang", F.array("word").alias("words"), "f")
+    n_ranges = (sizes.agg(F.sum("n")).first()[0] or 0) // RANGE + 1
+    words = frequent_words(relation, least)
+    found = words.filter("place = gid").select("gid", "lang", F.array("word").alias("words"), "f")
     every = found.drop("gid")
+    index = (F.col("place") % (1 << INDEX)).cast("int")
+    groups = words.select(F.shiftright("place", INDEX).alias("chunk"), index.alias("idx"), "gid")
     for k in range(2, longest + 1):
-        relation = landed(next_level(relation, groups, k == longest), "occurrences")
-        groups = frequent_groups(relation, ["l", "r"], least)
+        relation = landed(next_level(relation, groups, k == longest, n_ranges), "occurrences")
+        pairs = frequent_pairs(relation, least)
+        groups = pairs.filter("chunk is not null").select("chunk", "idx", "gid")
         left = found.select(F.col("gid").alias("l"), "lang", F.col("words").alias("head"))
         right = found.select(F.col("gid").alias("r"), F.slice("words", -1, 1).alias("tail"))
-        longer = groups.filter("place = gid").join(left, "l").join(right, "r")
+        longer = pairs.filter("first is not null").select(F.col("first").alias("gid"), "f", "l", "r")
+        longer = longer.join(left, "l").join(right, "r")
         found = landed(longer.select("gid", "lang", F.concat("head", "tail").alias("words"), "f"), "phrases")
         every = every.unionByName(found.drop("gid"))
     return every, sizes
@@ -303,7 +419,8 @@ def mine(
     repeat each count. A table without a frequent phrase of two words gives no row. Columns
     other than lang and text aren't read.
     """
-    phrases, sizes = frequent_phrases(docs, longest, least)
+    with _without_shuffle_files(docs.sparkSession):
+        phrases, sizes = frequent_phrases(docs, longest, least)
     kept = maximal(scores(phrases, sizes), phrases, share)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
